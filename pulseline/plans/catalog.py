@@ -2,8 +2,8 @@
 
 Each query reads the driver tables of ``sf_dir`` (whole tables; derived
 inputs come from ``fixtures``) and returns a lazy DataFrame. Doubles are
-rounded at the end (4 dp for milliseconds, 6 for rates, 8 for ratios) so the
-result compares exactly with the SQL oracle, whose summation order differs.
+rounded at the end (``fixtures.ROUND``) so the result compares exactly with
+the SQL oracle, whose summation order differs.
 """
 
 from __future__ import annotations
@@ -20,8 +20,7 @@ from pulseline.plans import fixtures as fx
 from pulseline.schemas import HEARTBEAT_COLUMNS
 from pulseline.sources.json_source import decode_json
 
-# Fixed values — rounding used by every query and oracle.
-ROUND = {"ms": 4, "rate": 6, "ratio": 8}
+ROUND = fx.ROUND
 KPI_ROUNDING = {"avg_vst_ms": ROUND["ms"], "pfr": ROUND["rate"],
                 "rebuffering_ratio": ROUND["ratio"]}
 
@@ -218,3 +217,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backlog_slice": q_backlog_slice,
     "backlog_report": q_backlog_report,
 }
+
+from pulseline.plans.streams import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)

@@ -34,6 +34,13 @@ K_UNKNOWN_FIELD = 10      # JSON: extra key, playerVersion omitted (accepted)
 K_NULL_PAYLOAD = 11       # binary: null payload
 K_EMPTY_PAYLOAD = 12      # binary: empty payload (a valid all-default message)
 
+# Fixed values — decimal places of doubles in registered query results (ms
+# values, rates, ratios). Inputs carry 2 decimals, so a mean over n events
+# ends exactly on a rounding tie at d places when n has a factor 2^(d-1) or
+# 5^(d-1); 9 places keeps ties out for sessions below 256 events, while
+# summation-order noise (~1e-14) stays far below the last place kept.
+ROUND = {"ms": 9, "rate": 9, "ratio": 12}
+
 # Fixed values — replay copy and stored/new split.
 REDELIVERY_OFFSET = 1_000_000_000   # offset shift of the redelivered copy
 REDELIVERY_VST_DELTA = 1.0          # the copy carries a refreshed reading
@@ -109,7 +116,8 @@ def json_requests(hbk: DataFrame) -> DataFrame:
                        F.col("ts").alias("received_at"), body.alias("body")))
 
 
-def topic_records(hbk: DataFrame, with_redelivery: bool = True) -> DataFrame:
+def topic_records(hbk: DataFrame, with_redelivery: bool = True,
+                  with_faults: bool = True) -> DataFrame:
     """Topic records (key, value, partition, offset, timestamp) with the binary faults.
 
     ``offset`` is the global delivery sequence. With ``with_redelivery`` every
@@ -117,7 +125,7 @@ def topic_records(hbk: DataFrame, with_redelivery: bool = True) -> DataFrame:
     """
     src = hbk.unionByName(redelivered(hbk)) if with_redelivery else hbk
     enc = encode_binary(src)
-    k = F.col("fault_key")
+    k = F.col("fault_key") if with_faults else F.lit(-1)
     value = (F.when(k == K_TRUNCATED_PAYLOAD,
                     F.expr("substr(value, 1, octet_length(value) - 1)"))
               .when(k == K_NULL_PAYLOAD, F.lit(None).cast("binary"))

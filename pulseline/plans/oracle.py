@@ -8,6 +8,10 @@ shared with the Spark implementation except the fixed values.
 
 from __future__ import annotations
 
+from pulseline.plans.fixtures import ROUND
+
+MS, RATE, RATIO = ROUND["ms"], ROUND["rate"], ROUND["ratio"]
+
 # ---------------------------------------------------------------- building blocks
 H = """h AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, event_id AS arrival_seq,
@@ -80,11 +84,11 @@ TD = """td AS (
 def _kpi_select(keys: str) -> str:
     lead = f"{keys}, " if keys else ""
     return (f"SELECT {lead}min(ts) AS window_start, max(ts) AS window_end, "
-            "round(avg(video_start_time_ms), 4) AS avg_vst_ms, "
-            "round(CAST(count(*) FILTER (WHERE playback_failed) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS pfr, "
+            f"round(avg(video_start_time_ms), {MS}) AS avg_vst_ms, "
+            f"round(CAST(count(*) FILTER (WHERE playback_failed) AS DOUBLE) / CAST(count(*) AS DOUBLE), {RATE}) AS pfr, "
             "round(CASE WHEN sum(playback_duration_ms) > 0 "
             "THEN sum(rebuffer_duration_ms) / sum(playback_duration_ms) "
-            "ELSE CAST(0 AS DOUBLE) END, 8) AS rebuffering_ratio, "
+            f"ELSE CAST(0 AS DOUBLE) END, {RATIO}) AS rebuffering_ratio, "
             "count(*) AS event_count")
 
 
@@ -142,10 +146,10 @@ ORACLE["headline_kpis"] = (f"WITH {H}, k AS ({_kpi_select('session_id')} FROM h
 
 ORACLE["kpi_timeseries"] = f"""WITH {H}
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
-  round(avg(video_start_time_ms), 4) AS avg_vst_ms,
-  round(CAST(count(*) FILTER (WHERE playback_failed) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS pfr,
+  round(avg(video_start_time_ms), {MS}) AS avg_vst_ms,
+  round(CAST(count(*) FILTER (WHERE playback_failed) AS DOUBLE) / CAST(count(*) AS DOUBLE), {RATE}) AS pfr,
   round(CASE WHEN sum(playback_duration_ms) > 0 THEN sum(rebuffer_duration_ms) / sum(playback_duration_ms)
-        ELSE CAST(0 AS DOUBLE) END, 8) AS rebuffering_ratio,
+        ELSE CAST(0 AS DOUBLE) END, {RATIO}) AS rebuffering_ratio,
   count(*) AS event_count
 FROM h GROUP BY 1, 2"""
 
@@ -207,13 +211,13 @@ FROM per JOIN hs USING (session_id) GROUP BY 1"""
 
 ORACLE["ingestion_rate"] = f"""WITH {H}
 SELECT date_trunc('minute', ts) AS window_start, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
-  count(*) AS events, round(CAST(count(*) AS DOUBLE) / 60.0, 6) AS events_per_s
+  count(*) AS events, round(CAST(count(*) AS DOUBLE) / 60.0, {RATE}) AS events_per_s
 FROM h GROUP BY 1, 2"""
 
 ORACLE["ingestion_rate_sliding"] = f"""WITH {H},
   w AS (SELECT {_floor15()} - to_seconds(unnest([0, 15, 30, 45])) AS ws FROM h)
 SELECT ws AS window_start, ws + INTERVAL 1 MINUTE AS window_end,
-  count(*) AS events, round(CAST(count(*) AS DOUBLE) / 60.0, 6) AS events_per_s
+  count(*) AS events, round(CAST(count(*) AS DOUBLE) / 60.0, {RATE}) AS events_per_s
 FROM w GROUP BY ws"""
 
 ORACLE["throughput_compare"] = f"""WITH {H},
@@ -222,8 +226,8 @@ ORACLE["throughput_compare"] = f"""WITH {H},
         UNION ALL SELECT ts, false FROM h)
 SELECT date_trunc('minute', ts) AS window_start, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
   count(*) FILTER (WHERE ing) AS ingested, count(*) FILTER (WHERE NOT ing) AS consumed,
-  round(CAST(count(*) FILTER (WHERE ing) AS DOUBLE) / 60.0, 6) AS ingested_per_s,
-  round(CAST(count(*) FILTER (WHERE NOT ing) AS DOUBLE) / 60.0, 6) AS consumed_per_s
+  round(CAST(count(*) FILTER (WHERE ing) AS DOUBLE) / 60.0, {RATE}) AS ingested_per_s,
+  round(CAST(count(*) FILTER (WHERE NOT ing) AS DOUBLE) / 60.0, {RATE}) AS consumed_per_s
 FROM u GROUP BY 1, 2"""
 
 LOG = """lg AS (SELECT arrival_seq AS request_id, ts AS received_at,
@@ -233,8 +237,8 @@ ORACLE["latency_report"] = f"""WITH {H}, {LOG}
 SELECT date_trunc('minute', received_at) AS window_start,
   date_trunc('minute', received_at) + INTERVAL 1 MINUTE AS window_end,
   count(*) AS requests,
-  round(sum(latency_ns / 1e9) / count(*) * 1000.0, 4) AS avg_latency_ms,
-  round(max(latency_ns / 1e9) * 1000.0, 4) AS max_latency_ms
+  round(sum(latency_ns / 1e9) / count(*) * 1000.0, {MS}) AS avg_latency_ms,
+  round(max(latency_ns / 1e9) * 1000.0, {MS}) AS max_latency_ms
 FROM lg GROUP BY 1, 2"""
 
 ORACLE["sla_breaches"] = f"""WITH {H}, {LOG}
@@ -247,10 +251,10 @@ ORACLE["sla_report"] = f"""WITH {H}, {LOG},
           quantile_cont(latency_ns / 1e6, 0.99) AS p99
         FROM lg GROUP BY 1)
 SELECT period_start, period_start + INTERVAL 1 DAY AS period_end, requests, ok, errors,
-  round(CAST(errors AS DOUBLE) / CAST(requests AS DOUBLE), 6) AS error_rate,
-  round(p99, 4) AS p99_latency_ms,
-  round(CAST(requests AS DOUBLE) / 86400.0, 6) AS sent_per_s,
-  round(CAST(ok AS DOUBLE) / 86400.0, 6) AS ok_per_s,
+  round(CAST(errors AS DOUBLE) / CAST(requests AS DOUBLE), {RATE}) AS error_rate,
+  round(p99, {MS}) AS p99_latency_ms,
+  round(CAST(requests AS DOUBLE) / 86400.0, {RATE}) AS sent_per_s,
+  round(CAST(ok AS DOUBLE) / 86400.0, {RATE}) AS ok_per_s,
   p99 < 200.0 AS p99_pass,
   CAST(errors AS DOUBLE) / CAST(requests AS DOUBLE) < 0.01 AS error_rate_pass
 FROM a"""
@@ -277,3 +281,35 @@ ORACLE["backlog_report"] = f"""WITH {H}, {BACKLOG}
 SELECT count(*) AS buffered, least(count(*), 10000) AS kept, count(*) - least(count(*), 10000) AS dropped,
   (SELECT max(arrival_seq) FROM (SELECT arrival_seq FROM bk ORDER BY arrival_seq LIMIT 10000) x) AS cutoff_seq
 FROM bk"""
+
+# ---------------------------------------------------------------- streaming runs
+# first arrival per event id among decoded topic rows
+TDF = """tdf AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY "offset") AS rn FROM td) x WHERE rn = 1)"""
+
+ORACLE["stream_ingest_events"] = f"WITH {H}, {T}, {TD}, {TDF} SELECT {HB_COLS} FROM tdf"
+
+ORACLE["stream_ingest_kpis"] = f"WITH {H}, {T}, {TD} {_kpi_select('session_id')} FROM td GROUP BY session_id"
+
+ORACLE["stream_dead_letters"] = f"""WITH {H}, {T}
+SELECT 'deserialization-failure' AS reason, count(*) AS dead_letters FROM t WHERE fault_key IN (4, 11)"""
+
+ORACLE["replay_dead_letters"] = f"""WITH {H}, {T},
+  d AS (SELECT ts FROM t WHERE fault_key IN (4, 11))
+SELECT 'deserialization-failure' AS reason, count(*) AS retained, CAST(0 AS BIGINT) AS recovered,
+  count(*) AS still_failing
+FROM d WHERE ts >= (SELECT max(ts) FROM d) - INTERVAL 7 DAY"""
+
+ORACLE["stream_window_kpis"] = f"""WITH {H},
+  hc AS (SELECT session_id, ts, video_start_time_ms, playback_failed, rebuffer_duration_ms,
+           playback_duration_ms FROM h)
+{_kpi_select('session_id').replace('min(ts) AS window_start, max(ts) AS window_end',
+  "date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end")}
+FROM hc GROUP BY session_id, date_trunc('day', ts)
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM h) - INTERVAL 1 HOUR"""
+
+ORACLE["replay_backlog"] = f"""WITH {H}
+SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, playback_failed,
+  rebuffer_duration_ms, playback_duration_ms, coalesce(player_version, '') AS player_version, os, cdn,
+  ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-23 00:00:00' AS replayed
+FROM h"""
