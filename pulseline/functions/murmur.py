@@ -32,39 +32,53 @@ def _xorshift(x: str, r: int) -> str:
     return f"(({x}) ^ shiftright(({x}), {r}))"
 
 
+def _chain(first: str, *steps: str) -> str:
+    """Evaluate ``first`` once, then each step on the previous value ``x``.
+
+    Single-element ``transform`` binds an intermediate to a lambda variable,
+    so an expression used twice by the next step is not evaluated twice.
+    """
+    out = f"array({first})"
+    for step in steps:
+        out = f"transform({out}, x -> {step})"
+    return f"element_at({out}, 1)"
+
+
 def _murmur2_sql(key_sql: str) -> str:
-    data = f"encode({key_sql}, 'UTF-8')"
-    n = f"octet_length({data})"
-    # the key's bytes as unsigned values
-    byte_arr = (f"transform(slice(sequence(0, greatest({n} - 1, 0)), 1, {n}), "
-                f"i -> CAST(conv(substr(hex({data}), 2 * i + 1, 2), 16, 10) AS BIGINT))")
+    # hx: hex text of the UTF-8 bytes, bound once
+    n_hex = "CAST(length(hx) DIV 2 AS INT)"
+    byte_arr = (f"transform(slice(sequence(0, greatest({n_hex} - 1, 0)), 1, {n_hex}), "
+                f"i -> CAST(conv(substr(hx, 2 * i + 1, 2), 16, 10) AS BIGINT))")
+    # b: the key's bytes (unsigned), bound once
+    n = "size(b)"
     nblocks = f"CAST({n} DIV 4 AS INT)"
-    # little-endian 32-bit blocks
     blocks = (f"transform(slice(sequence(0, greatest({nblocks} - 1, 0)), 1, {nblocks}), "
               f"j -> b[4 * j] | shiftleft(b[4 * j + 1], 8) | shiftleft(b[4 * j + 2], 16) "
               f"| shiftleft(b[4 * j + 3], 24))")
     # per-block mixing is independent of the running hash: k*m, k^(k>>>r), k*m
-    k1 = f"transform({blocks}, k -> {_mul('k')})"
-    k2 = f"transform({k1}, k -> {_xorshift('k', MURMUR_R)})"
-    k3 = f"transform({k2}, k -> {_mul('k')})"
-    tail_off = f"({nblocks} * 4)"
+    mixed = (f"transform(transform(transform({blocks}, k -> {_mul('k')}), "
+             f"k -> {_xorshift('k', MURMUR_R)}), k -> {_mul('k')})")
+    folded = (f"aggregate({mixed}, CAST(({MURMUR_SEED} ^ {n}) & {_MASK32} AS BIGINT), "
+              f"(h, k) -> ({_mul('h')}) ^ k)")
+    off = f"({nblocks} * 4)"
     rem = f"({n} & 3)"
 
     def tail_byte(i: int) -> str:
-        return f"coalesce(try_element_at(b, {tail_off} + {i + 1}), 0)"
+        return f"coalesce(try_element_at(b, {off} + {i + 1}), 0)"
 
     tail = (f"(IF({rem} >= 3, shiftleft({tail_byte(2)}, 16), 0) ^ "
             f"IF({rem} >= 2, shiftleft({tail_byte(1)}, 8), 0) ^ "
             f"IF({rem} >= 1, {tail_byte(0)}, 0))")
-    h2 = f"IF({rem} >= 1, {_mul(f'h ^ {tail}')}, h)"
-    h3 = _xorshift(h2, 13)
-    h4 = _mul(h3)
-    h5 = _xorshift(h4, 15)
-    signed = f"IF({h5} >= 2147483648, {h5} - 4294967296, {h5})"
-    body = (f"aggregate({k3}, CAST(({MURMUR_SEED} ^ {n}) & {_MASK32} AS BIGINT), "
-            f"(h, k) -> ({_mul('h')}) ^ k, h -> CAST({signed} AS INT))")
-    # bind the byte array once as lambda variable ``b``
-    return f"aggregate(array({byte_arr}), CAST(NULL AS INT), (acc, b) -> {body})"
+    final = _chain(
+        f"IF({rem} >= 1, ({folded}) ^ {tail}, {folded})",
+        f"IF({rem} >= 1, {_mul('x')}, x)",
+        _xorshift("x", 13),
+        _mul("x"),
+        _xorshift("x", 15),
+        "CAST(IF(x >= 2147483648, x - 4294967296, x) AS INT)",
+    )
+    with_bytes = f"element_at(transform(array({byte_arr}), b -> {final}), 1)"
+    return f"element_at(transform(array(hex(encode({key_sql}, 'UTF-8'))), hx -> {with_bytes}), 1)"
 
 
 def murmur2(key: str) -> Column:

@@ -117,7 +117,7 @@ def json_requests(hbk: DataFrame) -> DataFrame:
 
 
 def topic_records(hbk: DataFrame, with_redelivery: bool = True,
-                  with_faults: bool = True) -> DataFrame:
+                  with_faults: bool = True, keep=()) -> DataFrame:
     """Topic records (key, value, partition, offset, timestamp) with the binary faults.
 
     ``offset`` is the global delivery sequence. With ``with_redelivery`` every
@@ -134,7 +134,7 @@ def topic_records(hbk: DataFrame, with_redelivery: bool = True,
     return enc.select(
         F.col("session_id").alias("key"), value.alias("value"),
         session_partition_id("session_id", TOPIC_PARTITIONS).alias("partition"),
-        F.col("arrival_seq").alias("offset"), F.col("ts").alias("timestamp"))
+        F.col("arrival_seq").alias("offset"), F.col("ts").alias("timestamp"), *keep)
 
 
 def latency_log(hb: DataFrame) -> DataFrame:

@@ -27,10 +27,12 @@ from pulseline.streaming.windows import stream_kpis
 
 # Fixed values — staging and stream parameters of the registered runs.
 SEGMENT_BOUNDS = ["2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00"]
-FILES_PER_TRIGGER = 1
+FILES_PER_TRIGGER = 8      # staged files per micro-batch (one segment at these sizes)
 WINDOW = "1 day"
 WATERMARK = "1 hour"
 REPLAY_BATCH_BASE = 1_000_000
+REPLAY_SLICE = 500          # events per backlog file (one drain call)
+SLICES_PER_TRIGGER = 4      # drain slices per replay micro-batch
 RETENTION_DAYS = 7
 
 _RUNS: dict = {}
@@ -40,24 +42,39 @@ def _ts(s: str):
     return F.lit(s).cast("timestamp_ntz")
 
 
-def _segments(records: DataFrame, ts: str = "timestamp"):
-    """Original delivery cut by event time, then the redelivered copy."""
-    original = F.col("offset") < F.lit(fx.REDELIVERY_OFFSET)
+def _segments(hbk: DataFrame):
+    """Heartbeat rows per delivery segment: original delivery cut by event
+    time, then the redelivered copy."""
     bounds = [None, *SEGMENT_BOUNDS, None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = original
+        seg = hbk
         if lo:
-            cond = cond & (F.col(ts) >= _ts(lo))
+            seg = seg.filter(F.col("ts") >= _ts(lo))
         if hi:
-            cond = cond & (F.col(ts) < _ts(hi))
-        yield records.filter(cond)
-    yield records.filter(~original)
-
-
-def stage(records: DataFrame, folder: str, max_records_per_file: int | None = None) -> str:
-    """Write each delivery segment in turn (files of later segments are newer)."""
-    for seg in _segments(records):
-        w = seg.write.mode("append")
+            seg = seg.filter(F.col("ts") < _ts(hi))
+        yield seg
+    yield fx.redelivered(hbk)
+
+
+def stage(segments, folder: str, with_faults: bool = True,
+          max_records_per_file: int | None = None) -> str:
+    """Encode all segments in one job, then append them to ``folder`` in turn.
+
+    The single encode job writes a staging table partitioned by segment;
+    copying segment after segment (JVM only) makes files of later segments
+    newer, which is the order a file stream reads them in.
+    """
+    tagged = None
+    for i, seg in enumerate(segments):
+        seg = seg.withColumn("__segment", F.lit(i))
+        tagged = seg if tagged is None else tagged.unionByName(seg)
+    records = fx.topic_records(tagged, with_redelivery=False, with_faults=with_faults,
+                               keep=("__segment",))
+    staging = f"{folder}_staging"
+    records.write.partitionBy("__segment").parquet(staging)
+    spark = records.sparkSession
+    for i in range(len(segments)):
+        w = spark.read.parquet(f"{staging}/__segment={i}").write.mode("append")
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
         w.parquet(folder)
@@ -73,8 +90,8 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> Layout:
     key = _key(spark, sf_dir, "ingest")
     if key not in _RUNS:
         root = scratch_path(spark, "ingest")
-        records = fx.topic_records(fx.heartbeats(spark, sf_dir, with_key=True))
-        src = stage(records, f"{root}/topic")
+        hbk = fx.heartbeats(spark, sf_dir, with_key=True)
+        src = stage(list(_segments(hbk)), f"{root}/topic")
         layout = Layout(f"{root}/out")
         q = run_stream(heartbeat_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER), layout)
         q.awaitTermination()
@@ -122,9 +139,8 @@ def q_stream_window_kpis(spark, sf_dir) -> DataFrame:
     key = _key(spark, sf_dir, "windows")
     if key not in _RUNS:
         root = scratch_path(spark, "windows")
-        records = fx.topic_records(fx.heartbeats(spark, sf_dir, with_key=True),
-                                   with_redelivery=False, with_faults=False)
-        src = stage(records, f"{root}/topic")
+        hbk = fx.heartbeats(spark, sf_dir, with_key=True)
+        src = stage(list(_segments(hbk))[:-1], f"{root}/topic", with_faults=False)
         decoded = decode_binary(heartbeat_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
         good, _ = split_decoded(decoded)
         kpis = stream_kpis(good, WINDOW, WATERMARK)
@@ -147,16 +163,17 @@ def q_replay_backlog(spark, sf_dir) -> DataFrame:
     if key not in _RUNS:
         root = scratch_path(spark, "replay")
         hbk = fx.heartbeats(spark, sf_dir, with_key=True)
-        records = fx.topic_records(hbk, with_redelivery=False, with_faults=False)
-        t = F.col("timestamp")
+        t = F.col("ts")
         in_outage = (t >= _ts(fx.OUTAGE_FROM)) & (t < _ts(fx.OUTAGE_TO))
-        live = stage(records.filter(~in_outage), f"{root}/topic")
-        backlog = f"{root}/backlog"
-        records.filter(in_outage).write.option("maxRecordsPerFile", 500).parquet(backlog)
+        live_segments = [seg.filter(~in_outage) for seg in list(_segments(hbk))[:-1]]
+        live = stage(live_segments, f"{root}/topic", with_faults=False)
+        # the backlog is kept in drain-sized files (one drain call = one file)
+        backlog = stage([hbk.filter(in_outage)], f"{root}/backlog", with_faults=False,
+                        max_records_per_file=REPLAY_SLICE)
         layout = Layout(f"{root}/out")
         run_stream(heartbeat_stream(spark, live, max_files_per_trigger=FILES_PER_TRIGGER),
                    layout).awaitTermination()
-        run_stream(heartbeat_stream(spark, backlog, max_files_per_trigger=1), layout,
+        run_stream(heartbeat_stream(spark, backlog, max_files_per_trigger=SLICES_PER_TRIGGER), layout,
                    checkpoint=f"{root}/_replay_checkpoint",
                    batch_id_base=REPLAY_BATCH_BASE).awaitTermination()
         _RUNS[key] = layout
