@@ -26,33 +26,37 @@ _SPARK_TYPES = {"string": T.StringType(), "int64": T.LongType(),
 WIRE_SCHEMA = T.StructType([T.StructField(n, _SPARK_TYPES[k]) for n, _, k in WIRE_FIELDS])
 WIRE_NAMES = [n for n, _, _ in WIRE_FIELDS]
 
-_MESSAGE_CLASS = None
-
 # Task functions of this module travel by value, so executors need only
 # pyspark, pyarrow and protobuf, not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def build_message_class():
+    """The heartbeat message class, built from the declared field list.
+
+    Called once per task inside the Arrow functions (a descriptor pool is
+    not picklable, so nothing built here is shipped from the driver).
+    """
+    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
+    fdp = descriptor_pb2.FileDescriptorProto(
+        name="pulseline_heartbeat.proto", package=WIRE_PACKAGE, syntax="proto3")
+    msg = fdp.message_type.add(name=WIRE_MESSAGE_NAME)
+    kinds = {"string": descriptor_pb2.FieldDescriptorProto.TYPE_STRING,
+             "int64": descriptor_pb2.FieldDescriptorProto.TYPE_INT64,
+             "double": descriptor_pb2.FieldDescriptorProto.TYPE_DOUBLE,
+             "bool": descriptor_pb2.FieldDescriptorProto.TYPE_BOOL}
+    for name, number, kind in WIRE_FIELDS:
+        msg.field.add(name=name, number=number, type=kinds[kind],
+                      label=descriptor_pb2.FieldDescriptorProto.LABEL_OPTIONAL)
+    pool = descriptor_pool.DescriptorPool()
+    pool.Add(fdp)
+    return message_factory.GetMessageClass(
+        pool.FindMessageTypeByName(f"{WIRE_PACKAGE}.{WIRE_MESSAGE_NAME}"))
+
+
 def message_class():
-    """The heartbeat message class, built once per Python worker."""
-    global _MESSAGE_CLASS
-    if _MESSAGE_CLASS is None:
-        from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
-        fdp = descriptor_pb2.FileDescriptorProto(
-            name="pulseline_heartbeat.proto", package=WIRE_PACKAGE, syntax="proto3")
-        msg = fdp.message_type.add(name=WIRE_MESSAGE_NAME)
-        kinds = {"string": descriptor_pb2.FieldDescriptorProto.TYPE_STRING,
-                 "int64": descriptor_pb2.FieldDescriptorProto.TYPE_INT64,
-                 "double": descriptor_pb2.FieldDescriptorProto.TYPE_DOUBLE,
-                 "bool": descriptor_pb2.FieldDescriptorProto.TYPE_BOOL}
-        for name, number, kind in WIRE_FIELDS:
-            msg.field.add(name=name, number=number, type=kinds[kind],
-                          label=descriptor_pb2.FieldDescriptorProto.LABEL_OPTIONAL)
-        pool = descriptor_pool.DescriptorPool()
-        pool.Add(fdp)
-        _MESSAGE_CLASS = message_factory.GetMessageClass(
-            pool.FindMessageTypeByName(f"{WIRE_PACKAGE}.{WIRE_MESSAGE_NAME}"))
-    return _MESSAGE_CLASS
+    """Driver-side helper (tests, tools): a freshly built message class."""
+    return build_message_class()
 
 
 def spread_for_python(df: DataFrame) -> DataFrame:
@@ -90,7 +94,7 @@ def decode_binary(df: DataFrame, payload_col: str = "value") -> DataFrame:
     wire = list(WIRE_FIELDS)
 
     def decode_batches(batches):
-        cls = message_class()
+        cls = build_message_class()
         for batch in batches:
             payloads = batch.column(payload_col).to_pylist()
             cols = {name: [] for name, _, _ in wire}
@@ -139,7 +143,7 @@ def encode_binary(df: DataFrame, out_col: str = "value") -> DataFrame:
     defaults = {"string": "", "int64": 0, "double": 0.0, "bool": False}
 
     def encode_batches(batches):
-        cls = message_class()
+        cls = build_message_class()
         for batch in batches:
             data = {n: batch.column(source[n]).to_pylist() for n, _, _ in wire}
             out = []

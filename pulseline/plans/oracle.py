@@ -306,7 +306,7 @@ ORACLE["stream_window_kpis"] = f"""WITH {H},
 {_kpi_select('session_id').replace('min(ts) AS window_start, max(ts) AS window_end',
   "date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end")}
 FROM hc GROUP BY session_id, date_trunc('day', ts)
-HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM h) - INTERVAL 1 HOUR"""
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM h) - INTERVAL 8 DAY"""
 
 ORACLE["replay_backlog"] = f"""WITH {H}
 SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, playback_failed,

@@ -29,7 +29,11 @@ from pulseline.streaming.windows import stream_kpis
 SEGMENT_BOUNDS = ["2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00"]
 FILES_PER_TRIGGER = 8      # staged files per micro-batch (one segment at these sizes)
 WINDOW = "1 day"
-WATERMARK = "1 hour"
+# Within a staged segment rows are spread over files in no time order, so a
+# micro-batch boundary inside a segment reorders events by up to one segment
+# span (8 days); the watermark delay must cover that disorder, otherwise
+# on-time events are dropped as late.
+WATERMARK = "8 days"
 REPLAY_BATCH_BASE = 1_000_000
 REPLAY_SLICE = 500          # events per backlog file (one drain call)
 SLICES_PER_TRIGGER = 4      # drain slices per replay micro-batch
