@@ -35,8 +35,8 @@ def backlog_report(backlog: DataFrame, capacity: int = BACKLOG_CAPACITY,
     """
     total = backlog.agg(F.count(F.lit(1)).alias("buffered"))
     cutoff = (backlog.select(arrival).orderBy(F.col(arrival).asc()).limit(capacity)
-                     .agg(F.max(arrival).alias("cutoff_seq")))
-    return (total.crossJoin(cutoff)  # one row × one row
+                     .agg(F.max(arrival))).scalar()  # scalar subquery
+    return (total.withColumn("cutoff_seq", cutoff)
                  .withColumn("kept", F.least(F.col("buffered"), F.lit(capacity).cast("bigint")))
                  .withColumn("dropped", F.col("buffered") - F.col("kept"))
                  .select("buffered", "kept", "dropped", "cutoff_seq"))

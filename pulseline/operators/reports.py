@@ -46,8 +46,8 @@ def ingest_summary(decoded: DataFrame, stored_new: DataFrame | None = None) -> D
         F.count_if(F.col("decode_error").isNotNull()).alias("dead_lettered"))
     if stored_new is None:
         return summary
-    stored = stored_new.agg(F.count(F.lit(1)).alias("stored_new"))
-    return (summary.crossJoin(stored)  # one row × one row
+    stored = stored_new.agg(F.count(F.lit(1))).scalar()  # scalar subquery
+    return (summary.withColumn("stored_new", stored)
                    .withColumn("duplicates", F.col("ok") - F.col("stored_new")))
 
 

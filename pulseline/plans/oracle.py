@@ -313,3 +313,11 @@ SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, pla
   rebuffer_duration_ms, playback_duration_ms, coalesce(player_version, '') AS player_version, os, cdn,
   ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-23 00:00:00' AS replayed
 FROM h"""
+
+ORACLE["publish_topic"] = f"""WITH {H}, {_murmur_ctes('h')},
+  acc AS (SELECT * FROM h WHERE fault_key NOT IN {REJECT_KEYS})
+SELECT acc.session_id AS key, CAST(abs(CAST(hs.murmur2_hash AS BIGINT)) % 24 AS INTEGER) AS partition,
+  arrival_seq AS "offset", timestamp_ms, event_id, acc.session_id, client_id, content_id, ts,
+  video_start_time_ms, playback_failed, rebuffer_duration_ms, playback_duration_ms,
+  CASE WHEN fault_key = 10 THEN '' ELSE coalesce(player_version, '') END AS player_version, os, cdn
+FROM acc JOIN hs USING (session_id)"""

@@ -21,7 +21,8 @@ from pulseline.operators.reports import dead_letters_by_reason
 from pulseline.plans import fixtures as fx
 from pulseline.schemas import HEARTBEAT_COLUMNS
 from pulseline.session import scratch_path
-from pulseline.sources.topic import heartbeat_stream
+from pulseline.sources.topic import heartbeat_stream, read_topic
+from pulseline.streaming.publish import publish_job
 from pulseline.streaming.processor import Layout, run_stream
 from pulseline.streaming.windows import stream_kpis
 
@@ -127,10 +128,8 @@ def q_replay_dead_letters(spark, sf_dir) -> DataFrame:
     """Dead letters still retained (7 days back from the newest) re-decoded (STR-8)."""
     layout = ingest_run(spark, sf_dir)
     dead = spark.read.parquet(layout.dead_letters)
-    newest = dead.agg(F.max("ingest_ts").alias("__newest"))
-    horizon = F.col("__newest") - F.expr(f"INTERVAL {RETENTION_DAYS} DAYS")
-    retained = (dead.crossJoin(newest)  # one-row side
-                    .filter(F.col("ingest_ts") >= horizon).drop("__newest"))
+    newest = dead.agg(F.max("ingest_ts")).scalar()  # scalar subquery
+    retained = dead.filter(F.col("ingest_ts") >= newest - F.expr(f"INTERVAL {RETENTION_DAYS} DAYS"))
     again = decode_binary(retained.select("reason", F.col("payload").alias("value")), "value")
     return again.groupBy("reason").agg(
         F.count(F.lit(1)).alias("retained"),
@@ -186,7 +185,24 @@ def q_replay_backlog(spark, sf_dir) -> DataFrame:
                          (F.col("batch_id") >= REPLAY_BATCH_BASE).alias("replayed"))
 
 
+def q_publish_topic(spark, sf_dir) -> DataFrame:
+    """JSON request log streamed through the publish job, topic read back and decoded."""
+    key = _key(spark, sf_dir, "publish")
+    if key not in _RUNS:
+        root = scratch_path(spark, "publish")
+        requests = fx.json_requests(fx.heartbeats(spark, sf_dir, with_key=True))
+        requests.write.parquet(f"{root}/requests")
+        stream = (spark.readStream.schema(requests.schema)
+                  .option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(f"{root}/requests"))
+        publish_job(stream, f"{root}/topic", f"{root}/dead_letters",
+                    f"{root}/_checkpoint").awaitTermination()
+        _RUNS[key] = root
+    decoded = decode_binary(read_topic(spark, f"{_RUNS[key]}/topic"), "value")
+    return decoded.select("key", "partition", "offset", "timestamp_ms", *HEARTBEAT_COLUMNS)
+
+
 STREAM_QUERIES = {
+    "publish_topic": q_publish_topic,
     "stream_ingest_events": q_stream_ingest_events,
     "stream_ingest_kpis": q_stream_ingest_kpis,
     "stream_dead_letters": q_stream_dead_letters,

@@ -69,15 +69,17 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
                   broadcast_limit: int | None = DEFAULT_BROADCAST_ID_LIMIT) -> None:
     """Process one micro-batch of topic records (``key, value, partition, offset, timestamp``).
 
-    ``kpi_on="decoded"`` (default, parity) computes KPIs over every decoded
-    event of the batch, duplicates included; ``"accepted"`` only over the
-    rows newly stored.
+    The batch may arrive already decoded (``decode_error`` present, as
+    ``run_stream`` does it) or raw. ``kpi_on="decoded"`` (default, parity)
+    computes KPIs over every decoded event of the batch, duplicates
+    included; ``"accepted"`` only over the rows newly stored.
     """
-    if batch.isEmpty():  # empty poll: no rows written anywhere (FLT-9)
-        return
-    spark = batch.sparkSession
-    decoded = decode_binary(batch, "value").persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = batch if "decode_error" in batch.columns else decode_binary(batch, "value")
+    decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if decoded.count() == 0:  # empty poll: nothing is written (FLT-9)
+            return
+        spark = batch.sparkSession
         good, failed = split_decoded(decoded)
         hb = good.select("value", F.col("offset").alias("arrival_seq"), *HEARTBEAT_COLUMNS)
         storable, over_long = storage_split(hb)
@@ -99,6 +101,18 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
         decoded.unpersist()
 
 
+def observe_ingest(decoded: DataFrame, name: str = "ingest") -> DataFrame:
+    """Per-batch consumed / ok / dead-lettered counts as observed metrics (AGG-10).
+
+    They appear in ``StreamingQueryProgress.observedMetrics[name]`` of every
+    micro-batch, next to the input rate and durations.
+    """
+    err = F.col("decode_error")
+    return decoded.observe(name, F.count(F.lit(1)).alias("consumed"),
+                           F.count_if(err.isNull()).alias("ok"),
+                           F.count_if(err.isNotNull()).alias("dead_lettered"))
+
+
 def run_stream(stream: DataFrame, layout: Layout, available_now: bool = True,
                processing_time: str | None = None, kpi_on: str = "decoded",
                query_name: str | None = None, checkpoint: str | None = None,
@@ -113,7 +127,8 @@ def run_stream(stream: DataFrame, layout: Layout, available_now: bool = True,
     writing into the same tables (e.g. a backlog replay) uses its own
     ``checkpoint`` and a ``batch_id_base`` above the first source's ids.
     """
-    writer = (stream.writeStream
+    decoded = observe_ingest(decode_binary(stream, "value"))
+    writer = (decoded.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, batch_id_base + bid, layout, kpi_on))
               .option("checkpointLocation", checkpoint or layout.checkpoint))
     if query_name:
