@@ -21,6 +21,7 @@ from pulseline.operators.reports import dead_letters_by_reason
 from pulseline.plans import fixtures as fx
 from pulseline.schemas import HEARTBEAT_COLUMNS
 from pulseline.session import scratch_path
+from pulseline.sources.events import read_events, read_session_metrics
 from pulseline.sources.topic import heartbeat_stream, read_topic
 from pulseline.streaming.publish import publish_job
 from pulseline.streaming.processor import Layout, run_stream
@@ -106,12 +107,12 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> Layout:
 
 def q_stream_ingest_events(spark, sf_dir) -> DataFrame:
     layout = ingest_run(spark, sf_dir)
-    return spark.read.parquet(layout.events).select(*HEARTBEAT_COLUMNS)
+    return read_events(spark, layout.events).select(*HEARTBEAT_COLUMNS)
 
 
 def q_stream_ingest_kpis(spark, sf_dir) -> DataFrame:
     layout = ingest_run(spark, sf_dir)
-    out = rollup_kpis(spark.read.parquet(layout.metrics))
+    out = rollup_kpis(read_session_metrics(spark, layout.metrics))
     return out.select(
         "session_id", "window_start", "window_end",
         F.round("avg_vst_ms", fx.ROUND["ms"]).alias("avg_vst_ms"),

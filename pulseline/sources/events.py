@@ -48,13 +48,17 @@ def heartbeats_from_events(events: DataFrame, extra: dict | None = None) -> Data
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Scan of the stored raw event table (SRC-4); partition column ``batch_id`` kept."""
-    return spark.read.parquet(path)
+    """Scan of the stored raw event table (SRC-4); partition column ``batch_id`` kept.
+
+    ``mergeSchema`` lets files written before a column was added be read
+    with the widened schema (SNK-6).
+    """
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def read_session_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Scan of the stored per-batch session KPI table (SRC-5)."""
-    return spark.read.parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def heartbeat_columns(df: DataFrame) -> DataFrame:

@@ -66,13 +66,21 @@ def stored_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame |
 
 def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
                   kpi_on: str = "decoded",
-                  broadcast_limit: int | None = DEFAULT_BROADCAST_ID_LIMIT) -> None:
+                  broadcast_limit: int | None = DEFAULT_BROADCAST_ID_LIMIT,
+                  lookup_horizon: str | None = None) -> None:
     """Process one micro-batch of topic records (``key, value, partition, offset, timestamp``).
 
     The batch may arrive already decoded (``decode_error`` present, as
     ``run_stream`` does it) or raw. ``kpi_on="decoded"`` (default, parity)
     computes KPIs over every decoded event of the batch, duplicates
     included; ``"accepted"`` only over the rows newly stored.
+
+    ``lookup_horizon`` (e.g. ``"2 days"``): when the caller knows an event id
+    never recurs further apart in event time, the stored-id lookup reads only
+    stored rows within the batch's event-time range ± horizon; the ``ts``
+    range filter reaches the parquet scan and skips row groups by their
+    statistics (each batch's files are time-clustered). Default: every stored
+    id is checked, as a unique constraint would.
     """
     decoded = batch if "decode_error" in batch.columns else decode_binary(batch, "value")
     decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
@@ -91,6 +99,11 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
         write_dead_letters(dead, layout.dead_letters, batch_id)
 
         stored = stored_before(spark, layout.events, batch_id)
+        if stored is not None and lookup_horizon:
+            lo, hi = storable.agg(F.min("ts"), F.max("ts")).first()
+            if lo is not None:
+                h = F.expr(f"INTERVAL {lookup_horizon}")
+                stored = stored.filter((F.col("ts") >= F.lit(lo) - h) & (F.col("ts") <= F.lit(hi) + h))
         new = append_new_events(storable.drop("value"), stored,
                                 broadcast_limit=broadcast_limit)
         write_new_events(new, layout.events, batch_id)
@@ -116,7 +129,7 @@ def observe_ingest(decoded: DataFrame, name: str = "ingest") -> DataFrame:
 def run_stream(stream: DataFrame, layout: Layout, available_now: bool = True,
                processing_time: str | None = None, kpi_on: str = "decoded",
                query_name: str | None = None, checkpoint: str | None = None,
-               batch_id_base: int = 0):
+               batch_id_base: int = 0, lookup_horizon: str | None = None):
     """Start the processing query; returns the ``StreamingQuery``.
 
     ``available_now`` drains what is there in bounded micro-batches and
@@ -129,7 +142,8 @@ def run_stream(stream: DataFrame, layout: Layout, available_now: bool = True,
     """
     decoded = observe_ingest(decode_binary(stream, "value"))
     writer = (decoded.writeStream
-              .foreachBatch(lambda df, bid: process_batch(df, batch_id_base + bid, layout, kpi_on))
+              .foreachBatch(lambda df, bid: process_batch(df, batch_id_base + bid, layout, kpi_on,
+                                                          lookup_horizon=lookup_horizon))
               .option("checkpointLocation", checkpoint or layout.checkpoint))
     if query_name:
         writer = writer.queryName(query_name)

@@ -22,7 +22,7 @@ def _staged(spark, sf_small):
 def test_stream_equals_batch(spark, sf_small):
     root, src = _staged(spark, sf_small)
     layout = Layout(f"{root}/out")
-    q = run_stream(heartbeat_stream(spark, src, max_files_per_trigger=1), layout)
+    q = run_stream(heartbeat_stream(spark, src, max_files_per_trigger=S.FILES_PER_TRIGGER), layout)
     q.awaitTermination()
     assert len(q.recentProgress) >= 3          # several micro-batches really ran
 
@@ -71,7 +71,7 @@ def test_window_kpis_equal_batch_for_closed_windows(spark, sf_small):
     root = scratch_path(spark, "test-windows")
     hbk = fx.heartbeats(spark, sf_small, with_key=True)
     src = S.stage(list(S._segments(hbk))[:-1], f"{root}/topic", with_faults=False)
-    good, _ = split_decoded(decode_binary(heartbeat_stream(spark, src, max_files_per_trigger=1)))
+    good, _ = split_decoded(decode_binary(heartbeat_stream(spark, src, max_files_per_trigger=S.FILES_PER_TRIGGER)))
     q = (stream_kpis(good, S.WINDOW, S.WATERMARK).writeStream.format("memory")
          .queryName("win_test").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -89,9 +89,31 @@ def test_window_kpis_equal_batch_for_closed_windows(spark, sf_small):
 
 def test_dedup_stream_drops_redeliveries(spark, sf_small):
     root, src = _staged(spark, sf_small)
-    good, _ = split_decoded(decode_binary(heartbeat_stream(spark, src, max_files_per_trigger=1)))
+    good, _ = split_decoded(decode_binary(heartbeat_stream(spark, src, max_files_per_trigger=S.FILES_PER_TRIGGER)))
     q = (dedup_stream(good, "365 days").writeStream.format("memory").queryName("dedup_test")
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     got = spark.table("dedup_test")
     assert got.count() == got.select("event_id").distinct().count()
+
+
+def test_lookup_horizon_keeps_results_when_ids_are_recent(spark, sf_small):
+    root, src = _staged(spark, sf_small)
+    full, bounded = Layout(f"{root}/full"), Layout(f"{root}/bounded")
+    run_stream(heartbeat_stream(spark, src, max_files_per_trigger=S.FILES_PER_TRIGGER), full).awaitTermination()
+    # redeliveries arrive within the same 31-day span, so a 40-day horizon is exact
+    run_stream(heartbeat_stream(spark, src, max_files_per_trigger=S.FILES_PER_TRIGGER), bounded,
+               lookup_horizon="40 days").awaitTermination()
+    a = spark.read.parquet(full.events).drop("batch_id")
+    b = spark.read.parquet(bounded.events).drop("batch_id")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_observed_ingest_metrics(spark, sf_small):
+    root, src = _staged(spark, sf_small)
+    q = run_stream(heartbeat_stream(spark, src, max_files_per_trigger=2), Layout(f"{root}/out"))
+    q.awaitTermination()
+    total = read_topic(spark, src).count()
+    seen = sum(p["observedMetrics"]["ingest"]["consumed"] for p in q.recentProgress
+               if p.get("observedMetrics"))
+    assert seen == total
