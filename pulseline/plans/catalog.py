@@ -144,8 +144,7 @@ def q_ingestion_rate_sliding(spark, sf_dir):
 def q_throughput_compare(spark, sf_dir):
     accepted, _ = quarantine.split_valid(_json_decoded(spark, sf_dir))
     ingested = accepted.select(F.col("received_at").alias("ts"))
-    consumed = fx.topic_records(_hb(spark, sf_dir, with_key=True)).select(
-        F.col("timestamp").alias("ts"))
+    consumed = fx.topic_timestamps(_hb(spark, sf_dir)).select(F.col("timestamp").alias("ts"))
     out = reports.throughput_compare(ingested, consumed, "ts", "1 minute")
     return _round(out, {"ingested_per_s": ROUND["rate"], "consumed_per_s": ROUND["rate"]})
 

@@ -137,6 +137,12 @@ def topic_records(hbk: DataFrame, with_redelivery: bool = True,
         F.col("arrival_seq").alias("offset"), F.col("ts").alias("timestamp"), *keep)
 
 
+def topic_timestamps(hbk: DataFrame, with_redelivery: bool = True) -> DataFrame:
+    """Record timestamps of ``topic_records`` (same rows), without encoding payloads."""
+    src = hbk.unionByName(redelivered(hbk)) if with_redelivery else hbk
+    return src.select(F.col("ts").alias("timestamp"))
+
+
 def latency_log(hb: DataFrame) -> DataFrame:
     """Request log: latency = the event's start time (ms → ns), error = failed playback."""
     return hb.select(

@@ -23,7 +23,11 @@ from pulseline.schemas import HEARTBEAT_COLUMNS
 from pulseline.session import scratch_path
 from pulseline.sources.events import read_events, read_session_metrics
 from pulseline.sources.topic import heartbeat_stream, read_topic
+from pulseline.operators.backlog import REPLAY_SLICE
 from pulseline.streaming.publish import publish_job
+from pulseline.streaming.replay import (
+    DEAD_LETTER_RETENTION_DAYS as RETENTION_DAYS, REPLAY_BATCH_BASE, replay, replay_dead_letters,
+)
 from pulseline.streaming.processor import Layout, run_stream
 from pulseline.streaming.windows import stream_kpis
 
@@ -36,10 +40,7 @@ WINDOW = "1 day"
 # span (8 days); the watermark delay must cover that disorder, otherwise
 # on-time events are dropped as late.
 WATERMARK = "8 days"
-REPLAY_BATCH_BASE = 1_000_000
-REPLAY_SLICE = 500          # events per backlog file (one drain call)
 SLICES_PER_TRIGGER = 4      # drain slices per replay micro-batch
-RETENTION_DAYS = 7
 
 _RUNS: dict = {}
 
@@ -128,14 +129,8 @@ def q_stream_dead_letters(spark, sf_dir) -> DataFrame:
 def q_replay_dead_letters(spark, sf_dir) -> DataFrame:
     """Dead letters still retained (7 days back from the newest) re-decoded (STR-8)."""
     layout = ingest_run(spark, sf_dir)
-    dead = spark.read.parquet(layout.dead_letters)
-    newest = dead.agg(F.max("ingest_ts")).scalar()  # scalar subquery
-    retained = dead.filter(F.col("ingest_ts") >= newest - F.expr(f"INTERVAL {RETENTION_DAYS} DAYS"))
-    again = decode_binary(retained.select("reason", F.col("payload").alias("value")), "value")
-    return again.groupBy("reason").agg(
-        F.count(F.lit(1)).alias("retained"),
-        F.count_if(F.col("decode_error").isNull()).alias("recovered"),
-        F.count_if(F.col("decode_error").isNotNull()).alias("still_failing"))
+    _, report = replay_dead_letters(spark.read.parquet(layout.dead_letters), RETENTION_DAYS)
+    return report
 
 
 def q_stream_window_kpis(spark, sf_dir) -> DataFrame:
@@ -177,9 +172,8 @@ def q_replay_backlog(spark, sf_dir) -> DataFrame:
         layout = Layout(f"{root}/out")
         run_stream(heartbeat_stream(spark, live, max_files_per_trigger=FILES_PER_TRIGGER),
                    layout).awaitTermination()
-        run_stream(heartbeat_stream(spark, backlog, max_files_per_trigger=SLICES_PER_TRIGGER), layout,
-                   checkpoint=f"{root}/_replay_checkpoint",
-                   batch_id_base=REPLAY_BATCH_BASE).awaitTermination()
+        replay(spark, backlog, layout, slices_per_trigger=SLICES_PER_TRIGGER,
+               batch_id_base=REPLAY_BATCH_BASE)
         _RUNS[key] = layout
     events = spark.read.parquet(_RUNS[key].events)
     return events.select(*HEARTBEAT_COLUMNS,

@@ -4,6 +4,9 @@ from pulseline.streaming.processor import (
     Layout, process_batch, run_stream, stored_before,
 )
 from pulseline.streaming.publish import publish_batch, publish_job
+from pulseline.streaming.replay import (
+    replay, replay_dead_letters, retained_dead_letters, write_backlog,
+)
 from pulseline.streaming.sinks import (
     write_batch_partition, write_dead_letters, write_new_events,
     write_session_metrics, write_topic,
@@ -13,5 +16,6 @@ from pulseline.streaming.windows import dedup_stream, stream_kpis
 __all__ = [
     "Layout", "process_batch", "run_stream", "stored_before", "write_batch_partition",
     "write_dead_letters", "write_new_events", "write_session_metrics", "write_topic",
-    "dedup_stream", "stream_kpis", "publish_batch", "publish_job",
+    "dedup_stream", "stream_kpis", "publish_batch", "publish_job", "replay",
+    "replay_dead_letters", "retained_dead_letters", "write_backlog",
 ]
