@@ -34,32 +34,40 @@ def merge_replay(live: DataFrame, backlog: DataFrame, key: str = "event_id",
 
 
 def _stored_hits(stored_ids: DataFrame, probe_ids: DataFrame, key: str,
-                 broadcast_limit: int | None) -> DataFrame:
+                 broadcast_limit: int | None, probe_size_bound: int | None = None) -> DataFrame:
     """Stored ids that occur among the probe ids, scanning only the key column.
 
-    When the number of distinct probe ids is known to be below
-    ``broadcast_limit`` the probe ids are broadcast, so the (large) stored
-    table is filtered where it lies and never shuffled. Otherwise both sides
-    are shuffled on the key (sort-merge / AQE).
+    When the number of distinct probe ids is proven to be at most
+    ``broadcast_limit`` — by a caller-supplied upper bound (e.g. the row count
+    of a persisted batch) or else by a bounded count — the probe ids are
+    broadcast, so the (large) stored table is filtered where it lies and
+    never shuffled. Otherwise both sides are shuffled on the key.
     """
     probe = probe_ids.select(key).distinct()
-    if broadcast_limit is not None and probe.limit(broadcast_limit + 1).count() <= broadcast_limit:
-        probe = F.broadcast(probe)
+    if broadcast_limit is not None:
+        if probe_size_bound is not None and probe_size_bound <= broadcast_limit:
+            small = True
+        else:
+            small = probe.limit(broadcast_limit + 1).count() <= broadcast_limit
+        if small:
+            probe = F.broadcast(probe)
     return stored_ids.select(key).join(probe, key, "left_semi").distinct()
 
 
 def append_new_events(batch: DataFrame, stored: DataFrame | None, key: str = "event_id",
                       arrival: str = "arrival_seq",
-                      broadcast_limit: int | None = DEFAULT_BROADCAST_ID_LIMIT) -> DataFrame:
+                      broadcast_limit: int | None = DEFAULT_BROADCAST_ID_LIMIT,
+                      batch_rows: int | None = None) -> DataFrame:
     """Rows of ``batch`` the raw table does not hold yet (SNK-2, JN-1).
 
     In-batch duplicates keep their first arrival, then ids already stored are
     skipped (``ON CONFLICT DO NOTHING``): the first stored row wins.
+    ``batch_rows``, when known, bounds the number of distinct ids.
     """
     fresh = dedup_events(batch, key, arrival)
     if stored is None:
         return fresh
-    hits = _stored_hits(stored, fresh, key, broadcast_limit)
+    hits = _stored_hits(stored, fresh, key, broadcast_limit, batch_rows)
     return fresh.join(hits, key, "left_anti")
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseline.functions.scalars import millis_to_ts, ts_to_millis
-from pulseline.schemas import HEARTBEAT_COLUMNS
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +58,3 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 def read_session_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Scan of the stored per-batch session KPI table (SRC-5)."""
     return spark.read.option("mergeSchema", "true").parquet(path)
-
-
-def heartbeat_columns(df: DataFrame) -> DataFrame:
-    return df.select(*HEARTBEAT_COLUMNS)

@@ -85,7 +85,8 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
     decoded = batch if "decode_error" in batch.columns else decode_binary(batch, "value")
     decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if decoded.count() == 0:  # empty poll: nothing is written (FLT-9)
+        n_rows = decoded.count()
+        if n_rows == 0:  # empty poll: nothing is written (FLT-9)
             return
         spark = batch.sparkSession
         good, failed = split_decoded(decoded)
@@ -105,7 +106,7 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
                 h = F.expr(f"INTERVAL {lookup_horizon}")
                 stored = stored.filter((F.col("ts") >= F.lit(lo) - h) & (F.col("ts") <= F.lit(hi) + h))
         new = append_new_events(storable.drop("value"), stored,
-                                broadcast_limit=broadcast_limit)
+                                broadcast_limit=broadcast_limit, batch_rows=n_rows)
         write_new_events(new, layout.events, batch_id)
 
         kpi_input = hb if kpi_on == "decoded" else new
