@@ -18,19 +18,26 @@ def with_partition_id(df: DataFrame, key: str = "session_id",
 
 def order_by_session(df: DataFrame, key: str = "session_id",
                      num_partitions: int = TOPIC_PARTITIONS,
-                     order=("ts", "arrival_seq")) -> DataFrame:
-    """Every event of a session in one partition, in publish order (ORD-1).
-
-    Rows are placed in Spark partition ``abs(murmur2(session)) % n`` exactly:
-    ``repartition(n, partition_id)`` hashes an int column whose values are
-    already in [0, n), so distinct ids may still share a Spark partition; the
-    ``partition_id`` column carries the exact topic partition for the writer.
-    Within a partition rows are sorted by (partition_id, session, order…).
+                     order=("ts", "arrival_seq"),
+                     spark_partitions: int | None = None) -> DataFrame:
+    """Events laid out by topic partition, session and publish order (ORD-1).
+
+    ``partition_id`` is the exact topic partition (Murmur2 rule). The rows
+    are range-partitioned on (partition_id, session, time…) and sorted
+    within partitions, so reading Spark partitions in order yields each topic
+    partition as a contiguous run, each session contiguous and in publish
+    order. Range boundaries come from sampling, so a session holding a third
+    of all rows is split over several tasks by time instead of landing in
+    one, and the number of Spark partitions follows the data
+    (``spark_partitions`` or the shuffle-partition setting), not the 24 topic
+    partitions.
     """
     order_cols = [c for c in order if c in df.columns]
+    cols = ["partition_id", key, *order_cols]
     tagged = with_partition_id(df, key, num_partitions)
-    return (tagged.repartition(num_partitions, "partition_id")
-                  .sortWithinPartitions("partition_id", key, *order_cols))
+    if spark_partitions:
+        return tagged.repartitionByRange(spark_partitions, *cols).sortWithinPartitions(*cols)
+    return tagged.orderBy(*cols)
 
 
 def session_hashes(df: DataFrame, key: str = "session_id",

@@ -119,22 +119,39 @@ def sla_breaches(log: DataFrame, threshold_ms: int = SLA_BREACH_MS) -> DataFrame
                .select("request_id", "received_at", "latency_ms"))
 
 
-def sla_report(log: DataFrame, period: str = "1 day", exact: bool = True,
+# Above this many distinct latencies in one period the exact percentile's
+# value→count map is not held in one task; the sketch is used instead.
+EXACT_PERCENTILE_DISTINCT_LIMIT = 1_000_000
+
+
+def sla_report(log: DataFrame, period: str = "1 day", exact="auto",
                p99_limit_ms: float = P99_LIMIT_MS,
-               error_limit: float = ERROR_RATE_LIMIT, accuracy: int = 10000) -> DataFrame:
+               error_limit: float = ERROR_RATE_LIMIT, accuracy: int = 10000,
+               exact_distinct_limit: int = EXACT_PERCENTILE_DISTINCT_LIMIT) -> DataFrame:
     """Service-level report per period (AGG-17, AGG-18).
 
     requests / ok / errors, sent/s and ok/s over the period, error rate, p99
-    latency and pass flags against the limits. ``exact=True`` uses
-    ``percentile`` (its buffer is a value→count map, merged map-side, so its
-    size follows the number of distinct latencies, not of rows);
-    ``exact=False`` uses ``percentile_approx`` with ``accuracy``.
+    latency and pass flags against the limits.
+
+    p99: ``exact=True`` uses ``percentile`` (linear interpolation, equal to
+    SQL ``quantile_cont``); its buffer is a value→count map merged map-side,
+    so its size follows the number of distinct latencies in a period, not the
+    number of rows. ``exact=False`` uses the mergeable ``percentile_approx``
+    sketch (bounded memory, rank error ≤ 1/accuracy). ``"auto"`` first
+    measures the distinct latencies per period with HyperLogLog (one cheap
+    pass) and stays exact only when every period is below
+    ``exact_distinct_limit``.
     """
     secs = float(_seconds(period))
     lat_ms = F.col("latency_ns") / F.lit(1e6)
+    w = F.window("received_at", period).alias("w")
+    if exact == "auto":
+        worst = (log.groupBy(w).agg(F.approx_count_distinct("latency_ns").alias("d"))
+                    .agg(F.max("d")).first()[0])
+        exact = worst is None or worst <= exact_distinct_limit
     p99 = (F.percentile(lat_ms, 0.99) if exact
            else F.percentile_approx(lat_ms, 0.99, accuracy)).alias("p99_latency_ms")
-    agg = log.groupBy(F.window("received_at", period).alias("w")).agg(
+    agg = log.groupBy(w).agg(
         F.count(F.lit(1)).alias("requests"),
         F.count_if(~F.col("error")).alias("ok"),
         F.count_if(F.col("error")).alias("errors"), p99)

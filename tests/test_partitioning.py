@@ -64,12 +64,24 @@ def test_stable_null_and_range(spark):
     assert all(0 <= r["p"] <= 11 for r in rows)
 
 
-def test_order_by_session_colocates_sessions(spark, sf_small):
+def test_order_by_session_keeps_publish_order(spark, sf_small):
     from pulseline.plans.fixtures import heartbeats
-    laid = order_by_session(heartbeats(spark, sf_small)).withColumn("spark_part", F.spark_partition_id())
-    per = laid.groupBy("session_id").agg(F.countDistinct("spark_part").alias("n"),
-                                         F.countDistinct("partition_id").alias("p"))
-    assert per.filter((F.col("n") != 1) | (F.col("p") != 1)).count() == 0
+    laid = order_by_session(heartbeats(spark, sf_small), spark_partitions=6).withColumn(
+        "pos", F.monotonically_increasing_id())            # physical order: partition, then row
+    rows = [(r["partition_id"], r["session_id"], r["ts"], r["arrival_seq"])
+            for r in laid.orderBy("pos").collect()]
+    assert rows == sorted(rows)
+    assert all(0 <= r[0] < 24 for r in rows)
+
+
+def test_order_by_session_splits_a_hot_session(spark):
+    n = 24000
+    df = (spark.range(n).withColumn("session_id", F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                    .otherwise(F.concat(F.lit("s"), (F.col("id") % 500).cast("string"))))
+          .withColumn("ts", F.timestamp_seconds(F.col("id"))).withColumn("arrival_seq", F.col("id")))
+    laid = order_by_session(df, spark_partitions=8).withColumn("sp", F.spark_partition_id())
+    hot_parts = laid.filter("session_id = 'hot'").select("sp").distinct().count()
+    assert hot_parts > 1
 
 
 def test_partition_load_totals(spark, sf_small):
