@@ -12,6 +12,7 @@ so a retry never hides its own rows.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -97,7 +98,6 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
             F.col("decode_error").alias("detail"), F.col("timestamp").alias("ingest_ts"))
         dead = dead.unionByName(over_long.select(
             F.col("value").alias("payload"), "reason", "detail", F.col("ts").alias("ingest_ts")))
-        write_dead_letters(dead, layout.dead_letters, batch_id)
 
         stored = stored_before(spark, layout.events, batch_id)
         if stored is not None and lookup_horizon:
@@ -107,10 +107,17 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
                 stored = stored.filter((F.col("ts") >= F.lit(lo) - h) & (F.col("ts") <= F.lit(hi) + h))
         new = append_new_events(storable.drop("value"), stored,
                                 broadcast_limit=broadcast_limit, batch_rows=n_rows)
-        write_new_events(new, layout.events, batch_id)
-
         kpi_input = hb if kpi_on == "decoded" else new
-        write_session_metrics(session_kpi_parts(kpi_input), layout.metrics, batch_id)
+
+        # The three sinks depend only on the persisted batch and on earlier
+        # batches, never on each other: submit them as concurrent jobs.
+        writes = [(write_dead_letters, dead, layout.dead_letters),
+                  (write_new_events, new, layout.events),
+                  (write_session_metrics, session_kpi_parts(kpi_input), layout.metrics)]
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            futures = [pool.submit(fn, df, path, batch_id) for fn, df, path in writes]
+            for f in futures:
+                f.result()  # re-raise the first failure; the batch is then retried
     finally:
         decoded.unpersist()
 

@@ -57,3 +57,13 @@ def test_partition_load_hashes_per_session(spark, sf_small):
     plan = _plan(partitioning.partition_load(fx.heartbeats(spark, sf_small)))
     # the per-session count precedes the hash: two aggregations, each partial + final
     assert plan.count("partial_count") == 2
+
+
+def test_id_list_lookup_reaches_the_scan(spark, sf_small):
+    from pulseline.session import scratch_path
+    path = scratch_path(spark, "test-lookup")
+    fx.heartbeats(spark, sf_small).write.parquet(path)
+    stored = spark.read.parquet(path)
+    df = dedup.events_by_id(stored, ["5", "7"])
+    assert "In(event_id" in _plan(df) or "event_id IN" in _plan(df)
+    assert df.count() == 2
