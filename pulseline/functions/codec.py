@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulseline.functions.parallel import spread_small_input
 from pulseline.functions.scalars import millis_to_ts, normalize_device_fields, ts_to_millis
 from pulseline.schemas import WIRE_FIELDS, WIRE_MESSAGE_NAME, WIRE_PACKAGE
 
@@ -59,22 +60,6 @@ def message_class():
     return build_message_class()
 
 
-def spread_for_python(df: DataFrame) -> DataFrame:
-    """Give Python-side work at least one partition per core.
-
-    Large inputs already have many more partitions than cores and are left
-    alone (no shuffle). A small input read as one or two partitions would
-    run its per-row Python work on one core, so it is redistributed
-    round-robin over ``defaultParallelism`` partitions.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def decode_binary(df: DataFrame, payload_col: str = "value") -> DataFrame:
     """Decode the binary column into the 12 wire fields (DEC-2).
 
@@ -121,7 +106,7 @@ def decode_binary(df: DataFrame, payload_col: str = "value") -> DataFrame:
             names = keep + [n for n, _, _ in wire] + ["decode_error"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    decoded = spread_for_python(df).mapInArrow(decode_batches, out_schema)
+    decoded = spread_small_input(df).mapInArrow(decode_batches, out_schema)
     return decoded.withColumn("ts", millis_to_ts("timestamp_ms"))
 
 
@@ -157,7 +142,7 @@ def encode_binary(df: DataFrame, out_col: str = "value") -> DataFrame:
             arrays.append(pa.array(out, type=pa.binary()))
             yield pa.RecordBatch.from_arrays(arrays, names=in_cols + [out_col])
 
-    return spread_for_python(prepared).mapInArrow(encode_batches, out_schema).drop("__wire_ms")
+    return spread_small_input(prepared).mapInArrow(encode_batches, out_schema).drop("__wire_ms")
 
 
 def split_decoded(decoded: DataFrame):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulseline.functions.parallel import spread_small_input
 from pulseline.functions.scalars import PRIMITIVE_DEFAULTS, millis_to_ts
 from pulseline.schemas import JSON_FIELDS
 
@@ -50,7 +51,7 @@ def decode_json(df: DataFrame, body_col: str = "body") -> DataFrame:
     # The parse is produced by a generator (one output row per input row) so
     # that filters on derived columns (accept / reject) are not pushed below
     # it with ``from_json`` inlined once per referenced field.
-    parsed = df.select("*", F.inline(F.array(F.struct(req.alias("__req")))))
+    parsed = spread_small_input(df).select("*", F.inline(F.array(F.struct(req.alias("__req")))))
     # step 1: raw text and typed value of every field (each parsed once)
     raw_cols = {f"__raw_{col}": F.col(f"__req.{json_name}") for json_name, col in JSON_FIELDS}
     raw_cols["__malformed"] = F.col("__req").isNull() | F.col(f"__req.{_CORRUPT}").isNotNull()
