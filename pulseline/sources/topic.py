@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseline.functions.codec import decode_binary
+from pulseline.functions.scalars import millis_to_ts
 from pulseline.schemas import TOPIC
 
 
@@ -37,9 +38,10 @@ def heartbeat_stream(spark: SparkSession, path: str | None = None,
         for k, v in kafka_options.items():
             reader = reader.option(k, v)
         raw = reader.load()
+        # broker time is an instant; keep it as UTC wall clock, zone-independent
         return raw.select(F.col("key").cast("string").alias("key"), "value",
                           "partition", "offset",
-                          F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+                          millis_to_ts(F.unix_millis("timestamp")).alias("timestamp"))
     reader = spark.readStream.schema(TOPIC).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -133,3 +133,26 @@ def test_replay_library_absorbs_duplicates(spark, sf_small):
     recovered, report = replay_dead_letters(spark.read.parquet(layout.dead_letters))
     assert recovered.count() == 0
     assert report.filter("recovered > 0").count() == 0
+
+
+def test_session_windows_by_gap(spark):
+    import datetime as dt
+    root = scratch_path(spark, "test-session-window")
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    rows = [("a", t0), ("a", t0 + dt.timedelta(minutes=5)), ("a", t0 + dt.timedelta(hours=2)),
+            ("b", t0 + dt.timedelta(minutes=1)), ("z", t0 + dt.timedelta(days=2))]
+    df = spark.createDataFrame(
+        [(f"e{i}", s, ts, 100.0, False, 0.0, 1000.0) for i, (s, ts) in enumerate(rows)],
+        "event_id string, session_id string, ts timestamp_ntz, video_start_time_ms double, "
+        "playback_failed boolean, rebuffer_duration_ms double, playback_duration_ms double")
+    df.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{root}/in")
+    q = (stream_kpis(stream, watermark="1 hour", session_gap="30 minutes").writeStream
+         .format("memory").queryName("sess_test").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r["session_id"], r["event_count"], str(r["window_start"]))
+                 for r in spark.table("sess_test").collect())
+    # "z" (two days later) moves the watermark past every earlier session window
+    assert got == [("a", 1, "2024-01-01 12:00:00"), ("a", 2, "2024-01-01 10:00:00"),
+                   ("b", 1, "2024-01-01 10:01:00")]
