@@ -34,7 +34,8 @@ def merge_replay(live: DataFrame, backlog: DataFrame, key: str = "event_id",
 
 
 def _stored_hits(stored_ids: DataFrame, probe_ids: DataFrame, key: str,
-                 broadcast_limit: int | None, probe_size_bound: int | None = None) -> DataFrame:
+                 broadcast_limit: int | None, probe_size_bound: int | None = None,
+                 probe_unique: bool = False, distinct_hits: bool = True) -> DataFrame:
     """Stored ids that occur among the probe ids, scanning only the key column.
 
     When the number of distinct probe ids is proven to be at most
@@ -42,8 +43,12 @@ def _stored_hits(stored_ids: DataFrame, probe_ids: DataFrame, key: str,
     of a persisted batch) or else by a bounded count — the probe ids are
     broadcast, so the (large) stored table is filtered where it lies and
     never shuffled. Otherwise both sides are shuffled on the key.
+    ``probe_unique`` / ``distinct_hits=False`` skip ``distinct`` shuffles the
+    caller does not need (ids already unique; hits only feed an anti-join).
     """
-    probe = probe_ids.select(key).distinct()
+    probe = probe_ids.select(key)
+    if not probe_unique:
+        probe = probe.distinct()
     if broadcast_limit is not None:
         if probe_size_bound is not None and probe_size_bound <= broadcast_limit:
             small = True
@@ -51,7 +56,8 @@ def _stored_hits(stored_ids: DataFrame, probe_ids: DataFrame, key: str,
             small = probe.limit(broadcast_limit + 1).count() <= broadcast_limit
         if small:
             probe = F.broadcast(probe)
-    return stored_ids.select(key).join(probe, key, "left_semi").distinct()
+    hits = stored_ids.select(key).join(probe, key, "left_semi")
+    return hits.distinct() if distinct_hits else hits
 
 
 def append_new_events(batch: DataFrame, stored: DataFrame | None, key: str = "event_id",
@@ -67,7 +73,9 @@ def append_new_events(batch: DataFrame, stored: DataFrame | None, key: str = "ev
     fresh = dedup_events(batch, key, arrival)
     if stored is None:
         return fresh
-    hits = _stored_hits(stored, fresh, key, broadcast_limit, batch_rows)
+    # ids of ``fresh`` are unique; duplicate hits do not change an anti-join
+    hits = _stored_hits(stored, fresh, key, broadcast_limit, batch_rows,
+                        probe_unique=True, distinct_hits=False)
     return fresh.join(hits, key, "left_anti")
 
 
