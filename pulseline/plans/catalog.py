@@ -17,6 +17,7 @@ from pulseline.functions.codec import decode_binary, split_decoded
 from pulseline.operators import backlog as bl
 from pulseline.operators import dedup, kpi, partitioning, quarantine, reports
 from pulseline.plans import fixtures as fx
+from pulseline.plans.streams import STREAM_QUERIES
 from pulseline.schemas import HEARTBEAT_COLUMNS
 from pulseline.sources.json_source import decode_json
 
@@ -113,6 +114,13 @@ def q_dead_letters_by_reason(spark, sf_dir):
     return reports.dead_letters_by_reason(dead)
 
 
+def q_session_kpis_accepted(spark, sf_dir):
+    """KPIs over stored events only (``kpi_on="accepted"``): decoded topic rows after keep-first."""
+    good, _ = split_decoded(_topic_decoded(spark, sf_dir))
+    kept = dedup.dedup_events(good.select(F.col("offset").alias("arrival_seq"), *HEARTBEAT_COLUMNS))
+    return _round(kpi.session_kpis(kept), KPI_ROUNDING)
+
+
 def q_ingest_summary(spark, sf_dir):
     decoded = _topic_decoded(spark, sf_dir)
     good, _ = split_decoded(decoded)
@@ -203,6 +211,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_roundtrip": q_decode_roundtrip,
     "dead_letters_by_reason": q_dead_letters_by_reason,
     "ingest_summary": q_ingest_summary,
+    "session_kpis_accepted": q_session_kpis_accepted,
     "session_partition_id": q_session_partition_id,
     "partition_load": q_partition_load,
     "ingestion_rate": q_ingestion_rate,
@@ -217,6 +226,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backlog_report": q_backlog_report,
 }
 
-from pulseline.plans.streams import STREAM_QUERIES  # noqa: E402
-
 QUERIES.update(STREAM_QUERIES)

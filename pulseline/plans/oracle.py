@@ -321,3 +321,5 @@ SELECT acc.session_id AS key, CAST(abs(CAST(hs.murmur2_hash AS BIGINT)) % 24 AS
   video_start_time_ms, playback_failed, rebuffer_duration_ms, playback_duration_ms,
   CASE WHEN fault_key = 10 THEN '' ELSE coalesce(player_version, '') END AS player_version, os, cdn
 FROM acc JOIN hs USING (session_id)"""
+
+ORACLE["session_kpis_accepted"] = f"WITH {H}, {T}, {TD}, {TDF} {_kpi_select('session_id')} FROM tdf GROUP BY session_id"
