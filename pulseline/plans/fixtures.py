@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pulseline.functions.codec import encode_binary
 from pulseline.functions.murmur import session_partition_id
 from pulseline.operators.partitioning import TOPIC_PARTITIONS
+from pulseline.session import scratch_path
 from pulseline.sources.events import heartbeats_from_events, read_table
 
 # Fixed values — fault classes by the event's k property.
@@ -156,3 +157,29 @@ def outage_backlog(hb: DataFrame) -> DataFrame:
     ts = F.col("ts")
     return hb.filter((ts >= F.lit(OUTAGE_FROM).cast("timestamp_ntz"))
                      & (ts < F.lit(OUTAGE_TO).cast("timestamp_ntz")))
+
+
+_TABLES: dict = {}
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived input written once per session under the shared checkpoint
+    folder and read back, as data at rest (a topic, a request log) would be."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _TABLES:
+        path = scratch_path(spark, f"table-{name}")
+        build().write.parquet(path)
+        _TABLES[key] = path
+    return spark.read.parquet(_TABLES[key])
+
+
+def topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty, redelivered topic as a stored table."""
+    return materialized(spark, sf_dir, "topic",
+                        lambda: topic_records(heartbeats(spark, sf_dir, with_key=True)))
+
+
+def request_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON request log as a stored table."""
+    return materialized(spark, sf_dir, "requests",
+                        lambda: json_requests(heartbeats(spark, sf_dir, with_key=True)))
