@@ -162,15 +162,19 @@ def outage_backlog(hb: DataFrame) -> DataFrame:
 _TABLES: dict = {}
 
 
-def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A derived input written once per session under the shared checkpoint
-    folder and read back, as data at rest (a topic, a request log) would be."""
+def materialized_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Folder of a derived input written once per session under the shared
+    checkpoint folder, as data at rest (a topic, a request log) would be."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _TABLES:
         path = scratch_path(spark, f"table-{name}")
         build().write.parquet(path)
         _TABLES[key] = path
-    return spark.read.parquet(_TABLES[key])
+    return _TABLES[key]
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    return spark.read.parquet(materialized_path(spark, sf_dir, name, build))
 
 
 def topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,7 +183,18 @@ def topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                         lambda: topic_records(heartbeats(spark, sf_dir, with_key=True)))
 
 
+def clean_topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One delivery of every event, no faults, as a stored table."""
+    return materialized(spark, sf_dir, "topic-clean",
+                        lambda: topic_records(heartbeats(spark, sf_dir, with_key=True),
+                                              with_redelivery=False, with_faults=False))
+
+
+def request_table_path(spark: SparkSession, sf_dir: str) -> str:
+    return materialized_path(spark, sf_dir, "requests",
+                             lambda: json_requests(heartbeats(spark, sf_dir, with_key=True)))
+
+
 def request_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON request log as a stored table."""
-    return materialized(spark, sf_dir, "requests",
-                        lambda: json_requests(heartbeats(spark, sf_dir, with_key=True)))
+    return spark.read.parquet(request_table_path(spark, sf_dir))

@@ -1,17 +1,15 @@
 """Registered queries that run Structured Streaming jobs end to end.
 
-The topic records derived from ``events`` are staged as files in a new
-folder under the shared checkpoint folder, one write per delivery segment
-(so later segments are later files), then drained by a file-stream query
-with ``availableNow`` in bounded micro-batches; the query returns a scan of
-the tables the stream wrote. A run is reused by the queries of the same
-session and data folder.
+The topic tables derived from ``events`` (``fixtures.topic_table``) are
+copied into a new folder under the shared checkpoint folder one delivery
+segment at a time (so later segments are later files), then drained by a
+file-stream query with ``availableNow`` in bounded micro-batches; the query
+returns a scan of the tables the stream wrote. A run is reused by the
+queries of the same session and data folder.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,39 +47,33 @@ def _ts(s: str):
     return F.lit(s).cast("timestamp_ntz")
 
 
-def _segments(hbk: DataFrame):
-    """Heartbeat rows per delivery segment: original delivery cut by event
-    time, then the redelivered copy."""
+def record_segments(with_redelivery: bool = True) -> list:
+    """Delivery segments as conditions on topic records: the original
+    delivery cut by record time, then the redelivered copy."""
+    original = F.col("offset") < F.lit(fx.REDELIVERY_OFFSET)
     bounds = [None, *SEGMENT_BOUNDS, None]
+    conds = []
     for lo, hi in zip(bounds[:-1], bounds[1:]):
-        seg = hbk
+        cond = original
         if lo:
-            seg = seg.filter(F.col("ts") >= _ts(lo))
+            cond = cond & (F.col("timestamp") >= _ts(lo))
         if hi:
-            seg = seg.filter(F.col("ts") < _ts(hi))
-        yield seg
-    yield fx.redelivered(hbk)
+            cond = cond & (F.col("timestamp") < _ts(hi))
+        conds.append(cond)
+    if with_redelivery:
+        conds.append(~original)
+    return conds
 
 
-def stage(segments, folder: str, with_faults: bool = True,
+def stage(records: DataFrame, folder: str, segments,
           max_records_per_file: int | None = None) -> str:
-    """Encode all segments in one job, then append them to ``folder`` in turn.
+    """Append each segment of ``records`` to ``folder`` in turn (JVM-only copies).
 
-    The single encode job writes a staging table partitioned by segment;
-    copying segment after segment (JVM only) makes files of later segments
-    newer, which is the order a file stream reads them in.
+    Files of later segments are newer, which is the order a file stream
+    reads them in.
     """
-    tagged = None
-    for i, seg in enumerate(segments):
-        seg = seg.withColumn("__segment", F.lit(i))
-        tagged = seg if tagged is None else tagged.unionByName(seg)
-    records = fx.topic_records(tagged, with_redelivery=False, with_faults=with_faults,
-                               keep=("__segment",))
-    staging = f"{folder}_staging"
-    records.write.partitionBy("__segment").parquet(staging)
-    spark = records.sparkSession
-    for i in range(len(segments)):
-        w = spark.read.parquet(f"{staging}/__segment={i}").write.mode("append")
+    for cond in segments:
+        w = records.filter(cond).write.mode("append")
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
         w.parquet(folder)
@@ -97,8 +89,7 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> Layout:
     key = _key(spark, sf_dir, "ingest")
     if key not in _RUNS:
         root = scratch_path(spark, "ingest")
-        hbk = fx.heartbeats(spark, sf_dir, with_key=True)
-        src = stage(list(_segments(hbk)), f"{root}/topic")
+        src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments())
         layout = Layout(f"{root}/out")
         q = run_stream(heartbeat_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER), layout)
         q.awaitTermination()
@@ -138,8 +129,8 @@ def q_stream_window_kpis(spark, sf_dir) -> DataFrame:
     key = _key(spark, sf_dir, "windows")
     if key not in _RUNS:
         root = scratch_path(spark, "windows")
-        hbk = fx.heartbeats(spark, sf_dir, with_key=True)
-        src = stage(list(_segments(hbk))[:-1], f"{root}/topic", with_faults=False)
+        src = stage(fx.clean_topic_table(spark, sf_dir), f"{root}/topic",
+                    record_segments(with_redelivery=False))
         decoded = decode_binary(heartbeat_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
         good, _ = split_decoded(decoded)
         kpis = stream_kpis(good, WINDOW, WATERMARK)
@@ -161,13 +152,13 @@ def q_replay_backlog(spark, sf_dir) -> DataFrame:
     key = _key(spark, sf_dir, "replay")
     if key not in _RUNS:
         root = scratch_path(spark, "replay")
-        hbk = fx.heartbeats(spark, sf_dir, with_key=True)
-        t = F.col("ts")
+        records = fx.clean_topic_table(spark, sf_dir)
+        t = F.col("timestamp")
         in_outage = (t >= _ts(fx.OUTAGE_FROM)) & (t < _ts(fx.OUTAGE_TO))
-        live_segments = [seg.filter(~in_outage) for seg in list(_segments(hbk))[:-1]]
-        live = stage(live_segments, f"{root}/topic", with_faults=False)
+        live = stage(records, f"{root}/topic",
+                     [c & ~in_outage for c in record_segments(with_redelivery=False)])
         # the backlog is kept in drain-sized files (one drain call = one file)
-        backlog = stage([hbk.filter(in_outage)], f"{root}/backlog", with_faults=False,
+        backlog = stage(records, f"{root}/backlog", [in_outage],
                         max_records_per_file=REPLAY_SLICE)
         layout = Layout(f"{root}/out")
         run_stream(heartbeat_stream(spark, live, max_files_per_trigger=FILES_PER_TRIGGER),
@@ -185,10 +176,9 @@ def q_publish_topic(spark, sf_dir) -> DataFrame:
     key = _key(spark, sf_dir, "publish")
     if key not in _RUNS:
         root = scratch_path(spark, "publish")
-        requests = fx.json_requests(fx.heartbeats(spark, sf_dir, with_key=True))
-        requests.write.parquet(f"{root}/requests")
-        stream = (spark.readStream.schema(requests.schema)
-                  .option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(f"{root}/requests"))
+        requests = fx.request_table_path(spark, sf_dir)
+        stream = (spark.readStream.schema(spark.read.parquet(requests).schema)
+                  .option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(requests))
         publish_job(stream, f"{root}/topic", f"{root}/dead_letters",
                     f"{root}/_checkpoint").awaitTermination()
         _RUNS[key] = root

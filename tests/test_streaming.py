@@ -15,8 +15,7 @@ from pulseline.streaming.windows import dedup_stream, stream_kpis
 
 def _staged(spark, sf_small):
     root = scratch_path(spark, "test-stream")
-    hbk = fx.heartbeats(spark, sf_small, with_key=True)
-    return root, S.stage(list(S._segments(hbk)), f"{root}/topic")
+    return root, S.stage(fx.topic_table(spark, sf_small), f"{root}/topic", S.record_segments())
 
 
 def test_stream_equals_batch(spark, sf_small):
@@ -69,8 +68,8 @@ def test_empty_batch_writes_nothing(spark, sf_small):
 
 def test_window_kpis_equal_batch_for_closed_windows(spark, sf_small):
     root = scratch_path(spark, "test-windows")
-    hbk = fx.heartbeats(spark, sf_small, with_key=True)
-    src = S.stage(list(S._segments(hbk))[:-1], f"{root}/topic", with_faults=False)
+    src = S.stage(fx.clean_topic_table(spark, sf_small), f"{root}/topic",
+                  S.record_segments(with_redelivery=False))
     good, _ = split_decoded(decode_binary(heartbeat_stream(spark, src, max_files_per_trigger=S.FILES_PER_TRIGGER)))
     q = (stream_kpis(good, S.WINDOW, S.WATERMARK).writeStream.format("memory")
          .queryName("win_test").outputMode("append").trigger(availableNow=True).start())
