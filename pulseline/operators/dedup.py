@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Above this many distinct probe ids the semi-join against the stored table
-# runs as a shuffle join instead of broadcasting the probe ids.
-DEFAULT_BROADCAST_ID_LIMIT = 2_000_000
+# runs as a shuffle join instead of broadcasting the probe ids. Ids are at
+# most 64 characters (the raw table's bound, enforced before the lookup in
+# the stream), so the broadcast stays under ~80 MB.
+DEFAULT_BROADCAST_ID_LIMIT = 1_000_000
 
 
 def dedup_events(df: DataFrame, key: str = "event_id",

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from pulseline.functions.codec import decode_binary, split_decoded
 from pulseline.operators.dedup import DEFAULT_BROADCAST_ID_LIMIT, append_new_events
@@ -51,18 +52,20 @@ class Layout:
         return f"{self.root}/_checkpoint"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def read_table_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``, or None before its first write."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # PATH_NOT_FOUND / UNABLE_TO_INFER_SCHEMA
+        return None
 
 
 def stored_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """Rows stored by batches before ``batch_id`` (partition pruning on batch_id)."""
-    if not path_exists(spark, path):
+    stored = read_table_if_exists(spark, path)
+    if stored is None:
         return None
-    return spark.read.parquet(path).filter(F.col("batch_id") < F.lit(batch_id))
+    return stored.filter(F.col("batch_id") < F.lit(batch_id))
 
 
 def process_batch(batch: DataFrame, batch_id: int, layout: Layout,

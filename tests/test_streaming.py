@@ -9,7 +9,7 @@ from pulseline.plans import streams as S
 from pulseline.schemas import HEARTBEAT_COLUMNS
 from pulseline.session import scratch_path
 from pulseline.sources.topic import heartbeat_stream, read_topic
-from pulseline.streaming.processor import Layout, path_exists, process_batch, run_stream
+from pulseline.streaming.processor import Layout, process_batch, read_table_if_exists, run_stream
 from pulseline.streaming.windows import dedup_stream, stream_kpis
 
 
@@ -62,8 +62,8 @@ def test_empty_batch_writes_nothing(spark, sf_small):
     root, src = _staged(spark, sf_small)
     layout = Layout(f"{root}/out")
     process_batch(read_topic(spark, src).limit(0), 0, layout)
-    assert not path_exists(spark, layout.events)
-    assert not path_exists(spark, layout.metrics)
+    assert read_table_if_exists(spark, layout.events) is None
+    assert read_table_if_exists(spark, layout.metrics) is None
 
 
 def test_window_kpis_equal_batch_for_closed_windows(spark, sf_small):
