@@ -19,16 +19,23 @@ def read_topic(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC).parquet(path)
 
 
+# Fixed value — the reference's poll size (records per poll and consumer).
+REFERENCE_POLL_RECORDS = 1000
+
+
 def heartbeat_stream(spark: SparkSession, path: str | None = None,
                      max_files_per_trigger: int | None = None,
                      kafka_options: dict | None = None,
-                     max_offsets_per_trigger: int | None = 1000) -> DataFrame:
+                     max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Streaming topic records (SRC-3).
 
     ``kafka_options`` (``kafka.bootstrap.servers``, ``subscribe`` …) selects the
-    broker: earliest offsets when no checkpoint exists, bounded micro-batches
-    (``maxOffsetsPerTrigger``, the poll size). Otherwise the folder ``path`` is
-    read as a file stream, ``maxFilesPerTrigger`` files per micro-batch.
+    broker: earliest offsets when no checkpoint exists; micro-batch size is
+    bounded by ``max_offsets_per_trigger`` when given. The reference polls
+    ``REFERENCE_POLL_RECORDS`` per consumer thread; on a cluster the bound is
+    set from the data rate instead (one micro-batch spans all partitions).
+    Otherwise the folder ``path`` is read as a file stream,
+    ``maxFilesPerTrigger`` files per micro-batch.
     """
     if kafka_options:
         reader = (spark.readStream.format("kafka")

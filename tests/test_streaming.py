@@ -155,3 +155,13 @@ def test_session_windows_by_gap(spark):
     # "z" (two days later) moves the watermark past every earlier session window
     assert got == [("a", 1, "2024-01-01 12:00:00"), ("a", 2, "2024-01-01 10:00:00"),
                    ("b", 1, "2024-01-01 10:01:00")]
+
+
+def test_kpis_on_accepted_rows_only(spark, sf_small):
+    root, src = _staged(spark, sf_small)
+    layout = Layout(f"{root}/out")
+    run_stream(heartbeat_stream(spark, src, max_files_per_trigger=S.FILES_PER_TRIGGER), layout,
+               kpi_on="accepted").awaitTermination()
+    stored = spark.read.parquet(layout.events).count()
+    kpi_events = spark.read.parquet(layout.metrics).agg(F.sum("event_count")).collect()[0][0]
+    assert kpi_events == stored
