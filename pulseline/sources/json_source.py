@@ -1,10 +1,10 @@
 """JSON heartbeat requests (SRC-1) and their decode (DEC-1).
 
 Every field is read as text and converted with ``try_cast``: the request
-binding is lenient (``"7"`` is a valid long, unknown keys are ignored, an
-absent or null primitive takes its default), while a value that cannot be
-converted at all makes the whole request undecodable, like a malformed
-document.
+binding is lenient (``"7"`` is a valid long, ``1.5e3`` binds as 1500,
+unknown keys are ignored, an absent or null primitive takes its default),
+while a value that cannot be converted at all makes the whole request
+undecodable, like a malformed document.
 """
 
 from __future__ import annotations
@@ -56,7 +56,13 @@ def decode_json(df: DataFrame, body_col: str = "body") -> DataFrame:
     raw_cols = {f"__raw_{col}": F.col(f"__req.{json_name}") for json_name, col in JSON_FIELDS}
     raw_cols["__malformed"] = F.col("__req").isNull() | F.col(f"__req.{_CORRUPT}").isNotNull()
     step1 = parsed.withColumns(raw_cols).drop("__req")
-    typed = {f"__typed_{col}": F.col(f"__raw_{col}").try_cast(t) for col, t in _TYPES.items()}
+    typed = {}
+    for col, t in _TYPES.items():
+        raw = F.col(f"__raw_{col}")
+        typed[f"__typed_{col}"] = (
+            # a fractional number for a long binds truncated toward zero
+            F.coalesce(raw.try_cast(t), raw.try_cast("double").try_cast(t)) if t == "bigint"
+            else raw.try_cast(t))
     step2 = step1.withColumns(typed)
     # step 2: defaults for absent primitives, type mismatches, final columns
     cols = {}

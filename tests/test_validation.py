@@ -52,6 +52,8 @@ def test_lenient_binding(spark):
         _doc(extra=1),                          # unknown field ignored
         _doc(videoStartTimeMs=None),            # null primitive -> 0.0
     ])
+    frac = _classify(spark, [_doc(timestampMs=1.7040672001239e12)])[0]
+    assert frac["reason"] is None and frac["timestamp_ms"] == 1704067200123
     assert all(r["reason"] is None for r in got.values())
     assert got[0]["timestamp_ms"] == 1704067200123
     assert got[1]["playback_failed"] is True
