@@ -3,10 +3,14 @@
 The driver tables hold no heartbeat stream, so each registered query maps
 ``events`` onto heartbeats (``sources.events.heartbeats_from_events``) and
 derives the request log, topic records, backlog and stored-table splits from
-it. Every derivation is a narrow projection or a union over the WHOLE table;
-faulty records are produced by rewriting rows chosen by the event's ``k``
-property (0…99), so each fault class is about 1 % of the rows and grows with
-the data.
+it. Every derivation covers the WHOLE table: narrow projections, unions (the
+redelivered copy), and event-time cut-offs that split it into parts which
+together cover it (stored vs. new batch, live vs. outage backlog). Faulty
+records are produced by rewriting rows chosen by the event's ``k`` property
+(0…99), never by dropping rows, so each fault class is about 1 % of the rows
+and grows with the data. The topic and request-log tables are written once
+per session under the shared checkpoint folder and read back, as stored
+data would be.
 """
 
 from __future__ import annotations
