@@ -36,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 9))
+        return repr(v)  # exact: queries and oracles round to the same places
     if isinstance(v, (bytes, bytearray, memoryview)):
         return bytes(v).hex()
     if isinstance(v, dt.datetime):
