@@ -45,30 +45,30 @@ def _chain(first: str, *steps: str) -> str:
 
 
 def _murmur2_sql(key_sql: str) -> str:
-    # hx: hex text of the UTF-8 bytes, bound once
-    n_hex = "CAST(length(hx) DIV 2 AS INT)"
-    byte_arr = (f"transform(slice(sequence(0, greatest({n_hex} - 1, 0)), 1, {n_hex}), "
-                f"i -> CAST(conv(substr(hx, 2 * i + 1, 2), 16, 10) AS BIGINT))")
-    # b: the key's bytes (unsigned), bound once
-    n = "size(b)"
+    # hx: hex text of the key's UTF-8 bytes (2 characters per byte), bound once
+    n = "CAST(length(hx) DIV 2 AS INT)"
     nblocks = f"CAST({n} DIV 4 AS INT)"
+
+    def hex_int(start: str, chars: int) -> str:
+        return f"CAST(conv(substr(hx, {start}, {chars}), 16, 10) AS BIGINT)"
+
+    # each 4-byte block is read with one conversion (big-endian) and
+    # byte-swapped to the little-endian value the hash consumes
+    be = hex_int("8 * j + 1", 8)
     blocks = (f"transform(slice(sequence(0, greatest({nblocks} - 1, 0)), 1, {nblocks}), "
-              f"j -> b[4 * j] | shiftleft(b[4 * j + 1], 8) | shiftleft(b[4 * j + 2], 16) "
-              f"| shiftleft(b[4 * j + 3], 24))")
+              f"j -> {_chain_inline(be)})")
     # per-block mixing is independent of the running hash: k*m, k^(k>>>r), k*m
     mixed = (f"transform(transform(transform({blocks}, k -> {_mul('k')}), "
              f"k -> {_xorshift('k', MURMUR_R)}), k -> {_mul('k')})")
     folded = (f"aggregate({mixed}, CAST(({MURMUR_SEED} ^ {n}) & {_MASK32} AS BIGINT), "
               f"(h, k) -> ({_mul('h')}) ^ k)")
-    off = f"({nblocks} * 4)"
+    off = f"({nblocks} * 8)"       # hex offset of the tail
     rem = f"({n} & 3)"
 
     def tail_byte(i: int) -> str:
-        return f"coalesce(try_element_at(b, {off} + {i + 1}), 0)"
+        return f"IF({rem} > {i}, {hex_int(f'{off} + {2 * i + 1}', 2)}, 0)"
 
-    tail = (f"(IF({rem} >= 3, shiftleft({tail_byte(2)}, 16), 0) ^ "
-            f"IF({rem} >= 2, shiftleft({tail_byte(1)}, 8), 0) ^ "
-            f"IF({rem} >= 1, {tail_byte(0)}, 0))")
+    tail = (f"(shiftleft({tail_byte(2)}, 16) ^ shiftleft({tail_byte(1)}, 8) ^ {tail_byte(0)})")
     final = _chain(
         f"IF({rem} >= 1, ({folded}) ^ {tail}, {folded})",
         f"IF({rem} >= 1, {_mul('x')}, x)",
@@ -77,8 +77,14 @@ def _murmur2_sql(key_sql: str) -> str:
         _xorshift("x", 15),
         "CAST(IF(x >= 2147483648, x - 4294967296, x) AS INT)",
     )
-    with_bytes = f"element_at(transform(array({byte_arr}), b -> {final}), 1)"
-    return f"element_at(transform(array(hex(encode({key_sql}, 'UTF-8'))), hx -> {with_bytes}), 1)"
+    return f"element_at(transform(array(hex(encode({key_sql}, 'UTF-8'))), hx -> {final}), 1)"
+
+
+def _chain_inline(v: str) -> str:
+    """Byte-swap a 32-bit big-endian value (bound once as ``w``)."""
+    swap = ("(shiftleft(w & 255, 24) | shiftleft(shiftright(w, 8) & 255, 16) "
+            "| shiftleft(shiftright(w, 16) & 255, 8) | (shiftright(w, 24) & 255))")
+    return f"element_at(transform(array({v}), w -> {swap}), 1)"
 
 
 def murmur2(key: str) -> Column:
