@@ -3,10 +3,9 @@
 Written as one Catalyst expression (higher-order array functions over the
 key's bytes) so it runs inside the JVM next to the scan; no Python per row.
 
-32-bit unsigned arithmetic is carried in BIGINT. A product of two 32-bit
-values does not fit in 64 bits, so ``x * M mod 2^32`` is formed from 16-bit
-halves: ``lo16(x)*M + (hi16(x)*M mod 2^16) << 16``, which never overflows
-(ANSI mode would raise on overflow).
+32-bit unsigned arithmetic is carried in BIGINT: every intermediate is kept
+in [0, 2^32) and the multiplier is below 2^31, so ``x * M`` stays below 2^63
+and cannot overflow (ANSI mode would raise); ``& 0xFFFFFFFF`` takes it mod 2^32.
 """
 
 from __future__ import annotations
@@ -24,8 +23,7 @@ _MASK32 = 0xFFFFFFFF
 
 def _mul(x: str) -> str:
     """SQL text for ``(x * M) mod 2^32`` with x in [0, 2^32)."""
-    return (f"((({x}) & 65535) * {MURMUR_M} + "
-            f"shiftleft(((shiftright(({x}), 16) & 65535) * {MURMUR_M}) & 65535, 16)) & {_MASK32}")
+    return f"((({x}) * {MURMUR_M}) & {_MASK32})"
 
 
 def _xorshift(x: str, r: int) -> str:
