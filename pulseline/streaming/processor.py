@@ -77,7 +77,10 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
     The batch may arrive already decoded (``decode_error`` present, as
     ``run_stream`` does it) or raw. ``kpi_on="decoded"`` (default, parity)
     computes KPIs over every decoded event of the batch, duplicates
-    included; ``"accepted"`` only over the rows newly stored.
+    included; ``"accepted"`` only over the rows newly stored. A row
+    quarantined for the raw table's bounds still counts under ``"decoded"``
+    (the reference would instead fail the whole batch and compute no KPIs),
+    not under ``"accepted"``.
 
     ``lookup_horizon`` (e.g. ``"2 days"``): when the caller knows an event id
     never recurs further apart in event time, the stored-id lookup reads only
