@@ -323,3 +323,9 @@ SELECT acc.session_id AS key, CAST(abs(CAST(hs.murmur2_hash AS BIGINT)) % 24 AS
 FROM acc JOIN hs USING (session_id)"""
 
 ORACLE["session_kpis_accepted"] = f"WITH {H}, {T}, {TD}, {TDF} {_kpi_select('session_id')} FROM tdf GROUP BY session_id"
+
+ORACLE["stream_dedup_events"] = f"""WITH {H}, {T},
+  o AS (SELECT * FROM t WHERE arrival_seq < 1000000000)
+SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, playback_failed,
+  rebuffer_duration_ms, playback_duration_ms, coalesce(player_version, '') AS player_version, os, cdn
+FROM o WHERE fault_key NOT IN (4, 11, 12)"""

@@ -27,7 +27,7 @@ from pulseline.streaming.replay import (
     DEAD_LETTER_RETENTION_DAYS as RETENTION_DAYS, REPLAY_BATCH_BASE, replay, replay_dead_letters,
 )
 from pulseline.streaming.processor import Layout, run_stream
-from pulseline.streaming.windows import stream_kpis
+from pulseline.streaming.windows import dedup_stream, stream_kpis
 
 # Fixed values — staging and stream parameters of the registered runs.
 SEGMENT_BOUNDS = ["2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00"]
@@ -186,7 +186,31 @@ def q_publish_topic(spark, sf_dir) -> DataFrame:
     return decoded.select("key", "partition", "offset", "timestamp_ms", *HEARTBEAT_COLUMNS)
 
 
+def q_stream_dedup_events(spark, sf_dir) -> DataFrame:
+    """Bounded-state dedup of the redelivered topic (STR-4, ``dropDuplicatesWithinWatermark``).
+
+    Later copies are either duplicates within the watermark or older than it
+    (late), so each event is kept once. The all-default records of empty
+    payloads carry event time 0 (the epoch), which is never after the
+    watermark (it starts at the epoch), so they are dropped as late.
+    """
+    key = _key(spark, sf_dir, "stream-dedup")
+    if key not in _RUNS:
+        root = scratch_path(spark, "stream-dedup")
+        src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments())
+        good, _ = split_decoded(decode_binary(
+            heartbeat_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER)))
+        kept = dedup_stream(good.select(*HEARTBEAT_COLUMNS), WATERMARK)
+        q = (kept.writeStream.outputMode("append").format("parquet")
+                 .option("path", f"{root}/out").option("checkpointLocation", f"{root}/_checkpoint")
+                 .trigger(availableNow=True).start())
+        q.awaitTermination()
+        _RUNS[key] = f"{root}/out"
+    return spark.read.parquet(_RUNS[key]).select(*HEARTBEAT_COLUMNS)
+
+
 STREAM_QUERIES = {
+    "stream_dedup_events": q_stream_dedup_events,
     "publish_topic": q_publish_topic,
     "stream_ingest_events": q_stream_ingest_events,
     "stream_ingest_kpis": q_stream_ingest_kpis,
