@@ -180,9 +180,10 @@ def q_overflow_alerts(spark, sf_dir):
     """Days with more than 25 rejected requests.
 
     The operator's defaults are the reference's alert (more than 50 per
-    minute). The test data holds ~30 requests per hour, so that rule can
-    never fire; a daily window with a threshold near the daily mean makes
-    the alert path produce rows and exercises both sides of the threshold.
+    minute). The test data holds about 14 (sf0.01) to 140 (sf0.1) requests
+    per hour, ~8 % of them rejected, so that rule can never fire; a daily
+    window with a threshold near the sf0.01 daily mean makes the alert path
+    produce rows and exercises both sides of the threshold.
     """
     _, rejected = quarantine.split_valid(_json_decoded(spark, sf_dir))
     return reports.overflow_alerts(rejected, "received_at", "1 day", 25)
