@@ -110,7 +110,10 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
             lo, hi = storable.agg(F.min("ts"), F.max("ts")).first()
             if lo is not None:
                 h = F.expr(f"INTERVAL {lookup_horizon}")
-                stored = stored.filter((F.col("ts") >= F.lit(lo) - h) & (F.col("ts") <= F.lit(hi) + h))
+                # literals as TIMESTAMP_NTZ text: no zone conversion on the way back
+                lo_c = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
+                hi_c = F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")
+                stored = stored.filter((F.col("ts") >= lo_c - h) & (F.col("ts") <= hi_c + h))
         new = append_new_events(storable.drop("value"), stored,
                                 broadcast_limit=broadcast_limit, batch_rows=n_rows)
         kpi_input = hb if kpi_on == "decoded" else new
