@@ -49,7 +49,11 @@ def retained_dead_letters(dead: DataFrame,
     ``now`` defaults to the newest ``ingest_ts`` in the table (a scalar
     subquery), which makes the result reproducible for a given table.
     """
-    ref = F.lit(now) if now is not None else dead.agg(F.max("ingest_ts")).scalar()
+    if now is None:
+        ref = dead.agg(F.max("ingest_ts")).scalar()  # scalar subquery
+    else:  # a datetime or text, read as UTC wall clock without zone conversion
+        text = now.isoformat(sep=" ") if hasattr(now, "isoformat") else str(now)
+        ref = F.lit(text).cast("timestamp_ntz")
     return dead.filter(F.col("ingest_ts") >= ref - F.expr(f"INTERVAL {retention_days} DAYS"))
 
 

@@ -165,3 +165,14 @@ def test_kpis_on_accepted_rows_only(spark, sf_small):
     stored = spark.read.parquet(layout.events).count()
     kpi_events = spark.read.parquet(layout.metrics).agg(F.sum("event_count")).collect()[0][0]
     assert kpi_events == stored
+
+
+def test_dead_letter_retention_window(spark):
+    import datetime as dt
+    from pulseline.streaming.replay import retained_dead_letters
+    t0 = dt.datetime(2024, 1, 20)
+    dead = spark.createDataFrame(
+        [(b"x", "r", None, t0 - dt.timedelta(days=d)) for d in (0, 3, 7, 8)],
+        "payload binary, reason string, detail string, ingest_ts timestamp_ntz")
+    assert retained_dead_letters(dead).count() == 3                       # newest-relative
+    assert retained_dead_letters(dead, now=t0 + dt.timedelta(days=2)).count() == 2
