@@ -17,9 +17,22 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Epoch milliseconds of 0001-01-01 00:00:00 and 9999-12-31 23:59:59.999, the
+# range of Spark timestamps.
+_MIN_MS = -62135596800000
+_MAX_MS = 253402300799999
+
+
 def millis_to_ts(col) -> Column:
-    """Epoch milliseconds (bigint) → event time (FN-1)."""
-    return F.timestamp_add("MILLISECOND", _c(col), F.expr(_EPOCH))
+    """Epoch milliseconds (bigint) → event time (FN-1).
+
+    Values outside the timestamp range give null instead of an overflow
+    error (ANSI), so one absurd record cannot fail a job; a null event time
+    is then quarantined by the storage rules.
+    """
+    c = _c(col)
+    return F.when(c.between(F.lit(_MIN_MS), F.lit(_MAX_MS)),
+                  F.timestamp_add("MILLISECOND", c, F.expr(_EPOCH)))
 
 
 def ts_to_millis(col) -> Column:

@@ -89,3 +89,10 @@ def test_split_is_disjoint_and_complete(spark):
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "request_id long, body string")
     ok, bad = split_valid(decode_json(df))
     assert ok.count() == 1 and bad.count() == 3
+
+
+def test_out_of_range_timestamp_is_quarantined_not_fatal(spark):
+    r = _classify(spark, [_doc(timestampMs=9223372036854775807)])[0]
+    assert r["ts"] is None
+    assert r["reason"] == "storage-bounds-violation"
+    assert r["violations"] == "ts: must not be null"
