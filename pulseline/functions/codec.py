@@ -60,13 +60,15 @@ def message_class():
     return build_message_class()
 
 
-def decode_binary(df: DataFrame, payload_col: str = "value") -> DataFrame:
+def decode_binary(df: DataFrame, payload_col: str = "value", spread: bool = False) -> DataFrame:
     """Decode the binary column into the 12 wire fields (DEC-2).
 
     Output: the input columns, the wire fields (proto3 defaults for absent
     fields, as the reference's getters return), ``ts`` (FN-1) and
     ``decode_error`` (null when the payload decoded; a null payload fails,
-    an empty payload is a valid all-default message).
+    an empty payload is a valid all-default message). ``spread=True``
+    first gives a small scanned input one partition per core
+    (``spread_small_input``).
     """
     import pyarrow as pa
 
@@ -106,11 +108,12 @@ def decode_binary(df: DataFrame, payload_col: str = "value") -> DataFrame:
             names = keep + [n for n, _, _ in wire] + ["decode_error"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    decoded = spread_small_input(df).mapInArrow(decode_batches, out_schema)
+    src = spread_small_input(df) if spread else df
+    decoded = src.mapInArrow(decode_batches, out_schema)
     return decoded.withColumn("ts", millis_to_ts("timestamp_ms"))
 
 
-def encode_binary(df: DataFrame, out_col: str = "value") -> DataFrame:
+def encode_binary(df: DataFrame, out_col: str = "value", spread: bool = False) -> DataFrame:
     """Serialise heartbeat rows to the binary message (DEC-3).
 
     Event time goes to whole epoch milliseconds (FN-2) and absent device
@@ -142,7 +145,8 @@ def encode_binary(df: DataFrame, out_col: str = "value") -> DataFrame:
             arrays.append(pa.array(out, type=pa.binary()))
             yield pa.RecordBatch.from_arrays(arrays, names=in_cols + [out_col])
 
-    return spread_small_input(prepared).mapInArrow(encode_batches, out_schema).drop("__wire_ms")
+    src = spread_small_input(prepared) if spread else prepared
+    return src.mapInArrow(encode_batches, out_schema).drop("__wire_ms")
 
 
 def split_decoded(decoded: DataFrame):

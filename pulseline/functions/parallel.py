@@ -13,6 +13,9 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     parquet row group, one micro-batch file) would run the whole stage on
     one core, so it is redistributed round-robin over ``defaultParallelism``
     partitions. Streaming DataFrames are returned unchanged.
+
+    Counting partitions plans the input: use it on scans (free), not after a
+    shuffle, where under AQE the count would run the shuffle's map stage.
     """
     if df.isStreaming:
         return df

@@ -75,7 +75,7 @@ def q_exists_by_event_id(spark, sf_dir):
 
 
 def _json_decoded(spark, sf_dir):
-    return decode_json(fx.request_table(spark, sf_dir))
+    return decode_json(fx.request_table(spark, sf_dir), spread=True)
 
 
 def q_events_by_id(spark, sf_dir):
@@ -98,7 +98,7 @@ def q_validate_reject(spark, sf_dir):
 
 # ---------------------------------------------------------------- binary path
 def _topic_decoded(spark, sf_dir):
-    return decode_binary(fx.topic_table(spark, sf_dir))
+    return decode_binary(fx.topic_table(spark, sf_dir), spread=True)
 
 
 def q_decode_roundtrip(spark, sf_dir):

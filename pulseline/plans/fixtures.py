@@ -129,7 +129,7 @@ def topic_records(hbk: DataFrame, with_redelivery: bool = True,
     event is delivered a second time at a later offset (at-least-once replay).
     """
     src = hbk.unionByName(redelivered(hbk)) if with_redelivery else hbk
-    enc = encode_binary(src)
+    enc = encode_binary(src, spread=True)  # scans of the events table: spreading is free
     k = F.col("fault_key") if with_faults else F.lit(-1)
     value = (F.when(k == K_TRUNCATED_PAYLOAD,
                     F.expr("substr(value, 1, octet_length(value) - 1)"))

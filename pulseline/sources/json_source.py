@@ -39,19 +39,21 @@ def read_json_heartbeats(spark: SparkSession, path: str, streaming: bool = False
     return spark.read.text(path).withColumnRenamed("value", "body")
 
 
-def decode_json(df: DataFrame, body_col: str = "body") -> DataFrame:
+def decode_json(df: DataFrame, body_col: str = "body", spread: bool = False) -> DataFrame:
     """Bind JSON request text to heartbeat columns (DEC-1, FN-1, FN-4).
 
     Adds the storage columns, ``timestamp_ms``, ``ts`` and ``decode_error``:
     null when the document bound, otherwise ``"malformed JSON"`` or the list
-    of fields whose value had the wrong type.
+    of fields whose value had the wrong type. ``spread=True`` first gives a
+    small scanned input one partition per core (``spread_small_input``).
     """
     req = F.from_json(F.col(body_col), REQUEST_TEXT_SCHEMA,
                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     # The parse is produced by a generator (one output row per input row) so
     # that filters on derived columns (accept / reject) are not pushed below
     # it with ``from_json`` inlined once per referenced field.
-    parsed = spread_small_input(df).select("*", F.inline(F.array(F.struct(req.alias("__req")))))
+    src = spread_small_input(df) if spread else df
+    parsed = src.select("*", F.inline(F.array(F.struct(req.alias("__req")))))
     # step 1: raw text and typed value of every field (each parsed once)
     raw_cols = {f"__raw_{col}": F.col(f"__req.{json_name}") for json_name, col in JSON_FIELDS}
     raw_cols["__malformed"] = F.col("__req").isNull() | F.col(f"__req.{_CORRUPT}").isNotNull()
