@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from pulseline.functions.codec import encode_binary
 from pulseline.functions.murmur import session_partition_id
+from pulseline.functions.parallel import spread_small_input
 from pulseline.operators.partitioning import TOPIC_PARTITIONS
 from pulseline.session import scratch_path
 from pulseline.sources.events import heartbeats_from_events, read_table
@@ -195,8 +196,9 @@ def clean_topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_table_path(spark: SparkSession, sf_dir: str) -> str:
-    return materialized_path(spark, sf_dir, "requests",
-                             lambda: json_requests(heartbeats(spark, sf_dir, with_key=True)))
+    # written as one file per core (built from a scan, so spreading is free)
+    return materialized_path(spark, sf_dir, "requests", lambda: spread_small_input(
+        json_requests(heartbeats(spark, sf_dir, with_key=True))))
 
 
 def request_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pulseline.functions.codec import encode_binary
 from pulseline.operators.quarantine import split_valid
+from pulseline.schemas import HEARTBEAT_COLUMNS
 from pulseline.sources.json_source import decode_json
 from pulseline.streaming.sinks import write_dead_letters, write_topic
 
@@ -28,9 +29,13 @@ def publish_batch(requests: DataFrame, batch_id: int, topic_path: str | None,
         if decoded.count() == 0:
             return
         accepted, rejected = split_valid(decoded)
-        enc = encode_binary(accepted.withColumnRenamed("request_id", "arrival_seq")
-                            .withColumn("ts", F.col("received_at")))
-        write_topic(enc, topic_path, topic=topic, kafka_options=kafka_options)
+        # only the wire fields and the record metadata cross into Python; the
+        # message keeps the request's event time, the record its ingest time
+        wire = accepted.select(F.col("request_id").alias("arrival_seq"), "received_at",
+                               *HEARTBEAT_COLUMNS)
+        enc = encode_binary(wire)
+        write_topic(enc, topic_path, topic=topic, kafka_options=kafka_options,
+                    record_time="received_at")
         write_dead_letters(rejected.select(
             F.encode(F.col("body"), "UTF-8").alias("payload"), "reason",
             F.col("violations").alias("detail"), F.col("received_at").alias("ingest_ts")),

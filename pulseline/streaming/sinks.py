@@ -38,27 +38,32 @@ def write_dead_letters(dead: DataFrame, path: str, batch_id: int) -> None:
     write_batch_partition(dead.select("payload", "reason", "detail", "ingest_ts"), path, batch_id)
 
 
-def topic_frame(hb_encoded: DataFrame, num_partitions: int = TOPIC_PARTITIONS) -> DataFrame:
-    """Key by session, value = encoded message, partition = Murmur2 rule (SNK-1)."""
+def topic_frame(hb_encoded: DataFrame, num_partitions: int = TOPIC_PARTITIONS,
+                record_time: str = "ts") -> DataFrame:
+    """Key by session, value = encoded message, partition = Murmur2 rule (SNK-1).
+
+    ``record_time`` names the column that becomes the record timestamp (the
+    event time by default; the publish job passes the ingest time).
+    """
     cols = [F.col("session_id").alias("key"), F.col("value"),
             session_partition_id("session_id", num_partitions).alias("partition")]
     if "arrival_seq" in hb_encoded.columns:
         cols.append(F.col("arrival_seq").alias("offset"))
-    if "ts" in hb_encoded.columns:
-        cols.append(F.col("ts").alias("timestamp"))
+    if record_time in hb_encoded.columns:
+        cols.append(F.col(record_time).alias("timestamp"))
     return hb_encoded.select(*cols)
 
 
 def write_topic(hb_encoded: DataFrame, path: str | None = None, topic: str | None = None,
                 kafka_options: dict | None = None,
-                num_partitions: int = TOPIC_PARTITIONS) -> None:
+                num_partitions: int = TOPIC_PARTITIONS, record_time: str = "ts") -> None:
     """Publish encoded heartbeats keyed by session.
 
     With ``kafka_options`` the rows go to the broker (``partition`` column
     honoured by the Kafka sink); otherwise they are appended as parquet
     files under ``path`` (the offline topic).
     """
-    frame = topic_frame(hb_encoded, num_partitions)
+    frame = topic_frame(hb_encoded, num_partitions, record_time)
     if kafka_options:
         w = frame.select("key", "value", "partition").write.format("kafka")
         if topic:

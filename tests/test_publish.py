@@ -57,3 +57,14 @@ def test_partition_column_matches_rule(spark):
     t = read_topic(spark, f"{root}/topic")
     assert t.filter(F.col("partition") != session_partition_id("key", 24)).count() == 0
     assert decode_json(req).count() == 50
+
+
+def test_message_keeps_event_time_record_keeps_ingest_time(spark):
+    root = scratch_path(spark, "test-publish-times")
+    _write_lines(spark, f"{root}/in", [json.dumps(dict(DOC, timestampMs=1704067200123))])
+    req = (read_json_heartbeats(spark, f"{root}/in").withColumn("request_id", F.lit(1).cast("bigint"))
+           .withColumn("received_at", F.lit("2024-02-01 10:00:00").cast("timestamp_ntz")))
+    publish_batch(req, 0, f"{root}/topic", f"{root}/dead")
+    r = decode_binary(read_topic(spark, f"{root}/topic")).collect()[0]
+    assert r["timestamp_ms"] == 1704067200123
+    assert str(r["timestamp"]) == "2024-02-01 10:00:00"
