@@ -66,3 +66,21 @@ def test_kpis_match_model(spark, rows):
         assert math.isclose(got[s]["avg_vst_ms"], math.fsum(e[0] for e in evs) / n, rel_tol=1e-9, abs_tol=1e-9)
         assert got[s]["pfr"] == sum(e[1] for e in evs) / n
         assert math.isclose(got[s]["rebuffering_ratio"], ratio, rel_tol=1e-9, abs_tol=1e-12)
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet=st.sampled_from(" \t\n\r\x0b\x0c\x00\x1f\xa0 ab"), max_size=6),
+                min_size=1, max_size=100))
+def test_not_blank_matches_model(spark, values):
+    import json
+
+    from pulseline.operators.quarantine import classify_requests
+    from pulseline.sources.json_source import decode_json
+    docs = [json.dumps({"eventId": "e", "sessionId": v, "clientId": "c", "contentId": "m",
+                        "timestampMs": 1}) for v in values]
+    df = spark.createDataFrame(list(enumerate(docs)), "request_id long, body string")
+    got = {r["request_id"]: r["violations"] for r in classify_requests(decode_json(df)).collect()}
+    for i, v in enumerate(values):
+        blank = not any(ord(ch) > 0x20 for ch in v)
+        assert (got[i] == "sessionId: must not be blank") == blank, repr(v)
+        assert (got[i] is None) == (not blank), repr(v)
