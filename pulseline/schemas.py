@@ -22,6 +22,9 @@ HEARTBEAT = T.StructType([
 ])
 HEARTBEAT_COLUMNS = [f.name for f in HEARTBEAT.fields]
 
+# The stored raw event table: heartbeat columns, partitioned by batch_id.
+EVENTS_TABLE = T.StructType(list(HEARTBEAT.fields) + [T.StructField("batch_id", T.LongType())])
+
 # Wire form of the same event (field numbers of the binary message, in
 # declaration order): name, field number, scalar kind.
 # Fixed values — must equal the wire format of the published heartbeat message.

@@ -24,7 +24,7 @@ from pulseline.functions.codec import decode_binary, split_decoded
 from pulseline.operators.dedup import DEFAULT_BROADCAST_ID_LIMIT, append_new_events
 from pulseline.operators.kpi import session_kpi_parts
 from pulseline.operators.quarantine import storage_split
-from pulseline.schemas import HEARTBEAT_COLUMNS, REASON_UNDECODABLE
+from pulseline.schemas import EVENTS_TABLE, HEARTBEAT_COLUMNS, REASON_UNDECODABLE
 from pulseline.streaming.sinks import (
     write_dead_letters, write_new_events, write_session_metrics,
 )
@@ -52,17 +52,21 @@ class Layout:
         return f"{self.root}/_checkpoint"
 
 
-def read_table_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet table at ``path``, or None before its first write."""
+def read_table_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The parquet table at ``path``, or None before its first write.
+
+    A declared ``schema`` spares the footer-reading schema inference.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException:  # PATH_NOT_FOUND / UNABLE_TO_INFER_SCHEMA
         return None
 
 
 def stored_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """Rows stored by batches before ``batch_id`` (partition pruning on batch_id)."""
-    stored = read_table_if_exists(spark, path)
+    stored = read_table_if_exists(spark, path, EVENTS_TABLE)
     if stored is None:
         return None
     return stored.filter(F.col("batch_id") < F.lit(batch_id))
