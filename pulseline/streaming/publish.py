@@ -9,6 +9,8 @@ the consumer's keep-first dedup by ``event_id`` absorbs (as in the reference).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,13 +35,17 @@ def publish_batch(requests: DataFrame, batch_id: int, topic_path: str | None,
         # message keeps the request's event time, the record its ingest time
         wire = accepted.select(F.col("request_id").alias("arrival_seq"), "received_at",
                                *HEARTBEAT_COLUMNS)
-        enc = encode_binary(wire)
-        write_topic(enc, topic_path, topic=topic, kafka_options=kafka_options,
-                    record_time="received_at")
-        write_dead_letters(rejected.select(
+        dead = rejected.select(
             F.encode(F.col("body"), "UTF-8").alias("payload"), "reason",
-            F.col("violations").alias("detail"), F.col("received_at").alias("ingest_ts")),
-            dead_letter_path, batch_id)
+            F.col("violations").alias("detail"), F.col("received_at").alias("ingest_ts"))
+        # the two sinks are independent: submit them as concurrent jobs
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            futures = [
+                pool.submit(write_topic, encode_binary(wire), topic_path, topic=topic,
+                            kafka_options=kafka_options, record_time="received_at"),
+                pool.submit(write_dead_letters, dead, dead_letter_path, batch_id)]
+            for f in futures:
+                f.result()
     finally:
         decoded.unpersist()
 
