@@ -41,11 +41,6 @@ def ts_to_millis(col) -> Column:
     return ((micros - F.pmod(micros, F.lit(1000))) / F.lit(1000)).cast("bigint")
 
 
-def truncate_to_millis(col) -> Column:
-    """Event time truncated to whole milliseconds (the precision on the wire)."""
-    return millis_to_ts(ts_to_millis(col))
-
-
 def normalize_device_fields(df: DataFrame,
                             cols=("player_version", "os", "cdn")) -> DataFrame:
     """Absent device strings become "" (FN-3), as on the wire."""
