@@ -89,12 +89,18 @@ def exists_by_event_id(probe: DataFrame, stored: DataFrame, key: str = "event_id
                  .withColumn("exists", F.coalesce(F.col("exists"), F.lit(False))))
 
 
-def events_by_id(stored: DataFrame, ids, key: str = "event_id") -> DataFrame:
+def events_by_id(stored: DataFrame, ids, key: str = "event_id",
+                 broadcast_limit: int | None = DEFAULT_BROADCAST_ID_LIMIT) -> DataFrame:
     """Stored rows with the given ids (FLT-7).
 
     A Python list becomes an ``IN`` filter that reaches the parquet scan; a
-    DataFrame of ids becomes a semi-join.
+    DataFrame of ids becomes a semi-join, with the distinct ids broadcast when
+    a bounded count proves them small, so the stored table is not shuffled.
     """
     if isinstance(ids, DataFrame):
-        return stored.join(ids.select(key).distinct(), key, "left_semi")
+        probe = ids.select(key).distinct()
+        if broadcast_limit is not None and \
+                probe.limit(broadcast_limit + 1).count() <= broadcast_limit:
+            probe = F.broadcast(probe)
+        return stored.join(probe, key, "left_semi")
     return stored.filter(F.col(key).isin(list(ids)))
