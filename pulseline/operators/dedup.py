@@ -51,6 +51,7 @@ def _stored_hits(stored_ids: DataFrame, probe_ids: DataFrame, key: str,
     probe = probe_ids.select(key)
     if not probe_unique:
         probe = probe.distinct()
+    small = False
     if broadcast_limit is not None:
         if probe_size_bound is not None and probe_size_bound <= broadcast_limit:
             small = True
@@ -59,7 +60,9 @@ def _stored_hits(stored_ids: DataFrame, probe_ids: DataFrame, key: str,
         if small:
             probe = F.broadcast(probe)
     hits = stored_ids.select(key).join(probe, key, "left_semi")
-    return hits.distinct() if distinct_hits else hits
+    hits = hits.distinct() if distinct_hits else hits
+    # hits are a subset of the probe ids: small whenever the probe is
+    return F.broadcast(hits) if small else hits
 
 
 def append_new_events(batch: DataFrame, stored: DataFrame | None, key: str = "event_id",
