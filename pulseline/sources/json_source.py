@@ -18,15 +18,19 @@ from pulseline.functions.scalars import PRIMITIVE_DEFAULTS, millis_to_ts
 from pulseline.schemas import JSON_FIELDS
 
 _CORRUPT = "_corrupt_record"
-REQUEST_TEXT_SCHEMA = T.StructType(
-    [T.StructField(json_name, T.StringType()) for json_name, _ in JSON_FIELDS]
-    + [T.StructField(_CORRUPT, T.StringType())])
 
 # target type of each storage column after binding
 _TYPES = {"timestamp_ms": "bigint", "video_start_time_ms": "double",
           "playback_failed": "boolean", "rebuffer_duration_ms": "double",
           "playback_duration_ms": "double"}
 
+# Primitive fields are read as text (lenient binding by ``try_cast``); text
+# fields as VARIANT, so that an object or array given for one is recognised
+# (a text field binds scalars only) while scalars still bind as their text.
+REQUEST_TEXT_SCHEMA = T.StructType(
+    [T.StructField(json_name, T.StringType() if col in _TYPES else T.VariantType())
+     for json_name, col in JSON_FIELDS]
+    + [T.StructField(_CORRUPT, T.StringType())])
 
 def read_json_heartbeats(spark: SparkSession, path: str, streaming: bool = False,
                          max_files_per_trigger: int | None = None) -> DataFrame:
@@ -55,7 +59,15 @@ def decode_json(df: DataFrame, body_col: str = "body", spread: bool = False) ->
     src = spread_small_input(df) if spread else df
     parsed = src.select("*", F.inline(F.array(F.struct(req.alias("__req")))))
     # step 1: raw text and typed value of every field (each parsed once)
-    raw_cols = {f"__raw_{col}": F.col(f"__req.{json_name}") for json_name, col in JSON_FIELDS}
+    raw_cols = {}
+    for json_name, col in JSON_FIELDS:
+        field = F.col(f"__req.{json_name}")
+        if col in _TYPES:
+            raw_cols[f"__raw_{col}"] = field
+        else:
+            kind = F.schema_of_variant(field)
+            raw_cols[f"__raw_{col}"] = F.try_variant_get(field, "$", "string")
+            raw_cols[f"__nested_{col}"] = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     raw_cols["__malformed"] = F.col("__req").isNull() | F.col(f"__req.{_CORRUPT}").isNotNull()
     step1 = parsed.withColumns(raw_cols).drop("__req")
     typed = {}
@@ -79,6 +91,8 @@ def decode_json(df: DataFrame, body_col: str = "body", spread: bool = False) ->
                                      F.lit(f"{json_name}: type mismatch")))
         else:
             cols[col] = raw
+            mismatches.append(F.when(F.coalesce(F.col(f"__nested_{col}"), F.lit(False)),
+                                     F.lit(f"{json_name}: type mismatch")))
     cols["__mismatch"] = F.array_join(
         F.filter(F.array(*mismatches), lambda m: m.isNotNull()), "; ")
     step3 = step2.withColumns(cols)

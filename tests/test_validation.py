@@ -96,3 +96,13 @@ def test_out_of_range_timestamp_is_quarantined_not_fatal(spark):
     assert r["ts"] is None
     assert r["reason"] == "storage-bounds-violation"
     assert r["violations"] == "ts: must not be null"
+
+
+def test_text_fields_bind_scalars_only(spark):
+    got = _classify(spark, [_doc(eventId={"x": 1}), _doc(sessionId=[1, 2]),
+                            _doc(eventId=123), _doc(os=True)])
+    assert got[0]["reason"] == "deserialization-failure"
+    assert got[0]["violations"] == "eventId: type mismatch"
+    assert got[1]["violations"] == "sessionId: type mismatch"
+    assert got[2]["reason"] is None and got[2]["event_id"] == "123"
+    assert got[3]["reason"] is None and got[3]["os"] == "true"
