@@ -83,3 +83,23 @@ def test_global_kpis_single_row(spark):
     df = hb_rows(spark, [{"session_id": f"s{i}", "video_start_time_ms": 10.0 * i} for i in range(5)])
     r = kpi.global_kpis(df).collect()
     assert len(r) == 1 and r[0]["avg_vst_ms"] == 20.0 and r[0]["event_count"] == 5
+
+
+def test_timeseries_by_key_and_sliding(spark):
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    rows = [{"session_id": s, "ts": t0 + dt.timedelta(minutes=m), "video_start_time_ms": 10.0 * m}
+            for s, m in [("a", 0), ("a", 30), ("b", 61), ("a", 90)]]
+    df = hb_rows(spark, rows)
+    per = {(r["session_id"], r["window_start"]): r["event_count"]
+           for r in kpi.kpi_timeseries(df, "1 hour", keys=("session_id",)).collect()}
+    assert per == {("a", t0): 2, ("b", t0 + dt.timedelta(hours=1)): 1,
+                   ("a", t0 + dt.timedelta(hours=1)): 1}
+    sliding = kpi.kpi_timeseries(df, "1 hour", "30 minutes")
+    assert sliding.agg(F.sum("event_count")).collect()[0][0] == 2 * len(rows)
+
+
+def test_empty_input_global_and_headline(spark):
+    empty = hb_rows(spark, [{"video_start_time_ms": 1.0}]).limit(0)
+    assert kpi.headline_kpis(empty).count() == 0
+    g = kpi.global_kpis(empty).collect()
+    assert len(g) == 1 and g[0]["event_count"] == 0 and g[0]["avg_vst_ms"] == 0.0
