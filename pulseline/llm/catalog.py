@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseline.llm import bpe, packing, sharding
+from pulseline.llm import bpe, packing, quality_classifier, quality_rules, sharding
 from pulseline.llm.common import table
 
 
@@ -16,6 +16,15 @@ def _read(path: str) -> bytes:
         return file.read()
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the learned rules for every document."""
+    docs = table(spark, sf_dir, "documents")
+    rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str,
             path: str = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")) -> DataFrame:
     """Encode and decode every document; digests of both."""
@@ -42,5 +51,20 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_manifest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_bpe": op3_bpe, "op4_pack": op4_pack, "op5_shard": op5_shard}
+def op8_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", quality_classifier.held_out().alias("held_out"),
+                         quality_classifier.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality_classifier.THRESHOLD).cast("int"))
+
+
+QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op3_bpe": op3_bpe,
+    "op4_pack": op4_pack,
+    "op5_shard": op5_shard,
+    "op8_quality_score": op8_quality_score,
+}
 ORACLE: dict[str, str] = {}
