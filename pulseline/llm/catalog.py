@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseline.llm import bpe, packing, quality_classifier, quality_rules, sharding
+from pulseline.llm import bpe, language_id, packing, quality_classifier, quality_rules, sharding
 from pulseline.llm.common import table
 
 
@@ -51,6 +51,15 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_manifest(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs)
+    found = docs.select("doc_id", (~language_id.learnable()).alias("held_out"),
+                        language_id.detect(F.col("text"), model).alias("p"))
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
 def op8_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -65,6 +74,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_pack": op4_pack,
     "op5_shard": op5_shard,
+    "op6_language": op6_language,
     "op8_quality_score": op8_quality_score,
 }
 ORACLE: dict[str, str] = {}
