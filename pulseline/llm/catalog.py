@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseline.llm import bpe, language_id, packing, quality_classifier, quality_rules, sharding
+from pulseline.llm import bpe, language_id, packing, quality_classifier, quality_rules, secrets, sharding
 from pulseline.llm.common import table
 
 
@@ -25,6 +25,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str,
             path: str = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")) -> DataFrame:
     """Encode and decode every document; digests of both."""
@@ -71,6 +78,7 @@ def op8_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_secrets": op2_secrets,
     "op3_bpe": op3_bpe,
     "op4_pack": op4_pack,
     "op5_shard": op5_shard,
