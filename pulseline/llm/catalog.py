@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseline.llm import bpe, language_id, packing, quality_classifier, quality_rules, secrets, sharding
+from pulseline.llm import (bpe, embedding_dedup, language_id, near_dedup, packing, quality_classifier,
+                           quality_rules, secrets, sharding)
 from pulseline.llm.common import table
 
 
@@ -67,6 +68,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share four fifths of their two-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), near_dedup.Params(words=2))
+
+
 def op8_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -76,6 +82,11 @@ def op8_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality_classifier.THRESHOLD).cast("int"))
 
 
+def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with cosine 0.9 or more."""
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secrets": op2_secrets,
@@ -83,6 +94,8 @@ QUERIES = {
     "op4_pack": op4_pack,
     "op5_shard": op5_shard,
     "op6_language": op6_language,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_quality_score": op8_quality_score,
+    "op9_embedding_links": op9_embedding_links,
 }
 ORACLE: dict[str, str] = {}
