@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseline.llm import (bpe, embedding_dedup, language_id, near_dedup, packing, quality_classifier,
+from pulseline.llm import (bpe, embedding_dedup, html_text, language_id, near_dedup, packing, quality_classifier,
                            quality_rules, secrets, sharding)
 from pulseline.llm.common import table
 
@@ -87,6 +87,13 @@ def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    texts = pages.select("page_id", "url", html_text.main_text(F.col("html"), html_text.fit(pages)).alias("text"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secrets": op2_secrets,
@@ -97,5 +104,6 @@ QUERIES = {
     "op7_near_duplicates": op7_near_duplicates,
     "op8_quality_score": op8_quality_score,
     "op9_embedding_links": op9_embedding_links,
+    "op10_main_text": op10_main_text,
 }
 ORACLE: dict[str, str] = {}
