@@ -1,0 +1,88 @@
+"""Secret scan against a plain version."""
+
+import re
+
+import pytest
+
+from pulseline.llm import secrets
+
+KINDS = [("assign", re.compile(r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 6),
+         ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20), ("hex", re.compile(r"[0-9a-f]+"), 0, 24)]
+
+
+def plain(text):
+    spans = []
+    for k, (name, pattern, group, least) in enumerate(KINDS):
+        spans += [(m.start(), k, m.end()) for m in pattern.finditer(text) if len(m.group(group)) >= least]
+    return ",".join(f"{KINDS[k][0]}:{a}:{b}" for a, k, b in sorted(spans))
+
+
+AKIA = "AKIA" + "ABCDEFGH12345678"
+IDENT = "ASIA" + "QWERTYUI23456789"
+BLOB = "aB3" * 12
+TEXTS = [
+    None, "", "nothing here", 'password = "abc123" and token:x1', "SECRET=token:abcdefgh", "é中 passwd: hunter22 é",
+    "secret=token:abcdefgh", "api_key='A+/_.=-' apikey=abcdef API_KEY=12345", AKIA, "AKIASHORT " + AKIA + "X",
+    "deadbeef" * 3, "deadbeef" * 2 + "dead", "0" * 5000, "token=" + "a" * 40 + " " + "f" * 30, ("password=secret99 " * 300),
+    IDENT, IDENT + " " + BLOB, IDENT + " x" * 200 + " " + BLOB, BLOB, "https://host.example/x " + AKIA + " " + BLOB,
+    "https://host.example/x " + AKIA, "password=abcdef at https://host.example/y",
+]
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    docs = spark.createDataFrame([(i, t, "x", i) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], "x", 3), (None, AKIA, "x", 0)],
+                                 "doc_id long, text string, spans string, row_id long")
+    return docs, secrets.find_secrets(docs).collect()
+
+
+def test_base_spans(found):
+    rows = found[1]
+    assert len(rows) == len(TEXTS) + 2
+    for r in rows:
+        text = AKIA if r.doc_id is None else TEXTS[r.doc_id] or ""
+        assert r.base_spans == plain(text)
+        for kind in ("assign", "access", "hex"):
+            assert r[f"n_{kind}"] == plain(text).count(kind + ":")
+        assert set(filter(None, r.base_spans.split(","))) <= set(r.spans.split(","))
+
+
+def kinds(found, text):
+    row = next(r for r in found[1] if r.doc_id == TEXTS.index(text))
+    return sorted({s.split(":")[0] for s in row.spans.split(",") if s})
+
+
+def test_weak_parts_need_their_complement(found):
+    assert kinds(found, IDENT) == [] and kinds(found, BLOB) == []
+    assert kinds(found, IDENT + " " + BLOB) == ["blob", "ident"]
+    assert kinds(found, IDENT + " x" * 200 + " " + BLOB) == []       # out of scope
+    assert kinds(found, "https://host.example/x " + AKIA + " " + BLOB) == ["access", "blob", "endpoint"]
+    assert kinds(found, "https://host.example/x " + AKIA) == ["access"]
+    assert kinds(found, "password=abcdef at https://host.example/y") == ["assign"]
+
+
+def test_masking(spark, found):
+    docs, rows = found
+    masked = secrets.mask_secrets(docs)
+    assert masked.columns == docs.columns
+    spans = {r.doc_id: r.spans for r in rows}
+    out = masked.collect()
+    assert len(out) == len(rows)
+    for r in out:
+        text, want, at = AKIA if r.doc_id is None else TEXTS[r.doc_id], "", 0
+        if not spans[r.doc_id]:
+            assert r.text == text
+            continue
+        for span in spans[r.doc_id].split(","):
+            a, b = map(int, span.split(":")[1:])
+            if a >= at:
+                want += text[at:a] + secrets.MASK
+            at = max(at, b)
+        assert r.text == want + text[at:]
+
+
+def test_empty_table_and_native_plan(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert secrets.find_secrets(docs).count() == 0 and secrets.mask_secrets(docs).count() == 0
+    plan = secrets.find_secrets(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
