@@ -164,8 +164,8 @@ def near_duplicate_vectors(df: DataFrame, key: str = "vec_id", vector: str = "em
     classes = staged(marks.filter("ok").groupBy("h1", "h2")
                           .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("w"), F.any_value("v").alias("v")), "vectors")
     total = classes.count()
-    count = int(np.clip(round(math.sqrt(total) / 14), 1, pivots))
-    size = int(np.clip(-(-total // count), 256, block))
+    count = min(pivots, max(1, round(math.sqrt(total) / 14)))
+    size = min(block, max(256, -(-total // count)))
 
     sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("v").toArrow().column("v").to_pylist()
     lengths: dict[int, list[bytes]] = {}
