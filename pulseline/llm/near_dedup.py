@@ -10,8 +10,10 @@ remaining pairs are confirmed on the full sets.
 Copies: documents with equal sets are one class from the start. In a band
 bucket every member is first compared with the bucket's smallest member only;
 members already connected need no comparison with each other, so later only
-pairs across components remain. No bucket is expanded into all its pairs,
-however many copies it holds, and no bucket is capped.
+members of different components remain. Small buckets pair those; in large ones
+the members outside the largest component are compared with all others block
+by block, and only links leave a task. So no bucket is expanded into all its
+pairs, however many copies it holds, and no bucket is capped.
 
 Defined results: a text without words (or null) has an empty set, size 0, and
 links with nothing. A row without id links with nothing, its component is
@@ -33,6 +35,12 @@ from pulseline.llm.components import connected_components
 from pulseline.llm.textstats import _LOWER, SLICE, word_bounds, word_hashes
 
 
+SMALL = 32               # members of a bucket whose components are simply paired
+BLOCK = 1_024            # members of a larger bucket compared at once
+COLUMNS = 4_096          # items counted at once
+FILTER_BITS = 1 << 23    # bits of the filter of candidate ids (1 MB)
+
+
 @dataclass(frozen=True)
 class Params:
     """Shingle length, similarity, band layout and register scale.
@@ -215,14 +223,127 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     return full.filter(100 * F.col("both") >= p.percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
 
 
+def _id_bits(ids: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter of the ids: ``FILTER_BITS`` bits, however many ids there are."""
+    h = F.xxhash64(column)
+    spots = F.array(*[F.shiftright(h, 20 * k).bitwiseAND(FILTER_BITS - 1) for k in range(3)])
+    words = (ids.select(F.explode(spots).alias("spot"))
+                .groupBy(F.shiftright("spot", 6).alias("word"))
+                .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("spot").bitwiseAND(63).cast("int"))).alias("bits"))
+                .toArrow())
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return np.unpackbits(out.view(np.uint8), bitorder="little")
+
+
+def _maybe_in(bits: np.ndarray, column: str) -> Column:
+    """False only for values that are not among the ids."""
+    packed = np.packbits(bits)
+
+    def run(hashes: pa.Array) -> pa.Array:
+        flags = np.unpackbits(packed)
+        h = hashes.to_numpy()
+        found = np.ones(len(h), bool)
+        for k in range(3):
+            found &= flags[(h >> (20 * k)) & (FILTER_BITS - 1)].astype(bool)
+        return pa.array(found)
+
+    return F.arrow_udf(run, "boolean")(F.xxhash64(column))
+
+
 def _sets_of(rows: DataFrame, members: DataFrame, p: Params) -> DataFrame:
-    """Full set, its size and the registers of the documents in ``members``."""
-    texts = (rows.join(members, F.col("doc_id") == F.col("rep"), "left_semi")
+    """Full set, its size and the registers of the documents in ``members``.
+
+    A Bloom filter of the ids spares most other texts the shuffle of the join.
+    """
+    some = rows.filter(_maybe_in(_id_bits(members, "rep"), "doc_id"))
+    texts = (some.join(members, F.col("doc_id") == F.col("rep"), "left_semi")
                  .dropDuplicates(["doc_id", "text"]))  # repeated rows; already together
     return (texts.select(F.col("doc_id").alias("rep"), _full_sets(F.col("text"), p).alias("s"))
                  .select("rep", (F.octet_length("s.items") / 8).cast("long").alias("n"), "s.items", "s.registers"))
 
 
+def block_links(sets: list[np.ndarray], component: np.ndarray, left: np.ndarray, right: np.ndarray,
+                percent: int) -> list[tuple[int, int]]:
+    """Pairs (i, j) of different components, i in ``left`` and j in ``right``, that
+    reach the similarity; of the pairs of one i with one component, one.
+
+    Items in one set alone cannot be shared, so only the others become columns
+    of the product that counts all intersections of the block.
+    """
+    size = np.array([len(s) for s in sets])
+    items, column = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    shared = np.bincount(column, minlength=len(items)) > 1
+    use = shared[column]
+    place = np.cumsum(shared) - 1
+    column, owner = place[column[use]], owner[use]
+    both = np.zeros((len(left), len(right)))
+    rank_l, rank_r = np.full(len(sets), -1), np.full(len(sets), -1)
+    rank_l[left], rank_r[right] = np.arange(len(left)), np.arange(len(right))
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        part = (column >= lo) & (column < lo + COLUMNS)
+        c, o = column[part] - lo, owner[part]
+        a = np.zeros((len(left), COLUMNS), np.float32)
+        b = np.zeros((len(right), COLUMNS), np.float32)
+        in_l, in_r = rank_l[o] >= 0, rank_r[o] >= 0
+        a[rank_l[o[in_l]], c[in_l]] = 1
+        b[rank_r[o[in_r]], c[in_r]] = 1
+        both += a @ b.T
+    union = size[left][:, None] + size[right][None, :] - both
+    i, j = np.nonzero((100 * both >= percent * union) & (component[left][:, None] != component[right][None, :]))
+    seen, out = set(), []
+    for x, y in zip(left[i].tolist(), right[j].tolist()):
+        if (x, component[y]) not in seen:
+            seen.add((x, component[y]))
+            out.append((x, y))
+    return out
+
+
+def _large_bucket_links(placed: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """Links across the components of large buckets (``a, b``).
+
+    Of each bucket the largest component is the ground, the other members are
+    guests. Guests meet guests and ground in blocks of at most ``BLOCK`` rows.
+    """
+    per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    ground = per.groupBy("bucket").agg(
+        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("rows")).select(
+        "bucket", F.col("top.component").alias("ground"),
+        F.ceil((F.col("rows") - F.col("top.n")) / BLOCK).alias("guests"), F.ceil(F.col("top.n") / BLOCK).alias("grounds"))
+    rows = placed.join(ground, "bucket").withColumn("guest", F.col("component") != F.col("ground"))
+    spread = F.xxhash64("rep")
+    own = F.when(F.col("guest"), F.pmod(spread, F.col("guests"))).otherwise(F.pmod(spread, F.col("grounds")))
+    rows = rows.withColumn("own", own)
+    # (lower guest block, other block, whether the other is ground)
+    to_guests = F.transform(F.sequence(F.lit(0).cast("long"), F.col("guests") - 1), lambda k: F.struct(
+        F.least(k, "own").alias("i"), F.greatest(k, "own").alias("j"), F.lit(False).alias("g")))
+    to_ground = F.transform(F.sequence(F.lit(0).cast("long"), F.col("grounds") - 1), lambda k: F.struct(
+        F.col("own").alias("i"), k.alias("j"), F.lit(True).alias("g")))
+    from_ground = F.transform(F.sequence(F.lit(0).cast("long"), F.col("guests") - 1), lambda k: F.struct(
+        k.alias("i"), F.col("own").alias("j"), F.lit(True).alias("g")))
+    tasks = F.when(F.col("guest"), F.concat(to_guests, to_ground)).otherwise(from_ground)
+    copies = (rows.select("bucket", "rep", "component", "guest", "own", F.explode(tasks).alias("t"))
+                  .select("bucket", "t.*", "rep", "component", "guest", "own")
+                  .join(sets.select("rep", "items"), "rep"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        rep = group.column("rep").to_numpy()
+        rep, first = np.unique(rep, return_index=True)
+        guest, own = group.column("guest").to_numpy()[first], group.column("own").to_numpy()[first]
+        items = group.column("items").take(pa.array(first)).to_pylist()
+        i, ground_task = group.column("i")[0].as_py(), group.column("g")[0].as_py()
+        left = np.flatnonzero(guest & (own == i))
+        right = np.flatnonzero(~guest) if ground_task else np.flatnonzero(guest)
+        found = block_links([np.frombuffer(x, np.uint64) for x in items],
+                            group.column("component").to_numpy()[first], left, right, p.percent)
+        return pa.table({"a": pa.array([rep[x] for x, _ in found], pa.int64()),
+                         "b": pa.array([rep[y] for _, y in found], pa.int64())})
+
+    return copies.groupBy("bucket", "i", "j", "g").applyInArrow(meet, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, params: Params = Params(), key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
@@ -247,17 +368,20 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), key: str = "doc_
 
     links = staged(_confirmed(stars, sets, p), "links")
     found = connected_components(links)
-    # buckets whose members are not all connected yet: pairs across components
+    # buckets whose members are not all connected yet
     placed = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    open_ = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                   .filter("lo < hi").select("bucket"))
-    placed = staged(placed.join(open_, "bucket", "left_semi"), "open")
-    x = placed.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"))
-    y = placed.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"))
+    open_ = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                          F.count(F.lit(1)).alias("size"))
+                   .filter("lo < hi").select("bucket", "size"))
+    placed = staged(placed.join(open_, "bucket"), "open")
+    small = placed.filter(F.col("size") <= SMALL)
+    x = small.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"))
+    y = small.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"))
     across = (x.join(y, "bucket").filter("ca <> cb and a < b").select("a", "b").distinct()
                .join(stars, ["a", "b"], "left_anti"))
-    more = staged(_confirmed(across, sets, p), "links")
+    large = _large_bucket_links(placed.filter(F.col("size") > SMALL).drop("size"), sets, p)
+    more = staged(_confirmed(across, sets, p).unionByName(large), "links")
     found = connected_components(links.unionByName(more))
 
     groups = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(

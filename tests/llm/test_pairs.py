@@ -173,3 +173,31 @@ def test_vectors_without_id_and_repeated(spark):
     got = sorted(((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicate_vectors(df).collect()))
     assert got == [(0, 0, None, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
     assert embedding_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
+
+
+def test_block_links_equal_brute_force():
+    rng = random.Random(3)
+    base = list(range(60))
+    sets = [np.array(sorted(set(rng.sample(base, rng.randint(44, 60)) + [rng.randrange(10**6) for _ in range(rng.randint(0, 9))])), np.uint64)
+            for _ in range(50)]
+    component = np.array([rng.randrange(6) for _ in sets])
+    left, right = np.arange(0, 20), np.arange(10, 50)
+    found = near_dedup.block_links(sets, component, left, right, 80)
+    want = {(i, component[j]) for i in left for j in right if component[i] != component[j]
+            and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    assert {(i, component[j]) for i, j in found} == want and len(found) == len(want) > 5
+
+
+@pytest.mark.parametrize("small, block", [(2, 7), (2, 1024), (10_000, 1024)])
+def test_bucket_paths_agree(spark, monkeypatch, small, block):
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng = random.Random(6)
+    base, texts = [f"w{i}" for i in range(90)], {}
+    for i in range(130):
+        words = list(base)
+        for _ in range(rng.randint(1, 9)):
+            words[rng.randrange(90)] = f"c{rng.randrange(400)}"
+        texts[i] = " ".join(words)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check_groups(near_dedup.near_duplicates(df, near_dedup.Params(words=2)).collect(), texts, 2)
