@@ -4,6 +4,7 @@
   encoded → topic (parquet folder or Kafka); rejects to dead letters.
 * ``process`` — topic → dead letters, new raw events, per-batch session KPIs.
 * ``replay``  — a backlog folder through the same processing, into the same tables.
+* ``recover`` — retained dead letters that decode now, into the same tables.
 
 Ingest and processing run as separate applications from the same code base,
 each with its own checkpoint. ``--once`` drains what is available and stops
@@ -57,7 +58,16 @@ def _process(spark, args):
 def _replay(spark, args):
     from pulseline.streaming.processor import Layout
     from pulseline.streaming.replay import replay
-    return replay(spark, args.backlog, Layout(args.out), slices_per_trigger=args.max_files)
+    return replay(spark, args.backlog, Layout(args.out), args.backlog_id,
+                  slices_per_trigger=args.max_files, checkpoint=args.checkpoint)
+
+
+def _recover(spark, args):
+    from pulseline.streaming.processor import Layout
+    from pulseline.streaming.replay import recover_dead_letters
+    layout = Layout(args.out)
+    dead = spark.read.parquet(args.dead_letters or layout.dead_letters)
+    recover_dead_letters(dead, layout, args.run_id, args.retention_days).show(truncate=False)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -90,14 +100,22 @@ def parser() -> argparse.ArgumentParser:
     rep = sub.add_parser("replay", help="backlog folder -> same tables as process")
     rep.add_argument("--backlog", required=True)
     rep.add_argument("--out", required=True)
+    rep.add_argument("--backlog-id", required=True, help="name of this backlog, one per outage")
+    rep.add_argument("--checkpoint", default=None)
     rep.add_argument("--max-files", type=int, default=4)
+
+    rec = sub.add_parser("recover", help="retained dead letters -> same tables as process")
+    rec.add_argument("--out", required=True)
+    rec.add_argument("--dead-letters", default=None, help="default: the folder under --out")
+    rec.add_argument("--run-id", required=True)
+    rec.add_argument("--retention-days", type=int, default=7)
     return p
 
 
 def main(argv=None):
     args = parser().parse_args(argv)
     spark = get_spark(app=f"pulseline-{args.job}")
-    q = {"publish": _publish, "process": _process, "replay": _replay}[args.job](spark, args)
+    q = {"publish": _publish, "process": _process, "replay": _replay, "recover": _recover}[args.job](spark, args)
     if q is not None and getattr(q, "isActive", False):
         q.awaitTermination()
     return q

@@ -97,7 +97,7 @@ def decode_binary(df: DataFrame, payload_col: str = "value", spread: bool = Fals
                 except Exception as exc:  # DecodeError and friends
                     for name in cols:
                         cols[name].append(None)
-                    errors.append(type(exc).__name__ + ": " + str(exc)[:200])
+                    errors.append(type(exc).__name__ + ": " + str(exc))
                     continue
                 for name in cols:
                     cols[name].append(getattr(m, name))

@@ -38,7 +38,7 @@ def millis_to_ts(col) -> Column:
 def ts_to_millis(col) -> Column:
     """Event time → epoch milliseconds, flooring sub-millisecond parts (FN-2)."""
     micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(col))
-    return ((micros - F.pmod(micros, F.lit(1000))) / F.lit(1000)).cast("bigint")
+    return F.call_function("div", micros - F.pmod(micros, F.lit(1000)), F.lit(1000).cast("bigint"))
 
 
 def normalize_device_fields(df: DataFrame,
@@ -81,4 +81,4 @@ def seconds_to_ms(col) -> Column:
 
 def nanos_to_whole_ms(col) -> Column:
     """Nanoseconds → whole milliseconds, truncating (as a duration is read)."""
-    return F.floor(_c(col) / F.lit(1_000_000)).cast("bigint")
+    return F.call_function("div", _c(col), F.lit(1_000_000).cast("bigint"))

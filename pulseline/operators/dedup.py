@@ -5,13 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many distinct probe ids the semi-join against the stored table
-# runs as a shuffle join instead of broadcasting the probe ids. Ids are at
-# most 64 characters (the raw table's bound, enforced before the lookup in
-# the stream), so the broadcast stays under ~80 MB.
-DEFAULT_BROADCAST_ID_LIMIT = 1_000_000
-
-
 def dedup_events(df: DataFrame, key: str = "event_id",
                  arrival: str = "arrival_seq") -> DataFrame:
     """Keep the first arrival of every ``key`` (AGG-1).
@@ -35,75 +28,44 @@ def merge_replay(live: DataFrame, backlog: DataFrame, key: str = "event_id",
     return dedup_events(live.unionByName(backlog), key, arrival)
 
 
-def _stored_hits(stored_ids: DataFrame, probe_ids: DataFrame, key: str,
-                 broadcast_limit: int | None, probe_size_bound: int | None = None,
-                 probe_unique: bool = False, distinct_hits: bool = True) -> DataFrame:
+def _stored_hits(stored_ids: DataFrame, probe_ids: DataFrame, key: str) -> DataFrame:
     """Stored ids that occur among the probe ids, scanning only the key column.
 
-    When the number of distinct probe ids is proven to be at most
-    ``broadcast_limit`` — by a caller-supplied upper bound (e.g. the row count
-    of a persisted batch) or else by a bounded count — the probe ids are
-    broadcast, so the (large) stored table is filtered where it lies and
-    never shuffled. Otherwise both sides are shuffled on the key.
-    ``probe_unique`` / ``distinct_hits=False`` skip ``distinct`` shuffles the
-    caller does not need (ids already unique; hits only feed an anti-join).
+    A semi-join: Spark broadcasts the probe ids where their measured size is
+    under its broadcast threshold (at run time, with adaptive execution), and
+    shuffles both sides on the key otherwise.
     """
-    probe = probe_ids.select(key)
-    if not probe_unique:
-        probe = probe.distinct()
-    small = False
-    if broadcast_limit is not None:
-        if probe_size_bound is not None and probe_size_bound <= broadcast_limit:
-            small = True
-        else:
-            small = probe.limit(broadcast_limit + 1).count() <= broadcast_limit
-        if small:
-            probe = F.broadcast(probe)
-    hits = stored_ids.select(key).join(probe, key, "left_semi")
-    hits = hits.distinct() if distinct_hits else hits
-    # hits are a subset of the probe ids: small whenever the probe is
-    return F.broadcast(hits) if small else hits
+    return stored_ids.select(key).join(probe_ids.select(key), key, "left_semi")
 
 
 def append_new_events(batch: DataFrame, stored: DataFrame | None, key: str = "event_id",
-                      arrival: str = "arrival_seq",
-                      broadcast_limit: int | None = DEFAULT_BROADCAST_ID_LIMIT,
-                      batch_rows: int | None = None) -> DataFrame:
+                      arrival: str = "arrival_seq") -> DataFrame:
     """Rows of ``batch`` the raw table does not hold yet (SNK-2, JN-1).
 
     In-batch duplicates keep their first arrival, then ids already stored are
     skipped (``ON CONFLICT DO NOTHING``): the first stored row wins.
-    ``batch_rows``, when known, bounds the number of distinct ids.
     """
     fresh = dedup_events(batch, key, arrival)
     if stored is None:
         return fresh
-    # ids of ``fresh`` are unique; duplicate hits do not change an anti-join
-    hits = _stored_hits(stored, fresh, key, broadcast_limit, batch_rows,
-                        probe_unique=True, distinct_hits=False)
+    # the probe needs no first arrivals, only ids: distinct on the narrow column
+    hits = _stored_hits(stored, batch.select(key).distinct(), key)
     return fresh.join(hits, key, "left_anti")
 
 
-def exists_by_event_id(probe: DataFrame, stored: DataFrame, key: str = "event_id",
-                       broadcast_limit: int | None = DEFAULT_BROADCAST_ID_LIMIT) -> DataFrame:
+def exists_by_event_id(probe: DataFrame, stored: DataFrame, key: str = "event_id") -> DataFrame:
     """Probe rows with a boolean ``exists`` column (JN-2)."""
-    hits = _stored_hits(stored, probe, key, broadcast_limit).withColumn("exists", F.lit(True))
+    hits = _stored_hits(stored, probe, key).distinct().withColumn("exists", F.lit(True))
     return (probe.join(hits, key, "left")
                  .withColumn("exists", F.coalesce(F.col("exists"), F.lit(False))))
 
 
-def events_by_id(stored: DataFrame, ids, key: str = "event_id",
-                 broadcast_limit: int | None = DEFAULT_BROADCAST_ID_LIMIT) -> DataFrame:
+def events_by_id(stored: DataFrame, ids, key: str = "event_id") -> DataFrame:
     """Stored rows with the given ids (FLT-7).
 
     A Python list becomes an ``IN`` filter that reaches the parquet scan; a
-    DataFrame of ids becomes a semi-join, with the distinct ids broadcast when
-    a bounded count proves them small, so the stored table is not shuffled.
+    DataFrame of ids becomes a semi-join.
     """
     if isinstance(ids, DataFrame):
-        probe = ids.select(key).distinct()
-        if broadcast_limit is not None and \
-                probe.limit(broadcast_limit + 1).count() <= broadcast_limit:
-            probe = F.broadcast(probe)
-        return stored.join(probe, key, "left_semi")
+        return stored.join(ids.select(key), key, "left_semi")
     return stored.filter(F.col(key).isin(list(ids)))

@@ -11,7 +11,7 @@ Request log schema: ``request_id, received_at (timestamp_ntz), latency_ns
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseline.functions.scalars import nanos_to_whole_ms, safe_ratio, seconds_to_ms
@@ -34,21 +34,25 @@ def _window(ts: str, window: str, slide: str | None):
     return F.window(ts, window, slide) if slide else F.window(ts, window)
 
 
-def ingest_summary(decoded: DataFrame, stored_new: DataFrame | None = None) -> DataFrame:
+def ingest_summary(decoded: DataFrame, with_stored: bool = False,
+                   key: str = "event_id") -> DataFrame:
     """consumed / ok / dead-lettered counts of a decode result (AGG-10).
 
-    With ``stored_new`` (rows appended to the raw table) also the number of
-    duplicates the table absorbed.
+    ``with_stored`` adds the rows a raw table without earlier rows takes (one
+    per id) and the duplicates it absorbs. Rows are counted per (outcome, id)
+    first, so the input is decoded once and a frequent id is one counter.
     """
-    summary = decoded.agg(
-        F.count(F.lit(1)).alias("consumed"),
-        F.count_if(F.col("decode_error").isNull()).alias("ok"),
-        F.count_if(F.col("decode_error").isNotNull()).alias("dead_lettered"))
-    if stored_new is None:
-        return summary
-    stored = stored_new.agg(F.count(F.lit(1))).scalar()  # scalar subquery
-    return (summary.withColumn("stored_new", stored)
-                   .withColumn("duplicates", F.col("ok") - F.col("stored_new")))
+    ok = F.col("decode_error").isNull()
+    if not with_stored:
+        return decoded.agg(F.count(F.lit(1)).alias("consumed"), F.count_if(ok).alias("ok"),
+                           F.count_if(~ok).alias("dead_lettered"))
+    per_id = (decoded.select(ok.alias("__ok"), F.when(ok, F.col(key)).alias("__id"))
+                     .groupBy("__ok", "__id").agg(F.count(F.lit(1)).alias("__n")))
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("__n"))), F.lit(0))
+    return per_id.agg(total(F.lit(True)).alias("consumed"), total(F.col("__ok")).alias("ok"),
+                      total(~F.col("__ok")).alias("dead_lettered"),
+                      F.count_if(F.col("__ok")).alias("stored_new")).withColumn(
+                          "duplicates", F.col("ok") - F.col("stored_new"))
 
 
 def dead_letters_by_reason(dead: DataFrame) -> DataFrame:
@@ -119,45 +123,73 @@ def sla_breaches(log: DataFrame, threshold_ms: int = SLA_BREACH_MS) -> DataFrame
                .select("request_id", "received_at", "latency_ms"))
 
 
-# Above this many distinct latencies in one period the exact percentile's
-# value→count map is not held in one task; the sketch is used instead.
-EXACT_PERCENTILE_DISTINCT_LIMIT = 1_000_000
+# Bits of the value that each step of ``exact_quantile`` settles: a step looks
+# at no more than 2**_DIGIT counters per group and target.
+_DIGIT = 16
+_LEVELS = (32, 16, 0)
 
 
-def sla_report(log: DataFrame, period: str = "1 day", exact="auto",
-               p99_limit_ms: float = P99_LIMIT_MS,
-               error_limit: float = ERROR_RATE_LIMIT, accuracy: int = 10000,
-               exact_distinct_limit: int = EXACT_PERCENTILE_DISTINCT_LIMIT) -> DataFrame:
+def exact_quantile(df: DataFrame, key: str, value: str, q: float) -> DataFrame:
+    """``key, low, high, weight``: the two values around the ``q`` quantile of each group.
+
+    Exact at any size and without holding a group's values in one task. The
+    rows become counters per (group, value); then the value of each wanted
+    rank is narrowed down digit by digit: counters are summed per leading
+    digits, a running sum over those few sums finds the one that holds the
+    rank, and only its values go on. The interpolated quantile is
+    ``low + (high - low) * weight`` (as SQL ``quantile_cont``). Null values
+    are ignored.
+    """
+    counts = (df.filter(F.col(value).isNotNull())
+                .groupBy(F.col(key).alias("__k"), F.col(value).cast("bigint").alias("__v"))
+                .agg(F.count(F.lit(1)).alias("__n")))
+    place = (F.col("__total") - 1) * F.lit(q)
+    low = F.floor(place)
+    wanted = (counts.groupBy("__k").agg(F.sum("__n").alias("__total"))
+              .select("__k", (place - low).alias("__w"), F.posexplode(F.array(
+                  low, F.least(low + 1, F.col("__total") - 1))).alias("__which", "__rank")))
+    parent = F.lit(0).cast("bigint")  # nothing settled yet
+    wanted = wanted.withColumn("__parent", parent)
+    for level, shift in enumerate(_LEVELS):
+        prefix = F.shiftright("__v", shift)
+        above = parent if level == 0 else F.shiftright("__v", shift + _DIGIT)
+        live = counts.withColumns({"__prefix": prefix, "__parent": above})
+        if level:
+            live = live.join(wanted.select("__k", "__parent").distinct(), ["__k", "__parent"], "left_semi")
+        sums = live.groupBy("__k", "__parent", "__prefix").agg(F.sum("__n").alias("__n"))
+        upto = (Window.partitionBy("__k", "__which").orderBy("__prefix")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        found = sums.join(wanted, ["__k", "__parent"]).withColumn("__upto", F.sum("__n").over(upto))
+        inside = (F.col("__upto") > F.col("__rank")) & (F.col("__upto") - F.col("__n") <= F.col("__rank"))
+        wanted = found.filter(inside).select(
+            "__k", "__w", "__which", (F.col("__rank") - F.col("__upto") + F.col("__n")).alias("__rank"),
+            F.col("__prefix").alias("__parent"))
+    value_of = lambda which: F.max(F.when(F.col("__which") == which, F.col("__parent")))
+    return wanted.groupBy(F.col("__k").alias(key)).agg(
+        value_of(0).alias("low"), value_of(1).alias("high"), F.max("__w").alias("weight"))
+
+
+def sla_report(log: DataFrame, period: str = "1 day", p99_limit_ms: float = P99_LIMIT_MS,
+               error_limit: float = ERROR_RATE_LIMIT) -> DataFrame:
     """Service-level report per period (AGG-17, AGG-18).
 
     requests / ok / errors, sent/s and ok/s over the period, error rate, p99
-    latency and pass flags against the limits.
-
-    p99: ``exact=True`` uses ``percentile`` (linear interpolation, equal to
-    SQL ``quantile_cont``); its buffer is a value→count map merged map-side,
-    so its size follows the number of distinct latencies in a period, not the
-    number of rows. ``exact=False`` uses the mergeable ``percentile_approx``
-    sketch (bounded memory, rank error ≤ 1/accuracy). ``"auto"`` first
-    measures the distinct latencies per period with HyperLogLog (one cheap
-    pass) and stays exact only when every period is below
-    ``exact_distinct_limit``.
+    latency (linear interpolation, equal to SQL ``quantile_cont``, by
+    ``exact_quantile``) and pass flags against the limits.
     """
     secs = float(_seconds(period))
-    lat_ms = F.col("latency_ns") / F.lit(1e6)
-    w = F.window("received_at", period).alias("w")
-    if exact == "auto":
-        worst = (log.groupBy(w).agg(F.approx_count_distinct("latency_ns").alias("d"))
-                    .agg(F.max("d")).first()[0])
-        exact = worst is None or worst <= exact_distinct_limit
-    p99 = (F.percentile(lat_ms, 0.99) if exact
-           else F.percentile_approx(lat_ms, 0.99, accuracy)).alias("p99_latency_ms")
-    agg = log.groupBy(w).agg(
+    w = F.window("received_at", period)
+    agg = log.groupBy(w.alias("w")).agg(
         F.count(F.lit(1)).alias("requests"),
         F.count_if(~F.col("error")).alias("ok"),
-        F.count_if(F.col("error")).alias("errors"), p99)
+        F.count_if(F.col("error")).alias("errors")).withColumn("period_start", F.col("w.start"))
+    parts = exact_quantile(log.select(w.getField("start").alias("period_start"), "latency_ns"),
+                           "period_start", "latency_ns", 0.99)
+    low, high = F.col("low") / F.lit(1e6), F.col("high") / F.lit(1e6)
+    p99 = parts.select("period_start", (low + (high - low) * F.col("weight")).alias("p99_latency_ms"))
     rate = safe_ratio(F.col("errors").cast("double"), F.col("requests").cast("double"))
-    return agg.select(
-        F.col("w.start").alias("period_start"), F.col("w.end").alias("period_end"),
+    return agg.join(p99, "period_start", "left").select(
+        "period_start", F.col("w.end").alias("period_end"),
         "requests", "ok", "errors", rate.alias("error_rate"), "p99_latency_ms",
         (F.col("requests") / F.lit(secs)).alias("sent_per_s"),
         (F.col("ok") / F.lit(secs)).alias("ok_per_s"),
@@ -176,24 +208,15 @@ def overflow_alerts(rejected: DataFrame, ts: str = "received_at",
                        F.col("w.end").alias("window_end"), "rejected"))
 
 
-def publish_summary(accepted: DataFrame, rejected: DataFrame,
-                    replayed: DataFrame | None = None) -> DataFrame:
+def publish_summary(classified: DataFrame, replayed: DataFrame | None = None) -> DataFrame:
     """accepted / rejected / replayed / published counts of a publish run (AGG-19).
 
-    Computed as one aggregate over a tagged union (one scan of each input,
-    one single-row result). Shedding, breaker activations and drops cannot
-    happen in a batch job and are not reported.
+    ``classified`` holds all requests with their ``reason`` (null = accepted),
+    so they are decoded once; replayed rows are counted in a scalar subquery.
+    Shedding, breaker activations and drops cannot happen in a batch job and
+    are not reported.
     """
-    parts = [accepted.select(F.lit("accepted").alias("__k")),
-             rejected.select(F.lit("rejected").alias("__k"))]
-    if replayed is not None:
-        parts.append(replayed.select(F.lit("replayed").alias("__k")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    k = F.col("__k")
-    return u.agg(
-        F.count_if(k == "accepted").alias("accepted"),
-        F.count_if(k == "rejected").alias("rejected"),
-        F.count_if(k == "replayed").alias("replayed"),
-        F.count_if(k != "rejected").alias("published"))
+    again = F.lit(0).cast("bigint") if replayed is None else replayed.agg(F.count(F.lit(1))).scalar()
+    out = classified.agg(F.count_if(F.col("reason").isNull()).alias("accepted"),
+                         F.count_if(F.col("reason").isNotNull()).alias("rejected"))
+    return out.withColumn("replayed", again).withColumn("published", F.col("accepted") + F.col("replayed"))

@@ -1,8 +1,8 @@
 """Registered queries: name → ``fn(spark, sf_dir) -> DataFrame``.
 
 Each query reads the driver tables of ``sf_dir`` (whole tables; derived
-inputs come from ``fixtures``) and returns a lazy DataFrame. Doubles are
-rounded at the end (``fixtures.ROUND``) so the result compares exactly with
+inputs come from ``fixtures``). The DataFrame it returns is lazy; building it
+may write derived tables and run streaming jobs first. Doubles are rounded at the end (``fixtures.ROUND``) so the result compares exactly with
 the SQL oracle, whose summation order differs.
 """
 
@@ -19,7 +19,8 @@ from pulseline.operators import dedup, kpi, partitioning, quarantine, reports
 from pulseline.plans import fixtures as fx
 from pulseline.plans.streams import STREAM_QUERIES
 from pulseline.schemas import HEARTBEAT_COLUMNS
-from pulseline.sources.json_source import decode_json
+from pulseline.session import scratch_path
+from pulseline.sources.json_source import decode_json, read_json_heartbeats
 
 ROUND = fx.ROUND
 KPI_ROUNDING = {"avg_vst_ms": ROUND["ms"], "pfr": ROUND["rate"],
@@ -61,17 +62,14 @@ def q_dedup_events(spark, sf_dir):
 
 
 def q_append_new_events(spark, sf_dir):
-    hb = _hb(spark, sf_dir).select(*_DEDUP_COLS)
-    stored, batch = fx.stored_split(hb)
+    batch = fx.new_events(spark, sf_dir).select(*_DEDUP_COLS)
     batch = batch.unionByName(fx.redelivered(batch))
-    return dedup.append_new_events(batch, stored)
+    return dedup.append_new_events(batch, fx.stored_events(spark, sf_dir))
 
 
 def q_exists_by_event_id(spark, sf_dir):
-    hb = _hb(spark, sf_dir)
-    stored, _ = fx.stored_split(hb)
-    probe = hb.select("event_id", "arrival_seq")
-    return dedup.exists_by_event_id(probe, stored)
+    probe = _hb(spark, sf_dir).select("event_id", "arrival_seq")
+    return dedup.exists_by_event_id(probe, fx.stored_events(spark, sf_dir))
 
 
 def _json_decoded(spark, sf_dir):
@@ -91,6 +89,14 @@ def q_validate_accept(spark, sf_dir):
     return accepted.select("request_id", "timestamp_ms", *HEARTBEAT_COLUMNS)
 
 
+def q_json_files(spark, sf_dir):
+    """Accepted requests of the log as JSON text files, one document per line (SRC-1)."""
+    path = scratch_path(spark, "json-files")
+    fx.request_table(spark, sf_dir).select("body").write.text(path)
+    accepted, _ = quarantine.split_valid(decode_json(read_json_heartbeats(spark, path)))
+    return accepted.select("timestamp_ms", *HEARTBEAT_COLUMNS)
+
+
 def q_validate_reject(spark, sf_dir):
     _, rejected = quarantine.split_valid(_json_decoded(spark, sf_dir))
     return rejected.select("request_id", "event_id", "reason", "violations")
@@ -122,11 +128,7 @@ def q_session_kpis_accepted(spark, sf_dir):
 
 
 def q_ingest_summary(spark, sf_dir):
-    decoded = _topic_decoded(spark, sf_dir)
-    good, _ = split_decoded(decoded)
-    stored_new = dedup.append_new_events(
-        good.select(F.col("offset").alias("arrival_seq"), *HEARTBEAT_COLUMNS), None)
-    return reports.ingest_summary(decoded, stored_new)
+    return reports.ingest_summary(_topic_decoded(spark, sf_dir), with_stored=True)
 
 
 # ---------------------------------------------------------------- partitioning
@@ -138,6 +140,12 @@ def q_partition_load(spark, sf_dir):
     return partitioning.partition_load(_hb(spark, sf_dir))
 
 
+def q_session_order(spark, sf_dir):
+    """Events by topic partition, session and publish order (ORD-1)."""
+    ordered = partitioning.order_by_session(_hb(spark, sf_dir))
+    return ordered.select("partition_id", "session_id", "event_id", "ts", "arrival_seq")
+
+
 # ---------------------------------------------------------------- operational reports
 def q_ingestion_rate(spark, sf_dir):
     return _round(reports.ingestion_rate(_hb(spark, sf_dir), "ts", "1 minute"),
@@ -171,7 +179,7 @@ def q_sla_breaches(spark, sf_dir):
 
 
 def q_sla_report(spark, sf_dir):
-    return _round(reports.sla_report(_log(spark, sf_dir), "1 day", exact="auto"),
+    return _round(reports.sla_report(_log(spark, sf_dir), "1 day"),
                   {"error_rate": ROUND["rate"], "p99_latency_ms": ROUND["ms"],
                    "sent_per_s": ROUND["rate"], "ok_per_s": ROUND["rate"]})
 
@@ -190,19 +198,18 @@ def q_overflow_alerts(spark, sf_dir):
 
 
 def q_publish_summary(spark, sf_dir):
-    accepted, rejected = quarantine.split_valid(_json_decoded(spark, sf_dir))
-    replayed = fx.outage_backlog(_hb(spark, sf_dir))
-    return reports.publish_summary(accepted, rejected, replayed)
+    classified = quarantine.classify_requests(_json_decoded(spark, sf_dir))
+    return reports.publish_summary(classified, fx.outage_backlog(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- backlog
 def q_backlog_slice(spark, sf_dir):
-    backlog = fx.outage_backlog(_hb(spark, sf_dir)).select(*_DEDUP_COLS)
+    backlog = fx.outage_backlog(spark, sf_dir).select(*_DEDUP_COLS)
     return bl.backlog_slice(backlog, bl.REPLAY_SLICE)
 
 
 def q_backlog_report(spark, sf_dir):
-    return bl.backlog_report(fx.outage_backlog(_hb(spark, sf_dir)), bl.BACKLOG_CAPACITY)
+    return bl.backlog_report(fx.outage_backlog(spark, sf_dir), bl.BACKLOG_CAPACITY)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -216,12 +223,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_by_id": q_events_by_id,
     "validate_accept": q_validate_accept,
     "validate_reject": q_validate_reject,
+    "json_files": q_json_files,
     "decode_roundtrip": q_decode_roundtrip,
     "dead_letters_by_reason": q_dead_letters_by_reason,
     "ingest_summary": q_ingest_summary,
     "session_kpis_accepted": q_session_kpis_accepted,
     "session_partition_id": q_session_partition_id,
     "partition_load": q_partition_load,
+    "session_order": q_session_order,
     "ingestion_rate": q_ingestion_rate,
     "ingestion_rate_sliding": q_ingestion_rate_sliding,
     "throughput_compare": q_throughput_compare,

@@ -9,8 +9,8 @@ together cover it (stored vs. new batch, live vs. outage backlog). Faulty
 records are produced by rewriting rows chosen by the event's ``k`` property
 (0…99), never by dropping rows, so each fault class is about 1 % of the rows
 and grows with the data. The topic and request-log tables are written once
-per session under the shared checkpoint folder and read back, as stored
-data would be.
+per session and input files under the shared checkpoint folder and read back,
+as stored data would be.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ K_MALFORMED_JSON = 9      # JSON: document cut short
 K_UNKNOWN_FIELD = 10      # JSON: extra key, playerVersion omitted (accepted)
 K_NULL_PAYLOAD = 11       # binary: null payload
 K_EMPTY_PAYLOAD = 12      # binary: empty payload (a valid all-default message)
+K_UNSTORED = 13           # dead-letter run only: decoded, but the store failed
 
 # Fixed values — decimal places of doubles in registered query results (ms
 # values, rates, ratios). Inputs carry 2 decimals, so a mean over n events
@@ -48,7 +49,6 @@ K_EMPTY_PAYLOAD = 12      # binary: empty payload (a valid all-default message)
 ROUND = {"ms": 9, "rate": 9, "ratio": 12}
 
 # Fixed values — replay copy and stored/new split.
-REDELIVERY_OFFSET = 1_000_000_000   # offset shift of the redelivered copy
 REDELIVERY_VST_DELTA = 1.0          # the copy carries a refreshed reading
 STORED_BEFORE = "2024-01-16 00:00:00"
 BATCH_FROM = "2024-01-10 00:00:00"
@@ -64,27 +64,53 @@ def fault_key(ev: DataFrame) -> Column:
     return F.get_json_object(ev["props"], "$.k").cast("int")
 
 
-def heartbeats(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
-    """Heartbeat rows of the whole ``events`` table (optionally with ``fault_key``)."""
+def heartbeats(spark: SparkSession, sf_dir: str, with_key: bool = False,
+               since: str | None = None, until: str | None = None) -> DataFrame:
+    """Heartbeat rows of the ``events`` table (optionally with ``fault_key``).
+
+    ``since`` / ``until`` (exclusive) bound the event time in whole seconds;
+    they filter the table's own column, so they reach the scan.
+    """
     ev = events(spark, sf_dir)
+    bound = lambda text: F.lit(text).cast(ev.schema["ts"].dataType)
+    if since:
+        ev = ev.filter(F.col("ts") >= bound(since))
+    if until:
+        ev = ev.filter(F.col("ts") < bound(until))
     return heartbeats_from_events(ev, {"fault_key": fault_key(ev)} if with_key else None)
 
 
-def stored_split(hb: DataFrame):
-    """(already stored, new batch): events before / from two overlapping cut-offs."""
-    stored = hb.filter(F.col("ts") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
-    batch = hb.filter(F.col("ts") >= F.lit(BATCH_FROM).cast("timestamp_ntz"))
-    return stored, batch
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the events that is stored already."""
+    return heartbeats(spark, sf_dir, until=STORED_BEFORE)
+
+
+def new_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new batch; it overlaps the stored part."""
+    return heartbeats(spark, sf_dir, since=BATCH_FROM)
 
 
 def redelivered(hb: DataFrame) -> DataFrame:
-    """A second delivery of every event, later offsets, refreshed VST."""
+    """A second delivery of every event: offsets after all first ones, refreshed VST."""
+    last = hb.agg(F.max("arrival_seq")).scalar()  # scalar subquery
     return hb.withColumns({
-        "arrival_seq": F.col("arrival_seq") + F.lit(REDELIVERY_OFFSET),
+        "arrival_seq": F.col("arrival_seq") + F.lit(1) + last,
         "video_start_time_ms": F.col("video_start_time_ms") + F.lit(REDELIVERY_VST_DELTA),
     })
 
 
+def closing_record(hb: DataFrame) -> DataFrame:
+    """One record a month after the last event, which lets the watermark close all windows."""
+    after = hb.agg(F.max("ts")).scalar() + F.expr("INTERVAL 30 DAYS")
+    row = hb.sparkSession.range(1).select(
+        *[F.lit("closing-record").alias(c) for c in ("event_id", "session_id", "client_id", "content_id")],
+        *[F.lit(0.0).alias(c) for c in ("video_start_time_ms", "rebuffer_duration_ms", "playback_duration_ms")],
+        F.lit(False).alias("playback_failed"), after.alias("ts"),
+        *[F.lit("").alias(c) for c in ("player_version", "os", "cdn")],
+        F.lit(None).cast("bigint").alias("arrival_seq"), F.lit(-1).alias("fault_key"))
+    return topic_records(row, with_redelivery=False, with_faults=False)
+
+
 def json_requests(hbk: DataFrame) -> DataFrame:
     """JSON request log ``request_id, received_at, body`` with the JSON fault classes."""
     k = F.col("fault_key")
@@ -127,9 +153,12 @@ def topic_records(hbk: DataFrame, with_redelivery: bool = True,
     """Topic records (key, value, partition, offset, timestamp) with the binary faults.
 
     ``offset`` is the global delivery sequence. With ``with_redelivery`` every
-    event is delivered a second time at a later offset (at-least-once replay).
+    event is delivered a second time at a later offset (at-least-once replay);
+    ``delivery`` tells the first (0) from the second (1).
     """
-    src = hbk.unionByName(redelivered(hbk)) if with_redelivery else hbk
+    src = hbk.withColumn("delivery", F.lit(0))
+    if with_redelivery:
+        src = src.unionByName(redelivered(hbk).withColumn("delivery", F.lit(1)))
     enc = encode_binary(src, spread=True)  # scans of the events table: spreading is free
     k = F.col("fault_key") if with_faults else F.lit(-1)
     value = (F.when(k == K_TRUNCATED_PAYLOAD,
@@ -140,7 +169,7 @@ def topic_records(hbk: DataFrame, with_redelivery: bool = True,
     return enc.select(
         F.col("session_id").alias("key"), value.alias("value"),
         session_partition_id("session_id", TOPIC_PARTITIONS).alias("partition"),
-        F.col("arrival_seq").alias("offset"), F.col("ts").alias("timestamp"), *keep)
+        F.col("arrival_seq").alias("offset"), F.col("ts").alias("timestamp"), "delivery", *keep)
 
 
 def topic_timestamps(hbk: DataFrame, with_redelivery: bool = True) -> DataFrame:
@@ -157,20 +186,25 @@ def latency_log(hb: DataFrame) -> DataFrame:
         F.col("playback_failed").alias("error"))
 
 
-def outage_backlog(hb: DataFrame) -> DataFrame:
+def outage_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events produced while the topic was unavailable (the outage period)."""
-    ts = F.col("ts")
-    return hb.filter((ts >= F.lit(OUTAGE_FROM).cast("timestamp_ntz"))
-                     & (ts < F.lit(OUTAGE_TO).cast("timestamp_ntz")))
+    return heartbeats(spark, sf_dir, since=OUTAGE_FROM, until=OUTAGE_TO)
 
 
 _TABLES: dict = {}
 
 
+def _input_files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, size and time of the files of the events table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/events.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
+
+
 def materialized_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    """Folder of a derived input written once per session under the shared
-    checkpoint folder, as data at rest (a topic, a request log) would be."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    """Folder of a derived input written once per session and input files under
+    the shared checkpoint folder, as data at rest (a topic, a request log) would be."""
+    key = (spark.sparkContext.applicationId, _input_files(spark, sf_dir), name)
     if key not in _TABLES:
         path = scratch_path(spark, f"table-{name}")
         build().write.parquet(path)
@@ -195,6 +229,13 @@ def clean_topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               with_redelivery=False, with_faults=False))
 
 
+def lettered_topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One faulty delivery of every event, with its fault class, as a stored table."""
+    return materialized(spark, sf_dir, "topic-lettered",
+                        lambda: topic_records(heartbeats(spark, sf_dir, with_key=True),
+                                              with_redelivery=False, keep=("fault_key",)))
+
+
 def request_table_path(spark: SparkSession, sf_dir: str) -> str:
     # written as one file per core (built from a scan, so spreading is free)
     return materialized_path(spark, sf_dir, "requests", lambda: spread_small_input(

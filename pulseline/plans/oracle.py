@@ -8,6 +8,7 @@ shared with the Spark implementation except the fixed values.
 
 from __future__ import annotations
 
+from pulseline.functions.murmur import MURMUR_M, MURMUR_SEED
 from pulseline.plans.fixtures import ROUND
 
 MS, RATE, RATIO = ROUND["ms"], ROUND["rate"], ROUND["ratio"]
@@ -33,8 +34,8 @@ H = """h AS (
 HB_COLS = ("event_id, session_id, client_id, content_id, ts, video_start_time_ms, "
            "playback_failed, rebuffer_duration_ms, playback_duration_ms, player_version, os, cdn")
 DEDUP_COLS = "arrival_seq, timestamp_ms, " + HB_COLS
-# the replay copy: later offset, refreshed start time
-COPY_COLS = ("arrival_seq + 1000000000 AS arrival_seq, timestamp_ms, event_id, session_id, "
+# the replay copy: offsets after all first ones, refreshed start time
+COPY_COLS = ("arrival_seq + 1 + (SELECT max(event_id) FROM events) AS arrival_seq, timestamp_ms, event_id, session_id, "
              "client_id, content_id, ts, video_start_time_ms + 1.0 AS video_start_time_ms, "
              "playback_failed, rebuffer_duration_ms, playback_duration_ms, player_version, os, cdn")
 
@@ -94,8 +95,8 @@ def _kpi_select(keys: str) -> str:
 
 def _mul(x: str) -> str:
     # DuckDB binds + tighter than << and &: every shift is parenthesised
-    return (f"(((({x}) & 65535) * 1540483477) + "
-            f"(((((({x}) >> 16) & 65535) * 1540483477) & 65535) << 16)) & 4294967295")
+    return (f"(((({x}) & 65535) * {MURMUR_M}) + "
+            f"(((((({x}) >> 16) & 65535) * {MURMUR_M}) & 65535) << 16)) & 4294967295")
 
 
 def _murmur_ctes(src: str) -> str:
@@ -114,7 +115,7 @@ def _murmur_ctes(src: str) -> str:
   k2 AS (SELECT session_id, n, b, list_transform(kk, lambda k: xor(k, k >> 24)) AS kk FROM k1),
   k3 AS (SELECT session_id, n, b, list_transform(kk, lambda k: {_mul('k')}) AS kk FROM k2),
   m0 AS (SELECT session_id, n, b,
-           list_reduce(kk, lambda h, k: xor({_mul('h')}, k), xor(CAST(2538058380 AS BIGINT), n)) AS h
+           list_reduce(kk, lambda h, k: xor({_mul('h')}, k), xor(CAST({MURMUR_SEED} AS BIGINT), n)) AS h
          FROM k3),
   m1 AS (SELECT session_id, n, h,
            xor(xor(CASE WHEN n % 4 >= 3 THEN b[(n // 4) * 4 + 3] << 16 ELSE 0 END,
@@ -294,19 +295,38 @@ ORACLE["stream_ingest_kpis"] = f"WITH {H}, {T}, {TD} {_kpi_select('session_id')}
 ORACLE["stream_dead_letters"] = f"""WITH {H}, {T}
 SELECT 'deserialization-failure' AS reason, count(*) AS dead_letters FROM t WHERE fault_key IN (4, 11)"""
 
-ORACLE["replay_dead_letters"] = f"""WITH {H}, {T},
-  d AS (SELECT ts FROM t WHERE fault_key IN (4, 11))
-SELECT 'deserialization-failure' AS reason, count(*) AS retained, CAST(0 AS BIGINT) AS recovered,
-  count(*) AS still_failing
-FROM d WHERE ts >= (SELECT max(ts) FROM d) - INTERVAL 7 DAY"""
+# one delivery whose store failed for class 13; letters within 7 days of the newest
+LETTERS = """d AS (SELECT *, fault_key = 13 AS sound FROM h WHERE fault_key IN (4, 11, 13)),
+  kept AS (SELECT * FROM d WHERE ts >= (SELECT max(ts) FROM d) - INTERVAL 7 DAY)"""
+
+ORACLE["replay_dead_letters"] = f"""WITH {H}, {LETTERS}
+SELECT CASE WHEN sound THEN 'processing-failure' ELSE 'deserialization-failure' END AS reason,
+  count(*) AS retained, count(*) FILTER (WHERE sound) AS recovered,
+  count(*) FILTER (WHERE NOT sound) AS still_failing
+FROM kept GROUP BY sound"""
+
+ORACLE["recovered_events"] = f"""WITH {H}, {T}, {TD}, {LETTERS},
+  one AS (SELECT td.* FROM td JOIN h ON td."offset" = h.arrival_seq AND h.fault_key <> 13),
+  live AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY "offset") AS rn FROM one) x
+           WHERE rn = 1)
+SELECT {HB_COLS}, false AS recovered FROM live
+UNION ALL
+SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, playback_failed,
+  rebuffer_duration_ms, playback_duration_ms, coalesce(player_version, '') AS player_version, os, cdn,
+  true AS recovered
+FROM kept WHERE sound"""
 
-ORACLE["stream_window_kpis"] = f"""WITH {H},
-  hc AS (SELECT session_id, ts, video_start_time_ms, playback_failed, rebuffer_duration_ms,
-           playback_duration_ms FROM h)
+ORACLE["stream_window_kpis"] = f"""WITH {H}
 {_kpi_select('session_id').replace('min(ts) AS window_start, max(ts) AS window_end',
   "date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end")}
-FROM hc GROUP BY session_id, date_trunc('day', ts)
-HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM h) - INTERVAL 8 DAY"""
+FROM h GROUP BY session_id, date_trunc('day', ts)"""
+
+ORACLE["stream_session_windows"] = f"""WITH {H},
+  g AS (SELECT *, CASE WHEN ts <= lag(ts) OVER s + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
+        FROM h WINDOW s AS (PARTITION BY session_id ORDER BY ts)),
+  w AS (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY ts) AS n FROM g)
+{_kpi_select('session_id').replace('max(ts) AS window_end', 'max(ts) + INTERVAL 6 HOUR AS window_end')}
+FROM w GROUP BY session_id, n"""
 
 ORACLE["replay_backlog"] = f"""WITH {H}
 SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, playback_failed,
@@ -314,6 +334,17 @@ SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, pla
   ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-23 00:00:00' AS replayed
 FROM h"""
 
+STORED_ONCE = """SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, playback_failed,
+  rebuffer_duration_ms, playback_duration_ms, coalesce(player_version, '') AS player_version, os, cdn,
+  CASE {cases} ELSE 'live' END AS source_id FROM h"""
+
+ORACLE["replay_then_live"] = f"WITH {H} " + STORED_ONCE.format(
+    cases="WHEN ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-23 00:00:00' THEN 'replay-outage'")
+
+ORACLE["replay_two_backlogs"] = f"WITH {H} " + STORED_ONCE.format(
+    cases="WHEN ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-23 00:00:00' THEN 'replay-first' "
+          "WHEN ts >= TIMESTAMP '2024-01-26 00:00:00' AND ts < TIMESTAMP '2024-01-28 00:00:00' THEN 'replay-second'")
+
 ORACLE["publish_topic"] = f"""WITH {H}, {_murmur_ctes('h')},
   acc AS (SELECT * FROM h WHERE fault_key NOT IN {REJECT_KEYS})
 SELECT acc.session_id AS key, CAST(abs(CAST(hs.murmur2_hash AS BIGINT)) % 24 AS INTEGER) AS partition,
@@ -324,8 +355,10 @@ FROM acc JOIN hs USING (session_id)"""
 
 ORACLE["session_kpis_accepted"] = f"WITH {H}, {T}, {TD}, {TDF} {_kpi_select('session_id')} FROM tdf GROUP BY session_id"
 
-ORACLE["stream_dedup_events"] = f"""WITH {H}, {T},
-  o AS (SELECT * FROM t WHERE arrival_seq < 1000000000)
-SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, playback_failed,
-  rebuffer_duration_ms, playback_duration_ms, coalesce(player_version, '') AS player_version, os, cdn
-FROM o WHERE fault_key NOT IN (4, 11, 12)"""
+ORACLE["stream_dedup_events"] = ORACLE["stream_ingest_events"]
+
+ORACLE["json_files"] = ORACLE["validate_accept"].replace("SELECT arrival_seq AS request_id, timestamp_ms", "SELECT timestamp_ms")
+
+ORACLE["session_order"] = f"""WITH {H}, {_murmur_ctes('h')}
+SELECT CAST(abs(CAST(hs.murmur2_hash AS BIGINT)) % 24 AS INTEGER) AS partition_id,
+  h.session_id, event_id, ts, arrival_seq FROM h JOIN hs USING (session_id)"""

@@ -4,8 +4,8 @@ The topic tables derived from ``events`` (``fixtures.topic_table``) are
 copied into a new folder under the shared checkpoint folder one delivery
 segment at a time (so later segments are later files), then drained by a
 file-stream query with ``availableNow`` in bounded micro-batches; the query
-returns a scan of the tables the stream wrote. A run is reused by the
-queries of the same session and data folder.
+returns a scan of the tables the stream wrote. Calling a query runs its jobs;
+every call takes new folders.
 """
 
 from __future__ import annotations
@@ -14,33 +14,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseline.functions.codec import decode_binary, split_decoded
+from pulseline.operators.backlog import REPLAY_SLICE
+from pulseline.operators.dedup import append_new_events
 from pulseline.operators.kpi import rollup_kpis
 from pulseline.operators.reports import dead_letters_by_reason
 from pulseline.plans import fixtures as fx
-from pulseline.schemas import HEARTBEAT_COLUMNS
+from pulseline.schemas import HEARTBEAT, HEARTBEAT_COLUMNS, REASON_UNSTORED
 from pulseline.session import scratch_path
 from pulseline.sources.events import read_events, read_session_metrics
 from pulseline.sources.topic import heartbeat_stream, read_topic
-from pulseline.operators.backlog import REPLAY_SLICE
-from pulseline.streaming.publish import publish_job
-from pulseline.streaming.replay import (
-    DEAD_LETTER_RETENTION_DAYS as RETENTION_DAYS, REPLAY_BATCH_BASE, replay, replay_dead_letters,
-)
 from pulseline.streaming.processor import Layout, run_stream
-from pulseline.streaming.windows import dedup_stream, stream_kpis
+from pulseline.streaming.publish import publish_job
+from pulseline.streaming.replay import recover_dead_letters, replay
+from pulseline.streaming.sinks import LIVE, write_dead_letters
+from pulseline.streaming.windows import dedup_stream, split_identified, stream_kpis
 
 # Fixed values — staging and stream parameters of the registered runs.
 SEGMENT_BOUNDS = ["2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00"]
 FILES_PER_TRIGGER = 8      # staged files per micro-batch (one segment at these sizes)
 WINDOW = "1 day"
+SESSION_GAP = "6 hours"
 # Within a staged segment rows are spread over files in no time order, so a
 # micro-batch boundary inside a segment reorders events by up to one segment
 # span (8 days); the watermark delay must cover that disorder, otherwise
-# on-time events are dropped as late.
+# on-time events are dropped as late. A closing record after the last event
+# then closes every window.
 WATERMARK = "8 days"
 SLICES_PER_TRIGGER = 8      # drain slices (500 events each) per replay micro-batch
-
-_RUNS: dict = {}
+# a second outage, for the run with two backlogs
+SECOND_OUTAGE = ("2024-01-26 00:00:00", "2024-01-28 00:00:00")
 
 
 def _ts(s: str):
@@ -50,7 +52,7 @@ def _ts(s: str):
 def record_segments(with_redelivery: bool = True) -> list:
     """Delivery segments as conditions on topic records: the original
     delivery cut by record time, then the redelivered copy."""
-    original = F.col("offset") < F.lit(fx.REDELIVERY_OFFSET)
+    original = F.col("delivery") == 0
     bounds = [None, *SEGMENT_BOUNDS, None]
     conds = []
     for lo, hi in zip(bounds[:-1], bounds[1:]):
@@ -80,21 +82,25 @@ def stage(records: DataFrame, folder: str, segments,
     return folder
 
 
-def _key(spark: SparkSession, sf_dir: str, kind: str):
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+def _drain(stream: DataFrame, root: str, name: str) -> str:
+    """Write an append-mode stream to a new folder until its input is drained."""
+    (stream.writeStream.outputMode("append").format("parquet")
+           .option("path", f"{root}/{name}").option("checkpointLocation", f"{root}/_checkpoint-{name}")
+           .trigger(availableNow=True).start().awaitTermination())
+    return f"{root}/{name}"
+
+
+def _topic_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return heartbeat_stream(spark, folder, max_files_per_trigger=FILES_PER_TRIGGER)
 
 
 def ingest_run(spark: SparkSession, sf_dir: str) -> Layout:
-    """Stream the faulty, redelivered topic through ``process_batch`` once."""
-    key = _key(spark, sf_dir, "ingest")
-    if key not in _RUNS:
-        root = scratch_path(spark, "ingest")
-        src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments())
-        layout = Layout(f"{root}/out")
-        q = run_stream(heartbeat_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER), layout)
-        q.awaitTermination()
-        _RUNS[key] = layout
-    return _RUNS[key]
+    """Stream the faulty, redelivered topic through ``process_batch``."""
+    root = scratch_path(spark, "ingest")
+    src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments())
+    layout = Layout(f"{root}/out")
+    run_stream(_topic_stream(spark, src), layout).awaitTermination()
+    return layout
 
 
 def q_stream_ingest_events(spark, sf_dir) -> DataFrame:
@@ -102,87 +108,138 @@ def q_stream_ingest_events(spark, sf_dir) -> DataFrame:
     return read_events(spark, layout.events).select(*HEARTBEAT_COLUMNS)
 
 
-def q_stream_ingest_kpis(spark, sf_dir) -> DataFrame:
-    layout = ingest_run(spark, sf_dir)
-    out = rollup_kpis(read_session_metrics(spark, layout.metrics))
-    return out.select(
+def _rounded(kpis: DataFrame) -> DataFrame:
+    return kpis.select(
         "session_id", "window_start", "window_end",
         F.round("avg_vst_ms", fx.ROUND["ms"]).alias("avg_vst_ms"),
         F.round("pfr", fx.ROUND["rate"]).alias("pfr"),
         F.round("rebuffering_ratio", fx.ROUND["ratio"]).alias("rebuffering_ratio"), "event_count")
 
 
+def q_stream_ingest_kpis(spark, sf_dir) -> DataFrame:
+    layout = ingest_run(spark, sf_dir)
+    return _rounded(rollup_kpis(read_session_metrics(spark, layout.metrics)))
+
+
 def q_stream_dead_letters(spark, sf_dir) -> DataFrame:
     layout = ingest_run(spark, sf_dir)
     return dead_letters_by_reason(spark.read.parquet(layout.dead_letters))
 
 
+def recovery_run(spark: SparkSession, sf_dir: str) -> tuple[Layout, DataFrame]:
+    """Live topic whose store failed for some decoded events, then the retained letters again."""
+    root = scratch_path(spark, "recovery")
+    records = fx.lettered_topic_table(spark, sf_dir)
+    unstored = F.col("fault_key") == fx.K_UNSTORED
+    src = stage(records, f"{root}/topic", [c & ~unstored for c in record_segments(with_redelivery=False)])
+    layout = Layout(f"{root}/out")
+    run_stream(_topic_stream(spark, src), layout).awaitTermination()
+    write_dead_letters(records.filter(unstored).select(
+        F.col("value").alias("payload"), F.lit(REASON_UNSTORED).alias("reason"),
+        F.lit(None).cast("string").alias("detail"), F.col("timestamp").alias("ingest_ts")),
+        layout.dead_letters, 0, "store-failures")
+    report = recover_dead_letters(spark.read.parquet(layout.dead_letters), layout, "registered")
+    return layout, report
+
+
 def q_replay_dead_letters(spark, sf_dir) -> DataFrame:
-    """Dead letters still retained (7 days back from the newest) re-decoded (STR-8)."""
-    layout = ingest_run(spark, sf_dir)
-    _, report = replay_dead_letters(spark.read.parquet(layout.dead_letters), RETENTION_DAYS)
-    return report
+    """Dead letters still retained (7 days back from the newest) decoded again (STR-8)."""
+    return recovery_run(spark, sf_dir)[1]
+
+
+def q_recovered_events(spark, sf_dir) -> DataFrame:
+    """All stored events after the recovery, and which of them it brought (STR-8)."""
+    layout, _ = recovery_run(spark, sf_dir)
+    return read_events(spark, layout.events).select(
+        *HEARTBEAT_COLUMNS, (F.col("source_id") != LIVE).alias("recovered"))
+
+
+def _clean_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, DataFrame]:
+    """Decoded stream of one delivery of all events, ended by the closing record."""
+    root = scratch_path(spark, name)
+    src = stage(fx.clean_topic_table(spark, sf_dir), f"{root}/topic",
+                record_segments(with_redelivery=False))
+    fx.closing_record(fx.heartbeats(spark, sf_dir)).write.mode("append").parquet(src)
+    return root, split_decoded(decode_binary(_topic_stream(spark, src)))[0]
 
 
 def q_stream_window_kpis(spark, sf_dir) -> DataFrame:
     """Event-time day windows per session, emitted as the watermark passes (STR-6)."""
-    key = _key(spark, sf_dir, "windows")
-    if key not in _RUNS:
-        root = scratch_path(spark, "windows")
-        src = stage(fx.clean_topic_table(spark, sf_dir), f"{root}/topic",
-                    record_segments(with_redelivery=False))
-        decoded = decode_binary(heartbeat_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER))
-        good, _ = split_decoded(decoded)
-        kpis = stream_kpis(good, WINDOW, WATERMARK)
-        q = (kpis.writeStream.outputMode("append").format("parquet")
-                 .option("path", f"{root}/out").option("checkpointLocation", f"{root}/_checkpoint")
-                 .trigger(availableNow=True).start())
-        q.awaitTermination()
-        _RUNS[key] = f"{root}/out"
-    out = spark.read.parquet(_RUNS[key])
-    return out.select(
-        "session_id", "window_start", "window_end",
-        F.round("avg_vst_ms", fx.ROUND["ms"]).alias("avg_vst_ms"),
-        F.round("pfr", fx.ROUND["rate"]).alias("pfr"),
-        F.round("rebuffering_ratio", fx.ROUND["ratio"]).alias("rebuffering_ratio"), "event_count")
+    root, good = _clean_stream(spark, sf_dir, "windows")
+    return _rounded(spark.read.parquet(_drain(stream_kpis(good, WINDOW, WATERMARK), root, "out")))
+
+
+def q_stream_session_windows(spark, sf_dir) -> DataFrame:
+    """Windows that end after a gap without events of the session (STR-6)."""
+    root, good = _clean_stream(spark, sf_dir, "session-windows")
+    kpis = stream_kpis(good, watermark=WATERMARK, session_gap=SESSION_GAP)
+    return _rounded(spark.read.parquet(_drain(kpis, root, "out")))
+
+
+def _between(lo: str, hi: str):
+    return (F.col("timestamp") >= _ts(lo)) & (F.col("timestamp") < _ts(hi))
+
+
+def _replay(spark, folder: str, layout: Layout, backlog_id: str) -> None:
+    replay(spark, folder, layout, backlog_id, slices_per_trigger=SLICES_PER_TRIGGER)
+
+
+def _by_source(spark, layout: Layout) -> DataFrame:
+    return read_events(spark, layout.events).select(*HEARTBEAT_COLUMNS, "source_id")
 
 
 def q_replay_backlog(spark, sf_dir) -> DataFrame:
     """Live topic minus an outage, then the outage backlog replayed 500 at a time (STR-9, SET-1)."""
-    key = _key(spark, sf_dir, "replay")
-    if key not in _RUNS:
-        root = scratch_path(spark, "replay")
-        records = fx.clean_topic_table(spark, sf_dir)
-        t = F.col("timestamp")
-        in_outage = (t >= _ts(fx.OUTAGE_FROM)) & (t < _ts(fx.OUTAGE_TO))
-        live = stage(records, f"{root}/topic",
-                     [c & ~in_outage for c in record_segments(with_redelivery=False)])
-        # the backlog is kept in drain-sized files (one drain call = one file)
-        backlog = stage(records, f"{root}/backlog", [in_outage],
-                        max_records_per_file=REPLAY_SLICE)
-        layout = Layout(f"{root}/out")
-        run_stream(heartbeat_stream(spark, live, max_files_per_trigger=FILES_PER_TRIGGER),
-                   layout).awaitTermination()
-        replay(spark, backlog, layout, slices_per_trigger=SLICES_PER_TRIGGER,
-               batch_id_base=REPLAY_BATCH_BASE)
-        _RUNS[key] = layout
-    events = spark.read.parquet(_RUNS[key].events)
-    return events.select(*HEARTBEAT_COLUMNS,
-                         (F.col("batch_id") >= REPLAY_BATCH_BASE).alias("replayed"))
+    root = scratch_path(spark, "replay")
+    records = fx.clean_topic_table(spark, sf_dir)
+    outage = _between(fx.OUTAGE_FROM, fx.OUTAGE_TO)
+    live = stage(records, f"{root}/topic", [c & ~outage for c in record_segments(with_redelivery=False)])
+    # the backlog is kept in drain-sized files (one drain call = one file)
+    backlog = stage(records, f"{root}/backlog", [outage], max_records_per_file=REPLAY_SLICE)
+    layout = Layout(f"{root}/out")
+    run_stream(_topic_stream(spark, live), layout).awaitTermination()
+    _replay(spark, backlog, layout, "outage")
+    return read_events(spark, layout.events).select(
+        *HEARTBEAT_COLUMNS, (F.col("source_id") != LIVE).alias("replayed"))
+
+
+def q_replay_then_live(spark, sf_dir) -> DataFrame:
+    """A backlog is replayed, then the live topic delivers its events once more (STR-9, STR-3)."""
+    root = scratch_path(spark, "replay-live")
+    records = fx.clean_topic_table(spark, sf_dir)
+    outage = _between(fx.OUTAGE_FROM, fx.OUTAGE_TO)
+    live = stage(records, f"{root}/topic", [~outage])
+    backlog = stage(records, f"{root}/backlog", [outage], max_records_per_file=REPLAY_SLICE)
+    layout = Layout(f"{root}/out")
+    run_stream(_topic_stream(spark, live), layout).awaitTermination()
+    _replay(spark, backlog, layout, "outage")
+    stage(records, live, [outage])
+    run_stream(_topic_stream(spark, live), layout).awaitTermination()
+    return _by_source(spark, layout)
+
+
+def q_replay_two_backlogs(spark, sf_dir) -> DataFrame:
+    """Two outages, each with a backlog of its own; the second also holds the first's events."""
+    root = scratch_path(spark, "replay-two")
+    records = fx.clean_topic_table(spark, sf_dir)
+    first, second = _between(fx.OUTAGE_FROM, fx.OUTAGE_TO), _between(*SECOND_OUTAGE)
+    live = stage(records, f"{root}/topic", [~first & ~second])
+    layout = Layout(f"{root}/out")
+    run_stream(_topic_stream(spark, live), layout).awaitTermination()
+    _replay(spark, stage(records, f"{root}/first", [first], REPLAY_SLICE), layout, "first")
+    _replay(spark, stage(records, f"{root}/second", [first | second], REPLAY_SLICE), layout, "second")
+    return _by_source(spark, layout)
 
 
 def q_publish_topic(spark, sf_dir) -> DataFrame:
     """JSON request log streamed through the publish job, topic read back and decoded."""
-    key = _key(spark, sf_dir, "publish")
-    if key not in _RUNS:
-        root = scratch_path(spark, "publish")
-        requests = fx.request_table_path(spark, sf_dir)
-        stream = (spark.readStream.schema(spark.read.parquet(requests).schema)
-                  .option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(requests))
-        publish_job(stream, f"{root}/topic", f"{root}/dead_letters",
-                    f"{root}/_checkpoint").awaitTermination()
-        _RUNS[key] = root
-    decoded = decode_binary(read_topic(spark, f"{_RUNS[key]}/topic"), "value")
+    root = scratch_path(spark, "publish")
+    requests = fx.request_table_path(spark, sf_dir)
+    stream = (spark.readStream.schema(spark.read.parquet(requests).schema)
+              .option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(requests))
+    publish_job(stream, f"{root}/topic", f"{root}/dead_letters",
+                f"{root}/_checkpoint").awaitTermination()
+    decoded = decode_binary(read_topic(spark, f"{root}/topic"), "value")
     return decoded.select("key", "partition", "offset", "timestamp_ms", *HEARTBEAT_COLUMNS)
 
 
@@ -190,23 +247,19 @@ def q_stream_dedup_events(spark, sf_dir) -> DataFrame:
     """Bounded-state dedup of the redelivered topic (STR-4, ``dropDuplicatesWithinWatermark``).
 
     Later copies are either duplicates within the watermark or older than it
-    (late), so each event is kept once. The all-default records of empty
-    payloads carry event time 0 (the epoch), which is never after the
-    watermark (it starts at the epoch), so they are dropped as late.
+    (late), so each event is kept once. Rows without id or time (the
+    all-default records of empty payloads) take the side output, of which a
+    batch keeps the first per id that the stream did not keep.
     """
-    key = _key(spark, sf_dir, "stream-dedup")
-    if key not in _RUNS:
-        root = scratch_path(spark, "stream-dedup")
-        src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments())
-        good, _ = split_decoded(decode_binary(
-            heartbeat_stream(spark, src, max_files_per_trigger=FILES_PER_TRIGGER)))
-        kept = dedup_stream(good.select(*HEARTBEAT_COLUMNS), WATERMARK)
-        q = (kept.writeStream.outputMode("append").format("parquet")
-                 .option("path", f"{root}/out").option("checkpointLocation", f"{root}/_checkpoint")
-                 .trigger(availableNow=True).start())
-        q.awaitTermination()
-        _RUNS[key] = f"{root}/out"
-    return spark.read.parquet(_RUNS[key]).select(*HEARTBEAT_COLUMNS)
+    root = scratch_path(spark, "stream-dedup")
+    src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments())
+    good, _ = split_decoded(decode_binary(_topic_stream(spark, src)))
+    identified, others = split_identified(good.select(F.col("offset").alias("arrival_seq"), *HEARTBEAT_COLUMNS))
+    kept = spark.read.schema(HEARTBEAT).parquet(
+        _drain(dedup_stream(identified.select(*HEARTBEAT_COLUMNS), WATERMARK), root, "kept"))
+    side = spark.read.schema(others.schema).parquet(_drain(others, root, "others"))
+    return kept.select(*HEARTBEAT_COLUMNS).unionByName(
+        append_new_events(side, kept).select(*HEARTBEAT_COLUMNS))
 
 
 STREAM_QUERIES = {
@@ -216,6 +269,10 @@ STREAM_QUERIES = {
     "stream_ingest_kpis": q_stream_ingest_kpis,
     "stream_dead_letters": q_stream_dead_letters,
     "stream_window_kpis": q_stream_window_kpis,
+    "stream_session_windows": q_stream_session_windows,
     "replay_backlog": q_replay_backlog,
+    "replay_then_live": q_replay_then_live,
+    "replay_two_backlogs": q_replay_two_backlogs,
     "replay_dead_letters": q_replay_dead_letters,
+    "recovered_events": q_recovered_events,
 }

@@ -22,8 +22,9 @@ HEARTBEAT = T.StructType([
 ])
 HEARTBEAT_COLUMNS = [f.name for f in HEARTBEAT.fields]
 
-# The stored raw event table: heartbeat columns, partitioned by batch_id.
-EVENTS_TABLE = T.StructType(list(HEARTBEAT.fields) + [T.StructField("batch_id", T.LongType())])
+# The stored raw event table: heartbeat columns, partitioned by source and batch.
+BATCH_KEY = [T.StructField("source_id", T.StringType()), T.StructField("batch_id", T.LongType())]
+EVENTS_TABLE = T.StructType(list(HEARTBEAT.fields) + BATCH_KEY)
 
 # Wire form of the same event (field numbers of the binary message, in
 # declaration order): name, field number, scalar kind.
@@ -93,9 +94,13 @@ TOPIC = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()),
 ])
 
-# One KPI row per (batch, session). The additive parts are stored next to the
+# Raised by a job that could not store an event it had decoded.
+REASON_UNSTORED = "processing-failure"
+
+# One KPI row per (source, batch, session). The additive parts are stored next to the
 # ratios so that batches can be rolled up exactly.
 SESSION_METRICS = T.StructType([
+    T.StructField("source_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("session_id", T.StringType()),
     T.StructField("window_start", T.TimestampNTZType()),
@@ -115,5 +120,6 @@ DEAD_LETTER = T.StructType([
     T.StructField("reason", T.StringType()),
     T.StructField("detail", T.StringType()),
     T.StructField("ingest_ts", T.TimestampNTZType()),
+    T.StructField("source_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -51,12 +52,15 @@ def get_spark(master: str | None = None, app: str = "pulseline",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (a local test session) a fresh local folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session. Only a local session
+    without it gets a fresh local folder; on a cluster it must be set, as
+    executors could not see such a folder.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="pulseline-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

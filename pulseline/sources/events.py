@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseline.functions.scalars import millis_to_ts, ts_to_millis
+from pulseline.schemas import EVENTS_TABLE, SESSION_METRICS
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,14 +48,14 @@ def heartbeats_from_events(events: DataFrame, extra: dict | None = None) -> Data
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Scan of the stored raw event table (SRC-4); partition column ``batch_id`` kept.
+    """Scan of the stored raw event table (SRC-4) with its partition columns.
 
-    ``mergeSchema`` lets files written before a column was added be read
-    with the widened schema (SNK-6).
+    The declared schema spares reading every footer; files written before a
+    column was added give null for it (SNK-6).
     """
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.schema(EVENTS_TABLE).parquet(path)
 
 
 def read_session_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Scan of the stored per-batch session KPI table (SRC-5)."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.schema(SESSION_METRICS).parquet(path)

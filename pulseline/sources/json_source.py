@@ -4,7 +4,9 @@ Every field is read as text and converted with ``try_cast``: the request
 binding is lenient (``"7"`` is a valid long, ``1.5e3`` binds as 1500,
 unknown keys are ignored, an absent or null primitive takes its default),
 while a value that cannot be converted at all makes the whole request
-undecodable, like a malformed document.
+undecodable, like a malformed document. A boolean binds from true / false in
+any case and from whole numbers (0 is false); an empty text for a primitive
+counts as absent.
 """
 
 from __future__ import annotations
@@ -63,7 +65,7 @@ def decode_json(df: DataFrame, body_col: str = "body", spread: bool = False) ->
     for json_name, col in JSON_FIELDS:
         field = F.col(f"__req.{json_name}")
         if col in _TYPES:
-            raw_cols[f"__raw_{col}"] = field
+            raw_cols[f"__raw_{col}"] = F.nullif(F.trim(field), F.lit(""))
         else:
             kind = F.schema_of_variant(field)
             raw_cols[f"__raw_{col}"] = F.try_variant_get(field, "$", "string")
@@ -73,10 +75,14 @@ def decode_json(df: DataFrame, body_col: str = "body", spread: bool = False) ->
     typed = {}
     for col, t in _TYPES.items():
         raw = F.col(f"__raw_{col}")
-        typed[f"__typed_{col}"] = (
-            # a fractional number for a long binds truncated toward zero
-            F.coalesce(raw.try_cast(t), raw.try_cast("double").try_cast(t)) if t == "bigint"
-            else raw.try_cast(t))
+        if t == "bigint":  # a fractional number for a long binds truncated toward zero
+            value = F.coalesce(raw.try_cast(t), raw.try_cast("double").try_cast(t))
+        elif t == "boolean":
+            value = (F.when(F.lower(raw).isin("true", "false"), F.lower(raw) == "true")
+                      .when(raw.rlike("^-?[0-9]+$"), ~raw.rlike("^-?0+$")))
+        else:
+            value = raw.try_cast(t)
+        typed[f"__typed_{col}"] = value
     step2 = step1.withColumns(typed)
     # step 2: defaults for absent primitives, type mismatches, final columns
     cols = {}

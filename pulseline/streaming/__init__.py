@@ -1,21 +1,21 @@
 """Structured Streaming jobs: per-batch processing, event-time KPIs, replay, publish."""
 
 from pulseline.streaming.processor import (
-    Layout, process_batch, run_stream, stored_before,
+    Layout, process_batch, run_stream, stored_elsewhere,
 )
 from pulseline.streaming.publish import publish_batch, publish_job
 from pulseline.streaming.replay import (
-    replay, replay_dead_letters, retained_dead_letters, write_backlog,
+    recover_dead_letters, replay, replay_dead_letters, retained_dead_letters, write_backlog,
 )
 from pulseline.streaming.sinks import (
     write_batch_partition, write_dead_letters, write_new_events,
     write_session_metrics, write_topic,
 )
-from pulseline.streaming.windows import dedup_stream, stream_kpis
+from pulseline.streaming.windows import dedup_stream, split_identified, stream_kpis
 
 __all__ = [
-    "Layout", "process_batch", "run_stream", "stored_before", "write_batch_partition",
+    "Layout", "process_batch", "run_stream", "stored_elsewhere", "write_batch_partition",
     "write_dead_letters", "write_new_events", "write_session_metrics", "write_topic",
-    "dedup_stream", "stream_kpis", "publish_batch", "publish_job", "replay",
-    "replay_dead_letters", "retained_dead_letters", "write_backlog",
+    "dedup_stream", "split_identified", "stream_kpis", "publish_batch", "publish_job", "replay",
+    "recover_dead_letters", "replay_dead_letters", "retained_dead_letters", "write_backlog",
 ]

@@ -3,11 +3,13 @@
 ``run_stream`` drives ``process_batch`` through ``foreachBatch``. Each
 micro-batch (one poll batch of the reference) is decoded once and persisted,
 then split into dead letters and good rows; good rows are deduplicated
-(first arrival per ``event_id``), compared with what earlier batches stored,
-and appended; KPI rows per session are written next to them. All outputs are
-keyed by ``batch_id``, so a replayed batch overwrites itself, and the
-comparison with stored rows only looks at batches before the current one,
-so a retry never hides its own rows.
+(first arrival per ``event_id``), compared with what is stored, and appended;
+KPI rows per session are written next to them. All outputs are keyed by source
+and ``batch_id``, so a retried batch overwrites itself, and the comparison
+covers every stored row except that batch's own earlier output, so a retry
+never hides its own rows and no source misses what another one stored. Sources
+that may hold the same ids write one after the other (two running at once
+could each store an id before seeing the other's).
 """
 
 from __future__ import annotations
@@ -21,12 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from pulseline.functions.codec import decode_binary, split_decoded
-from pulseline.operators.dedup import DEFAULT_BROADCAST_ID_LIMIT, append_new_events
+from pulseline.operators.dedup import append_new_events
 from pulseline.operators.kpi import session_kpi_parts
 from pulseline.operators.quarantine import storage_split
 from pulseline.schemas import EVENTS_TABLE, HEARTBEAT_COLUMNS, REASON_UNDECODABLE
 from pulseline.streaming.sinks import (
-    write_dead_letters, write_new_events, write_session_metrics,
+    LIVE, write_dead_letters, write_new_events, write_session_metrics,
 )
 
 
@@ -64,18 +66,18 @@ def read_table_if_exists(spark: SparkSession, path: str, schema=None) -> DataFra
         return None
 
 
-def stored_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Rows stored by batches before ``batch_id`` (partition pruning on batch_id)."""
+def stored_elsewhere(spark: SparkSession, path: str, batch_id: int,
+                     source_id: str = LIVE) -> DataFrame | None:
+    """All stored rows but those of this batch itself (a partition filter)."""
     stored = read_table_if_exists(spark, path, EVENTS_TABLE)
     if stored is None:
         return None
-    return stored.filter(F.col("batch_id") < F.lit(batch_id))
+    return stored.filter((F.col("source_id") != F.lit(source_id)) | (F.col("batch_id") != F.lit(batch_id)))
 
 
 def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
-                  kpi_on: str = "decoded",
-                  broadcast_limit: int | None = DEFAULT_BROADCAST_ID_LIMIT,
-                  lookup_horizon: str | None = None) -> None:
+                  kpi_on: str = "decoded", lookup_horizon: str | None = None,
+                  source_id: str = LIVE) -> None:
     """Process one micro-batch of topic records (``key, value, partition, offset, timestamp``).
 
     The batch may arrive already decoded (``decode_error`` present, as
@@ -96,8 +98,7 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
     decoded = batch if "decode_error" in batch.columns else decode_binary(batch, "value")
     decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_rows = decoded.count()
-        if n_rows == 0:  # empty poll: nothing is written (FLT-9)
+        if decoded.count() == 0:  # empty poll: nothing is written (FLT-9)
             return
         spark = batch.sparkSession
         good, failed = split_decoded(decoded)
@@ -109,7 +110,7 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
         dead = dead.unionByName(over_long.select(
             F.col("value").alias("payload"), "reason", "detail", F.col("ts").alias("ingest_ts")))
 
-        stored = stored_before(spark, layout.events, batch_id)
+        stored = stored_elsewhere(spark, layout.events, batch_id, source_id)
         if stored is not None and lookup_horizon:
             lo, hi = storable.agg(F.min("ts"), F.max("ts")).first()
             if lo is not None:
@@ -118,17 +119,16 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
                 lo_c = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
                 hi_c = F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")
                 stored = stored.filter((F.col("ts") >= lo_c - h) & (F.col("ts") <= hi_c + h))
-        new = append_new_events(storable.drop("value"), stored,
-                                broadcast_limit=broadcast_limit, batch_rows=n_rows)
+        new = append_new_events(storable.drop("value"), stored)
         kpi_input = hb if kpi_on == "decoded" else new
 
-        # The three sinks depend only on the persisted batch and on earlier
-        # batches, never on each other: submit them as concurrent jobs.
+        # The three sinks depend only on the persisted batch and on what was
+        # stored before, never on each other: submit them as concurrent jobs.
         writes = [(write_dead_letters, dead, layout.dead_letters),
                   (write_new_events, new, layout.events),
                   (write_session_metrics, session_kpi_parts(kpi_input), layout.metrics)]
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-            futures = [pool.submit(fn, df, path, batch_id) for fn, df, path in writes]
+            futures = [pool.submit(fn, df, path, batch_id, source_id) for fn, df, path in writes]
             for f in futures:
                 f.result()  # re-raise the first failure; the batch is then retried
     finally:
@@ -150,7 +150,7 @@ def observe_ingest(decoded: DataFrame, name: str = "ingest") -> DataFrame:
 def run_stream(stream: DataFrame, layout: Layout, available_now: bool = True,
                processing_time: str | None = None, kpi_on: str = "decoded",
                query_name: str | None = None, checkpoint: str | None = None,
-               batch_id_base: int = 0, lookup_horizon: str | None = None):
+               source_id: str = LIVE, lookup_horizon: str | None = None):
     """Start the processing query; returns the ``StreamingQuery``.
 
     ``available_now`` drains what is there in bounded micro-batches and
@@ -159,12 +159,11 @@ def run_stream(stream: DataFrame, layout: Layout, available_now: bool = True,
     Offsets are committed to the checkpoint only after ``process_batch``
     returns (at-least-once delivery, idempotent sinks). A second source
     writing into the same tables (e.g. a backlog replay) uses its own
-    ``checkpoint`` and a ``batch_id_base`` above the first source's ids.
+    ``checkpoint`` and ``source_id``.
     """
     decoded = observe_ingest(decode_binary(stream, "value"))
     writer = (decoded.writeStream
-              .foreachBatch(lambda df, bid: process_batch(df, batch_id_base + bid, layout, kpi_on,
-                                                          lookup_horizon=lookup_horizon))
+              .foreachBatch(lambda df, bid: process_batch(df, bid, layout, kpi_on, lookup_horizon, source_id))
               .option("checkpointLocation", checkpoint or layout.checkpoint))
     if query_name:
         writer = writer.queryName(query_name)

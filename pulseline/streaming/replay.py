@@ -3,8 +3,9 @@
 A backlog is a folder of topic records written in drain-sized files (the
 reference drains 500 events per call); ``replay`` streams it with
 ``availableNow`` through the same ``process_batch`` as the live topic, into
-the same tables, under batch ids above the live stream's, so replayed
-duplicates are absorbed by the store-once rule and the replay can be re-run.
+the same tables, under a source and checkpoint of its own, so duplicates are
+absorbed by the store-once rule on both sides, any number of backlogs can be
+replayed, and a replay can be re-run. Recovered dead letters take the same way.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from pyspark.sql import functions as F
 from pulseline.functions.codec import decode_binary
 from pulseline.operators.backlog import REPLAY_SLICE
 from pulseline.sources.topic import heartbeat_stream
-from pulseline.streaming.processor import Layout, run_stream
+from pulseline.schemas import TOPIC
+from pulseline.streaming.processor import Layout, process_batch, run_stream
 
-# Fixed values — first batch id of replays, dead-letter retention (days).
-REPLAY_BATCH_BASE = 1_000_000
+# Fixed value — dead-letter retention (days).
 DEAD_LETTER_RETENTION_DAYS = 7
 
 
@@ -28,15 +29,17 @@ def write_backlog(records: DataFrame, path: str, slice_size: int = REPLAY_SLICE)
 
 
 def replay(spark: SparkSession, backlog_path: str, layout: Layout,
-           slices_per_trigger: int = 4, batch_id_base: int = REPLAY_BATCH_BASE,
-           checkpoint: str | None = None):
+           backlog_id: str, slices_per_trigger: int = 4, checkpoint: str | None = None):
     """Replay a backlog folder into the tables of ``layout``; returns the finished query.
 
+    ``backlog_id`` names this backlog: each has its own checkpoint and its own
+    partitions (source ``replay-<id>``), so backlogs never overwrite each
+    other and running one again only adds what it has not drained yet.
     Replayed counts per micro-batch are in the query's ``observedMetrics``.
     """
     q = run_stream(heartbeat_stream(spark, backlog_path, max_files_per_trigger=slices_per_trigger),
-                   layout, checkpoint=checkpoint or f"{layout.root}/_replay_checkpoint",
-                   batch_id_base=batch_id_base)
+                   layout, checkpoint=checkpoint or f"{layout.root}/_replay_checkpoint/{backlog_id}",
+                   source_id=f"replay-{backlog_id}")
     q.awaitTermination()
     return q
 
@@ -74,3 +77,20 @@ def replay_dead_letters(dead: DataFrame,
         F.count_if(F.col("decode_error").isNull()).alias("recovered"),
         F.count_if(F.col("decode_error").isNotNull()).alias("still_failing"))
     return again.filter(F.col("decode_error").isNull()), report
+
+
+def recover_dead_letters(dead: DataFrame, layout: Layout, run_id: str,
+                         retention_days: int = DEAD_LETTER_RETENTION_DAYS, now=None,
+                         kpi_on: str = "decoded") -> DataFrame:
+    """Store the retained dead letters that decode now in the tables of ``layout`` (STR-8).
+
+    They are one batch of source ``dead-letters-<run_id>``: a run that is
+    repeated replaces its own output, ids already stored are skipped. Returns
+    the report of ``replay_dead_letters``; letters that still fail stay where
+    they are.
+    """
+    recovered, report = replay_dead_letters(dead, retention_days, now)
+    absent = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in TOPIC.fields}
+    records = recovered.select("*", *[c for name, c in absent.items() if name not in recovered.columns])
+    process_batch(records, 0, layout, kpi_on, source_id=f"dead-letters-{run_id}")
+    return report

@@ -1,9 +1,10 @@
 """Sinks: topic (SNK-1), raw events (SNK-2), session KPIs (SNK-3), dead letters (SNK-4).
 
-Table sinks write one ``batch_id=<n>`` partition per micro-batch with dynamic
-partition overwrite, so re-running a batch (a retry after a lost executor or
-a restart from the checkpoint) replaces its own output instead of adding to
-it (STR-3).
+Table sinks write one ``source_id=<s>/batch_id=<n>`` partition per micro-batch
+with dynamic partition overwrite, so re-running a batch (a retry after a lost
+executor or a restart from the checkpoint) replaces its own output instead of
+adding to it (STR-3). The source (the live topic, one backlog, one dead-letter
+run) keeps the batch numbers of different checkpoints apart.
 """
 
 from __future__ import annotations
@@ -16,26 +17,34 @@ from pulseline.operators.partitioning import TOPIC_PARTITIONS
 from pulseline.schemas import HEARTBEAT_COLUMNS, SESSION_METRICS
 
 
-def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+# The source of the live topic.
+LIVE = "live"
+
+
+def write_batch_partition(df: DataFrame, path: str, batch_id: int, source_id: str = LIVE) -> None:
+    (df.withColumns({"source_id": F.lit(source_id), "batch_id": F.lit(batch_id).cast("bigint")})
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").parquet(path))
+       .partitionBy("source_id", "batch_id").parquet(path))
 
 
-def write_new_events(new_events: DataFrame, path: str, batch_id: int) -> None:
+def write_new_events(new_events: DataFrame, path: str, batch_id: int,
+                     source_id: str = LIVE) -> None:
     """Append rows the raw table did not hold (the storage projection, PRJ-1)."""
-    write_batch_partition(new_events.select(*HEARTBEAT_COLUMNS), path, batch_id)
+    write_batch_partition(new_events.select(*HEARTBEAT_COLUMNS), path, batch_id, source_id)
 
 
-def write_session_metrics(parts: DataFrame, path: str, batch_id: int) -> None:
+def write_session_metrics(parts: DataFrame, path: str, batch_id: int,
+                          source_id: str = LIVE) -> None:
     """One KPI row per session of the batch, ratios and additive parts (SNK-3)."""
-    cols = [f.name for f in SESSION_METRICS.fields if f.name != "batch_id"]
-    write_batch_partition(parts.select(*cols), path, batch_id)
+    cols = [f.name for f in SESSION_METRICS.fields if f.name not in ("source_id", "batch_id")]
+    write_batch_partition(parts.select(*cols), path, batch_id, source_id)
 
 
-def write_dead_letters(dead: DataFrame, path: str, batch_id: int) -> None:
+def write_dead_letters(dead: DataFrame, path: str, batch_id: int,
+                       source_id: str = LIVE) -> None:
     """Raw payload, reason and detail of every rejected record (SNK-4)."""
-    write_batch_partition(dead.select("payload", "reason", "detail", "ingest_ts"), path, batch_id)
+    write_batch_partition(dead.select("payload", "reason", "detail", "ingest_ts"), path, batch_id,
+                          source_id)
 
 
 def topic_frame(hb_encoded: DataFrame, num_partitions: int = TOPIC_PARTITIONS,

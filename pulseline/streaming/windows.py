@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseline.functions.scalars import millis_to_ts, ts_to_millis
+from pulseline.functions.validation import is_blank
 from pulseline.operators.kpi import _part_aggs, _with_ratios
 
 
@@ -28,7 +29,9 @@ def stream_kpis(decoded: DataFrame, window: str = "1 hour", watermark: str = "10
 
     Tumbling ``window`` (or ``session_window`` with ``session_gap``) with a
     watermark; in append mode a window is emitted once the watermark passes
-    its end, and events older than the watermark are dropped as late.
+    its end, and events older than the watermark are dropped as late. A run
+    that drains stored records and stops must end with a record far enough
+    ahead in time to close the last windows (its own stays open).
     State is one aggregation buffer per open (window, key).
     """
     w = (F.session_window("event_time", session_gap) if session_gap
@@ -42,8 +45,25 @@ def stream_kpis(decoded: DataFrame, window: str = "1 hour", watermark: str = "10
         "sum_vst_ms", "failures", "total_playback_ms", "total_rebuffer_ms")
 
 
+def split_identified(decoded: DataFrame, key: str = "event_id", ts: str = "ts"):
+    """(identified, others): rows a bounded-state dedup can hold, and the rest (STR-4).
+
+    Rows without an id would all meet in one state entry, and rows without an
+    event time (0, the epoch) are behind every watermark and would be dropped
+    as late. They go to a side output instead, where a batch keeps the first
+    of each id.
+    """
+    timed = F.col(ts) > F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    ok = F.coalesce(timed & ~is_blank(key), F.lit(False))
+    return decoded.filter(ok), decoded.filter(~ok)
+
+
 def dedup_stream(decoded: DataFrame, watermark: str = "1 hour",
                  key: str = "event_id") -> DataFrame:
-    """Drop redelivered events seen within the watermark (STR-4, bounded state)."""
+    """Drop redelivered events seen within the watermark (STR-4, bounded state).
+
+    Rows older than the watermark are dropped as late: choose it above the
+    disorder of the source, and pass ``split_identified``'s first half.
+    """
     return (with_event_instant(decoded).withWatermark("event_time", watermark)
             .dropDuplicatesWithinWatermark([key]).drop("event_time"))

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 from pulseline.cli import main
@@ -30,8 +31,21 @@ def test_replay_job_absorbs_a_backlog_of_seen_events(spark):
     main(["process", "--topic", f"{root}/topic", "--out", f"{root}/out", "--once"])
     # the same records come back as an outage backlog: nothing new is stored
     spark.read.parquet(f"{root}/topic").write.option("maxRecordsPerFile", 2).parquet(f"{root}/backlog")
-    main(["replay", "--backlog", f"{root}/backlog", "--out", f"{root}/out", "--max-files", "1"])
+    main(["replay", "--backlog", f"{root}/backlog", "--out", f"{root}/out",
+          "--backlog-id", "june", "--max-files", "1"])
     events = spark.read.parquet(f"{root}/out/heartbeat_events")
     assert events.count() == 6
-    assert events.filter("batch_id >= 1000000").count() == 0
-    assert spark.read.parquet(f"{root}/out/session_metrics").filter("batch_id >= 1000000").count() > 0
+    assert events.filter("source_id <> 'live'").count() == 0
+    assert spark.read.parquet(f"{root}/out/session_metrics").filter("source_id = 'replay-june'").count() > 0
+    # a letter that decodes now is stored, the publish job's rejects stay letters
+    payload = spark.read.parquet(f"{root}/topic").limit(1).collect()[0]["value"]
+    bytes_of = bytearray(payload)
+    at = bytes_of.index(b"r")
+    bytes_of[at] = ord("q")  # another event id
+    spark.createDataFrame([(bytes(bytes_of), "processing-failure", None, dt.datetime(2024, 1, 1)),
+                           (b"\xff", "deserialization-failure", "cut", dt.datetime(2024, 1, 1))],
+                          "payload binary, reason string, detail string, ingest_ts timestamp_ntz").write.parquet(f"{root}/letters")
+    for _ in range(2):  # repeating a recovery changes nothing
+        main(["recover", "--out", f"{root}/out", "--dead-letters", f"{root}/letters", "--run-id", "one"])
+        events = spark.read.parquet(f"{root}/out/heartbeat_events")
+        assert events.count() == 7 and events.filter("source_id = 'dead-letters-one'").count() == 1

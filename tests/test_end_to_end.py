@@ -1,4 +1,4 @@
-"""The reference's end-to-end cases, through publish job → topic → stream processor."""
+"""Single requests through publish job → topic → stream processor."""
 
 import json
 
@@ -10,9 +10,9 @@ from pulseline.sources.topic import heartbeat_stream
 from pulseline.streaming.processor import Layout, run_stream
 from pulseline.streaming.publish import publish_job
 
-BASE = {"sessionId": "session-integration", "clientId": "client-integration",
-        "contentId": "content-1", "timestampMs": 1704067200000, "videoStartTimeMs": 312.5,
-        "playbackFailed": False, "rebufferDurationMs": 0.0, "playbackDurationMs": 60000.0}
+BASE = {"sessionId": "living-room", "clientId": "tv-17",
+        "contentId": "nature-film", "timestampMs": 1718450123456, "videoStartTimeMs": 871.25,
+        "playbackFailed": False, "rebufferDurationMs": 40.5, "playbackDurationMs": 7210.0}
 
 
 def _round_trip(spark, docs, name):
@@ -30,18 +30,18 @@ def _round_trip(spark, docs, name):
 
 
 def test_event_without_device_fields_is_stored(spark):
-    layout = _round_trip(spark, [dict(BASE, eventId="evt-1")], "e2e-persist")
+    layout = _round_trip(spark, [dict(BASE, eventId="first-play")], "e2e-persist")
     stored = spark.read.parquet(layout.events)
-    probe = spark.createDataFrame([("evt-1",)], "event_id string")
+    probe = spark.createDataFrame([("first-play",)], "event_id string")
     assert exists_by_event_id(probe, stored).collect()[0]["exists"] is True
     row = stored.collect()[0]
     assert (row["os"], row["cdn"], row["player_version"]) == ("", "", "")
     kpis = spark.read.parquet(layout.metrics).collect()
-    assert len(kpis) == 1 and kpis[0]["avg_vst_ms"] == 312.5
+    assert len(kpis) == 1 and kpis[0]["avg_vst_ms"] == 871.25
 
 
 def test_same_event_twice_is_stored_once(spark):
-    layout = _round_trip(spark, [dict(BASE, eventId="evt-dup")] * 2, "e2e-dup")
-    assert spark.read.parquet(layout.events).filter("event_id = 'evt-dup'").count() == 1
+    layout = _round_trip(spark, [dict(BASE, eventId="sent-twice")] * 2, "e2e-dup")
+    assert spark.read.parquet(layout.events).filter("event_id = 'sent-twice'").count() == 1
     # KPIs are computed over what was decoded, the duplicate included (parity)
     assert spark.read.parquet(layout.metrics).collect()[0]["event_count"] == 2

@@ -8,23 +8,23 @@ from pulseline.operators import kpi
 
 
 def test_vst_is_mean_of_all_events(spark):
-    df = hb_rows(spark, [{"video_start_time_ms": 200.0}, {"video_start_time_ms": 400.0}])
+    df = hb_rows(spark, [{"video_start_time_ms": v} for v in (90.0, 130.0, 1010.0)])
     rows = kpi.session_kpis(df).collect()
     assert len(rows) == 1
-    assert rows[0]["avg_vst_ms"] == 300.0
-    assert rows[0]["event_count"] == 2
+    assert rows[0]["avg_vst_ms"] == 410.0
+    assert rows[0]["event_count"] == 3
 
 
-def test_pfr_one_of_four(spark):
-    df = hb_rows(spark, [{"playback_failed": i == 0} for i in range(4)])
-    assert kpi.session_kpis(df).collect()[0]["pfr"] == 0.25
+def test_pfr_is_the_share_of_failed_starts(spark):
+    df = hb_rows(spark, [{"playback_failed": i in (2, 5, 6)} for i in range(8)])
+    assert kpi.session_kpis(df).collect()[0]["pfr"] == 0.375
 
 
 def test_rebuffering_ratio_is_ratio_of_sums(spark):
     df = hb_rows(spark, [
-        {"rebuffer_duration_ms": 6000.0, "playback_duration_ms": 60000.0},
-        {"rebuffer_duration_ms": 0.0, "playback_duration_ms": 60000.0}])
-    assert kpi.session_kpis(df).collect()[0]["rebuffering_ratio"] == 0.05
+        {"rebuffer_duration_ms": 300.0, "playback_duration_ms": 400.0},
+        {"rebuffer_duration_ms": 100.0, "playback_duration_ms": 2800.0}])
+    assert kpi.session_kpis(df).collect()[0]["rebuffering_ratio"] == 0.125
 
 
 def test_empty_batch_yields_no_rows(spark):

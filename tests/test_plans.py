@@ -47,12 +47,33 @@ def test_hot_key_is_combined_map_side(spark):
 
 
 def test_stored_side_is_not_shuffled_for_small_batches(spark, sf_small):
-    hb = fx.heartbeats(spark, sf_small).select("arrival_seq", "event_id", "session_id", "ts")
-    stored, batch = fx.stored_split(hb)
-    plan = _final_plan(dedup.append_new_events(batch, stored))
+    batch = fx.new_events(spark, sf_small).select("arrival_seq", "event_id", "session_id", "ts")
+    plan = _final_plan(dedup.append_new_events(batch, fx.stored_events(spark, sf_small)))
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
 
 
+def test_time_bounds_reach_the_scan(spark, sf_small):
+    for df in (fx.stored_events(spark, sf_small), fx.new_events(spark, sf_small), fx.outage_backlog(spark, sf_small)):
+        scan = [ln for ln in _plan(df).splitlines() if "FileScan parquet" in ln][0]
+        assert "PushedFilters: [IsNotNull(ts)" in scan and "Than" in scan
+
+
+def test_lookups_put_no_limit_into_one_task(spark, sf_small):
+    hb = fx.heartbeats(spark, sf_small)
+    for df in (dedup.events_by_id(hb, hb.select("event_id")), dedup.exists_by_event_id(hb, hb),
+               dedup.append_new_events(hb, hb)):
+        plan = _final_plan(df)
+        assert "GlobalLimit" not in plan and "SinglePartition" not in plan
+
+
+def test_summaries_decode_once(spark, sf_small):
+    from pulseline.plans.catalog import QUERIES
+    final = _final_plan(QUERIES["ingest_summary"](spark, sf_small)).split("== Initial Plan ==")[0]
+    assert final.count("MapInArrow") == 1
+    final = _final_plan(QUERIES["publish_summary"](spark, sf_small)).split("== Initial Plan ==")[0]
+    assert final.count("from_json") == 1
+
+
 def test_partition_load_hashes_per_session(spark, sf_small):
     plan = _plan(partitioning.partition_load(fx.heartbeats(spark, sf_small)))
     # the per-session count precedes the hash: two aggregations, each partial + final

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -10,24 +11,45 @@ def _log(spark, sf_small):
     return fx.latency_log(fx.heartbeats(spark, sf_small))
 
 
-def test_sla_report_exact_and_sketch_agree(spark, sf_small):
+def test_sla_report_p99_equals_percentile(spark, sf_small):
     log = _log(spark, sf_small)
-    exact = {r["period_start"]: r for r in reports.sla_report(log, exact=True).collect()}
-    approx = {r["period_start"]: r for r in reports.sla_report(log, exact=False).collect()}
-    auto = {r["period_start"]: r for r in reports.sla_report(log, exact="auto").collect()}
-    assert exact.keys() == approx.keys() == auto.keys()
-    for k, e in exact.items():
-        assert auto[k]["p99_latency_ms"] == e["p99_latency_ms"]        # small: stays exact
-        assert approx[k]["requests"] == e["requests"]
-        lo = min(e["p99_latency_ms"], approx[k]["p99_latency_ms"])
-        assert approx[k]["p99_latency_ms"] >= lo                          # sketch returns a real value
-
-
-def test_sla_report_auto_switches_to_sketch(spark, sf_small):
-    log = _log(spark, sf_small)
-    small_limit = reports.sla_report(log, exact="auto", exact_distinct_limit=1).collect()
-    approx = reports.sla_report(log, exact=False).collect()
-    assert sorted(r["p99_latency_ms"] for r in small_limit) == sorted(r["p99_latency_ms"] for r in approx)
+    got = {r["period_start"]: r for r in reports.sla_report(log).collect()}
+    want = (log.groupBy(F.window("received_at", "1 day").alias("w"))
+               .agg(F.percentile(F.col("latency_ns") / F.lit(1e6), 0.99).alias("p"), F.count(F.lit(1)).alias("n")).collect())
+    assert len(got) == len(want)
+    for r in want:
+        mine = got[r["w"]["start"]]
+        assert abs(mine["p99_latency_ms"] - r["p"]) < 1e-9 and mine["requests"] == r["n"]
+
+
+def test_exact_quantile_over_the_whole_value_range(spark):
+    rng = random.Random(5)
+    groups = {
+        "ties": [7] * 500, "one": [123_456_789_012], "two": [1, 2], "zero": [0, 0, 5],
+        "wide": [rng.randrange(2**40) for _ in range(400)] + [2**55, 3],
+        "near": [10**9 + rng.randrange(3) for _ in range(1000)],
+        "negative": [-5, -4, 2**33, 9],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("one", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    for q in (0.0, 0.5, 0.99, 1.0):
+        got = {r["g"]: r for r in reports.exact_quantile(df, "g", "v", q).collect()}
+        assert set(got) == set(groups)
+        for g, vs in groups.items():
+            vs = sorted(vs)
+            place = (len(vs) - 1) * q
+            low = int(place)
+            assert (got[g]["low"], got[g]["high"]) == (vs[low], vs[min(low + 1, len(vs) - 1)])
+            assert abs(got[g]["weight"] - (place - low)) < 1e-9
+
+
+def test_whole_milliseconds_truncate_and_far_dates_keep_their_millisecond(spark):
+    from pulseline.functions.scalars import millis_to_ts, nanos_to_whole_ms, ts_to_millis
+    far = [253402300799999 - i for i in range(50)] + [-62135596800000, -1, 0, 1]
+    df = spark.createDataFrame([(m,) for m in far], "ms long").select("ms", ts_to_millis(millis_to_ts("ms")).alias("again"))
+    assert all(r["ms"] == r["again"] for r in df.collect())
+    ns = spark.createDataFrame([(-1_500_000,), (1_999_999,), (2**62,)], "n long").select("n", nanos_to_whole_ms("n").alias("m"))
+    assert [r["m"] for r in ns.collect()] == [-1, 1, 2**62 // 10**6]
 
 
 def test_breaches_use_whole_milliseconds(spark):

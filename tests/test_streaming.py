@@ -66,20 +66,9 @@ def test_empty_batch_writes_nothing(spark, sf_small):
     assert read_table_if_exists(spark, layout.metrics) is None
 
 
-def test_window_kpis_equal_batch_for_closed_windows(spark, sf_small):
-    root = scratch_path(spark, "test-windows")
-    src = S.stage(fx.clean_topic_table(spark, sf_small), f"{root}/topic",
-                  S.record_segments(with_redelivery=False))
-    good, _ = split_decoded(decode_binary(heartbeat_stream(spark, src, max_files_per_trigger=S.FILES_PER_TRIGGER)))
-    q = (stream_kpis(good, S.WINDOW, S.WATERMARK).writeStream.format("memory")
-         .queryName("win_test").outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = spark.table("win_test")
-    hb = fx.heartbeats(spark, sf_small)
-    max_ts = hb.agg(F.max("ts")).collect()[0][0]
-    want = kpi.kpi_timeseries(hb, "1 day", keys=("session_id",))
-    import datetime as dt
-    want = want.filter(F.col("window_end") <= F.lit(max_ts - dt.timedelta(days=8)))
+def test_window_kpis_equal_batch(spark, sf_small):
+    got = S.q_stream_window_kpis(spark, sf_small)
+    want = kpi.kpi_timeseries(fx.heartbeats(spark, sf_small), "1 day", keys=("session_id",))
     assert want.count() > 0
     cols = ["session_id", "window_start", "window_end", "event_count"]
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
@@ -103,8 +92,8 @@ def test_lookup_horizon_keeps_results_when_ids_are_recent(spark, sf_small):
     # redeliveries arrive within the same 31-day span, so a 40-day horizon is exact
     run_stream(heartbeat_stream(spark, src, max_files_per_trigger=S.FILES_PER_TRIGGER), bounded,
                lookup_horizon="40 days").awaitTermination()
-    a = spark.read.parquet(full.events).drop("batch_id")
-    b = spark.read.parquet(bounded.events).drop("batch_id")
+    a = spark.read.parquet(full.events).drop("source_id", "batch_id")
+    b = spark.read.parquet(bounded.events).drop("source_id", "batch_id")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -126,7 +115,7 @@ def test_replay_library_absorbs_duplicates(spark, sf_small):
     before = spark.read.parquet(layout.events).count()
     # replay part of the already consumed topic as a backlog: nothing new is stored
     write_backlog(read_topic(spark, src).limit(700), f"{root}/backlog", 250)
-    q = replay(spark, f"{root}/backlog", layout, slices_per_trigger=1)
+    q = replay(spark, f"{root}/backlog", layout, "seen", slices_per_trigger=1)
     assert len(q.recentProgress) >= 3
     assert spark.read.parquet(layout.events).count() == before
     recovered, report = replay_dead_letters(spark.read.parquet(layout.dead_letters))
@@ -134,6 +123,49 @@ def test_replay_library_absorbs_duplicates(spark, sf_small):
     assert report.filter("recovered > 0").count() == 0
 
 
+def test_sources_see_each_other_and_keep_their_partitions(spark, sf_small):
+    from pulseline.streaming.replay import replay, write_backlog
+    root, src = _staged(spark, sf_small)
+    records = read_topic(spark, src)
+    layout = Layout(f"{root}/out")
+    one, two = (records.filter(F.pmod(F.col("offset"), F.lit(3)) == k) for k in (0, 1))
+    for name, part in (("one", one), ("two", two)):
+        write_backlog(part, f"{root}/{name}", 400)
+        replay(spark, f"{root}/{name}", layout, name, slices_per_trigger=2)
+    stored = lambda: spark.read.parquet(layout.events)
+    first = stored().filter("source_id = 'replay-one'").count()
+    assert first > 0 and stored().filter("source_id = 'replay-two'").count() > 0
+    process_batch(records, 0, layout)           # the live topic delivers everything again
+    again = stored().count()
+    process_batch(records, 0, layout)           # and retries the batch
+    assert stored().count() == again == stored().select("event_id").distinct().count()
+    assert stored().filter("source_id = 'replay-one'").count() == first
+    # a second run of a drained backlog adds nothing
+    replay(spark, f"{root}/one", layout, "one")
+    assert stored().count() == again
+
+
+def test_blank_ids_and_missing_times_take_the_side_output(spark):
+    import datetime as dt
+    from pulseline.streaming.windows import split_identified
+    t0, epoch = dt.datetime(2024, 1, 1), dt.datetime(1970, 1, 1)
+    df = spark.createDataFrame([("a", t0), (" ", t0), (None, t0), ("b", epoch), ("c", None)], "event_id string, ts timestamp_ntz")
+    ok, rest = split_identified(df)
+    assert [r["event_id"] for r in ok.collect()] == ["a"] and rest.count() == 4
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace as N
+
+    import pytest
+
+    from pulseline.session import ensure_checkpoint_dir
+    conf = N(get=lambda key, default=None: default)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(N(conf=conf, sparkContext=N(getCheckpointDir=lambda: None, master=master)))
+
+
 def test_session_windows_by_gap(spark):
     import datetime as dt
     root = scratch_path(spark, "test-session-window")

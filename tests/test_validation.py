@@ -61,6 +61,20 @@ def test_lenient_binding(spark):
     assert got[4]["video_start_time_ms"] == 0.0
 
 
+def test_booleans_bind_from_true_false_and_whole_numbers_only(spark):
+    good = {"true": True, "FALSE": False, "True": True, 1: True, 0: False, "": False}
+    got = _classify(spark, [_doc(playbackFailed=v) for v in good])
+    assert [got[i]["playback_failed"] for i in range(len(good))] == list(good.values())
+    bad = _classify(spark, [_doc(playbackFailed=v) for v in ("yes", "y", "t", "1.5", "no")])
+    assert {r["violations"] for r in bad.values()} == {"playbackFailed: type mismatch"}
+
+
+def test_empty_text_for_a_number_is_absent(spark):
+    got = _classify(spark, [_doc(videoStartTimeMs=""), _doc(timestampMs=" ")])
+    assert got[0]["reason"] is None and got[0]["video_start_time_ms"] == 0.0
+    assert got[1]["violations"] == "timestampMs: must be greater than 0"
+
+
 def test_absent_timestamp_is_not_positive(spark):
     r = _classify(spark, [_doc(timestampMs=...)])[0]
     assert r["violations"] == "timestampMs: must be greater than 0"
