@@ -2,11 +2,12 @@
 
 The JVM protobuf functions (``from_protobuf`` / ``to_protobuf``) need the
 spark-protobuf package, which this deployment does not carry, so decoding and
-encoding run as ``mapInArrow`` over Arrow record batches: each task builds
-the message class once from the declared field list and parses/serialises
-the binary column of its batch. The task output is a struct of the fields
-plus an error text, so a single pass feeds both the good rows and the dead
-letters (FLT-4).
+encoding run as ``mapInArrow`` over Arrow record batches, column by column
+(``wire``). Only messages in another than the declared form go one by one
+through the message class that each task builds from the declared field list,
+which accepts them or words the error. The task output is a struct of the
+fields plus an error text, so a single pass feeds both the good rows and the
+dead letters (FLT-4).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulseline.functions import wire
 from pulseline.functions.parallel import spread_small_input
 from pulseline.functions.scalars import millis_to_ts, normalize_device_fields, ts_to_millis
 from pulseline.schemas import WIRE_FIELDS, WIRE_MESSAGE_NAME, WIRE_PACKAGE
@@ -78,35 +80,39 @@ def decode_binary(df: DataFrame, payload_col: str = "value", spread: bool = Fals
                               + [T.StructField("decode_error", T.StringType())])
     pa_types = {"string": pa.string(), "int64": pa.int64(),
                 "double": pa.float64(), "bool": pa.bool_()}
-    wire = list(WIRE_FIELDS)
+    fields = list(WIRE_FIELDS)
 
     def decode_batches(batches):
         cls = build_message_class()
         for batch in batches:
-            payloads = batch.column(payload_col).to_pylist()
-            cols = {name: [] for name, _, _ in wire}
-            errors = []
-            for raw in payloads:
-                if raw is None:
-                    for name in cols:
-                        cols[name].append(None)
-                    errors.append("null payload")
-                    continue
-                try:
-                    m = cls.FromString(raw)
-                except Exception as exc:  # DecodeError and friends
-                    for name in cols:
-                        cols[name].append(None)
-                    errors.append(type(exc).__name__ + ": " + str(exc))
-                    continue
-                for name in cols:
-                    cols[name].append(getattr(m, name))
-                errors.append(None)
+            payloads = batch.column(payload_col)
+            columns, odd = wire.parse(payloads)
+            absent = payloads.is_null().to_numpy(zero_copy_only=False)
+            rest = (odd | absent).nonzero()[0].tolist()
+            errors = [None] * len(payloads)
+            if rest:  # decided by the message class
+                values = {name: [] for name, _, _ in fields}
+                for i in rest:
+                    message = None
+                    try:
+                        if absent[i]:
+                            errors[i] = "null payload"
+                        else:
+                            message = cls.FromString(payloads[i].as_py())
+                    except Exception as exc:  # DecodeError and friends
+                        errors[i] = type(exc).__name__ + ": " + str(exc)
+                    for name in values:
+                        values[name].append(None if message is None else getattr(message, name))
+                place = list(range(len(payloads)))
+                for k, i in enumerate(rest):
+                    place[i] = len(payloads) + k
+                place = pa.array(place, pa.int64())
+                columns = [pa.concat_arrays([column, pa.array(values[name], pa_types[kind])]).take(place)
+                           for column, (name, _, kind) in zip(columns, fields)]
             arrays = [batch.column(i) for i in range(batch.num_columns)]
-            arrays += [pa.array(cols[name], type=pa_types[kind]) for name, _, kind in wire]
-            arrays.append(pa.array(errors, type=pa.string()))
-            names = keep + [n for n, _, _ in wire] + ["decode_error"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            yield pa.RecordBatch.from_arrays(
+                [*arrays, *columns, pa.array(errors, pa.string())],
+                names=keep + [name for name, _, _ in fields] + ["decode_error"])
 
     src = spread_small_input(df) if spread else df
     decoded = src.mapInArrow(decode_batches, out_schema)
@@ -126,24 +132,13 @@ def encode_binary(df: DataFrame, out_col: str = "value", spread: bool = False) -
     in_cols = prepared.columns
     out_schema = T.StructType(list(prepared.schema.fields)
                               + [T.StructField(out_col, T.BinaryType())])
-    wire = list(WIRE_FIELDS)
-    source = {n: ("__wire_ms" if n == "timestamp_ms" else n) for n, _, _ in wire}
-    defaults = {"string": "", "int64": 0, "double": 0.0, "bool": False}
+    source = ["__wire_ms" if name == "timestamp_ms" else name for name, _, _ in WIRE_FIELDS]
 
     def encode_batches(batches):
-        cls = build_message_class()
         for batch in batches:
-            data = {n: batch.column(source[n]).to_pylist() for n, _, _ in wire}
-            out = []
-            for i in range(batch.num_rows):
-                m = cls()
-                for name, _, kind in wire:
-                    v = data[name][i]
-                    setattr(m, name, defaults[kind] if v is None else v)
-                out.append(m.SerializeToString())
+            values = wire.write([batch.column(name) for name in source])
             arrays = [batch.column(i) for i in range(batch.num_columns)]
-            arrays.append(pa.array(out, type=pa.binary()))
-            yield pa.RecordBatch.from_arrays(arrays, names=in_cols + [out_col])
+            yield pa.RecordBatch.from_arrays([*arrays, values], names=in_cols + [out_col])
 
     src = spread_small_input(prepared) if spread else prepared
     return src.mapInArrow(encode_batches, out_schema).drop("__wire_ms")
