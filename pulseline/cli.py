@@ -9,9 +9,9 @@
 Ingest and processing run as separate applications from the same code base,
 each with its own checkpoint. ``--once`` drains what is available and stops
 (``availableNow``); otherwise the job runs on a processing-time trigger.
-With a parquet topic the records carry no broker offset: duplicates in one
-micro-batch then keep the copy first by content, across micro-batches the
-earlier batch wins.
+``publish`` numbers the requests by batch, file time, file and line; in a
+parquet topic that number is the record's offset, so the consumer keeps the
+first arrival of an id.
 """
 
 from __future__ import annotations
@@ -37,8 +37,7 @@ def _publish(spark, args):
     from pulseline.streaming.publish import publish_job
     stream = (read_json_heartbeats(spark, args.requests, streaming=True,
                                    max_files_per_trigger=args.max_files)
-              .withColumn("received_at", F.current_timestamp().cast("timestamp_ntz"))
-              .withColumn("request_id", F.lit(None).cast("bigint")))
+              .withColumn("received_at", F.current_timestamp().cast("timestamp_ntz")))
     return publish_job(stream, args.topic, args.dead_letters, args.checkpoint,
                        available_now=args.once, processing_time=args.trigger,
                        topic=args.kafka_topic, kafka_options=_kafka(args))

@@ -36,12 +36,17 @@ REQUEST_TEXT_SCHEMA = T.StructType(
 
 def read_json_heartbeats(spark: SparkSession, path: str, streaming: bool = False,
                          max_files_per_trigger: int | None = None) -> DataFrame:
-    """One JSON document per line → column ``body`` (text source, no inference)."""
+    """One JSON document per line → column ``body`` (text source, no inference).
+
+    A stream also carries ``file_time`` and ``file_path``, the arrival order of its files.
+    """
     if streaming:
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.load(path).withColumnRenamed("value", "body")
+        return reader.load(path).select(
+            F.col("value").alias("body"), F.col("_metadata.file_modification_time").alias("file_time"),
+            F.col("_metadata.file_path").alias("file_path"))
     return spark.read.text(path).withColumnRenamed("value", "body")
 
 

@@ -4,7 +4,9 @@ Ingest and processing are separate jobs over one code base: this job only
 validates and publishes; ``processor.run_stream`` consumes the topic.
 Rejected requests go to dead letters with their reason and every violation.
 Delivery is at-least-once: a retried batch may publish a record twice, which
-the consumer's keep-first dedup by ``event_id`` absorbs (as in the reference).
+the consumer's keep-first dedup by ``event_id`` absorbs. Requests without a
+number of their own are numbered in the order they arrived, so the consumer
+keeps the first arrival.
 """
 
 from __future__ import annotations
@@ -22,10 +24,37 @@ from pulseline.sources.json_source import decode_json
 from pulseline.streaming.sinks import write_dead_letters, write_topic
 
 
+# Bits of an arrival number below the batch: sorted partition, then row.
+_PART_BITS, _ROW_BITS = 14, 26
+
+
+def with_arrival(requests: DataFrame, batch_id: int, order=("file_time", "file_path")) -> DataFrame:
+    """``request_id`` by batch, then file time, file and line.
+
+    The rows of a batch are range-sorted (no single task) and numbered by
+    sorted partition and place in it; a batch beyond 2**26 rows per partition
+    or 2**14 partitions fails instead of numbering wrongly.
+    """
+    place = F.monotonically_increasing_id()
+    part, row = F.shiftright(place, 33), place.bitwiseAND((1 << 33) - 1)
+    fits = (part < 1 << _PART_BITS) & (row < 1 << _ROW_BITS)
+    number = F.lit(batch_id << (_PART_BITS + _ROW_BITS)) + F.shiftleft(part, _ROW_BITS) + row
+    lines = requests.withColumn("__line", F.monotonically_increasing_id())
+    return (lines.orderBy(*order, "__line")
+                 .withColumn("request_id", F.when(fits, number).otherwise(
+                     F.raise_error(F.lit("the batch is too large to number")).cast("bigint")))
+                 .drop("__line", *order))
+
+
 def publish_batch(requests: DataFrame, batch_id: int, topic_path: str | None,
                   dead_letter_path: str, topic: str | None = None,
                   kafka_options: dict | None = None) -> None:
-    """Validate one batch of requests (``request_id, received_at, body``) and publish it."""
+    """Validate one batch of requests (``request_id, received_at, body``) and publish it.
+
+    Without ``request_id`` the columns ``file_time`` and ``file_path`` give the order.
+    """
+    if "request_id" not in requests.columns:
+        requests = with_arrival(requests, batch_id)
     decoded = decode_json(requests).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if decoded.count() == 0:

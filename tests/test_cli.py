@@ -21,6 +21,21 @@ def test_publish_then_process_jobs(spark):
     assert spark.read.parquet(f"{root}/dead").count() == 1
 
 
+def test_first_arrival_wins_through_both_jobs(spark):
+    root = scratch_path(spark, "test-cli-order")
+    for n in range(3):  # the first file brings every id twice, later files bring them again
+        docs = [json.dumps({"eventId": f"e{i % 40}", "sessionId": "s", "clientId": "c", "contentId": "m",
+                            "timestampMs": 1704067200000, "videoStartTimeMs": 1000.0 * n + 500 - i}) for i in range(80)]
+        spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.mode("append").text(f"{root}/requests")
+    main(["publish", "--requests", f"{root}/requests", "--topic", f"{root}/topic",
+          "--dead-letters", f"{root}/dead", "--checkpoint", f"{root}/_pub", "--once", "--max-files", "2"])
+    main(["process", "--topic", f"{root}/topic", "--out", f"{root}/out", "--once"])
+    rows = spark.read.parquet(f"{root}/out/heartbeat_events").collect()
+    assert {r["event_id"]: r["video_start_time_ms"] for r in rows} == {f"e{i}": 500.0 - i for i in range(40)}
+    offsets = [r["offset"] for r in spark.read.parquet(f"{root}/topic").collect()]
+    assert len(set(offsets)) == 240 and max(offsets) >= 1 << 40
+
+
 def test_replay_job_absorbs_a_backlog_of_seen_events(spark):
     root = scratch_path(spark, "test-cli-replay")
     docs = [json.dumps({"eventId": f"r{i}", "sessionId": "s", "clientId": "c",
