@@ -51,7 +51,7 @@ def _process(spark, args):
                               max_offsets_per_trigger=args.max_offsets)
     return run_stream(stream, Layout(args.out), available_now=args.once,
                       processing_time=args.trigger, kpi_on=args.kpi_on,
-                      lookup_horizon=args.lookup_horizon)
+                      lookup_horizon=args.lookup_horizon, validate_binary=args.validate_binary)
 
 
 def _replay(spark, args):
@@ -94,6 +94,8 @@ def parser() -> argparse.ArgumentParser:
     pro.add_argument("--out", required=True)
     pro.add_argument("--kpi-on", choices=["decoded", "accepted"], default="decoded")
     pro.add_argument("--lookup-horizon", default=None, help='e.g. "2 days"')
+    pro.add_argument("--validate-binary", action="store_true",
+                     help="request constraints for decoded messages too")
     common(pro)
 
     rep = sub.add_parser("replay", help="backlog folder -> same tables as process")

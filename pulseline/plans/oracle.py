@@ -295,6 +295,11 @@ ORACLE["stream_ingest_kpis"] = f"WITH {H}, {T}, {TD} {_kpi_select('session_id')}
 ORACLE["stream_dead_letters"] = f"""WITH {H}, {T}
 SELECT 'deserialization-failure' AS reason, count(*) AS dead_letters FROM t WHERE fault_key IN (4, 11)"""
 
+ORACLE["stream_validated_letters"] = f"""WITH {H}, {T}
+SELECT CASE WHEN fault_key = 12 THEN 'validation-failure' ELSE 'deserialization-failure' END AS reason,
+  count(*) AS dead_letters
+FROM t WHERE fault_key IN (4, 11, 12) GROUP BY 1"""
+
 # one delivery whose store failed for class 13; letters within 7 days of the newest
 LETTERS = """d AS (SELECT *, fault_key = 13 AS sound FROM h WHERE fault_key IN (4, 11, 13)),
   kept AS (SELECT * FROM d WHERE ts >= (SELECT max(ts) FROM d) - INTERVAL 7 DAY)"""

@@ -94,12 +94,12 @@ def _topic_stream(spark: SparkSession, folder: str) -> DataFrame:
     return heartbeat_stream(spark, folder, max_files_per_trigger=FILES_PER_TRIGGER)
 
 
-def ingest_run(spark: SparkSession, sf_dir: str) -> Layout:
+def ingest_run(spark: SparkSession, sf_dir: str, validate_binary: bool = False) -> Layout:
     """Stream the faulty, redelivered topic through ``process_batch``."""
     root = scratch_path(spark, "ingest")
     src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments())
     layout = Layout(f"{root}/out")
-    run_stream(_topic_stream(spark, src), layout).awaitTermination()
+    run_stream(_topic_stream(spark, src), layout, validate_binary=validate_binary).awaitTermination()
     return layout
 
 
@@ -126,6 +126,12 @@ def q_stream_dead_letters(spark, sf_dir) -> DataFrame:
     return dead_letters_by_reason(spark.read.parquet(layout.dead_letters))
 
 
+def q_stream_validated_letters(spark, sf_dir) -> DataFrame:
+    """Dead letters when the request constraints hold for binary messages too (STR-7)."""
+    layout = ingest_run(spark, sf_dir, validate_binary=True)
+    return dead_letters_by_reason(spark.read.parquet(layout.dead_letters))
+
+
 def recovery_run(spark: SparkSession, sf_dir: str) -> tuple[Layout, DataFrame]:
     """Live topic whose store failed for some decoded events, then the retained letters again."""
     root = scratch_path(spark, "recovery")
@@ -268,6 +274,7 @@ STREAM_QUERIES = {
     "stream_ingest_events": q_stream_ingest_events,
     "stream_ingest_kpis": q_stream_ingest_kpis,
     "stream_dead_letters": q_stream_dead_letters,
+    "stream_validated_letters": q_stream_validated_letters,
     "stream_window_kpis": q_stream_window_kpis,
     "stream_session_windows": q_stream_session_windows,
     "replay_backlog": q_replay_backlog,

@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from pulseline.functions.codec import decode_binary, split_decoded
+from pulseline.functions.validation import violations
 from pulseline.operators.dedup import append_new_events
 from pulseline.operators.kpi import session_kpi_parts
 from pulseline.operators.quarantine import storage_split
-from pulseline.schemas import EVENTS_TABLE, HEARTBEAT_COLUMNS, REASON_UNDECODABLE
+from pulseline.schemas import EVENTS_TABLE, HEARTBEAT_COLUMNS, REASON_INVALID, REASON_UNDECODABLE
 from pulseline.streaming.sinks import (
     LIVE, write_dead_letters, write_new_events, write_session_metrics,
 )
@@ -77,7 +78,7 @@ def stored_elsewhere(spark: SparkSession, path: str, batch_id: int,
 
 def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
                   kpi_on: str = "decoded", lookup_horizon: str | None = None,
-                  source_id: str = LIVE) -> None:
+                  source_id: str = LIVE, validate_binary: bool = False) -> None:
     """Process one micro-batch of topic records (``key, value, partition, offset, timestamp``).
 
     The batch may arrive already decoded (``decode_error`` present, as
@@ -88,6 +89,10 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
     (the reference would instead fail the whole batch and compute no KPIs),
     not under ``"accepted"``.
 
+    ``validate_binary`` applies the request constraints (ids not blank, time
+    positive) to decoded messages too: rows that break one become dead letters
+    with every violation. Off by default (parity: the binary path stores them).
+
     ``lookup_horizon`` (e.g. ``"2 days"``): when the caller knows an event id
     never recurs further apart in event time, the stored-id lookup reads only
     stored rows within the batch's event-time range ± horizon; the ``ts``
@@ -102,11 +107,18 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
             return
         spark = batch.sparkSession
         good, failed = split_decoded(decoded)
+        good = good.withColumn("__v", violations("timestamp_ms") if validate_binary
+                               else F.array().cast("array<string>"))
+        invalid = good.filter(F.size("__v") > 0)
+        good = good.filter(F.size("__v") == 0)
         hb = good.select("value", F.col("offset").alias("arrival_seq"), *HEARTBEAT_COLUMNS)
         storable, over_long = storage_split(hb)
         dead = failed.select(
             F.col("value").alias("payload"), F.lit(REASON_UNDECODABLE).alias("reason"),
             F.col("decode_error").alias("detail"), F.col("timestamp").alias("ingest_ts"))
+        dead = dead.unionByName(invalid.select(
+            F.col("value").alias("payload"), F.lit(REASON_INVALID).alias("reason"),
+            F.array_join("__v", "; ").alias("detail"), F.col("timestamp").alias("ingest_ts")))
         dead = dead.unionByName(over_long.select(
             F.col("value").alias("payload"), "reason", "detail", F.col("ts").alias("ingest_ts")))
 
@@ -150,7 +162,8 @@ def observe_ingest(decoded: DataFrame, name: str = "ingest") -> DataFrame:
 def run_stream(stream: DataFrame, layout: Layout, available_now: bool = True,
                processing_time: str | None = None, kpi_on: str = "decoded",
                query_name: str | None = None, checkpoint: str | None = None,
-               source_id: str = LIVE, lookup_horizon: str | None = None):
+               source_id: str = LIVE, lookup_horizon: str | None = None,
+               validate_binary: bool = False):
     """Start the processing query; returns the ``StreamingQuery``.
 
     ``available_now`` drains what is there in bounded micro-batches and
@@ -163,7 +176,8 @@ def run_stream(stream: DataFrame, layout: Layout, available_now: bool = True,
     """
     decoded = observe_ingest(decode_binary(stream, "value"))
     writer = (decoded.writeStream
-              .foreachBatch(lambda df, bid: process_batch(df, bid, layout, kpi_on, lookup_horizon, source_id))
+              .foreachBatch(lambda df, bid: process_batch(df, bid, layout, kpi_on, lookup_horizon, source_id,
+                                                          validate_binary))
               .option("checkpointLocation", checkpoint or layout.checkpoint))
     if query_name:
         writer = writer.queryName(query_name)

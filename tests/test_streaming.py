@@ -208,3 +208,39 @@ def test_dead_letter_retention_window(spark):
         "payload binary, reason string, detail string, ingest_ts timestamp_ntz")
     assert retained_dead_letters(dead).count() == 3                       # newest-relative
     assert retained_dead_letters(dead, now=t0 + dt.timedelta(days=2)).count() == 2
+
+
+def test_processing_time_trigger_runs_until_stopped(spark, sf_small):
+    root, src = _staged(spark, sf_small)
+    layout = Layout(f"{root}/out")
+    q = run_stream(heartbeat_stream(spark, src), layout, available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+        first = spark.read.parquet(layout.events).count()
+        read_topic(spark, src).limit(50).write.mode("append").parquet(src)  # more of the same: nothing new
+        q.processAllAvailable()
+        assert spark.read.parquet(layout.events).count() == first > 0
+        assert spark.read.parquet(layout.metrics).select("batch_id").distinct().count() >= 2
+    finally:
+        q.stop()
+
+
+def test_binary_rows_that_break_a_constraint_become_letters(spark, sf_small):
+    root, src = _staged(spark, sf_small)
+    loose, strict = Layout(f"{root}/loose"), Layout(f"{root}/strict")
+    process_batch(read_topic(spark, src), 0, loose)
+    process_batch(read_topic(spark, src), 0, strict, validate_binary=True)
+    blank = spark.read.parquet(loose.events).filter("event_id = ''").count()
+    assert blank == 1 and spark.read.parquet(strict.events).filter("event_id = ''").count() == 0
+    letters = spark.read.parquet(strict.dead_letters).filter("reason = 'validation-failure'").collect()
+    assert letters and all("eventId: must not be blank" in r["detail"] and "timestampMs" in r["detail"] for r in letters)
+
+
+def test_older_files_give_null_for_newer_columns(spark):
+    from pulseline.sources.events import read_events
+    path = scratch_path(spark, "test-widen")
+    (spark.range(3).selectExpr("cast(id as string) event_id", "'s' session_id", "'live' source_id", "0L batch_id")
+          .write.partitionBy("source_id", "batch_id").parquet(path))
+    rows = read_events(spark, path).collect()
+    assert len(rows) == 3 and {r["cdn"] for r in rows} == {None} and {r["source_id"] for r in rows} == {"live"}
