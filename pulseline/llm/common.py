@@ -2,15 +2,63 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import pulseline
 from pulseline.session import scratch_path
 
 
+# Arrow batches handed to Python: whole rows, at most so many and about so many bytes
+BATCH_ROWS, BATCH_BYTES = "1000", "4m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the texts that a Python worker holds at once, unless the session bounds them lower."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > int(BATCH_ROWS):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Tasks import it by name, so what a Python worker has loaded (vocabularies,
+    automata, dictionaries) stays loaded for its later tasks.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(pulseline.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="pulseline-"), "pulseline_tasks.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    out.write(file, os.path.relpath(file, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def arrow_udf(function, returns: str):
+    """An Arrow UDF whose tasks find this package."""
+    ship_package(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate())
+    return F.arrow_udf(function, returns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
+    """One of the given tables, to be read in small Arrow batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseline.llm.common import staged
+from pulseline.llm.common import ship_package, staged
 from pulseline.llm.components import connected_components
 
 COSINE = 0.9
@@ -154,6 +154,7 @@ def _valid(vector: Column) -> Column:
 def near_duplicate_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
                            cosine: float = COSINE, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
     """Per row: ``vec_id``, ``n_links``, ``component_id`` and ``kept``."""
+    ship_package(df.sparkSession)
     single = df.schema[vector].dataType.elementType.simpleString() == "float"
     dtype, item = ("<f4", "float") if single else ("<f8", "double")
     radius = math.sqrt(2 - 2 * cosine)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseline.llm.common import text_bytes
+from pulseline.llm.common import arrow_udf, text_bytes
 from pulseline.llm.textstats import word_bounds, word_hashes
 
 # pages the labeller is trained on, and characters of one, at most
@@ -361,4 +361,4 @@ def main_text(page: Column, model: Model) -> Column:
     def run(pages: pa.Array) -> pa.Array:
         return pa.array(main_texts(model, pages.to_pylist()), pa.string())
 
-    return F.arrow_udf(run, "string")(page.cast("string"))
+    return arrow_udf(run, "string")(page.cast("string"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseline.llm.common import row_slices, text_bytes
+from pulseline.llm.common import arrow_udf, row_slices, text_bytes
 
 # training texts per language, characters of each, and symbols per language, at most
 SAMPLE = 120
@@ -232,4 +232,4 @@ def detect(text: Column, model: Model) -> Column:
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                           names=["lang_pred", "score"])
 
-    return F.arrow_udf(run, "struct<lang_pred: string, score: double>")(text.cast("string"))
+    return arrow_udf(run, "struct<lang_pred: string, score: double>")(text.cast("string"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseline.llm.common import mix64, row_slices, staged, text_bytes
+from pulseline.llm.common import arrow_udf, mix64, row_slices, staged, text_bytes
 from pulseline.llm.components import connected_components
 from pulseline.llm.textstats import _LOWER, SLICE, word_bounds, word_hashes
 
@@ -167,7 +167,7 @@ def signatures(text: Column, p: Params) -> Column:
              pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
             names=["n", "f1", "f2", "bands"])
 
-    return F.arrow_udf(run, "struct<n: long, f1: long, f2: long, bands: array<long>>")(text)
+    return arrow_udf(run, "struct<n: long, f1: long, f2: long, bands: array<long>>")(text)
 
 
 def _full_sets(text: Column, p: Params) -> Column:
@@ -178,7 +178,7 @@ def _full_sets(text: Column, p: Params) -> Column:
         return pa.StructArray.from_arrays([_binary(sets), _binary([sketch(s, p) for s in sets])],
                                           names=["items", "registers"])
 
-    return F.arrow_udf(run, "struct<items: binary, registers: binary>")(text)
+    return arrow_udf(run, "struct<items: binary, registers: binary>")(text)
 
 
 def _similar(p: Params):
@@ -194,7 +194,7 @@ def _similar(p: Params):
             out[s] = found >= p.percent / 100 - p.slack
         return pa.array(out)
 
-    return F.arrow_udf(run, "boolean")
+    return arrow_udf(run, "boolean")
 
 
 def _shared():
@@ -208,7 +208,7 @@ def _shared():
             out.append(int((both[1:] == both[:-1]).sum()))
         return pa.array(out, pa.int64())
 
-    return F.arrow_udf(run, "long")
+    return arrow_udf(run, "long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
@@ -248,7 +248,7 @@ def _maybe_in(bits: np.ndarray, column: str) -> Column:
             found &= flags[(h >> (20 * k)) & (FILTER_BITS - 1)].astype(bool)
         return pa.array(found)
 
-    return F.arrow_udf(run, "boolean")(F.xxhash64(column))
+    return arrow_udf(run, "boolean")(F.xxhash64(column))
 
 
 def _sets_of(rows: DataFrame, members: DataFrame, p: Params) -> DataFrame:

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulseline.llm.common import ship_package
+
 # remainders packed together; bounds the buffer to RUN * sequence length ids
 RUN = 8192
 # pieces per output batch
@@ -175,6 +177,7 @@ def pack_documents(df: DataFrame, spec: str, pattern: str, key: str = "doc_id",
     as little-endian unsigned 32-bit integers. ``sequence_id`` is unique over
     the input: the partition number in the high bits, then a count.
     """
+    ship_package(df.sparkSession)
     narrow = df.select(F.col(key).cast("long").alias("doc_id"),
                        F.col(text).cast("string").alias("text"),
                        F.spark_partition_id().cast("long").alias("part"))

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseline.llm.common import text_bytes
+from pulseline.llm.common import arrow_udf, text_bytes
 
 # labelled documents per class in the sample, at most, and their bytes, at most
 SAMPLE = 2_500
@@ -158,7 +158,7 @@ def score(text: Column, model: Model) -> Column:
         data, cut = raw.tobytes(), offsets.tolist()
         return pa.array(scores(model, [data[a:b] for a, b in zip(cut, cut[1:])]), pa.float64())
 
-    return F.arrow_udf(run, "double")(text.cast("string"))
+    return arrow_udf(run, "double")(text.cast("string"))
 
 
 def filter_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

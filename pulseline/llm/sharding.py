@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseline.llm.common import mix64, staged
+from pulseline.llm.common import arrow_udf, mix64, ship_package, staged
 
 JUMP_MULTIPLIER = np.uint64(2862933555777941757)  # fixed by the published method
 
@@ -48,7 +48,7 @@ def with_shard(df: DataFrame, key: str, shards: int, out: str = "shard") -> Data
     def shard(keys: pa.Array) -> pa.Array:
         return pa.array(_shards_of(keys, shards), pa.int32())
 
-    return df.withColumn(out, F.arrow_udf(shard, "int")(F.col(key).cast("long")))
+    return df.withColumn(out, arrow_udf(shard, "int")(F.col(key).cast("long")))
 
 
 def write_shards(df: DataFrame, key: str, shards: int, path: str) -> None:
@@ -69,6 +69,7 @@ def shard_manifest(df: DataFrame, key: str = "doc_id", text: str = "text",
     is a running sum over the (partition, shard) counts, so no task ever
     holds or sorts a whole shard.
     """
+    ship_package(df.sparkSession)
     narrow = df.select(F.col(key).cast("long").alias("doc_id"),
                        (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(1)).cast("long").alias("size"),
                        F.coalesce(F.crc32(F.encode(F.col(text), "UTF-8")), F.lit(0)).cast("long").alias("text_crc32"),

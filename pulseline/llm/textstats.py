@@ -13,10 +13,10 @@ import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pulseline.llm.common import mix64, row_slices, text_bytes
+from pulseline.llm.common import arrow_udf, mix64, row_slices, text_bytes
 
 # bytes of text worked on at once (a longer text makes a slice of its own)
-SLICE = 4 << 20
+SLICE = 1 << 20
 LONG_WORD = 256
 
 _SPACE = np.zeros(256, bool)
@@ -149,4 +149,4 @@ def text_counts(text: Column) -> Column:
         values = count(texts)
         return pa.StructArray.from_arrays([pa.array(values[c].astype(np.int64)) for c in COUNTS], names=COUNTS)
 
-    return F.arrow_udf(run, "struct<" + ", ".join(f"{c}: long" for c in COUNTS) + ">")(text)
+    return arrow_udf(run, "struct<" + ", ".join(f"{c}: long" for c in COUNTS) + ">")(text)
