@@ -37,12 +37,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str,
             path: str = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")) -> DataFrame:
     """Encode and decode every document; digests of both."""
     data, pattern = _read(path), public_tokenizers.PATTERN
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = docs.select("doc_id", bpe.encode(F.col("text"), data, pattern).alias("ids"))
-    both = ids.withColumn("decoded", bpe.decode(F.col("ids"), data, pattern))
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    docs = table(spark, sf_dir, "documents")
+    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), data, pattern).alias("c"))
+    return coded.select("doc_id", F.size("c.ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.concat_ws(",", F.col("c.ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("c.bytes", 256).alias("decoded_sha256"))
 
 
 def op4_pack(spark: SparkSession, sf_dir: str,
@@ -106,4 +105,34 @@ QUERIES = {
     "op9_embedding_links": op9_embedding_links,
     "op10_main_text": op10_main_text,
 }
+# smallest id reachable over links(a, b), both directions, from nodes(id)
+_REACH = """reach AS (
+    SELECT id, id AS component_id FROM nodes
+    UNION SELECT l.b, r.component_id FROM reach r JOIN links l ON r.id = l.a),
+  groups AS (SELECT id, min(component_id) AS component_id FROM reach GROUP BY id)"""
+
 ORACLE: dict[str, str] = {}
+
+ORACLE["op7_near_duplicates"] = rf"""WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
+      ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+  items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+  pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k, any_value(x.n) AS na, any_value(y.n) AS nb
+    FROM items x JOIN items y ON x.item = y.item AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+  links AS (SELECT a, b FROM pairs WHERE 100 * k >= 80 * (na + nb - k)),
+  nodes AS (SELECT doc_id AS id FROM documents), {_REACH}
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN groups ON doc_id = id"""
+
+ORACLE["op9_embedding_links"] = f"""WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+  sound AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+  links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM sound x JOIN sound y
+    ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.9),
+  nodes AS (SELECT vec_id AS id FROM v),
+  n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a), {_REACH}
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN groups ON vec_id = id LEFT JOIN n ON vec_id = a"""
