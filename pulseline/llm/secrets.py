@@ -73,12 +73,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     Spans are in code points, the end exclusive; failing matches are dropped.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    marks = docs.select("row_id", F.concat(*[_marks(content, k) for k in KINDS]).alias("marks"))
-    return _placed(marks.filter(F.size("marks") > 0))
+    return _placed(docs.select("row_id", F.concat(*[_marks(content, k) for k in KINDS]).alias("marks")))
 
 
 def _placed(marks: DataFrame) -> DataFrame:
-    rows = marks.select("row_id", F.explode("marks").alias("m")).select("row_id", "m.*")
+    rows = (marks.filter(F.size("marks") > 0).select("row_id", F.explode("marks").alias("m"))
+                 .select("row_id", "m.*"))
     upto = (Window.partitionBy("row_id", "kind").orderBy("place")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     end = F.sum(F.col("gap").cast("long") + F.col("size")).over(upto)
@@ -108,9 +108,13 @@ def _near(weak: DataFrame, parts: DataFrame, scope: int, how: str = "left_semi")
 
 
 def link(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """The reported spans: all base parts, and weak ones with their complement in scope."""
+    """The reported spans: all base parts, and weak ones with their complement in scope.
+
+    The parts are written once, as every branch below reads them.
+    """
+    parts = staged(parts, "parts")
     base = parts.filter(_kind_in(BASE))
-    weak = _near(parts.filter(~_kind_in(BASE)), base, -1, "left_anti")  # not inside a base span
+    weak = staged(_near(parts.filter(~_kind_in(BASE)), base, -1, "left_anti"), "weak")  # not inside a base span
     every = base.unionByName(weak)
     ids, keys = every.filter(_kind_in(IDENTIFIERS)), every.filter(_kind_in(SECRETS))
     linked = (_near(weak.filter(_kind_in(["ident"])), keys, scope)
@@ -135,8 +139,8 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     marked = staged(docs.select(F.col(key).alias("doc_id"), F.monotonically_increasing_id().alias("row_id"),
                                 F.concat(*[_marks(content, k) for k in KINDS]).alias("marks")), "secrets")
-    parts = _placed(marked.select("row_id", "marks").filter(F.size("marks") > 0))
-    rows = marked.select("doc_id", "row_id").join(_grouped(link(parts)), "row_id", "left")
+    spans = _grouped(link(_placed(marked.select("row_id", "marks"))))
+    rows = marked.select("doc_id", "row_id").join(spans, "row_id", "left")
     found = F.coalesce(F.col("found"), F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
     base = F.filter("found", lambda s: s["kind"] < len(BASE))
@@ -155,8 +159,8 @@ def mask_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     clean = docs.filter(~_has_part(content))
     dirty = staged(docs.filter(_has_part(content)).select(
-        F.monotonically_increasing_id().alias("row_id"), F.struct("*").alias("row")), "parts")
-    spans = _grouped(link(scan(dirty.select("row_id", F.col(f"row.{text}").alias(text)), text)))
+        F.monotonically_increasing_id().alias("row_id"), F.struct("*").alias("row")), "dirty")
+    spans = staged(_grouped(link(scan(dirty.select("row_id", F.col(f"row.{text}").alias(text)), text))), "spans")
     rows = dirty.join(spans, "row_id", "left")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     old = F.col("row")[text]
