@@ -51,9 +51,15 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def arrow_udf(function, returns: str):
-    """An Arrow UDF whose tasks find this package."""
+    """An Arrow UDF whose tasks find this package and hand unused memory back after each batch."""
     ship_package(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate())
-    return F.arrow_udf(function, returns)
+
+    def run(*columns):
+        out = function(*columns)
+        pa.default_memory_pool().release_unused()
+        return out
+
+    return F.arrow_udf(run, returns)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,10 @@ from pyspark.sql import functions as F
 from pulseline.llm.common import ship_package
 
 # remainders packed together; bounds the buffer to RUN * sequence length ids
-RUN = 8192
-# pieces per output batch
-OUT_ROWS = 2000
-OUT_IDS = 2_000_000
+RUN = 4096
+# pieces and ids per output batch
+OUT_ROWS = 1000
+OUT_IDS = 500_000
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
@@ -37,6 +38,29 @@ PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
 _ENCODERS: dict[int, object] = {}
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """A byte-level ``tokenizers`` file, read once on the driver: its tokens end
+    to end with their sizes and ranks, its added tokens, and the file itself."""
+
+    tokens: bytes
+    sizes: bytes     # uint16 each
+    ranks: bytes     # int32 each
+    added: tuple[str, ...]
+    spec: str
+    pattern: str
+
+    @staticmethod
+    def read(spec: str, pattern: str) -> Vocabulary:
+        data = json.loads(spec)
+        added = tuple(t["content"] for t in data["added_tokens"])
+        byte_of = _byte_letters()
+        plain = {bytes(byte_of[c] for c in token): rank
+                 for token, rank in data["model"]["vocab"].items() if token not in added}
+        return Vocabulary(b"".join(plain), np.array([len(t) for t in plain], np.uint16).tobytes(),
+                          np.array(list(plain.values()), np.int32).tobytes(), added, spec, pattern)
+
+
 class _Encoder:
     """Token ids of whole texts under the vocabulary of a ``tokenizers`` file.
 
@@ -45,23 +69,22 @@ class _Encoder:
     one of the file's added tokens go through ``tokenizers`` itself.
     """
 
-    def __init__(self, spec: str, pattern: str):
+    def __init__(self, vocabulary: Vocabulary):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        data = json.loads(spec)
-        self.added = [t["content"] for t in data["added_tokens"]]
-        unicode_of = _byte_letters()
-        ranks = {}
-        for token, rank in data["model"]["vocab"].items():
-            if token not in self.added:
-                ranks[bytes(unicode_of[c] for c in token)] = rank
-        self.fast = tiktoken.Encoding("pack", pat_str=pattern, mergeable_ranks=ranks,
-                                      special_tokens={})
-        self.full = Tokenizer.from_str(spec)
+        self.added, self.spec, self.full = vocabulary.added, vocabulary.spec, None
+        ends = np.cumsum(np.frombuffer(vocabulary.sizes, np.uint16), dtype=np.int64).tolist()
+        ranks = np.frombuffer(vocabulary.ranks, np.int32).tolist()
+        tokens = (vocabulary.tokens[a:b] for a, b in zip([0, *ends], ends))
+        self.fast = tiktoken.Encoding("pack", pat_str=vocabulary.pattern,
+                                      mergeable_ranks=dict(zip(tokens, ranks)), special_tokens={})
 
     def __call__(self, text: str) -> list[int]:
         if any(t in text for t in self.added):
+            if self.full is None:  # large, and rarely needed
+                from tokenizers import Tokenizer
+
+                self.full = Tokenizer.from_str(self.spec)
             return self.full.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
@@ -74,11 +97,11 @@ def _byte_letters() -> dict[str, int]:
     return letters
 
 
-def encoder(spec: str, pattern: str) -> _Encoder:
+def encoder(vocabulary: Vocabulary) -> _Encoder:
     """The worker's encoder for a vocabulary, built once per Python worker."""
-    key = hash((spec, pattern))
+    key = hash((vocabulary.tokens, vocabulary.pattern))
     if key not in _ENCODERS:
-        _ENCODERS[key] = _Encoder(spec, pattern)
+        _ENCODERS[key] = _Encoder(vocabulary)
     return _ENCODERS[key]
 
 
@@ -178,12 +201,13 @@ def pack_documents(df: DataFrame, spec: str, pattern: str, key: str = "doc_id",
     the input: the partition number in the high bits, then a count.
     """
     ship_package(df.sparkSession)
+    vocabulary = Vocabulary.read(spec, pattern)
     narrow = df.select(F.col(key).cast("long").alias("doc_id"),
                        F.col(text).cast("string").alias("text"),
                        F.spark_partition_id().cast("long").alias("part"))
 
     def pack(batches):
-        encode = encoder(spec, pattern)
+        encode = encoder(vocabulary)
         made, waiting = 0, []  # waiting: (doc, start, ids, doc_tokens)
         rows, weight, base = [], 0, 0
 
@@ -194,6 +218,7 @@ def pack_documents(df: DataFrame, spec: str, pattern: str, key: str = "doc_id",
                 [pa.array(c, pa.binary() if k == 3 else pa.int64()) for k, c in enumerate(cols)],
                 names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
             rows, weight = [], 0
+            pa.default_memory_pool().release_unused()
             return batch
 
         def settle():
