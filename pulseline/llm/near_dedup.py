@@ -36,7 +36,8 @@ from pulseline.llm.textstats import _LOWER, SLICE, word_bounds, word_hashes
 
 
 SMALL = 32               # members of a bucket whose components are simply paired
-BLOCK = 1_024            # members of a larger bucket compared at once
+BLOCK = 1_024            # members of a larger bucket compared at once, about,
+BLOCK_ITEMS = 1 << 21    # and items of theirs
 COLUMNS = 4_096          # items counted at once
 FILTER_BITS = 1 << 23    # bits of the filter of candidate ids (1 MB)
 
@@ -304,13 +305,18 @@ def _large_bucket_links(placed: DataFrame, sets: DataFrame, p: Params) -> DataFr
     """Links across the components of large buckets (``a, b``).
 
     Of each bucket the largest component is the ground, the other members are
-    guests. Guests meet guests and ground in blocks of at most ``BLOCK`` rows.
+    guests. Guests meet guests and ground in blocks of about ``BLOCK`` rows or
+    ``BLOCK_ITEMS`` items, whichever is reached first.
     """
-    per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    placed = placed.join(sets.select("rep", "n"), "rep")
+    per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("items"))
+    blocks = lambda rows, items: F.ceil(F.greatest(rows / BLOCK, items / BLOCK_ITEMS))
     ground = per.groupBy("bucket").agg(
-        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("rows")).select(
+        F.max(F.struct("rows", "component", "items")).alias("top"), F.sum("rows").alias("rows"),
+        F.sum("items").alias("items")).select(
         "bucket", F.col("top.component").alias("ground"),
-        F.ceil((F.col("rows") - F.col("top.n")) / BLOCK).alias("guests"), F.ceil(F.col("top.n") / BLOCK).alias("grounds"))
+        blocks(F.col("rows") - F.col("top.rows"), F.col("items") - F.col("top.items")).alias("guests"),
+        blocks(F.col("top.rows"), F.col("top.items")).alias("grounds"))
     rows = placed.join(ground, "bucket").withColumn("guest", F.col("component") != F.col("ground"))
     spread = F.xxhash64("rep")
     own = F.when(F.col("guest"), F.pmod(spread, F.col("guests"))).otherwise(F.pmod(spread, F.col("grounds")))

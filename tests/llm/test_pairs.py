@@ -188,10 +188,11 @@ def test_block_links_equal_brute_force():
     assert {(i, component[j]) for i, j in found} == want and len(found) == len(want) > 5
 
 
-@pytest.mark.parametrize("small, block", [(2, 7), (2, 1024), (10_000, 1024)])
-def test_bucket_paths_agree(spark, monkeypatch, small, block):
+@pytest.mark.parametrize("small, block, items", [(2, 7, 1 << 21), (2, 1024, 900), (2, 1024, 1 << 21), (10_000, 1024, 1)])
+def test_bucket_paths_agree(spark, monkeypatch, small, block, items):
     monkeypatch.setattr(near_dedup, "SMALL", small)
     monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK_ITEMS", items)
     rng = random.Random(6)
     base, texts = [f"w{i}" for i in range(90)], {}
     for i in range(130):
