@@ -225,7 +225,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
 
 
 def _id_bits(ids: DataFrame, column: str) -> np.ndarray:
-    """A Bloom filter of the ids: ``FILTER_BITS`` bits, however many ids there are."""
+    """A Bloom filter of the ids in 64-bit words: ``FILTER_BITS`` bits, however many ids there are."""
     h = F.xxhash64(column)
     spots = F.array(*[F.shiftright(h, 20 * k).bitwiseAND(FILTER_BITS - 1) for k in range(3)])
     words = (ids.select(F.explode(spots).alias("spot"))
@@ -234,19 +234,17 @@ def _id_bits(ids: DataFrame, column: str) -> np.ndarray:
                 .toArrow())
     out = np.zeros(FILTER_BITS // 64, np.int64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    return np.unpackbits(out.view(np.uint8), bitorder="little")
+    return out
 
 
-def _maybe_in(bits: np.ndarray, column: str) -> Column:
+def _maybe_in(words: np.ndarray, column: str) -> Column:
     """False only for values that are not among the ids."""
-    packed = np.packbits(bits)
 
     def run(hashes: pa.Array) -> pa.Array:
-        flags = np.unpackbits(packed)
-        h = hashes.to_numpy()
-        found = np.ones(len(h), bool)
+        found = np.ones(len(hashes), bool)
         for k in range(3):
-            found &= flags[(h >> (20 * k)) & (FILTER_BITS - 1)].astype(bool)
+            spot = (hashes.to_numpy() >> (20 * k)) & (FILTER_BITS - 1)
+            found &= ((words[spot >> 6] >> (spot & 63)) & 1).astype(bool)
         return pa.array(found)
 
     return arrow_udf(run, "boolean")(F.xxhash64(column))

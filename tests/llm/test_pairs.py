@@ -202,3 +202,12 @@ def test_bucket_paths_agree(spark, monkeypatch, small, block, items):
         texts[i] = " ".join(words)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     check_groups(near_dedup.near_duplicates(df, near_dedup.Params(words=2)).collect(), texts, 2)
+
+
+def test_id_filter_has_no_false_negatives(spark):
+    ids = spark.range(0, 200_000, 7).withColumnRenamed("id", "rep")
+    words = near_dedup._id_bits(ids, "rep")
+    found = spark.range(200_000).filter(near_dedup._maybe_in(words, "id"))
+    assert found.filter("id % 7 = 0").count() == ids.count()
+    assert found.count() < 1.01 * ids.count()
+    assert not near_dedup._id_bits(ids.limit(0), "rep").any()
