@@ -47,6 +47,9 @@ K_UNSTORED = 13           # dead-letter run only: decoded, but the store failed
 # 5^(d-1); 9 places keeps ties out for sessions below 256 events, while
 # summation-order noise (~1e-14) stays far below the last place kept.
 ROUND = {"ms": 9, "rate": 9, "ratio": 12}
+# Added before rounding ratios of very small groups, where ties at 12 places do
+# occur: far above the summation noise, far below the last place kept.
+TIE_SHIFT = 1e-15
 
 # Fixed values — replay copy and stored/new split.
 REDELIVERY_VST_DELTA = 1.0          # the copy carries a refreshed reading

@@ -9,7 +9,7 @@ shared with the Spark implementation except the fixed values.
 from __future__ import annotations
 
 from pulseline.functions.murmur import MURMUR_M, MURMUR_SEED
-from pulseline.plans.fixtures import ROUND
+from pulseline.plans.fixtures import ROUND, TIE_SHIFT
 
 MS, RATE, RATIO = ROUND["ms"], ROUND["rate"], ROUND["ratio"]
 
@@ -330,7 +330,8 @@ ORACLE["stream_session_windows"] = f"""WITH {H},
   g AS (SELECT *, CASE WHEN ts <= lag(ts) OVER s + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
         FROM h WINDOW s AS (PARTITION BY session_id ORDER BY ts)),
   w AS (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY ts) AS n FROM g)
-{_kpi_select('session_id').replace('max(ts) AS window_end', 'max(ts) + INTERVAL 6 HOUR AS window_end')}
+{_kpi_select('session_id').replace('max(ts) AS window_end', 'max(ts) + INTERVAL 6 HOUR AS window_end')
+                          .replace(f"END, {RATIO})", f"END + {TIE_SHIFT!r}, {RATIO})")}
 FROM w GROUP BY session_id, n"""
 
 ORACLE["replay_backlog"] = f"""WITH {H}

@@ -108,12 +108,13 @@ def q_stream_ingest_events(spark, sf_dir) -> DataFrame:
     return read_events(spark, layout.events).select(*HEARTBEAT_COLUMNS)
 
 
-def _rounded(kpis: DataFrame) -> DataFrame:
+def _rounded(kpis: DataFrame, shift: float = 0.0) -> DataFrame:
     return kpis.select(
         "session_id", "window_start", "window_end",
         F.round("avg_vst_ms", fx.ROUND["ms"]).alias("avg_vst_ms"),
         F.round("pfr", fx.ROUND["rate"]).alias("pfr"),
-        F.round("rebuffering_ratio", fx.ROUND["ratio"]).alias("rebuffering_ratio"), "event_count")
+        F.round(F.col("rebuffering_ratio") + F.lit(shift), fx.ROUND["ratio"]).alias("rebuffering_ratio"),
+        "event_count")
 
 
 def q_stream_ingest_kpis(spark, sf_dir) -> DataFrame:
@@ -179,7 +180,7 @@ def q_stream_session_windows(spark, sf_dir) -> DataFrame:
     """Windows that end after a gap without events of the session (STR-6)."""
     root, good = _clean_stream(spark, sf_dir, "session-windows")
     kpis = stream_kpis(good, watermark=WATERMARK, session_gap=SESSION_GAP)
-    return _rounded(spark.read.parquet(_drain(kpis, root, "out")))
+    return _rounded(spark.read.parquet(_drain(kpis, root, "out")), fx.TIE_SHIFT)
 
 
 def _between(lo: str, hi: str):
