@@ -14,8 +14,9 @@ too.
 
 Defined results: a null or empty page, and one without text, give an empty
 text. Without a page that declares its main part nothing can be learned and
-all blocks are kept. Unclosed elements end with the page; an unfinished tag
-at the end is dropped. An unfinished character reference stays as it is.
+all blocks are kept. Unclosed elements end with the page, or where HTML ends
+them: a head before the first text or element that cannot stand in it. An
+unfinished tag at the end is dropped. An unfinished character reference stays as it is.
 """
 
 from __future__ import annotations
@@ -47,6 +48,12 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "label mark meta link q rp rt ruby s samp small source span strike strong sub sup time track "
                    "tt u var wbr br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# what can stand in a head; any other start tag, or text, ends it
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+# start tags that end an open element whose content is hidden
+ENDS = {"button": "button", **dict.fromkeys(("select", "input", "keygen", "textarea"), "select")}
+OPTIONS = {"option": ("option",), "optgroup": ("option", "optgroup")}
+TABLE_PARTS = frozenset("caption table tbody td tfoot th thead tr".split())
 # words of container names, by sense: the labels' only prior knowledge
 MAIN_WORDS = ("article", "main", "content", "post", "entry", "story", "body-text")
 OTHER_WORDS = ("nav", "menu", "header", "footer", "aside", "sidebar", "ad", "ads", "advert", "sponsor", "promo",
@@ -79,6 +86,33 @@ def blocks_of(page: str) -> list[Block]:
     path: tuple[str, ...] = ()
     parts: list[str] = []
     linked, in_link, hidden = 0, 0, 0
+    past_head = False  # a page has one head, before all else
+
+    def end_element(tag: str) -> None:
+        nonlocal hidden, path
+        while stack:
+            t, _ = stack.pop()
+            hidden -= t in HIDDEN_TAGS
+            if t == tag:
+                break
+        path = tuple(w for _, names in stack for w in names)
+
+    def ends_before(tag: str) -> None:
+        """End what the start tag ``tag`` (or a text, "") cannot stand in."""
+        nonlocal past_head
+        if tag not in IN_HEAD:
+            past_head = True
+            if stack and stack[-1][0] == "head":
+                end_element("head")
+        if not hidden:
+            return
+        while stack and stack[-1][0] in OPTIONS.get(tag, ()):
+            end_element(stack[-1][0])
+        within = [t for t, _ in stack]
+        if ENDS.get(tag) in within:
+            end_element(ENDS[tag])
+        if tag in TABLE_PARTS and "select" in within and "table" in within[:within.index("select")]:
+            end_element("select")
 
     def close() -> None:
         nonlocal parts, linked
@@ -94,6 +128,8 @@ def blocks_of(page: str) -> list[Block]:
     for m in _TOKEN.finditer(page):
         content = m.group(5)
         if content is not None:
+            if (hidden or not past_head) and content.strip(" \t\n\r\f\ufeff"):
+                ends_before("")
             if not hidden:
                 parts.append(content)
                 if in_link:
@@ -101,9 +137,19 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag = m.group(3)
         if tag is None:  # comment, raw element, declaration or unfinished tag
+            if m.group(1):
+                ends_before(m.group(1).lower())
             continue
         tag = tag.lower()
         end = m.group(2)
+        if not end:
+            # a second head or html means nothing, a select in a select is an end tag
+            ignored = tag == "head" and past_head or tag in ("html", "select") and any(t == tag for t, _ in stack)
+            ends_before(tag)
+            past_head |= tag == "head"
+            if ignored:
+                close()
+                continue
         if tag in INLINE:
             if tag == "a":
                 in_link = 0 if end else 1
@@ -113,13 +159,9 @@ def blocks_of(page: str) -> list[Block]:
         close()
         if end:
             if any(t == tag for t, _ in stack):
-                while stack:
-                    t, _ = stack.pop()
-                    hidden -= t in HIDDEN_TAGS
-                    if t == tag:
-                        break
+                end_element(tag)
         else:
-            if stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option")):
+            if stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dt", "dd", "tr", "td", "th")):
                 stack.pop()
             if tag in VOID or m.group(4).endswith("/"):
                 path = tuple(w for _, names in stack for w in names)

@@ -52,6 +52,25 @@ def test_blocks():
     assert found[0].path == ("body", "a", "b", "div", "main") and found[2].linked == 5
 
 
+@pytest.mark.parametrize("start", ["<body>", "<BODY class=x>", "<div>", "<p>", "<b>", "words ", "<body><select><option>a<option>b</select>",
+                                   "<body><select><optgroup><option>a<optgroup><option>b<select>", "<body><select><option>a<input>",
+                                   "<body><select><option>a<textarea>no</textarea>", "<body><button>a<button>b</button>",
+                                   "<body><table><tr><td><select><option>a<td>"])
+def test_end_tags_left_out(start):
+    """Hidden elements end where HTML ends them, not with the page."""
+    page = "<!DOCTYPE html><html><head>\n<meta charset=utf-8><title>no</title><link rel=x><style>p{}</style>\n%s<p>one<p>two</html>"
+    assert [b.text for b in html_text.blocks_of(page % start)][-2:] == ["one", "two"]
+    whole = html_text.blocks_of(page % ("</head>" + start))
+    assert [b.text for b in html_text.blocks_of(page % start)] == [b.text for b in whole] and "head" not in whole[0].path
+    assert [b.text for b in html_text.blocks_of("<div>zero</div>" + page % start)] == ["zero"] + [b.text for b in whole]
+
+
+def test_text_of_page_without_head_end(pages, model):
+    given = [pages[i].html for i in sorted(pages)[150:]]
+    assert all("</head>" in p for p in given)
+    assert html_text.main_texts(model, [p.replace("</head>", "") for p in given]) == html_text.main_texts(model, given)
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "<!--", "<script>", "&", "<p></p>", "</div></p>", "<div " * 500, "<a href='" * 300,
                                   "<div>" * 3000 + "x", "text only &am", "<p>" + "word " * 200_000])
 def test_odd_pages(model, page):
