@@ -8,7 +8,9 @@ letters counts as one separator.
 
 Many texts are parsed in lockstep: they are cut into segments (a segment
 starts a phrase, in every language alike) and all segments advance one
-symbol at a time through dense transition tables.
+symbol at a time. The transitions of all automata are one sparse table of rows
+laid over each other (Tarjan and Yao's row displacement), so neither the
+number of languages nor that of their letters bounds what is learned.
 
 Defined results: ``und`` with score 0 for a null text and for one without a
 letter, and for every text when nothing was learned. Ties go to the language
@@ -17,8 +19,9 @@ first in alphabetical order. A language without a labelled letter is unknown.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,37 +34,41 @@ from pulseline.llm.common import arrow_udf, row_slices, text_bytes
 SAMPLE = 120
 SAMPLE_CHARS = 4_000
 SYMBOLS = 40_000
-# entries of all transition tables together, at most (4 bytes each)
-TABLE_ENTRIES = 32_000_000
-ALPHABET = 120           # distinct letters told apart; the others match nothing
 SEGMENT = 256            # symbols parsed in lockstep
 SLICE = 2 << 20          # bytes of text parsed at once
 EVIDENCE = 24            # symbols that the score counts at most
 UNDETERMINED = "und"
-BREAK = 1 << 30
+UNSEEN = 1               # symbol of all letters not learned from: matches nothing, not even itself
 
 
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
     letters: str                 # lower case, in symbol order
-    texts: tuple[bytes, ...]     # symbols of each language's training text
+    texts: tuple[tuple[int, ...], ...]  # symbols of each language's training text
+
+
+@cache
+def _lower() -> np.ndarray:
+    """Lower case of every code point that is a letter, 0 of the others."""
+    return np.array([ord(chr(c).lower()[0]) if chr(c).isalpha() else 0 for c in range(0x110000)], np.int32)
+
+
+def _code_points(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
 
 
 def _symbol_table(letters: str) -> np.ndarray:
-    """Symbol of every code point: 0 separator, 1 other letter, 2… the letters."""
-    table = np.frombuffer(bytes(chr(c).isalpha() for c in range(0x110000)), np.uint8).copy()
-    for k, letter in enumerate(letters):
-        for form in {letter, letter.upper()}:
-            if len(form) == 1:
-                table[ord(form)] = k + 2
-    return table
+    """Symbol of every code point: 0 separator, 1 unseen letter, 2… the letters."""
+    symbol = np.full(0x110000, UNSEEN, np.int32)
+    symbol[0] = 0
+    symbol[[ord(c) for c in letters]] = np.arange(len(letters)) + 2
+    return symbol[_lower()]
 
 
 def _symbols(table: np.ndarray, raw: bytes) -> np.ndarray:
     """Symbols of a UTF-8 text, runs of separators as one."""
-    code = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
-    sym = table[code]
+    sym = table[_code_points(raw)]
     keep = np.ones(len(sym), bool)
     keep[1:] = (sym[1:] != 0) | (sym[:-1] != 0)
     return sym[keep]
@@ -97,28 +104,71 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+def _overlay(size: np.ndarray, symbol: np.ndarray, target: np.ndarray, width: int):
+    """Sparse rows in one table: ``base`` of each row, and ``owner`` and ``target`` of each cell.
+
+    Row ``r`` has its entry for symbol ``s`` at ``base[r] + s``, if ``owner`` is
+    ``r`` there. Long rows are placed first, at random; rows of one entry fill the gaps.
+    """
+    start = np.cumsum(size) - size
+    owner = np.full(width + len(symbol) + len(symbol) // 4, -1, np.int32)
+    base = np.zeros(len(size), np.int32)
+    rng = np.random.default_rng(3)
+    for k in np.unique(size[size > 1])[::-1].tolist():
+        rows, poor = np.flatnonzero(size == k), 0
+        while len(rows):
+            at = rng.integers(0, len(owner) - width + 1, len(rows))
+            slots = at[:, None] + symbol[start[rows][:, None] + np.arange(k)]
+            ids = rows[:, None]
+            free = (owner[slots] < 0).all(1)
+            owner[slots[free]] = ids[free]
+            won = free & (owner[slots] == ids).all(1)
+            lost = free & ~won
+            drop = owner[slots[lost]] == ids[lost]
+            owner[slots[lost][drop]] = -1
+            base[rows[won]] = at[won]
+            poor = poor + 1 if won.sum() * 16 < len(rows) else 0
+            if poor == 32:  # too full
+                poor = 0
+                owner = np.concatenate([owner, np.full(len(owner) // 4 + width, -1, np.int32)])
+            rows = rows[~won]
+    rows = np.flatnonzero(size == 1)
+    gaps = np.flatnonzero(owner[width:] < 0)[:len(rows)] + width
+    gaps = np.concatenate([gaps, len(owner) + np.arange(len(rows) - len(gaps))])
+    base[rows] = gaps - symbol[start[rows]]
+    owner = np.concatenate([owner, np.full(max(0, len(rows) + width), -1, np.int32)])[:int(base.max(initial=0)) + width]
+    owner[gaps] = rows
+    row = np.repeat(np.arange(len(size)), size)
+    cells = np.zeros(len(owner), np.int32)
+    owner[base[row] + symbol] = row
+    cells[base[row] + symbol] = target
+    return base, owner, cells
+
+
 class Parser:
-    """Dense automata of all languages; one per Python worker."""
+    """Automata of all languages in one sparse table; one per Python worker."""
 
     def __init__(self, model: Model):
         self.languages = model.languages
         self.table = _symbol_table(model.letters)
-        self.width = len(model.letters) + 3
-        self.pad = self.width - 1       # stays in place, never breaks a phrase
-        parts, self.roots, at = [], [], 0
+        self.width = len(model.letters) + 2
+        sizes, symbols, targets, roots, at = [], [], [], [], 0
         for text in model.texts:
-            moves = suffix_automaton(list(text))
-            step = np.full((len(moves), self.width), -1, np.int64)
-            for state, out in enumerate(moves):
-                for s, to in out.items():
-                    step[state, s] = to
-            root = np.where(step[0] >= 0, step[0], 0)
-            step = np.where(step >= 0, step + at, (root + at)[None, :] | BREAK)
-            step[:, self.pad] = np.arange(len(moves)) + at
-            parts.append(step.astype(np.int32))
-            self.roots.append(at)
+            moves = suffix_automaton(text)
+            sizes.append(np.fromiter(map(len, moves), np.int64, len(moves)))
+            n = int(sizes[-1].sum())
+            symbols.append(np.fromiter(chain.from_iterable(moves), np.int32, n))
+            targets.append(np.fromiter(chain.from_iterable(m.values() for m in moves), np.int32, n) + np.int32(at))
+            roots.append(at)
             at += len(moves)
-        self.step = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
+        none = [np.zeros(0, np.int32)]
+        self.base, self.owner, self.target = _overlay(
+            np.concatenate(sizes or none), np.concatenate(symbols or none), np.concatenate(targets or none), self.width)
+        self.roots = np.array(roots, np.int32)
+        # where a phrase that cannot go on begins anew: after the symbol, if the language has it
+        cell = self.base[self.roots][:, None] + np.arange(self.width)
+        own = self.roots[:, None]
+        self.again = np.where(self.owner[cell] == own, self.target[cell], own) if roots else np.zeros((0, self.width), np.int32)
         self.bits = np.log2([max(2, len(t)) for t in model.texts])
 
     def phrases(self, rows: list[np.ndarray]) -> np.ndarray:
@@ -135,17 +185,19 @@ class Parser:
         size = np.array([len(c) for c in cut])
         order = np.argsort(-size, kind="stable")
         size = size[order]
-        grid = np.full((int(size[0]), len(cut)), self.pad, np.int64)
+        grid = np.zeros((int(size[0]), len(cut)), np.int32)
         for j, at in enumerate(order.tolist()):
             grid[:len(cut[at]), j] = cut[at]
-        state = np.repeat(np.array(self.roots, np.int64)[:, None], len(cut), axis=1)
+        state = np.repeat(self.roots[:, None], len(cut), axis=1)
         count = np.ones((k, len(cut)), np.int64)  # the phrase that is open at the end
         live = np.searchsorted(-size, -np.arange(len(grid)), side="left")
         for t in range(len(grid)):
             n = int(live[t])
-            step = self.step[state[:, :n] * self.width + grid[t, :n]]
-            count[:, :n] += step >> 30
-            state[:, :n] = step & (BREAK - 1)
+            now, sym = state[:, :n], grid[t, :n]
+            cell = self.base[now] + sym
+            stop = self.owner[cell] != now
+            count[:, :n] += stop
+            state[:, :n] = np.where(stop, self.again[:, sym], self.target[cell])
         np.add.at(out, np.array(owner)[order], count.T)
         return out
 
@@ -177,19 +229,17 @@ def learnable(key: str = "doc_id") -> Column:
 
 def learn(samples: dict[str, list[str]], symbols: int = SYMBOLS) -> Model:
     """A model from training texts per language, at most ``symbols`` of each."""
-    letters = Counter()
-    for texts in samples.values():
-        for text in texts:
-            letters.update(c for c in text.lower() if c.isalpha())
-    chosen = "".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET])
+    letters: set[int] = set()
+    for given in samples.values():
+        letters.update(np.unique(_lower()[_code_points(" ".join(given).encode())]).tolist())
+    chosen = "".join(map(chr, sorted(letters - {0})))
     table = _symbol_table(chosen)
-    limit = min(symbols, TABLE_ENTRIES // (2 * max(1, len(samples)) * (len(chosen) + 3)))
     names, texts = [], []
     for name in sorted(samples):
-        joined = _symbols(table, " ".join(samples[name]).encode())[:limit]
+        joined = _symbols(table, " ".join(samples[name]).encode())[:symbols]
         if (joined > 0).any():
             names.append(name)
-            texts.append(joined.tobytes())
+            texts.append(tuple(joined.tolist()))
     return Model(tuple(names), chosen, tuple(texts))
 
 

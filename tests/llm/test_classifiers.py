@@ -120,6 +120,55 @@ def test_language_edge_cases():
     assert parser.predict(pa.array([], pa.string()))[0] == []
 
 
+# first letter and number of letters of several scripts
+SCRIPTS = [("a", 26), ("α", 17), ("а", 32), ("ա", 38), ("א", 27), ("ა", 33), ("가", 900), ("一", 2500), ("あ", 80)]
+
+
+def invented(rng, n_words):
+    """36 languages, four of each script, with 300 words of their own."""
+    out = {}
+    for k in range(36):
+        first, size = SCRIPTS[k % len(SCRIPTS)]
+        letters = [c for c in map(chr, range(ord(first), ord(first) + size)) if c.isalpha()]
+        words = ["".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(300)]
+        out[f"l{k:02}"] = [" ".join(rng.choice(words, n)) for n in n_words]
+    return out
+
+
+def test_many_languages_learn_as_much_as_few():
+    samples = invented(np.random.default_rng(6), (4000, 8000))
+    model = language_id.learn(samples)
+    assert len(model.languages) == 36 and {len(t) for t in model.texts} == {language_id.SYMBOLS}
+    assert set(model.letters) == {c.lower() for texts in samples.values() for c in "".join(texts) if c.isalpha()}
+    assert not any(language_id.UNSEEN in t for t in model.texts)
+    few = language_id.learn({"l00": samples["l00"]})
+    letter = lambda m, t: ["" if s < 2 else m.letters[s - 2] for s in t]
+    assert letter(few, few.texts[0]) == letter(model, model.texts[0])
+
+
+def test_many_languages_and_scripts():
+    rng = np.random.default_rng(7)
+    samples = invented(rng, (60, 60, 30))
+    parser = language_id.Parser(language_id.learn({k: v[:2] for k, v in samples.items()}))
+    names, _ = parser.predict(pa.array([v[2].upper() for v in samples.values()]))
+    assert names == list(samples)
+    # the sparse table holds the transitions of each automaton, and no other
+    texts = language_id.learn({k: v[:2] for k, v in samples.items()}).texts
+    for root, text in zip(parser.roots.tolist(), texts):
+        moves = language_id.suffix_automaton(text)
+        for state in rng.choice(len(moves), 40):
+            cell = parser.base[root + state] + np.arange(parser.width)
+            held = np.flatnonzero(parser.owner[cell] == root + state).tolist()
+            assert {s: parser.target[cell[s]] - root for s in held} == moves[state]
+
+
+def test_unseen_letters_match_nothing():
+    model = language_id.learn({"aa": ["abc ẞß İ Σς"], "bb": ["bcd"]})
+    parser = language_id.Parser(model)
+    row = language_id._symbols(parser.table, "ქართული".encode())
+    assert set(row.tolist()) == {language_id.UNSEEN} and parser.phrases([row]).tolist() == [[8, 8]]
+
+
 def test_language_fit_ignores_other_rows(spark):
     rows = [(i, "abc abc abc", "aa") for i in range(30)] + [(None, "zzz", "zz"), (40, None, "yy"), (41, "qq", None)]
     model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
