@@ -4,8 +4,10 @@ Patterns find the parts of credentials in each text: the base kinds
 (assignments, access ids, long hex runs), which are always reported, and weak
 candidates (other upper-case identifiers, mixed base64 runs, service URLs),
 which mean nothing alone. An interval join on (document, scope bin) reports a
-weak candidate only when its complement lies within the scope: an identifier
-needs a secret, a secret needs an identifier, an endpoint needs both.
+weak candidate only when its complement lies within the scope or in the same
+``{…}`` block (the innermost one, of any length): an identifier needs a secret,
+a secret needs an identifier, an endpoint needs both, which it may hold itself.
+Weak candidates wholly inside a base part are no candidates.
 
 Positions come from the gaps that ``split`` leaves between the matches of a
 pattern: a running sum over (gap, match) lengths. Matches are exploded to
@@ -33,10 +35,11 @@ PARTS = {
     "assign": (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]{24,}", 0, 24),
-    "ident": (r"(?<![A-Za-z0-9])(?=[A-Z]+[0-9])[A-Z0-9]{16,64}(?![A-Za-z0-9])", 0, 16),
+    "ident": (r"(?<![A-Za-z0-9])(?=[0-9]*[A-Z])(?=[A-Z]*[0-9])[A-Z0-9]{16,}+(?![A-Za-z0-9])", 0, 16),
     "blob": (rf"(?<!{_WORD})(?=[A-Za-z+/_-]*[0-9])(?=[0-9a-z+/_-]*[A-Z])(?=[0-9A-Z+/_-]*[a-z]){_WORD}{{32,}}", 0, 32),
     "endpoint": (r"""(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3)://[^\x20\x09-\x0D"'<>]+""", 0, 8),
 }
+BLOCK = (r"\{[^{}]*+\}", 0, 2)
 BASE = ("assign", "access", "hex")
 KINDS = tuple(PARTS)
 IDENTIFIERS = ("access", "ident")
@@ -45,7 +48,8 @@ SECRETS = ("assign", "hex", "blob")
 
 def _marks(text: Column, kind: str) -> Column:
     """Matches of one kind as (kind, place, gap before, length, kept)."""
-    pattern, group, least = PARTS[kind]
+    pattern, group, least = PARTS.get(kind, BLOCK)
+    number = [*KINDS, "block"].index(kind)
     pat = F.lit(pattern)
     whole = F.regexp_extract_all(text, pat, F.lit(0))
     size = F.transform(whole, lambda m: F.length(m))
@@ -53,13 +57,17 @@ def _marks(text: Column, kind: str) -> Column:
     gap = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     found = F.transform(
         F.arrays_zip(gap.alias("gap"), size.alias("size"), tested.alias("tested")),
-        lambda z, i: F.struct(F.lit(KINDS.index(kind)).alias("kind"), i.alias("place"), z["gap"].alias("gap"),
+        lambda z, i: F.struct(F.lit(number).alias("kind"), i.alias("place"), z["gap"].alias("gap"),
                               z["size"].alias("size"), (z["tested"] >= least).alias("kept")))
     found = F.filter(found, lambda m: m["size"].isNotNull())  # the last gap has no match
     return F.when(F.regexp_like(text, pat), found).otherwise(F.array().cast(
         "array<struct<kind:int,place:int,gap:int,size:int,kept:boolean>>"))
 
 
+def _all_marks(text: Column) -> Column:
+    return F.concat(*[_marks(text, k) for k in (*KINDS, "block")])
+
+
 def _has_part(text: Column) -> Column:
     out = F.lit(False)
     for pattern, _, _ in PARTS.values():
@@ -68,12 +76,13 @@ def _has_part(text: Column) -> Column:
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per match in ``docs`` (which has a ``row_id``): ``row_id, kind, start, end``.
+    """One row per match in ``docs`` (which has a ``row_id``): ``row_id, kind, start, end, block``.
 
     Spans are in code points, the end exclusive; failing matches are dropped.
+    ``block`` is the start of the block around the match, null outside blocks.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return _placed(docs.select("row_id", F.concat(*[_marks(content, k) for k in KINDS]).alias("marks")))
+    return _placed(docs.select("row_id", _all_marks(content).alias("marks")))
 
 
 def _placed(marks: DataFrame) -> DataFrame:
@@ -82,29 +91,53 @@ def _placed(marks: DataFrame) -> DataFrame:
     upto = (Window.partitionBy("row_id", "kind").orderBy("place")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     end = F.sum(F.col("gap").cast("long") + F.col("size")).over(upto)
-    return (rows.withColumn("end", end).filter("kept")
-                .select("row_id", "kind", (F.col("end") - F.col("size")).alias("start"), "end"))
+    spans = (rows.withColumn("end", end).filter("kept")
+                 .select("row_id", "kind", (F.col("end") - F.col("size")).alias("start"), "end"))
+    before = (Window.partitionBy("row_id").orderBy("start", F.col("kind").desc())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    is_block = F.col("kind") == len(KINDS)
+    last = F.last(F.when(is_block, F.struct("start", "end")), ignorenulls=True).over(before)
+    return (spans.withColumn("last", last).filter(~is_block)
+                 .select("row_id", "kind", "start", "end",
+                         F.when(F.col("end") <= F.col("last.end"), F.col("last.start")).alias("block")))
 
 
 def _kind_in(kinds) -> Column:
     return F.col("kind").isin([KINDS.index(k) for k in kinds])
 
 
-def _near(weak: DataFrame, parts: DataFrame, scope: int, how: str = "left_semi") -> DataFrame:
-    """Rows of ``weak`` with (or without) a part at most ``scope`` away, by an interval join on bins.
+def _right(parts: DataFrame) -> DataFrame:
+    return parts.select(*[F.col(c).alias(f"r_{c}") for c in ("row_id", "kind", "start", "end", "block")])
+
+
+def _bins(frm: str, to: str, width: int, reach: int = 0) -> Column:
+    return F.explode(F.sequence(F.floor((F.col(frm) - reach) / width), F.floor((F.col(to) + reach) / width)))
+
+
+def _outside(weak: DataFrame, base: DataFrame) -> DataFrame:
+    """Rows of ``weak`` that do not lie wholly inside a part of ``base``."""
+    left = weak.withColumn("bin", F.floor(F.col("start") / SCOPE))
+    right = _right(base).withColumn("r_bin", _bins("r_start", "r_end", SCOPE))
+    inside = ((F.col("row_id") == F.col("r_row_id")) & (F.col("bin") == F.col("r_bin"))
+              & (F.col("r_start") <= F.col("start")) & (F.col("end") <= F.col("r_end")))
+    return left.join(right, inside, "left_anti").select(*weak.columns)
+
+
+def _near(weak: DataFrame, parts: DataFrame, scope: int, own: bool = False) -> DataFrame:
+    """Rows of ``weak`` with a part at most ``scope`` away, by an interval join on bins, or in their block.
 
-    A ``scope`` of -1 asks for overlap.
+    A base part that overlaps the row counts only where ``own`` is set.
     """
     width = max(scope, SCOPE)
-    reach = max(scope, 0)
-    left = weak.withColumn("bin", F.explode(F.sequence(
-        F.floor((F.col("start") - reach) / width), F.floor((F.col("end") + reach) / width))))
-    right = parts.select(F.col("row_id").alias("r_row"), F.col("start").alias("r_start"), F.col("end").alias("r_end"),
-                         F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))).alias("r_bin"))
-    close = ((F.col("row_id") == F.col("r_row")) & (F.col("bin") == F.col("r_bin"))
+    left = weak.withColumn("bin", _bins("start", "end", width, scope))
+    right = _right(parts).withColumn("r_bin", _bins("r_start", "r_end", width))
+    apart = (F.lit(own) | (F.col("r_kind") >= len(BASE))
+             | (F.col("r_start") >= F.col("end")) | (F.col("start") >= F.col("r_end")))
+    close = ((F.col("row_id") == F.col("r_row_id")) & (F.col("bin") == F.col("r_bin")) & apart
              & (F.col("r_start") - F.col("end") <= scope) & (F.col("start") - F.col("r_end") <= scope))
-    hit = left.join(right, close, "left_semi").select(*weak.columns).distinct()
-    return hit if how == "left_semi" else weak.join(hit, weak.columns, "left_anti")
+    hit = left.join(right, close, "left_semi").select(*weak.columns)
+    same = (F.col("row_id") == F.col("r_row_id")) & (F.col("block") == F.col("r_block")) & apart
+    return hit.unionByName(weak.join(_right(parts), same, "left_semi")).distinct()
 
 
 def link(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -114,12 +147,12 @@ def link(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """
     parts = staged(parts, "parts")
     base = parts.filter(_kind_in(BASE))
-    weak = staged(_near(parts.filter(~_kind_in(BASE)), base, -1, "left_anti"), "weak")  # not inside a base span
+    weak = staged(_outside(parts.filter(~_kind_in(BASE)), base), "weak")
     every = base.unionByName(weak)
     ids, keys = every.filter(_kind_in(IDENTIFIERS)), every.filter(_kind_in(SECRETS))
     linked = (_near(weak.filter(_kind_in(["ident"])), keys, scope)
               .unionByName(_near(weak.filter(_kind_in(["blob"])), ids, scope))
-              .unionByName(_near(_near(weak.filter(_kind_in(["endpoint"])), ids, scope), keys, scope)))
+              .unionByName(_near(_near(weak.filter(_kind_in(["endpoint"])), ids, scope, own=True), keys, scope, own=True)))
     return base.unionByName(linked)
 
 
@@ -138,7 +171,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """Per row: its key, the counts of the base kinds and all reported spans."""
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     marked = staged(docs.select(F.col(key).alias("doc_id"), F.monotonically_increasing_id().alias("row_id"),
-                                F.concat(*[_marks(content, k) for k in KINDS]).alias("marks")), "secrets")
+                                _all_marks(content).alias("marks")), "secrets")
     spans = _grouped(link(_placed(marked.select("row_id", "marks"))))
     rows = marked.select("doc_id", "row_id").join(spans, "row_id", "left")
     found = F.coalesce(F.col("found"), F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))
