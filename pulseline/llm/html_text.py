@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +38,7 @@ from pulseline.llm.textstats import word_bounds, word_hashes
 SAMPLE = 320
 SAMPLE_CHARS = 60_000
 PATH_SLOTS, WORD_SLOTS, SCALARS, HIDDEN = 64, 48, 8, 16
+TRAIN_CELLS = 12_800  # blocks, with padding, in memory at once while training
 CELLS = 100_000  # blocks, with padding, labelled together (a longer page goes alone)
 DEPTH = 256      # elements nested deeper count as their ancestor
 THRESHOLD = 0.5
@@ -72,7 +74,7 @@ _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _WORD = re.compile(r"[a-z]+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     path: tuple[str, ...]   # tags and words of class, id and role, outermost first
     text: str
@@ -87,11 +89,24 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[str] = []
     linked, in_link, hidden = 0, 0, 0
     past_head = False  # a page has one head, before all else
+    deep: list[str] = []  # open elements below DEPTH: not in the path, but ended like others
+    held: Counter[str] = Counter()
+    select_in_table = False
+
+    def is_open(tag: str) -> bool:
+        return held[tag] > 0 or any(t == tag for t, _ in stack)
+
+    def top() -> str:
+        return deep[-1] if deep else stack[-1][0] if stack else ""
 
     def end_element(tag: str) -> None:
         nonlocal hidden, path
-        while stack:
-            t, _ = stack.pop()
+        while deep or stack:
+            if deep:
+                t = deep.pop()
+                held[t] -= 1
+            else:
+                t, _ = stack.pop()
             hidden -= t in HIDDEN_TAGS
             if t == tag:
                 break
@@ -102,16 +117,15 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal past_head
         if tag not in IN_HEAD:
             past_head = True
-            if stack and stack[-1][0] == "head":
+            if top() == "head":
                 end_element("head")
         if not hidden:
             return
-        while stack and stack[-1][0] in OPTIONS.get(tag, ()):
-            end_element(stack[-1][0])
-        within = [t for t, _ in stack]
-        if ENDS.get(tag) in within:
+        while top() in OPTIONS.get(tag, ()):
+            end_element(top())
+        if tag in ENDS and is_open(ENDS[tag]):
             end_element(ENDS[tag])
-        if tag in TABLE_PARTS and "select" in within and "table" in within[:within.index("select")]:
+        if tag in TABLE_PARTS and select_in_table and is_open("select"):
             end_element("select")
 
     def close() -> None:
@@ -144,7 +158,7 @@ def blocks_of(page: str) -> list[Block]:
         end = m.group(2)
         if not end:
             # a second head or html means nothing, a select in a select is an end tag
-            ignored = tag == "head" and past_head or tag in ("html", "select") and any(t == tag for t, _ in stack)
+            ignored = tag == "head" and past_head or tag in ("html", "select") and is_open(tag)
             ends_before(tag)
             past_head |= tag == "head"
             if ignored:
@@ -158,21 +172,26 @@ def blocks_of(page: str) -> list[Block]:
             continue
         close()
         if end:
-            if any(t == tag for t, _ in stack):
+            if is_open(tag):
                 end_element(tag)
         else:
-            if stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dt", "dd", "tr", "td", "th")):
-                stack.pop()
+            if top() == "p" or top() == tag and tag in ("li", "dt", "dd", "tr", "td", "th"):
+                end_element(top())
             if tag in VOID or m.group(4).endswith("/"):
                 path = tuple(w for _, names in stack for w in names)
                 continue
             names = [tag]
             if m.group(4):
                 for a, b, c in _NAMES.findall(m.group(4)):
-                    names += _WORD.findall((a or b or c).lower())[:8]
+                    names += _WORD.findall((a or b or c).lower())
+            if tag == "select":
+                select_in_table = is_open("table")
             if len(stack) < DEPTH:
                 stack.append((tag, tuple(names)))
-                hidden += tag in HIDDEN_TAGS
+            else:
+                deep.append(tag)
+                held[tag] += 1
+            hidden += tag in HIDDEN_TAGS
         path = tuple(w for _, names in stack for w in names)
         in_link = 0
     close()
@@ -330,6 +349,37 @@ def _varied(pages: list[list[Block]], labels: list[np.ndarray], rng) -> list[lis
     return out
 
 
+def _bounded(part: np.ndarray, sizes: list[int]) -> list[list[int]]:
+    """Pages of a batch in runs of at most TRAIN_CELLS padded blocks (a longer page alone)."""
+    if max(sizes[i] for i in part) * len(part) <= TRAIN_CELLS:
+        return [part.tolist()]
+    out: list[list[int]] = []
+    for i in sorted(part.tolist(), key=lambda i: -sizes[i]):  # a run is padded to its first page
+        if out and sizes[out[-1][0]] * (len(out[-1]) + 1) <= TRAIN_CELLS:
+            out[-1].append(i)
+        else:
+            out.append([i])
+    return out
+
+
+def _gradients(w: dict[str, np.ndarray], pages: list[list[Block]], labels: list[np.ndarray], total: int) -> dict[str, np.ndarray]:
+    """Gradients of the mean loss over ``total`` blocks, these pages' part of it."""
+    h = HIDDEN
+    lengths = np.array([len(p) for p in pages])
+    x = _grid(vectors(pages).astype(np.float64), lengths)
+    y = _grid(np.concatenate(labels).astype(np.float64)[:, None], lengths)[:, :, 0]
+    live = np.arange(len(x))[:, None] < lengths
+    z, states, a, b, back_x, order = _forward(w, x, lengths)
+    dz = np.where(live, _sigmoid(z) - y, 0) / total
+    cols = np.arange(len(pages))[None, :]
+    ds = dz[:, :, None] * w["v"]
+    dpf, duf = _lstm_back(ds[:, :, :h], w["uf"], *a)
+    dpb, dub = _lstm_back(ds[:, :, h:][order, cols], w["ub"], *b)
+    flat = lambda q: q.reshape(-1, q.shape[-1])
+    return {"wf": flat(x).T @ flat(dpf), "wb": flat(back_x).T @ flat(dpb), "uf": duf, "ub": dub,
+            "bf": flat(dpf).sum(0), "bb": flat(dpb).sum(0), "v": flat(states).T @ dz.ravel(), "c": dz.sum()}
+
+
 def learn(pages: list[str], epochs: int = 14, seed: int = 5, rate: float = 0.01) -> Model:
     """Train on the pages that declare both main and other blocks."""
     known, labels = [], []
@@ -337,8 +387,8 @@ def learn(pages: list[str], epochs: int = 14, seed: int = 5, rate: float = 0.01)
         found = blocks_of(page)
         y = np.array([declared(b) or 0 for b in found])
         if len(found) and any(declared(b) == 1 for b in found):
-            known.append(found[:400])
-            labels.append(y[:400])
+            known.append(found)
+            labels.append(y)
     if not known:
         return Model({})
     rng = np.random.default_rng(seed)
@@ -352,19 +402,11 @@ def learn(pages: list[str], epochs: int = 14, seed: int = 5, rate: float = 0.01)
     for _ in range(epochs):
         varied = _varied(known, labels, rng)
         for part in np.array_split(rng.permutation(len(known)), -(-len(known) // 32)):
-            lengths = np.array([len(varied[i]) for i in part])
-            x = _grid(vectors([varied[i] for i in part]).astype(np.float64), lengths)
-            y = _grid(np.concatenate([labels[i] for i in part]).astype(np.float64)[:, None], lengths)[:, :, 0]
-            live = np.arange(len(x))[:, None] < lengths
-            z, states, a, b, back_x, order = _forward(w, x, lengths)
-            dz = np.where(live, _sigmoid(z) - y, 0) / live.sum()
-            cols = np.arange(len(part))[None, :]
-            ds = dz[:, :, None] * w["v"]
-            dpf, duf = _lstm_back(ds[:, :, :h], w["uf"], *a)
-            dpb, dub = _lstm_back(ds[:, :, h:][order, cols], w["ub"], *b)
-            flat = lambda q: q.reshape(-1, q.shape[-1])
-            grad = {"wf": flat(x).T @ flat(dpf), "wb": flat(back_x).T @ flat(dpb), "uf": duf, "ub": dub,
-                    "bf": flat(dpf).sum(0), "bb": flat(dpb).sum(0), "v": flat(states).T @ dz.ravel(), "c": dz.sum()}
+            grad = {k: np.zeros_like(v) for k, v in w.items()}
+            total = sum(len(varied[i]) for i in part)
+            for few in _bounded(part, [len(p) for p in varied]):
+                for k, g in _gradients(w, [varied[i] for i in few], [labels[i] for i in few], total).items():
+                    grad[k] = grad[k] + g
             steps += 1
             for k, g in grad.items():  # Adam
                 mean[k] = 0.9 * mean[k] + 0.1 * g

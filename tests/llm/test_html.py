@@ -65,6 +65,34 @@ def test_end_tags_left_out(start):
     assert [b.text for b in html_text.blocks_of("<div>zero</div>" + page % start)] == ["zero"] + [b.text for b in whole]
 
 
+def test_all_words_of_a_name():
+    page = '<div class="flex flex-col items-center justify-between p-4 gap-2 text-sm sidebar">x</div>'
+    found = html_text.blocks_of(page)[0]
+    assert found.path[-1] == "sidebar" and html_text.declared(found) == 0
+
+
+def test_end_tags_below_the_deepest_level():
+    deep = html_text.DEPTH + 50
+    page = "<article>" + "<div>" * deep + "one<button>no<button>no</button>two" + "</div>" * deep + "<p>three</article><p>four"
+    found = html_text.blocks_of(page)
+    assert [(b.text, html_text.declared(b)) for b in found] == [("one", 1), ("two", 1), ("three", 1), ("four", None)]
+    assert found[2].path == ("article", "p")
+
+
+def test_all_blocks_of_a_sampled_page(monkeypatch):
+    page = "<article>" + "<p>words of the story" * 450 + "</article><footer>" + "<p>legal notice" * 30 + "</footer>"
+    seen, real = [], html_text._gradients
+    monkeypatch.setattr(html_text, "_gradients", lambda w, pages, labels, total: (
+        seen.append((len(pages), [len(p) for p in pages], [int(y.sum()) for y in labels], total)), real(w, pages, labels, total))[1])
+    html_text.learn([page] * 40, epochs=1)
+    assert sum(n for n, *_ in seen) == 40 and {(s, y) for _, ss, ys, _ in seen for s, y in zip(ss, ys)} == {(480, 450)}
+    assert [t for *_, t in seen] == [20 * 480] * 2
+    seen.clear()
+    monkeypatch.setattr(html_text, "TRAIN_CELLS", 1000)
+    html_text.learn([page] * 40, epochs=1)
+    assert [n for n, *_ in seen] == [2] * 20 and {t for *_, t in seen} == {20 * 480}
+
+
 def test_text_of_page_without_head_end(pages, model):
     given = [pages[i].html for i in sorted(pages)[150:]]
     assert all("</head>" in p for p in given)
