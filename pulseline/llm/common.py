@@ -80,6 +80,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# keys that hold a share of 1/HEAVY of all rows or more: at most HEAVY of them
+HEAVY = 1_000
+
+
+def join_counted(left: DataFrame, right: DataFrame, on: list[str], weight: str, total: int) -> DataFrame:
+    """Inner join with a ``right`` that is unique on ``on`` and counts the left rows of each key in ``weight``.
+
+    ``total`` is the number of left rows. Keys with a ``HEAVY``-th of them or
+    more are few by that bound alone; they are broadcast, so their left rows
+    stay where they are. All other keys meet by shuffle. Both inputs are read
+    twice: pass staged tables.
+    """
+    hot = F.col(weight) * F.lit(HEAVY) >= F.lit(total)
+    heavy, light = F.broadcast(right.filter(hot)), right.filter(~hot)
+    rest = left.join(heavy.select(*on), on, "left_anti")
+    return left.join(heavy, on).unionByName(rest.join(light, on))
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All UTF-8 bytes of a string array end to end, and the n+1 row offsets.
 

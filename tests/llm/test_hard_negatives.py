@@ -1,0 +1,113 @@
+"""Hard negatives against a plain version, and the coordinate pruning alone."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pulseline.llm import hard_negatives
+from pulseline.llm.hard_negatives import Params
+
+
+def plain(rows, p=Params()):
+    """Rows are (id, vector, label); anchors have ids divisible by 100."""
+    sound = [(k, [math.floor(float(x) * p.scale) for x in v], c) for k, v, c in rows
+             if k is not None and c is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for i, (a, va, ca) in enumerate(sound):
+        if a % 100:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(va, v)), k, c) for j, (k, v, c) in enumerate(sound)
+                        if j != i and len(v) == len(va))
+        for ps, pid, _ in [s for s in scored if s[2] == ca][:p.positives]:
+            fits = [s for s in scored if s[2] != ca and p.margin * -ps <= 100 * -s[0] <= 100 * -ps]
+            for r, (ns, nid, _) in enumerate(fits[:p.negatives], 1):
+                out.append((a, pid, r, nid, -ps, -ns))
+    return sorted(out)
+
+
+def frame(spark, rows, kind="float"):
+    return spark.createDataFrame([(k, v, c, "x", 0, 1.0) for k, v, c in rows],
+                                 f"vec_id long, embedding array<{kind}>, label int, data string, row int, score double")
+
+
+def found(df, **kw):
+    return sorted(tuple(r) for r in hard_negatives.hard_negatives(df, **kw).collect())
+
+
+def clustered(n, dim, seed, labels=4):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, dim))
+    x = centres[rng.integers(0, 6, n)] + 0.5 * rng.normal(size=(n, dim))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) * rng.choice([0.5, 1, 3], n)[:, None]
+    return [(i, [float(np.float32(v)) for v in row], int(c)) for i, (row, c) in enumerate(zip(x, rng.integers(0, labels, n)))]
+
+
+def test_against_a_plain_version(spark):
+    rows = clustered(900, 8, 1)
+    rows += [(1000 + i, rows[5][1], i % 3) for i in range(300)]      # a hot group of copies, three anchors among them
+    df = frame(spark, rows).repartition(4)
+    want = plain(rows)
+    assert len(want) > 150 and found(df) == want
+    assert found(df, params=Params(components=512, sample=64)) == want   # many slabs and tiles
+    assert found(df, params=Params(components=2048, buckets=1, focus=1, cuts=2)) == want
+    small = Params(positives=2, negatives=3, margin=50, scale=16)
+    assert found(df, params=small) == plain(rows, small)
+    assert found(df, params=small, label=F.col("label"), is_anchor=F.col("vec_id") % 100 == 0) == plain(rows, small)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0], 1), (100, [1.0, 0.0], 1), (100, [0.9, 0.1], 1), (1, [1.0, 0.0], 2), (2, [1.0, 0.0], 2),
+            (3, None, 1), (4, [nan, 1.0], 1), (5, [inf, 1.0], 2), (6, [None, 1.0], 2), (None, [1.0, 0.0], 2), (7, [1.0, 0.0], None),
+            (8, [0.0, 0.0], 2), (9, [], 1), (200, [], 1), (10, [], 2), (11, [1.0], 2), (12, [-1.0, 0.0], 2), (13, [0.97, 0.0], 3),
+            (300, [0.0, 0.0], 1), (400, [-1.0, -1.0], 9), (14, [1.0, 1.0], 9)]
+    assert found(frame(spark, rows)) == plain(rows)
+    assert found(frame(spark, rows).limit(0)) == []
+    assert found(frame(spark, [r for r in rows if r[0] is None or r[0] % 100])) == []
+    assert found(frame(spark, rows[:1])) == []
+
+
+def test_huge_components_stay_exact(spark):
+    rows = [(0, [1e12, 3.0], 1), (1, [1e12, 5.0], 1), (2, [1e12, 4.0], 2), (3, [1e12, 5.0], 2), (4, [9e11, 1.0], 2), (5, [1e300, -1e308], 3)]
+    most = (1 << 63) - 1
+    want = sorted((*r[:4], *(min(x, most) for x in r[4:])) for r in plain(rows[:5]))
+    got = found(frame(spark, rows, "double"))
+    assert want and got == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_pruning_never_loses_a_row(seed):
+    rng = np.random.default_rng(seed)
+    rows = np.floor(256 * rng.normal(size=(400, 12)) * rng.choice([0.1, 1, 2], 400)[:, None])
+    rows[::50] = 0
+    pruned = 0
+    for places, bucket in hard_negatives.buckets_of(rows, np.linalg.norm(rows, axis=1), 5):
+        for anchor in rows[rng.integers(0, 400, 30)]:
+            length = float(np.linalg.norm(anchor))
+            scores = hard_negatives.products(rows[places], anchor[None])[:, 0]
+            for least in (-5.0, 0.0, *np.quantile(scores, [0.5, 0.9, 1.0]).tolist()):
+                pick = bucket.candidates(anchor, length, least, Params())
+                assert pick is None or set(np.flatnonzero(scores >= least)) <= set(pick.tolist())
+                pruned += pick is not None and len(pick) < len(places)
+    assert pruned > 100
+
+
+def test_best_breaks_ties_by_id():
+    rng = random.Random(1)
+    score = np.array([rng.randrange(4) for _ in range(100)])
+    ids = np.array(rng.sample(range(1000), 100))
+    want = sorted(range(100), key=lambda i: (-score[i], ids[i]))[:7]
+    assert hard_negatives.best(score, ids, 7).tolist() == want
+
+
+def test_copies_are_cut_before_their_shuffle(spark):
+    import re
+    rows = [(i, [1.0, 2.0], 0) for i in range(50)]
+    df = frame(spark, rows)
+    every = hard_negatives.prepared(df, "vec_id", "embedding", F.col("label"), F.col("vec_id") % 100 == 0, Params())
+    plan = hard_negatives.first_of_class(every, 6)._jdf.queryExecution().executedPlan().toString()
+    assert re.search("WindowGroupLimit.*Partial", plan)
+    assert hard_negatives.first_of_class(every, 6).count() == 6
