@@ -2,7 +2,7 @@
 
 from pulseline.operators.backlog import backlog_report, backlog_slice
 from pulseline.operators.dedup import (
-    append_new_events, dedup_events, events_by_id, exists_by_event_id, merge_replay,
+    append_new_events, dedup_events, events_by_id, exists_by_event_id, merge_replay, save_event,
 )
 from pulseline.operators.kpi import (
     global_kpis, headline_kpis, kpi_timeseries, rollup_kpis, session_kpi_parts,

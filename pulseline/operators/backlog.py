@@ -1,12 +1,14 @@
-"""Outage backlog: FIFO slices and capacity report (ORD-2, ORD-3)."""
+"""Outage backlog: FIFO slices and what waits where (ORD-2, ORD-3)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values — backlog capacity and replay slice size.
-BACKLOG_CAPACITY = 10_000
+from pulseline.functions.murmur import session_partition_id
+from pulseline.operators.partitioning import TOPIC_PARTITIONS
+
+# Fixed value — replay slice size.
 REPLAY_SLICE = 500
 
 
@@ -23,20 +25,17 @@ def backlog_slice(backlog: DataFrame, n: int = REPLAY_SLICE, offset: int = 0,
     return ordered.limit(n)
 
 
-def backlog_report(backlog: DataFrame, capacity: int = BACKLOG_CAPACITY,
-                   arrival: str = "arrival_seq") -> DataFrame:
-    """Size of a backlog against a bounded buffer (ORD-3), report only.
+def backlog_report(backlog: DataFrame, num_partitions: int = TOPIC_PARTITIONS,
+                   arrival: str = "arrival_seq", ts: str = "ts") -> DataFrame:
+    """What waits for each topic partition and session (ORD-3).
 
-    ``buffered`` rows; a bounded buffer would keep the first ``capacity`` of
-    them (``kept``) and drop the rest (``dropped``); ``cutoff_seq`` is the
-    arrival of the last row kept. The cutoff is found with a top-k bounded by
-    ``capacity`` (not a global ``row_number``, which would run in one task);
-    no row is removed from the data.
+    ``partition_id, session_id, buffered, first_seq, last_seq, oldest``: the
+    events buffered, the first and last arrival, and the oldest event time.
+    One aggregate with a partial step; sessions are hashed once, after it.
+    Nothing is dropped, so there is no capacity to report against.
     """
-    total = backlog.agg(F.count(F.lit(1)).alias("buffered"))
-    cutoff = (backlog.select(arrival).orderBy(F.col(arrival).asc()).limit(capacity)
-                     .agg(F.max(arrival))).scalar()  # scalar subquery
-    return (total.withColumn("cutoff_seq", cutoff)
-                 .withColumn("kept", F.least(F.col("buffered"), F.lit(capacity).cast("bigint")))
-                 .withColumn("dropped", F.col("buffered") - F.col("kept"))
-                 .select("buffered", "kept", "dropped", "cutoff_seq"))
+    per = backlog.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("buffered"), F.min(arrival).alias("first_seq"),
+        F.max(arrival).alias("last_seq"), F.min(ts).alias("oldest"))
+    return per.select(session_partition_id("session_id", num_partitions).alias("partition_id"),
+                      "session_id", "buffered", "first_seq", "last_seq", "oldest")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def dedup_events(df: DataFrame, key: str = "event_id",
                  arrival: str = "arrival_seq") -> DataFrame:
     """Keep the first arrival of every ``key`` (AGG-1).
@@ -53,6 +54,12 @@ def append_new_events(batch: DataFrame, stored: DataFrame | None, key: str = "ev
     return fresh.join(hits, key, "left_anti")
 
 
+def save_event(event: DataFrame, stored: DataFrame, key: str = "event_id",
+               arrival: str = "arrival_seq") -> DataFrame:
+    """``stored`` with one more event unless its id is there: a batch of one row (SNK-5)."""
+    return stored.unionByName(append_new_events(event, stored, key, arrival).select(*stored.columns))
+
+
 def exists_by_event_id(probe: DataFrame, stored: DataFrame, key: str = "event_id") -> DataFrame:
     """Probe rows with a boolean ``exists`` column (JN-2)."""
     hits = _stored_hits(stored, probe, key).distinct().withColumn("exists", F.lit(True))

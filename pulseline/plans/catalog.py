@@ -67,6 +67,15 @@ def q_append_new_events(spark, sf_dir):
     return dedup.append_new_events(batch, fx.stored_events(spark, sf_dir))
 
 
+def q_save_one_event(spark, sf_dir):
+    """The stored events after the newest event was saved on its own, twice (SNK-5)."""
+    stored = fx.stored_events(spark, sf_dir).select(*HEARTBEAT_COLUMNS, "arrival_seq")
+    hb = _hb(spark, sf_dir).select(*HEARTBEAT_COLUMNS, "arrival_seq")
+    event = hb.filter(F.col("arrival_seq") == hb.agg(F.max("arrival_seq")).scalar())
+    once = dedup.save_event(event, stored)
+    return dedup.save_event(event, once).select(*HEARTBEAT_COLUMNS)
+
+
 def q_exists_by_event_id(spark, sf_dir):
     probe = _hb(spark, sf_dir).select("event_id", "arrival_seq")
     return dedup.exists_by_event_id(probe, fx.stored_events(spark, sf_dir))
@@ -209,7 +218,7 @@ def q_backlog_slice(spark, sf_dir):
 
 
 def q_backlog_report(spark, sf_dir):
-    return bl.backlog_report(fx.outage_backlog(spark, sf_dir), bl.BACKLOG_CAPACITY)
+    return bl.backlog_report(fx.outage_backlog(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -219,6 +228,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_timeseries": q_kpi_timeseries,
     "dedup_events": q_dedup_events,
     "append_new_events": q_append_new_events,
+    "save_one_event": q_save_one_event,
     "exists_by_event_id": q_exists_by_event_id,
     "events_by_id": q_events_by_id,
     "validate_accept": q_validate_accept,

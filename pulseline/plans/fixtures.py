@@ -15,12 +15,15 @@ as stored data would be.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseline.functions.codec import encode_binary
 from pulseline.functions.murmur import session_partition_id
 from pulseline.functions.parallel import spread_small_input
+from pulseline.functions.scalars import ts_to_millis
 from pulseline.operators.partitioning import TOPIC_PARTITIONS
 from pulseline.session import scratch_path
 from pulseline.sources.events import heartbeats_from_events, read_table
@@ -51,18 +54,36 @@ ROUND = {"ms": 9, "rate": 9, "ratio": 12}
 # occur: far above the summation noise, far below the last place kept.
 TIE_SHIFT = 1e-15
 
+EPOCH = dt.datetime(1970, 1, 1)
+
 # Fixed values — replay copy and stored/new split.
 REDELIVERY_VST_DELTA = 1.0          # the copy carries a refreshed reading
-STORED_BEFORE = "2024-01-16 00:00:00"
-BATCH_FROM = "2024-01-10 00:00:00"
-OUTAGE_FROM = "2024-01-20 00:00:00"
-OUTAGE_TO = "2024-01-23 00:00:00"
+# Moments as percent of the time from the first to the last event.
+BATCH_FROM = 30
+STORED_BEFORE = 50
+OUTAGE = (63, 73)
+SECOND_OUTAGE = (83, 90)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
 
+_RANGES: dict = {}
+
+
+def moment(spark: SparkSession, sf_dir: str, percent: int) -> str:
+    """The whole second after ``percent`` of the time that the events span, as text."""
+    key = (spark.sparkContext.applicationId, _input_files(spark, sf_dir))
+    if key not in _RANGES:
+        second = lambda c: F.floor(ts_to_millis(c.cast("timestamp_ntz")) / 1000)
+        _RANGES[key] = tuple(events(spark, sf_dir).agg(second(F.min("ts")), second(F.max("ts"))).first())
+    first, last = _RANGES[key]
+    if first is None:
+        first = last = 0
+    return str(EPOCH + dt.timedelta(seconds=first + (last - first) * percent // 100))
+
+
 def fault_key(ev: DataFrame) -> Column:
     return F.get_json_object(ev["props"], "$.k").cast("int")
 
@@ -85,12 +106,12 @@ def heartbeats(spark: SparkSession, sf_dir: str, with_key: bool = False,
 
 def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of the events that is stored already."""
-    return heartbeats(spark, sf_dir, until=STORED_BEFORE)
+    return heartbeats(spark, sf_dir, until=moment(spark, sf_dir, STORED_BEFORE))
 
 
 def new_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The new batch; it overlaps the stored part."""
-    return heartbeats(spark, sf_dir, since=BATCH_FROM)
+    return heartbeats(spark, sf_dir, since=moment(spark, sf_dir, BATCH_FROM))
 
 
 def redelivered(hb: DataFrame) -> DataFrame:
@@ -191,7 +212,8 @@ def latency_log(hb: DataFrame) -> DataFrame:
 
 def outage_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events produced while the topic was unavailable (the outage period)."""
-    return heartbeats(spark, sf_dir, since=OUTAGE_FROM, until=OUTAGE_TO)
+    since, until = (moment(spark, sf_dir, x) for x in OUTAGE)
+    return heartbeats(spark, sf_dir, since=since, until=until)
 
 
 _TABLES: dict = {}

@@ -9,7 +9,7 @@ shared with the Spark implementation except the fixed values.
 from __future__ import annotations
 
 from pulseline.functions.murmur import MURMUR_M, MURMUR_SEED
-from pulseline.plans.fixtures import ROUND, TIE_SHIFT
+from pulseline.plans.fixtures import BATCH_FROM, OUTAGE, ROUND, SECOND_OUTAGE, STORED_BEFORE, TIE_SHIFT
 
 MS, RATE, RATIO = ROUND["ms"], ROUND["rate"], ROUND["ratio"]
 
@@ -31,6 +31,18 @@ H = """h AS (
     CAST(json_extract_string(props, '$.k') AS INTEGER) AS fault_key
   FROM events)"""
 
+
+
+def moment(percent: int) -> str:
+    """The whole second after ``percent`` of the events' time span."""
+    low, high = "min(epoch_us(ts) // 1000000)", "max(epoch_us(ts) // 1000000)"
+    return f"(SELECT make_timestamp(CAST(({low} + ({high} - {low}) * {percent} // 100) * 1000000 AS BIGINT)) FROM events)"
+
+
+def within(percents: tuple[int, int]) -> str:
+    return f"ts >= {moment(percents[0])} AND ts < {moment(percents[1])}"
+
+
 HB_COLS = ("event_id, session_id, client_id, content_id, ts, video_start_time_ms, "
            "playback_failed, rebuffer_duration_ms, playback_duration_ms, player_version, os, cdn")
 DEDUP_COLS = "arrival_seq, timestamp_ms, " + HB_COLS
@@ -161,16 +173,16 @@ SELECT {DEDUP_COLS} FROM (
 WHERE rn = 1"""
 
 ORACLE["append_new_events"] = f"""WITH {H},
-  b0 AS (SELECT * FROM h WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'),
+  b0 AS (SELECT * FROM h WHERE ts >= {moment(BATCH_FROM)}),
   b AS (SELECT {DEDUP_COLS} FROM b0 UNION ALL SELECT {COPY_COLS} FROM b0),
   f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival_seq) AS rn
                        FROM b) x WHERE rn = 1)
 SELECT {DEDUP_COLS} FROM f
-WHERE NOT EXISTS (SELECT 1 FROM h s WHERE s.ts < TIMESTAMP '2024-01-16 00:00:00' AND s.event_id = f.event_id)"""
+WHERE NOT EXISTS (SELECT 1 FROM h s WHERE s.ts < {moment(STORED_BEFORE)} AND s.event_id = f.event_id)"""
 
 ORACLE["exists_by_event_id"] = f"""WITH {H}
 SELECT event_id, arrival_seq,
-  EXISTS (SELECT 1 FROM h s WHERE s.ts < TIMESTAMP '2024-01-16 00:00:00' AND s.event_id = h.event_id) AS "exists"
+  EXISTS (SELECT 1 FROM h s WHERE s.ts < {moment(STORED_BEFORE)} AND s.event_id = h.event_id) AS "exists"
 FROM h"""
 
 ORACLE["events_by_id"] = f"WITH {H} SELECT {HB_COLS} FROM h WHERE fault_key IN {REJECT_KEYS}"
@@ -268,20 +280,19 @@ FROM rj GROUP BY 1, 2 HAVING count(*) > 25"""
 ORACLE["publish_summary"] = f"""WITH {H}
 SELECT count(*) FILTER (WHERE fault_key NOT IN {REJECT_KEYS}) AS accepted,
   count(*) FILTER (WHERE fault_key IN {REJECT_KEYS}) AS rejected,
-  count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-23 00:00:00') AS replayed,
+  count(*) FILTER (WHERE {within(OUTAGE)}) AS replayed,
   count(*) FILTER (WHERE fault_key NOT IN {REJECT_KEYS})
-   + count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-23 00:00:00') AS published
+   + count(*) FILTER (WHERE {within(OUTAGE)}) AS published
 FROM h"""
 
-BACKLOG = """bk AS (SELECT * FROM h WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'
-                                AND ts < TIMESTAMP '2024-01-23 00:00:00')"""
+BACKLOG = f"""bk AS (SELECT * FROM h WHERE {within(OUTAGE)})"""
 
 ORACLE["backlog_slice"] = f"WITH {H}, {BACKLOG} SELECT {DEDUP_COLS} FROM bk ORDER BY arrival_seq LIMIT 500"
 
-ORACLE["backlog_report"] = f"""WITH {H}, {BACKLOG}
-SELECT count(*) AS buffered, least(count(*), 10000) AS kept, count(*) - least(count(*), 10000) AS dropped,
-  (SELECT max(arrival_seq) FROM (SELECT arrival_seq FROM bk ORDER BY arrival_seq LIMIT 10000) x) AS cutoff_seq
-FROM bk"""
+ORACLE["backlog_report"] = f"""WITH {H}, {BACKLOG}, {_murmur_ctes('h')}
+SELECT CAST(abs(CAST(hs.murmur2_hash AS BIGINT)) % 24 AS INTEGER) AS partition_id, bk.session_id,
+  count(*) AS buffered, min(arrival_seq) AS first_seq, max(arrival_seq) AS last_seq, min(ts) AS oldest
+FROM bk JOIN hs USING (session_id) GROUP BY 1, 2"""
 
 # ---------------------------------------------------------------- streaming runs
 # first arrival per event id among decoded topic rows
@@ -337,7 +348,7 @@ FROM w GROUP BY session_id, n"""
 ORACLE["replay_backlog"] = f"""WITH {H}
 SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, playback_failed,
   rebuffer_duration_ms, playback_duration_ms, coalesce(player_version, '') AS player_version, os, cdn,
-  ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-23 00:00:00' AS replayed
+  {within(OUTAGE)} AS replayed
 FROM h"""
 
 STORED_ONCE = """SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, playback_failed,
@@ -345,11 +356,11 @@ STORED_ONCE = """SELECT event_id, session_id, client_id, content_id, ts, video_s
   CASE {cases} ELSE 'live' END AS source_id FROM h"""
 
 ORACLE["replay_then_live"] = f"WITH {H} " + STORED_ONCE.format(
-    cases="WHEN ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-23 00:00:00' THEN 'replay-outage'")
+    cases=f"WHEN {within(OUTAGE)} THEN 'replay-outage'")
 
 ORACLE["replay_two_backlogs"] = f"WITH {H} " + STORED_ONCE.format(
-    cases="WHEN ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-23 00:00:00' THEN 'replay-first' "
-          "WHEN ts >= TIMESTAMP '2024-01-26 00:00:00' AND ts < TIMESTAMP '2024-01-28 00:00:00' THEN 'replay-second'")
+    cases=f"WHEN {within(OUTAGE)} THEN 'replay-first' "
+          f"WHEN {within(SECOND_OUTAGE)} THEN 'replay-second'")
 
 ORACLE["publish_topic"] = f"""WITH {H}, {_murmur_ctes('h')},
   acc AS (SELECT * FROM h WHERE fault_key NOT IN {REJECT_KEYS})
@@ -368,3 +379,25 @@ ORACLE["json_files"] = ORACLE["validate_accept"].replace("SELECT arrival_seq AS
 ORACLE["session_order"] = f"""WITH {H}, {_murmur_ctes('h')}
 SELECT CAST(abs(CAST(hs.murmur2_hash AS BIGINT)) % 24 AS INTEGER) AS partition_id,
   h.session_id, event_id, ts, arrival_seq FROM h JOIN hs USING (session_id)"""
+
+ORACLE["stream_late_windows"] = ORACLE["stream_window_kpis"]
+
+ORACLE["bounded_ingest"] = f"""WITH {H}, {_murmur_ctes('h')}
+SELECT h.session_id AS key, CAST(abs(CAST(hs.murmur2_hash AS BIGINT)) % 24 AS INTEGER) AS partition,
+  arrival_seq AS "offset", true AS within_bound FROM h JOIN hs USING (session_id)"""
+
+ORACLE["indexed_lookup"] = ORACLE["exists_by_event_id"]
+
+ORACLE["empty_batches"] = f"""WITH {H}
+SELECT 'events' AS written, CAST(1 AS BIGINT) AS batch_id, count(*) AS rows FROM h
+UNION ALL SELECT 'session_metrics', 1, count(DISTINCT session_id) FROM h"""
+
+_NEWER = ", ".join(f"CASE WHEN ts >= {moment(STORED_BEFORE)} THEN {c} END AS {c}" for c in ("player_version", "os", "cdn"))
+
+ORACLE["widened_events"] = f"""WITH {H}
+SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, playback_failed,
+  rebuffer_duration_ms, playback_duration_ms, {_NEWER} FROM h"""
+
+ORACLE["save_one_event"] = f"""WITH {H}
+SELECT {HB_COLS} FROM h WHERE ts < {moment(STORED_BEFORE)}
+UNION SELECT {HB_COLS} FROM h WHERE arrival_seq = (SELECT max(event_id) FROM events)"""

@@ -10,6 +10,8 @@ every call takes new folders.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,37 +25,36 @@ from pulseline.schemas import HEARTBEAT, HEARTBEAT_COLUMNS, REASON_UNSTORED
 from pulseline.session import scratch_path
 from pulseline.sources.events import read_events, read_session_metrics
 from pulseline.sources.topic import heartbeat_stream, read_topic
-from pulseline.streaming.processor import Layout, run_stream
+from pulseline.sources.topic_log import MAX_RECORDS, append_log, drain, log_stream
+from pulseline.streaming.id_index import IdIndex
+from pulseline.streaming.late import WindowLayout, fold_late, run_windows, window_kpis
+from pulseline.streaming.processor import Layout, process_batch, run_stream
 from pulseline.streaming.publish import publish_job
 from pulseline.streaming.replay import recover_dead_letters, replay
-from pulseline.streaming.sinks import LIVE, write_dead_letters
+from pulseline.streaming.sinks import LIVE, write_batch_partition, write_dead_letters, write_new_events
 from pulseline.streaming.windows import dedup_stream, split_identified, stream_kpis
 
 # Fixed values — staging and stream parameters of the registered runs.
-SEGMENT_BOUNDS = ["2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00"]
+SEGMENTS = 4               # delivery segments, equal parts of the events' time span
 FILES_PER_TRIGGER = 8      # staged files per micro-batch (one segment at these sizes)
 WINDOW = "1 day"
 SESSION_GAP = "6 hours"
-# Within a staged segment rows are spread over files in no time order, so a
-# micro-batch boundary inside a segment reorders events by up to one segment
-# span (8 days); the watermark delay must cover that disorder, otherwise
-# on-time events are dropped as late. A closing record after the last event
-# then closes every window.
-WATERMARK = "8 days"
 SLICES_PER_TRIGGER = 8      # drain slices (500 events each) per replay micro-batch
-# a second outage, for the run with two backlogs
-SECOND_OUTAGE = ("2024-01-26 00:00:00", "2024-01-28 00:00:00")
+# windows over a delivery in random order: files, and a delay far below its disorder
+SHUFFLED_FILES = 24
+LATE_WATERMARK = "10 minutes"
 
 
 def _ts(s: str):
     return F.lit(s).cast("timestamp_ntz")
 
 
-def record_segments(with_redelivery: bool = True) -> list:
-    """Delivery segments as conditions on topic records: the original
-    delivery cut by record time, then the redelivered copy."""
+def record_segments(spark: SparkSession, sf_dir: str, with_redelivery: bool = True) -> list:
+    """Delivery segments as conditions on topic records: the original delivery
+    cut by record time into equal parts of its span, then the redelivered copy."""
     original = F.col("delivery") == 0
-    bounds = [None, *SEGMENT_BOUNDS, None]
+    cuts = [fx.moment(spark, sf_dir, 100 * k // SEGMENTS) for k in range(1, SEGMENTS)]
+    bounds = [None, *cuts, None]
     conds = []
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         cond = original
@@ -67,6 +68,15 @@ def record_segments(with_redelivery: bool = True) -> list:
     return conds
 
 
+def watermark(spark: SparkSession, sf_dir: str) -> str:
+    """The disorder of a staged delivery: a segment's rows are spread over its
+    files in no time order, so events may come up to one segment span early or
+    late. A delay of that span (and a second for rounding) drops none; a
+    closing record after the last event then closes every window."""
+    first, last = (dt.datetime.fromisoformat(fx.moment(spark, sf_dir, x)) for x in (0, 100))
+    return f"{int((last - first).total_seconds()) // SEGMENTS + 2} seconds"
+
+
 def stage(records: DataFrame, folder: str, segments,
           max_records_per_file: int | None = None) -> str:
     """Append each segment of ``records`` to ``folder`` in turn (JVM-only copies).
@@ -97,7 +107,7 @@ def _topic_stream(spark: SparkSession, folder: str) -> DataFrame:
 def ingest_run(spark: SparkSession, sf_dir: str, validate_binary: bool = False) -> Layout:
     """Stream the faulty, redelivered topic through ``process_batch``."""
     root = scratch_path(spark, "ingest")
-    src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments())
+    src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments(spark, sf_dir))
     layout = Layout(f"{root}/out")
     run_stream(_topic_stream(spark, src), layout, validate_binary=validate_binary).awaitTermination()
     return layout
@@ -138,7 +148,7 @@ def recovery_run(spark: SparkSession, sf_dir: str) -> tuple[Layout, DataFrame]:
     root = scratch_path(spark, "recovery")
     records = fx.lettered_topic_table(spark, sf_dir)
     unstored = F.col("fault_key") == fx.K_UNSTORED
-    src = stage(records, f"{root}/topic", [c & ~unstored for c in record_segments(with_redelivery=False)])
+    src = stage(records, f"{root}/topic", [c & ~unstored for c in record_segments(spark, sf_dir, with_redelivery=False)])
     layout = Layout(f"{root}/out")
     run_stream(_topic_stream(spark, src), layout).awaitTermination()
     write_dead_letters(records.filter(unstored).select(
@@ -165,7 +175,7 @@ def _clean_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, Dat
     """Decoded stream of one delivery of all events, ended by the closing record."""
     root = scratch_path(spark, name)
     src = stage(fx.clean_topic_table(spark, sf_dir), f"{root}/topic",
-                record_segments(with_redelivery=False))
+                record_segments(spark, sf_dir, with_redelivery=False))
     fx.closing_record(fx.heartbeats(spark, sf_dir)).write.mode("append").parquet(src)
     return root, split_decoded(decode_binary(_topic_stream(spark, src)))[0]
 
@@ -173,17 +183,80 @@ def _clean_stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, Dat
 def q_stream_window_kpis(spark, sf_dir) -> DataFrame:
     """Event-time day windows per session, emitted as the watermark passes (STR-6)."""
     root, good = _clean_stream(spark, sf_dir, "windows")
-    return _rounded(spark.read.parquet(_drain(stream_kpis(good, WINDOW, WATERMARK), root, "out")))
+    return _rounded(spark.read.parquet(_drain(stream_kpis(good, WINDOW, watermark(spark, sf_dir)), root, "out")))
+
+
+def q_stream_late_windows(spark, sf_dir) -> DataFrame:
+    """Day windows of a delivery in random order, the delay ten minutes, late events folded in (STR-6)."""
+    root = scratch_path(spark, "late-windows")
+    (fx.clean_topic_table(spark, sf_dir).repartition(SHUFFLED_FILES, F.xxhash64("offset"))
+       .write.parquet(f"{root}/topic"))
+    layout = WindowLayout(f"{root}/out")
+    run_windows(_topic_stream(spark, f"{root}/topic"), layout, WINDOW, LATE_WATERMARK).awaitTermination()
+    fold_late(spark, layout, WINDOW)
+    return _rounded(window_kpis(spark, layout))
+
+
+def q_bounded_ingest(spark, sf_dir) -> DataFrame:
+    """The topic read as a log, at most 1,000 records a micro-batch, stopped and started again half way (SRC-3, STR-2).
+
+    ``within_bound`` tells whether the record's micro-batch kept the bound.
+    """
+    root = scratch_path(spark, "bounded")
+    records = fx.clean_topic_table(spark, sf_dir)
+    half = F.col("timestamp") < _ts(fx.moment(spark, sf_dir, 50))
+    for part in (half, ~half):
+        append_log(records.filter(part), f"{root}/log")
+        stream = log_stream(spark, f"{root}/log", f"{root}/_checkpoint")
+        keep = lambda df, n: write_batch_partition(df.select("key", "partition", "offset"), f"{root}/out", n)
+        drain(stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/_checkpoint").start())
+    out = spark.read.schema("key string, partition int, offset bigint, source_id string, batch_id bigint").parquet(f"{root}/out")
+    sizes = out.groupBy("batch_id").agg((F.count(F.lit(1)) <= MAX_RECORDS).alias("within_bound"))
+    return out.join(sizes, "batch_id").select("key", "partition", "offset", "within_bound")
+
+
+def q_indexed_lookup(spark, sf_dir) -> DataFrame:
+    """Whether each event is stored, by the index of the stored ids (JN-1, JN-2)."""
+    root = scratch_path(spark, "indexed")
+    write_batch_partition(fx.stored_events(spark, sf_dir).select(*HEARTBEAT_COLUMNS), f"{root}/events", 0)
+    index = IdIndex(spark, f"{root}/events", f"{root}/index")
+    index.cover(index.partitions())
+    probe = fx.heartbeats(spark, sf_dir).select("event_id", "arrival_seq")
+    found = index.lookup(probe).withColumn("exists", F.lit(True))
+    return probe.join(found, "event_id", "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
+
+
+def q_empty_batches(spark, sf_dir) -> DataFrame:
+    """Rows written by an empty micro-batch, one with all records, and another empty one (FLT-9)."""
+    layout = Layout(scratch_path(spark, "empty-batches"))
+    records = fx.clean_topic_table(spark, sf_dir)
+    for number, batch in enumerate((records.limit(0), records, records.limit(0))):
+        process_batch(batch, number, layout)
+    of = lambda name, df: df.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows")).withColumn("written", F.lit(name))
+    return (of("events", read_events(spark, layout.events))
+            .unionByName(of("session_metrics", read_session_metrics(spark, layout.metrics)))
+            .select("written", "batch_id", "rows"))
+
+
+def q_widened_events(spark, sf_dir) -> DataFrame:
+    """A table whose first files lack the newer columns, read by its declared schema (SNK-6)."""
+    path = scratch_path(spark, "widened")
+    older = fx.stored_events(spark, sf_dir).select(*[c for c in HEARTBEAT_COLUMNS if c not in ("player_version", "os", "cdn")])
+    since = fx.moment(spark, sf_dir, fx.STORED_BEFORE)
+    write_batch_partition(older, path, 0)
+    write_new_events(fx.heartbeats(spark, sf_dir, since=since), path, 1)
+    return read_events(spark, path).select(*HEARTBEAT_COLUMNS)
 
 
 def q_stream_session_windows(spark, sf_dir) -> DataFrame:
     """Windows that end after a gap without events of the session (STR-6)."""
     root, good = _clean_stream(spark, sf_dir, "session-windows")
-    kpis = stream_kpis(good, watermark=WATERMARK, session_gap=SESSION_GAP)
+    kpis = stream_kpis(good, watermark=watermark(spark, sf_dir), session_gap=SESSION_GAP)
     return _rounded(spark.read.parquet(_drain(kpis, root, "out")), fx.TIE_SHIFT)
 
 
-def _between(lo: str, hi: str):
+def _between(spark: SparkSession, sf_dir: str, percents: tuple[int, int]):
+    lo, hi = (fx.moment(spark, sf_dir, x) for x in percents)
     return (F.col("timestamp") >= _ts(lo)) & (F.col("timestamp") < _ts(hi))
 
 
@@ -199,8 +272,8 @@ def q_replay_backlog(spark, sf_dir) -> DataFrame:
     """Live topic minus an outage, then the outage backlog replayed 500 at a time (STR-9, SET-1)."""
     root = scratch_path(spark, "replay")
     records = fx.clean_topic_table(spark, sf_dir)
-    outage = _between(fx.OUTAGE_FROM, fx.OUTAGE_TO)
-    live = stage(records, f"{root}/topic", [c & ~outage for c in record_segments(with_redelivery=False)])
+    outage = _between(spark, sf_dir, fx.OUTAGE)
+    live = stage(records, f"{root}/topic", [c & ~outage for c in record_segments(spark, sf_dir, with_redelivery=False)])
     # the backlog is kept in drain-sized files (one drain call = one file)
     backlog = stage(records, f"{root}/backlog", [outage], max_records_per_file=REPLAY_SLICE)
     layout = Layout(f"{root}/out")
@@ -214,7 +287,7 @@ def q_replay_then_live(spark, sf_dir) -> DataFrame:
     """A backlog is replayed, then the live topic delivers its events once more (STR-9, STR-3)."""
     root = scratch_path(spark, "replay-live")
     records = fx.clean_topic_table(spark, sf_dir)
-    outage = _between(fx.OUTAGE_FROM, fx.OUTAGE_TO)
+    outage = _between(spark, sf_dir, fx.OUTAGE)
     live = stage(records, f"{root}/topic", [~outage])
     backlog = stage(records, f"{root}/backlog", [outage], max_records_per_file=REPLAY_SLICE)
     layout = Layout(f"{root}/out")
@@ -229,7 +302,7 @@ def q_replay_two_backlogs(spark, sf_dir) -> DataFrame:
     """Two outages, each with a backlog of its own; the second also holds the first's events."""
     root = scratch_path(spark, "replay-two")
     records = fx.clean_topic_table(spark, sf_dir)
-    first, second = _between(fx.OUTAGE_FROM, fx.OUTAGE_TO), _between(*SECOND_OUTAGE)
+    first, second = _between(spark, sf_dir, fx.OUTAGE), _between(spark, sf_dir, fx.SECOND_OUTAGE)
     live = stage(records, f"{root}/topic", [~first & ~second])
     layout = Layout(f"{root}/out")
     run_stream(_topic_stream(spark, live), layout).awaitTermination()
@@ -259,11 +332,11 @@ def q_stream_dedup_events(spark, sf_dir) -> DataFrame:
     batch keeps the first per id that the stream did not keep.
     """
     root = scratch_path(spark, "stream-dedup")
-    src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments())
+    src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments(spark, sf_dir))
     good, _ = split_decoded(decode_binary(_topic_stream(spark, src)))
     identified, others = split_identified(good.select(F.col("offset").alias("arrival_seq"), *HEARTBEAT_COLUMNS))
     kept = spark.read.schema(HEARTBEAT).parquet(
-        _drain(dedup_stream(identified.select(*HEARTBEAT_COLUMNS), WATERMARK), root, "kept"))
+        _drain(dedup_stream(identified.select(*HEARTBEAT_COLUMNS), watermark(spark, sf_dir)), root, "kept"))
     side = spark.read.schema(others.schema).parquet(_drain(others, root, "others"))
     return kept.select(*HEARTBEAT_COLUMNS).unionByName(
         append_new_events(side, kept).select(*HEARTBEAT_COLUMNS))
@@ -278,6 +351,11 @@ STREAM_QUERIES = {
     "stream_validated_letters": q_stream_validated_letters,
     "stream_window_kpis": q_stream_window_kpis,
     "stream_session_windows": q_stream_session_windows,
+    "stream_late_windows": q_stream_late_windows,
+    "bounded_ingest": q_bounded_ingest,
+    "indexed_lookup": q_indexed_lookup,
+    "empty_batches": q_empty_batches,
+    "widened_events": q_widened_events,
     "replay_backlog": q_replay_backlog,
     "replay_then_live": q_replay_then_live,
     "replay_two_backlogs": q_replay_two_backlogs,

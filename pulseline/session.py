@@ -75,3 +75,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     never reused or cleared, each run takes a new one.
     """
     return f"{ensure_checkpoint_dir(spark)}/pulseline/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _fs(spark: SparkSession, path: str):
+    """The file system of ``path`` (whichever the cluster uses) and the path in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it does not exist."""
+    fs, where = _fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    fs, where = _fs(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file under another name and rename it, so that readers see all of it or nothing."""
+    fs, where = _fs(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if not fs.rename(draft, where):
+        raise RuntimeError(f"cannot write {path}")
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder of a table that maintenance has replaced."""
+    fs, where = _fs(spark, path)
+    return bool(fs.delete(where, True))

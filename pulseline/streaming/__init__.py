@@ -1,5 +1,7 @@
 """Structured Streaming jobs: per-batch processing, event-time KPIs, replay, publish."""
 
+from pulseline.streaming.id_index import IdIndex
+from pulseline.streaming.late import WindowLayout, fold_late, late_events, run_windows, window_kpis
 from pulseline.streaming.processor import (
     Layout, process_batch, run_stream, stored_elsewhere,
 )
@@ -11,11 +13,12 @@ from pulseline.streaming.sinks import (
     write_batch_partition, write_dead_letters, write_new_events,
     write_session_metrics, write_topic,
 )
-from pulseline.streaming.windows import dedup_stream, split_identified, stream_kpis
+from pulseline.streaming.windows import dedup_stream, drop_repeats_in_task, split_identified, stream_kpis
 
 __all__ = [
     "Layout", "process_batch", "run_stream", "stored_elsewhere", "write_batch_partition",
     "write_dead_letters", "write_new_events", "write_session_metrics", "write_topic",
-    "dedup_stream", "split_identified", "stream_kpis", "publish_batch", "publish_job", "replay",
+    "IdIndex", "WindowLayout", "fold_late", "late_events", "run_windows", "window_kpis",
+    "dedup_stream", "drop_repeats_in_task", "split_identified", "stream_kpis", "publish_batch", "publish_job", "replay",
     "recover_dead_letters", "replay_dead_letters", "retained_dead_letters", "write_backlog",
 ]

@@ -24,10 +24,11 @@ from pyspark.errors import AnalysisException
 
 from pulseline.functions.codec import decode_binary, split_decoded
 from pulseline.functions.validation import violations
-from pulseline.operators.dedup import append_new_events
+from pulseline.operators.dedup import append_new_events, dedup_events
 from pulseline.operators.kpi import session_kpi_parts
 from pulseline.operators.quarantine import storage_split
 from pulseline.schemas import EVENTS_TABLE, HEARTBEAT_COLUMNS, REASON_INVALID, REASON_UNDECODABLE
+from pulseline.streaming.id_index import IdIndex, seen_before
 from pulseline.streaming.sinks import (
     LIVE, write_dead_letters, write_new_events, write_session_metrics,
 )
@@ -50,6 +51,10 @@ class Layout:
     def dead_letters(self) -> str:
         return f"{self.root}/dead_letters"
 
+    @property
+    def ids(self) -> str:
+        return f"{self.root}/_event_ids"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint"
@@ -93,15 +98,17 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
     positive) to decoded messages too: rows that break one become dead letters
     with every violation. Off by default (parity: the binary path stores them).
 
-    ``lookup_horizon`` (e.g. ``"2 days"``): when the caller knows an event id
-    never recurs further apart in event time, the stored-id lookup reads only
-    stored rows within the batch's event-time range ± horizon; the ``ts``
-    range filter reaches the parquet scan and skips row groups by their
-    statistics (each batch's files are time-clustered). Default: every stored
-    id is checked, as a unique constraint would.
+    Every stored id is checked, as a unique constraint would, through the id
+    index (``IdIndex``), whose reads do not grow with what is stored.
+    ``lookup_horizon`` (e.g. ``"2 days"``) does without the index: when the
+    caller knows an event id never recurs further apart in event time, only
+    stored rows within the batch's event-time range ± horizon are read; the
+    ``ts`` range filter reaches the parquet scan and skips row groups by their
+    statistics (each batch's files are time-clustered).
     """
     decoded = batch if "decode_error" in batch.columns else decode_binary(batch, "value")
     decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+    index = None
     try:
         if decoded.count() == 0:  # empty poll: nothing is written (FLT-9)
             return
@@ -122,16 +129,20 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
         dead = dead.unionByName(over_long.select(
             F.col("value").alias("payload"), "reason", "detail", F.col("ts").alias("ingest_ts")))
 
-        stored = stored_elsewhere(spark, layout.events, batch_id, source_id)
-        if stored is not None and lookup_horizon:
-            lo, hi = storable.agg(F.min("ts"), F.max("ts")).first()
+        storable = storable.drop("value")
+        if lookup_horizon:
+            stored = stored_elsewhere(spark, layout.events, batch_id, source_id)
+            lo, hi = storable.agg(F.min("ts"), F.max("ts")).first() if stored is not None else (None, None)
             if lo is not None:
                 h = F.expr(f"INTERVAL {lookup_horizon}")
                 # literals as TIMESTAMP_NTZ text: no zone conversion on the way back
                 lo_c = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
                 hi_c = F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")
                 stored = stored.filter((F.col("ts") >= lo_c - h) & (F.col("ts") <= hi_c + h))
-        new = append_new_events(storable.drop("value"), stored)
+            new = append_new_events(storable, stored)
+        else:
+            index = IdIndex(spark, layout.events, layout.ids)
+            new = dedup_events(storable).join(seen_before(index, storable, (source_id, batch_id)), "event_id", "left_anti")
         kpi_input = hb if kpi_on == "decoded" else new
 
         # The three sinks depend only on the persisted batch and on what was
@@ -145,6 +156,8 @@ def process_batch(batch: DataFrame, batch_id: int, layout: Layout,
                 f.result()  # re-raise the first failure; the batch is then retried
     finally:
         decoded.unpersist()
+        if index is not None:
+            index.release()
 
 
 def observe_ingest(decoded: DataFrame, name: str = "ingest") -> DataFrame:

@@ -68,3 +68,19 @@ def test_message_keeps_event_time_record_keeps_ingest_time(spark):
     r = decode_binary(read_topic(spark, f"{root}/topic")).collect()[0]
     assert r["timestamp_ms"] == 1704067200123
     assert str(r["timestamp"]) == "2024-02-01 10:00:00"
+
+
+def test_arrival_numbers_go_on_without_gaps(spark):
+    root = scratch_path(spark, "test-arrivals")
+    total = 0
+    for batch in (0, 1, 1, 1 << 40):                     # one retried, one after very many batches
+        rows = [(f"2024-01-01 00:00:{i:02d}", f"file{i % 3}", f"{batch}-{i}") for i in range(40)]
+        req = spark.createDataFrame(rows, "file_time string, file_path string, event string").repartition(5)
+        body = F.to_json(F.struct(F.col("event").alias("eventId"), F.lit("s").alias("sessionId"), F.lit("c").alias("clientId"),
+                                  F.lit("m").alias("contentId"), F.lit(1704067200000).alias("timestampMs")))
+        req = req.select("file_time", "file_path", body.alias("body"), F.lit("2024-01-01").cast("timestamp_ntz").alias("received_at"))
+        publish_batch(req, batch, f"{root}/topic-{total}", f"{root}/dead", arrivals=f"{root}/arrivals")
+        got = decode_binary(read_topic(spark, f"{root}/topic-{total}")).select("offset", "event_id").collect()
+        first = {0: 0, 1: 40, 1 << 40: 80}[batch]
+        assert {r.event_id: r.offset for r in got} == {f"{batch}-{i}": first + i for i in range(40)}
+        total += 1

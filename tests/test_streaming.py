@@ -15,7 +15,7 @@ from pulseline.streaming.windows import dedup_stream, stream_kpis
 
 def _staged(spark, sf_small):
     root = scratch_path(spark, "test-stream")
-    return root, S.stage(fx.topic_table(spark, sf_small), f"{root}/topic", S.record_segments())
+    return root, S.stage(fx.topic_table(spark, sf_small), f"{root}/topic", S.record_segments(spark, sf_small))
 
 
 def test_stream_equals_batch(spark, sf_small):
