@@ -1,22 +1,27 @@
 """Exact near-duplicate vectors by a metric range join (operator 9).
 
 Unit vectors with cosine >= c lie within r = sqrt(2 - 2c) of each other.
-Every vector belongs to the cell of its nearest pivot. A partner can only be
-in cells that the triangle inequality allows: no farther from that cell's
-pivot than the cell's radius plus r, and no nearer to the own pivot than 2r
-(on the sphere also: within r of the bisecting hyperplane). A vector is
-copied to exactly those cells, cells are cut into blocks of bounded size, and
-every pair of blocks is compared on its own, in double precision.
-
-Vectors within r/2 of their pivot are all linked with each other by the
-triangle inequality, without a comparison; equal vectors are one row with a
-weight. So groups of copies and near copies cost linear work, however large.
-Only counts and a spanning forest leave a task, never pairs.
-
-Defined results: a vector that is null, empty, zero, or holds a null or
-non-finite component links with nothing and is its own component, like a row
-without id. Vectors of different length do not link. Rows that repeat an id
-count as vectors of their own.
+Pivots are vectors of a sample that have others within r. A vector within r of
+a pivot belongs to the cell of its nearest one; cells so tight are far apart
+unless they touch. All others, in no dense region, form the rest. Cells join
+independently: a cell's members meet each other, and the vectors from outside
+that can have a partner in it. By the triangle inequality those are no farther
+from the pivot than the cell's radius plus r; that is the boundary that is
+replicated, and of two cells only the later one sends its vectors over. So a
+tight group meets itself and what lies around it, nothing else. The rest meets
+itself, in blocks, as pivots cannot tell vectors without near ones apart.
+
+Cells and the rest are cut into blocks of bounded size, and a pair of blocks
+is a task. Members within r/2 of their pivot, the core, are all linked with
+each other by the triangle inequality, without a comparison; equal vectors are
+one row with a weight. So groups of copies and near copies cost linear work,
+however large. Pairs are compared in double precision, tile by tile, and only
+counts and a spanning forest leave a task: memory is linear in the block.
+
+Ids are integers (a text id fails the cast). Defined results: a vector that is
+null, empty, zero, or holds a null or non-finite component links with nothing
+and is its own component, like a row without id. Vectors of different length
+do not link. Rows that repeat an id count as vectors of their own.
 """
 
 from __future__ import annotations
@@ -33,9 +38,12 @@ from pulseline.llm.components import connected_components
 
 COSINE = 0.9
 # vectors that pivots are picked from, pivots, and vectors in a block, at most
-SAMPLE = 4_096
-PIVOTS = 256
+SAMPLE = 8_192
+PIVOTS = 4_096
 BLOCK = 8_192
+# and at least, as long as there are fewer than so many blocks
+LEAST_BLOCK, TASKS = 1_024, 16
+COMPONENTS = 1 << 20   # components that a sample (or the pivots) may have in all
 TILE = 512
 MARGIN = 1e-9  # keeps rounding on the safe side of every bound
 
@@ -47,20 +55,30 @@ def _units(data: list[bytes], dtype: str) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def pick_pivots(units: np.ndarray, count: int, apart: float) -> np.ndarray:
-    """The first ``count`` rows that are more than ``apart`` from all picked before."""
-    chosen = np.zeros((0, units.shape[1]))
-    for x in units:
-        if len(chosen) == count:
+def pick_pivots(units: np.ndarray, count: int, near: float) -> np.ndarray:
+    """At most ``count`` rows more than ``near`` apart, those with most others within ``near`` first.
+
+    Rows with no other one that close are none.
+    """
+    least = 1 - near * near / 2
+    around = np.zeros(len(units), np.int64)
+    for at in range(0, len(units), TILE):
+        around[at:at + TILE] = (units[at:at + TILE] @ units.T >= least).sum(1)
+    order = np.argsort(-around, kind="stable")
+    chosen = np.zeros((count, units.shape[1]))
+    n = 0
+    for x in units[order[around[order] > 1]]:
+        if n == count:
             break
-        if not len(chosen) or (2 - 2 * (chosen @ x)).min() > apart * apart:
-            chosen = np.concatenate([chosen, x[None]])
-    return chosen
+        if not n or (chosen[:n] @ x).max() < least:
+            chosen[n] = x
+            n += 1
+    return chosen[:n]
 
 
 class Cells:
-    """Pivots by vector length. Cell ids of a length: two per pivot, the core
-    (within r/2) and the rest; one cell for a length without pivots."""
+    """Pivots by vector length. Part ids of a length: two per pivot, the core
+    (within r/2) and the shell (within r), and a negative one for the rest."""
 
     def __init__(self, pivots: dict[int, np.ndarray], radius: float):
         self.pivots, self.radius, self.base = pivots, radius, {}
@@ -74,75 +92,106 @@ class Cells:
         return np.sqrt(np.maximum(2 - 2 * (units @ p.T), 0))
 
     def assign(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Cell and distance to its pivot of every row."""
+        """Part and distance to its pivot of every row."""
         dim = units.shape[1]
-        if dim not in self.base:
-            return np.full(len(units), -dim), np.full(len(units), 4.0)
-        d = self.distances(units)
-        near = d.argmin(1)
-        far = d[np.arange(len(d)), near]
-        return self.base[dim] + 2 * near + (far > self.radius / 2 - MARGIN), far
+        part, far = np.full(len(units), -dim), np.full(len(units), 2.0)
+        if len(self.pivots.get(dim, ())):
+            for at in range(0, len(units), TILE):
+                d = self.distances(units[at:at + TILE])
+                near = d.argmin(1)
+                least = d[np.arange(len(d)), near]
+                inside = least <= self.radius
+                place = self.base[dim] + 2 * near + (least > self.radius / 2 - MARGIN)
+                part[at:at + TILE][inside], far[at:at + TILE][inside] = place[inside], least[inside]
+        return part, far
 
 
 class Blocks:
-    """Blocks of the cells, and which of them a vector can have partners in."""
+    """Blocks of the parts, and which parts of other cells a vector must visit."""
 
     def __init__(self, cells: Cells, stats: dict[int, tuple[int, float]], block: int):
         self.cells, self.count, self.first, self.reach, at = cells, {}, {}, {}, 0
-        for cell in sorted(stats):
-            rows, radius = stats[cell]
-            self.count[cell], self.first[cell] = -(-rows // block), at
-            self.reach[cell] = radius + cells.radius + MARGIN
-            at += self.count[cell]
+        for part in sorted(stats):
+            rows, radius = stats[part]
+            self.count[part], self.first[part] = -(-rows // block), at
+            self.reach[part] = radius + cells.radius + MARGIN
+            at += self.count[part]
 
-    def own(self, cell: int, rep: np.ndarray) -> np.ndarray:
+    def own(self, part: int, rep: np.ndarray) -> np.ndarray:
         spread = (rep.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-        return self.first[cell] + (spread % np.uint64(self.count[cell])).astype(np.int64)
+        return self.first[part] + (spread % np.uint64(self.count[part])).astype(np.int64)
 
-    def targets(self, units: np.ndarray, cell: int) -> list[tuple[int, np.ndarray]]:
-        """Cells with possible partners of rows of one ``cell``: (cell, row mask)."""
+    def visits(self, units: np.ndarray, part: int) -> list[tuple[int, np.ndarray]]:
+        """Parts that rows of one ``part`` visit: (part, places of the rows).
+
+        A shell visits its own core. Of two cells the later one visits, and
+        the rest visits all cells.
+        """
         dim = units.shape[1]
-        every = np.ones(len(units), bool)
-        if cell < 0:
-            return [(cell, every)]
-        d, base, r = self.cells.distances(units), self.cells.base[dim], self.cells.radius + MARGIN
-        pivots, own = self.cells.pivots[dim], (cell - base) // 2
-        out = []
-        for other in self.first:
-            if not base <= other < base + 2 * len(pivots):
-                continue
-            g = (other - base) // 2
-            if other == cell:
-                if (cell - base) % 2:      # the core needs no comparison
-                    out.append((cell, every))
-                continue
-            hit = d[:, g] <= self.reach[other]
-            if g != own:
-                hit &= d[:, g] - d[:, own] <= 2 * r
-                between = math.sqrt(max(2 - 2 * float(pivots[g] @ pivots[own]), 0))
-                hit &= d[:, g] ** 2 - d[:, own] ** 2 <= 2 * between * r
-            if hit.any():
-                out.append((other, hit))
+        if not len(self.cells.pivots.get(dim, ())):
+            return []
+        base, out = self.cells.base[dim], []
+        last = len(self.cells.pivots[dim]) if part < 0 else (part - base) // 2
+        d = self.cells.distances(units)[:, :last]
+        near, far = np.nonzero(d <= 2 * self.cells.radius + MARGIN)
+        for g in np.unique(far).tolist():
+            rows = near[far == g]
+            for host in (base + 2 * g, base + 2 * g + 1):
+                if host in self.first:
+                    pick = rows[d[rows, g] <= self.reach[host]]
+                    if len(pick):
+                        out.append((host, pick))
+        if part >= 0 and (part - base) % 2 and part - 1 in self.first:
+            out.append((part - 1, np.arange(len(units))))
         return out
 
 
-def _forest(links: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Smallest id that each node reaches (symmetric boolean matrix)."""
-    label = ids.copy()
-    big = np.iinfo(np.int64).max
-    while True:
-        new = np.minimum(label, np.where(links, label[None, :], big).min(1))
-        if (new == label).all():
-            return label
-        label = new
-
-
-def compare(left: np.ndarray, right: np.ndarray, cosine: float) -> np.ndarray:
-    """Boolean matrix of linked pairs of unit rows."""
-    out = np.empty((len(left), len(right)), bool)
+class Links:
+    """Links between two blocks (or inside one), met tile by tile: counts and groups, no pairs."""
+
+    def __init__(self, left: int, right: int, same: bool):
+        self.same, self.shift = same, 0 if same else left
+        self.parent = np.arange(left + (0 if same else right))
+
+    def _roots(self, nodes: np.ndarray) -> np.ndarray:
+        up = self.parent[nodes]
+        while (self.parent[up] != up).any():
+            up = self.parent[up]
+        return up
+
+    def add(self, at: int, hit: np.ndarray) -> None:
+        """The links of a tile of left rows from ``at`` on."""
+        for i in np.flatnonzero(hit.any(1)).tolist():
+            nodes = np.append(np.flatnonzero(hit[i]) + self.shift, at + i)
+            roots = self._roots(nodes)
+            least = roots.min()
+            if (roots != least).any():
+                self.parent[roots] = least
+                self.parent[nodes] = least
+
+    def heads(self, ids: np.ndarray) -> np.ndarray:
+        """Smallest id of each node's group."""
+        root = self._roots(np.arange(len(self.parent)))
+        least = np.full(len(root), np.iinfo(np.int64).max)
+        np.minimum.at(least, root, ids)
+        return least[root]
+
+
+def meet(left: np.ndarray, right: np.ndarray, w_left: np.ndarray, w_right: np.ndarray, same: bool,
+         cosine: float) -> tuple[np.ndarray, Links]:
+    """Weighted links of every left row (and, unless ``same``, every right row), and the groups."""
+    n_left, n_right = np.zeros(len(left)), np.zeros(len(right))
+    links = Links(len(left), len(right), same)
     for at in range(0, len(left), TILE):
-        out[at:at + TILE] = left[at:at + TILE] @ right.T >= cosine
-    return out
+        hit = left[at:at + TILE] @ right.T >= cosine
+        if same:
+            hit[np.arange(len(hit)), at + np.arange(len(hit))] = False
+        if hit.any():
+            as_number = hit.astype(float)
+            n_left[at:at + TILE] = as_number @ w_right
+            n_right += w_left[at:at + TILE] @ as_number
+            links.add(at, hit)
+    return (n_left if same else np.concatenate([n_left, n_right])).astype(np.int64), links
 
 
 def _valid(vector: Column) -> Column:
@@ -164,15 +213,13 @@ def near_duplicate_vectors(df: DataFrame, key: str = "vec_id", vector: str = "em
     marks = rows.select("vec_id", "ok", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"))
     classes = staged(marks.filter("ok").groupBy("h1", "h2")
                           .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("w"), F.any_value("v").alias("v")), "vectors")
-    total = classes.count()
-    count = min(pivots, max(1, round(math.sqrt(total) / 14)))
-    size = min(block, max(256, -(-total // count)))
-
-    sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("v").toArrow().column("v").to_pylist()
+    width = classes.agg(F.max(F.size("v"))).first()[0] or 1
+    rows = max(2, min(SAMPLE, COMPONENTS // width))
+    sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(rows).select("v").toArrow().column("v").to_pylist()
     lengths: dict[int, list[bytes]] = {}
     for v in sample:
         lengths.setdefault(len(v), []).append(np.array(v, dtype).tobytes())
-    cells = Cells({n: pick_pivots(_units(v, dtype), count, radius / 2) for n, v in lengths.items()}, radius)
+    cells = Cells({n: pick_pivots(_units(v, dtype), min(pivots, rows), radius) for n, v in lengths.items()}, radius)
 
     def assign(batches):
         for batch in batches:
@@ -190,53 +237,69 @@ def near_duplicate_vectors(df: DataFrame, key: str = "vec_id", vector: str = "em
         assign, "rep long, w long, cell long, far double, data binary"), "cells")
     stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far"),
                                        F.sum("w").alias("w"), F.min("rep").alias("head")).collect()
-    blocks = Blocks(cells, {s.cell: (s.n, s.far) for s in stats}, size)
+    blocks = Blocks(cells, {s.cell: (s.n, s.far) for s in stats},
+                    min(block, max(LEAST_BLOCK, sum(s.n for s in stats) // TASKS)))
 
-    def copy(batches):
+    def send(batches):
+        """Rows to the blocks they visit, the earlier blocks of their own part among them."""
         for batch in batches:
-            rep, w = batch.column("rep").to_numpy(), batch.column("w").to_numpy()
-            cell, data = batch.column("cell").to_numpy(), batch.column("data")
+            rep, cell = batch.column("rep").to_numpy(), batch.column("cell").to_numpy()
             for c in np.unique(cell).tolist():
                 at = np.flatnonzero(cell == c)
-                units = _units(data.take(pa.array(at)).to_pylist(), dtype)
                 own = blocks.own(c, rep[at])
-                for other, hit in blocks.targets(units, c):
-                    pick = np.flatnonzero(hit)
-                    for target in range(blocks.first[other], blocks.first[other] + blocks.count[other]):
-                        lo, hi = np.minimum(own[pick], target), np.maximum(own[pick], target)
-                        src = at[pick]
+                targets = [(t, pick) for host, pick in blocks.visits(_units(batch.column("data").take(pa.array(at)).to_pylist(), dtype), c)
+                           for t in range(blocks.first[host], blocks.first[host] + blocks.count[host])]
+                if not _is_core(cells, c):
+                    targets += [(t, np.flatnonzero(own > t)) for t in range(blocks.first[c], blocks.first[c] + blocks.count[c])]
+                for t, pick in targets:
+                    if len(pick):
+                        src = pa.array(at[pick])
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(lo), pa.array(hi), pa.array(own[pick]), pa.array(rep[src]), pa.array(w[src]),
-                             data.take(pa.array(src))], names=["lo", "hi", "own", "rep", "w", "data"])
+                            [pa.array(np.full(len(pick), t)), pa.array(own[pick]), pa.array(np.ones(len(pick), bool)),
+                             *[batch.column(x).take(src) for x in ("rep", "w", "data")]],
+                            names=["host", "guest", "visits", "rep", "w", "data"])
+
+    def home(batches):
+        """Every row with its own block."""
+        for batch in batches:
+            rep, cell = batch.column("rep").to_numpy(), batch.column("cell").to_numpy()
+            own = np.zeros(len(rep), np.int64)
+            for c in np.unique(cell).tolist():
+                at = np.flatnonzero(cell == c)
+                own[at] = blocks.own(c, rep[at])
+            core = np.array([_is_core(cells, c) for c in cell.tolist()], bool)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own), pa.array(core), *[batch.column(x) for x in ("rep", "w", "data")]],
+                names=["host", "core", "rep", "w", "data"])
 
     def join(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        own, lo, hi = (group.column(c).to_numpy() for c in ("own", "lo", "hi"))
-        rep, w = group.column("rep").to_numpy(), group.column("w").to_numpy()
+        rep, w = group.column("rep").to_numpy(), group.column("w").to_numpy().astype(float)
+        visits = group.column("visits").to_numpy(zero_copy_only=False)
         units = _units(group.column("data").to_pylist(), dtype)
-        a = np.flatnonzero(own == lo)
-        b = np.flatnonzero(own == hi)
-        links = compare(units[a], units[b], cosine) if len(a) and len(b) else np.zeros((len(a), len(b)), bool)
-        if lo[0] == hi[0]:
-            np.fill_diagonal(links, False)
-            n = links @ w[b]
-            some = np.flatnonzero(n)
-            ids, n = rep[a][some], n[some]
-            head = _forest(links[np.ix_(some, some)], ids) if len(some) else ids
+        a, b = np.flatnonzero(~visits), np.flatnonzero(visits)
+        if group.column("host")[0].as_py() == group.column("guest")[0].as_py():
+            n, links = meet(units, units, w, w, True, cosine)
+            ids = rep
         else:
-            na, nb = links @ w[b], links.T @ w[a]
-            i, j = np.flatnonzero(na), np.flatnonzero(nb)
-            ids, n = np.concatenate([rep[a][i], rep[b][j]]), np.concatenate([na[i], nb[j]])
-            both = np.zeros((len(ids), len(ids)), bool)
-            both[:len(i), len(i):] = links[np.ix_(i, j)]
-            head = _forest(both | both.T, ids) if len(ids) else ids
-        return pa.table({"rep": pa.array(ids, pa.int64()), "n": pa.array(n, pa.int64()), "head": pa.array(head, pa.int64())})
-
-    copies = placed.mapInArrow(copy, "lo long, hi long, own long, rep long, w long, data binary")
-    found = staged(copies.groupBy("lo", "hi").applyInArrow(join, "rep long, n long, head long"), "found")
+            n, links = meet(units[a], units[b], w[a], w[b], False, cosine)
+            ids = np.concatenate([rep[a], rep[b]])
+        some, head = np.flatnonzero(n), links.heads(ids)
+        return pa.table({"rep": pa.array(ids[some], pa.int64()), "n": pa.array(n[some], pa.int64()),
+                         "head": pa.array(head[some], pa.int64())})
+
+    row = "rep long, w long, data binary"
+    sent = staged(placed.mapInArrow(send, f"host long, guest long, visits boolean, {row}"), "visits")
+    homes = placed.mapInArrow(home, f"host long, core boolean, {row}")
+    columns = ["host", "guest", "visits", "rep", "w", "data"]
+    pairs = sent.select("host", "guest").distinct()
+    inside = homes.filter(~F.col("core")).withColumn("guest", F.col("host")).withColumn("visits", F.lit(False))
+    hosts = homes.join(pairs, "host").withColumn("visits", F.lit(False))
+    copies = sent.select(*columns).unionByName(hosts.select(*columns)).unionByName(inside.select(*columns))
+    found = staged(copies.groupBy("host", "guest").applyInArrow(join, "rep long, n long, head long"), "found")
 
     spark = df.sparkSession
-    core = [(s.cell, s.w, s.head) for s in stats if s.cell >= 0 and _is_core(cells, s.cell)]
+    core = [(s.cell, s.w, s.head) for s in stats if _is_core(cells, s.cell)]
     cores = F.broadcast(spark.createDataFrame(core, "cell long, core_w long, core_head long"))  # two rows per pivot at most
     dense = placed.select("rep", "w", "cell").join(cores, "cell")
     counts = (found.select("rep", "n").unionByName(dense.select("rep", (F.col("core_w") - F.col("w")).alias("n")))
@@ -254,5 +317,7 @@ def near_duplicate_vectors(df: DataFrame, key: str = "vec_id", vector: str = "em
 
 
 def _is_core(cells: Cells, cell: int) -> bool:
+    if cell < 0:
+        return False
     base = max(b for b in cells.base.values() if b <= cell)
     return (cell - base) % 2 == 0
