@@ -21,6 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulseline.llm.common import staged
 from pulseline.llm.textstats import COUNTS, text_counts
 
 # labelled documents the rules are learned from, at most
@@ -170,7 +171,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> D
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> list[Rule]:
     """Learn the rules from a bounded sample of labelled documents that pass the base rule."""
     narrow = docs.select("doc_id", "text")
-    found = labelled_sample(narrow, labels, rows).select("doc_id", "quality", text_counts(F.col("text").cast("string")).alias("c"))
+    # written first, so that only these texts are counted, and once
+    labelled = staged(labelled_sample(narrow, labels, rows), "labelled")
+    found = labelled.select("doc_id", "quality", text_counts(F.col("text").cast("string")).alias("c"))
     found = found.select("doc_id", "quality", "c.*").filter(~base_failed())
     sample = (found.select("doc_id", "quality", *[F.expr(sql).alias(name) for name, sql in FEATURES.items()])
                    .orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(rows).toPandas())
