@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseline.llm.common import staged
+from pulseline.llm.common import join_counted, staged
 
 MAX_ROUNDS = 60
 
@@ -17,7 +17,8 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
     larger neighbours of a node on its smallest one, a small star hangs all
     smaller neighbours there (Kiveris et al., 2014); after a number of rounds
     that is logarithmic in the longest path the links are stars around the
-    smallest nodes. Every round is written to the shared folder.
+    smallest nodes. Every round is written to the shared folder. The neighbours
+    of a node with very many of them stay where they are (``join_counted``).
     """
     a, b = links.columns
     # the larger end first
@@ -25,13 +26,13 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
                   .filter("u > v").distinct())
     edges, before = staged(edges, name), None
     for _ in range(MAX_ROUNDS):
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31)))).first()
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before or not now[0]:
             break
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(least, "u").filter("v > u")
+        least = staged(both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("degree")), name)
+        large = (join_counted(both, least, ["u"], "degree", 2 * now[0]).filter("v > u")
                      .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(small, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -13,7 +13,10 @@ members already connected need no comparison with each other, so later only
 members of different components remain. Small buckets pair those; in large ones
 the members outside the largest component are compared with all others block
 by block, and only links leave a task. So no bucket is expanded into all its
-pairs, however many copies it holds, and no bucket is capped.
+pairs, however many copies it holds, and no bucket is capped. Whatever the size
+of a bucket, pairs with its smallest member pass the estimate before they are
+confirmed, and all later pairs are compared exactly. Members of a bucket that
+holds a share of all rows are not moved to one task (``join_counted``).
 
 Defined results: a text without words (or null) has an empty set, size 0, and
 links with nothing. A row without id links with nothing, its component is
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseline.llm.common import arrow_udf, mix64, row_slices, staged, text_bytes
+from pulseline.llm.common import arrow_udf, join_counted, mix64, row_slices, staged, text_bytes
 from pulseline.llm.components import connected_components
 from pulseline.llm.textstats import _LOWER, SLICE, word_bounds, word_hashes
 
@@ -39,7 +42,8 @@ SMALL = 32               # members of a bucket whose components are simply paire
 BLOCK = 1_024            # members of a larger bucket compared at once, about,
 BLOCK_ITEMS = 1 << 21    # and items of theirs
 COLUMNS = 4_096          # items counted at once
-FILTER_BITS = 1 << 23    # bits of the filter of candidate ids (1 MB)
+ID_BITS = 16             # bits of the filter of candidate ids for each of them,
+FILTER_BITS = 1 << 26    # and in all, at most (8 MB)
 
 
 @dataclass(frozen=True)
@@ -212,38 +216,44 @@ def _shared():
     return arrow_udf(run, "long")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
-    """The pairs (``a, b``) whose similarity holds on the full sets."""
+def _estimated(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """The pairs (``a, b``) that the registers leave possible."""
     side = lambda s, *cols: sets.select(F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in cols])
-    near = (pairs.join(side("a", "n", "registers"), "a").join(side("b", "n", "registers"), "b")
+    return (pairs.join(side("a", "n", "registers"), "a").join(side("b", "n", "registers"), "b")
                  .filter(100 * F.least("n_a", "n_b") >= p.percent * F.greatest("n_a", "n_b"))
                  .filter(_similar(p)("registers_a", "registers_b", "n_a", "n_b"))
                  .select("a", "b"))
-    full = (near.join(side("a", "n", "items"), "a").join(side("b", "n", "items"), "b")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """The pairs (``a, b``) whose similarity holds on the full sets."""
+    side = lambda s, *cols: sets.select(F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in cols])
+    full = (pairs.join(side("a", "n", "items"), "a").join(side("b", "n", "items"), "b")
                 .withColumn("both", _shared()("items_a", "items_b")))
     return full.filter(100 * F.col("both") >= p.percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
 
 
-def _id_bits(ids: DataFrame, column: str) -> np.ndarray:
-    """A Bloom filter of the ids in 64-bit words: ``FILTER_BITS`` bits, however many ids there are."""
+def _id_bits(ids: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A Bloom filter of the ids in 64-bit words: ``bits`` bits, a power of two."""
     h = F.xxhash64(column)
-    spots = F.array(*[F.shiftright(h, 20 * k).bitwiseAND(FILTER_BITS - 1) for k in range(3)])
+    spots = F.array(*[F.shiftright(h, 20 * k).bitwiseAND(bits - 1) for k in range(3)])
     words = (ids.select(F.explode(spots).alias("spot"))
                 .groupBy(F.shiftright("spot", 6).alias("word"))
                 .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("spot").bitwiseAND(63).cast("int"))).alias("bits"))
                 .toArrow())
-    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out = np.zeros(bits // 64, np.int64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out
 
 
 def _maybe_in(words: np.ndarray, column: str) -> Column:
     """False only for values that are not among the ids."""
+    bits = 64 * len(words)
 
     def run(hashes: pa.Array) -> pa.Array:
         found = np.ones(len(hashes), bool)
         for k in range(3):
-            spot = (hashes.to_numpy() >> (20 * k)) & (FILTER_BITS - 1)
+            spot = (hashes.to_numpy() >> (20 * k)) & (bits - 1)
             found &= ((words[spot >> 6] >> (spot & 63)) & 1).astype(bool)
         return pa.array(found)
 
@@ -253,9 +263,11 @@ def _maybe_in(words: np.ndarray, column: str) -> Column:
 def _sets_of(rows: DataFrame, members: DataFrame, p: Params) -> DataFrame:
     """Full set, its size and the registers of the documents in ``members``.
 
-    A Bloom filter of the ids spares most other texts the shuffle of the join.
+    A Bloom filter of the ids spares most other texts the shuffle of the join;
+    it is left out where they are too many for it to tell texts apart.
     """
-    some = rows.filter(_maybe_in(_id_bits(members, "rep"), "doc_id"))
+    bits = 1 << max(20, (ID_BITS * members.count()).bit_length())
+    some = rows.filter(_maybe_in(_id_bits(members, "rep", bits), "doc_id")) if bits <= FILTER_BITS else rows
     texts = (some.join(members, F.col("doc_id") == F.col("rep"), "left_semi")
                  .dropDuplicates(["doc_id", "text"]))  # repeated rows; already together
     return (texts.select(F.col("doc_id").alias("rep"), _full_sets(F.col("text"), p).alias("s"))
@@ -306,7 +318,7 @@ def _large_bucket_links(placed: DataFrame, sets: DataFrame, p: Params) -> DataFr
     guests. Guests meet guests and ground in blocks of about ``BLOCK`` rows or
     ``BLOCK_ITEMS`` items, whichever is reached first.
     """
-    placed = placed.join(sets.select("rep", "n"), "rep")
+    placed = staged(placed.join(sets.select("rep", "n"), "rep"), "large")
     per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("items"))
     blocks = lambda rows, items: F.ceil(F.greatest(rows / BLOCK, items / BLOCK_ITEMS))
     ground = per.groupBy("bucket").agg(
@@ -314,8 +326,8 @@ def _large_bucket_links(placed: DataFrame, sets: DataFrame, p: Params) -> DataFr
         F.sum("items").alias("items")).select(
         "bucket", F.col("top.component").alias("ground"),
         blocks(F.col("rows") - F.col("top.rows"), F.col("items") - F.col("top.items")).alias("guests"),
-        blocks(F.col("top.rows"), F.col("top.items")).alias("grounds"))
-    rows = placed.join(ground, "bucket").withColumn("guest", F.col("component") != F.col("ground"))
+        blocks(F.col("top.rows"), F.col("top.items")).alias("grounds"), "rows")
+    rows = join_counted(placed, staged(ground, "ground"), ["bucket"], "rows", placed.count()).withColumn("guest", F.col("component") != F.col("ground"))
     spread = F.xxhash64("rep")
     own = F.when(F.col("guest"), F.pmod(spread, F.col("guests"))).otherwise(F.pmod(spread, F.col("grounds")))
     rows = rows.withColumn("own", own)
@@ -362,23 +374,24 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), key: str = "doc_
     # one row per class and band; the classes come with the bands of any of their rows
     banded = (able.groupBy(*mark).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
                   .select("rep", F.explode("bands").alias("bucket")))
-    heads = (banded.groupBy("bucket").agg(F.min("rep").alias("head"), F.max("rep").alias("last"))
-                   .filter("head < last").select("bucket", "head"))
+    heads = staged(banded.groupBy("bucket").agg(F.min("rep").alias("head"), F.max("rep").alias("last"))
+                         .filter("head < last").select("bucket", "head"), "heads")
+    # both sides are plain rows of one key, so that a hot bucket can be split
     buckets = staged(banded.join(heads, "bucket"), "buckets")
 
     stars = staged(buckets.filter("head < rep").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
     members = stars.select(F.col("a").alias("rep")).unionByName(stars.select(F.col("b").alias("rep"))).distinct()
     sets = staged(_sets_of(rows, members, p), "sets")
 
-    links = staged(_confirmed(stars, sets, p), "links")
+    links = staged(_confirmed(_estimated(stars, sets, p), sets, p), "links")
     found = connected_components(links)
     # buckets whose members are not all connected yet
-    placed = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    open_ = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                          F.count(F.lit(1)).alias("size"))
-                   .filter("lo < hi").select("bucket", "size"))
-    placed = staged(placed.join(open_, "bucket"), "open")
+    placed = staged(buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "bucket", "rep", F.coalesce("component", "rep").alias("component")), "placed")
+    open_ = staged(placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                                F.count(F.lit(1)).alias("size"))
+                         .filter("lo < hi").select("bucket", "size"), "open")
+    placed = staged(join_counted(placed, open_, ["bucket"], "size", placed.count()), "members")
     small = placed.filter(F.col("size") <= SMALL)
     x = small.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"))
     y = small.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"))
@@ -395,3 +408,29 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), key: str = "doc_
     component = F.when(linked, F.col("group")).otherwise(F.col("doc_id"))
     return (out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
                .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def drop_copies(docs: DataFrame, params: Params = Params(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, all columns unchanged.
+
+    The row with the smallest id stays. Rows without id stay; of rows that
+    repeat both id and text one stays. Where ids repeat with different texts,
+    each of the texts is judged by itself.
+    """
+    named = docs.filter(F.col(key).isNotNull())
+    repeats = named.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not repeats.limit(1).count():
+        found = near_duplicates(docs, params, key, text).filter("not kept").select(F.col("doc_id").alias("__gone"))
+        gone = staged(found.distinct(), "copies")
+        return docs.join(gone, F.col(key).cast("long") == F.col("__gone"), "left_anti")
+    # (id, text) pairs become the nodes; the least pair of each group stays
+    node = F.xxhash64(F.col(key), F.col(text))
+    nodes = staged(named.select(F.col(key).cast("long").alias("__id"), node.alias("__node")).distinct(), "nodes")
+    found = near_duplicates(named.select(node.alias("doc_id"), F.col(text).alias("text")), params)
+    group = found.select(F.col("doc_id").alias("__node"), F.col("component_id").alias("__group")).distinct()
+    placed = staged(nodes.join(group, "__node"), "groups")
+    first = placed.groupBy("__group").agg(F.min(F.struct("__id", "__node")).alias("first"))
+    kept = staged(first.select("first.*"), "kept")
+    out = named.dropDuplicates([key, text]).join(
+        kept, (F.col(key).cast("long") == F.col("__id")) & (node == F.col("__node")), "left_semi")
+    return out.unionByName(docs.filter(F.col(key).isNull()))
