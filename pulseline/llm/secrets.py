@@ -68,13 +68,6 @@ def _all_marks(text: Column) -> Column:
     return F.concat(*[_marks(text, k) for k in (*KINDS, "block")])
 
 
-def _has_part(text: Column) -> Column:
-    out = F.lit(False)
-    for pattern, _, _ in PARTS.values():
-        out = out | F.regexp_like(text, F.lit(pattern))
-    return out
-
-
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per match in ``docs`` (which has a ``row_id``): ``row_id, kind, start, end, block``.
 
@@ -182,19 +175,23 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                         _joined(F.col("found")).alias("spans")))
 
 
-def mask_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
+def mask_secrets(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """``docs`` with every reported span replaced by ``[SECRET]``; all other columns unchanged.
 
-    Rows without any part pass straight through; only the others are written
-    once and joined with their spans.
+    A column named ``length`` follows where a text changed. The patterns run
+    once over every text, while the rows are written with what they found;
+    rows without any part then pass straight through, the others are joined
+    with their spans.
     """
     names = docs.columns
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    clean = docs.filter(~_has_part(content))
-    dirty = staged(docs.filter(_has_part(content)).select(
-        F.monotonically_increasing_id().alias("row_id"), F.struct("*").alias("row")), "dirty")
-    spans = staged(_grouped(link(scan(dirty.select("row_id", F.col(f"row.{text}").alias(text)), text))), "spans")
-    rows = dirty.join(spans, "row_id", "left")
+    marked = staged(docs.select(F.monotonically_increasing_id().alias("row_id"), F.struct("*").alias("row"),
+                                _all_marks(content).alias("marks")), "marked")
+    # blocks alone are no parts
+    has_part = F.exists("marks", lambda m: m["kind"] < len(KINDS))
+    dirty = marked.filter(has_part)
+    spans = staged(_grouped(link(_placed(dirty.select("row_id", "marks")))), "spans")
+    rows = dirty.select("row_id", "row").join(spans, "row_id", "left")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     old = F.col("row")[text]
 
@@ -206,6 +203,16 @@ def mask_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
 
     new = F.aggregate("found", start, cut,
                       lambda s: F.concat(s["out"], F.substring(old, (s["at"] + 1).cast("int"), F.length(old))))
-    rows = rows.select(F.when(F.col("found").isNull(), old).otherwise(new).alias("masked"), "row")
-    back = rows.select(*[F.col("masked") if n == text else F.col("row")[n] for n in names]).toDF(*names)
-    return clean.unionByName(back)
+    rows = rows.select(F.when(F.col("found").isNull(), old).otherwise(new).alias("masked"), "row",
+                       F.col("found").isNotNull().alias("changed"))
+
+    def column(name: str) -> Column:
+        if name == text:
+            return F.col("masked")
+        if name == length:
+            kind = docs.schema[name].dataType
+            return F.when(F.col("changed"), F.length("masked").cast(kind)).otherwise(F.col("row")[name])
+        return F.col("row")[name]
+
+    clean = marked.filter(~has_part).select("row.*").toDF(*names)
+    return clean.unionByName(rows.select(*[column(n) for n in names]).toDF(*names))

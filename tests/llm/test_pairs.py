@@ -163,6 +163,53 @@ def test_vector_links(spark, item, block):
     check_vectors(embedding_dedup.near_duplicate_vectors(df, block=block).collect(), vectors)
 
 
+def test_tight_groups_meet_only_what_is_near(spark, monkeypatch):
+    """Mixed vectors: half in tight groups, half in random directions."""
+    rng = np.random.default_rng(1)
+    n, dim = 6_000, 64
+    centres = rng.normal(size=(20, dim))
+    tight = centres / np.linalg.norm(centres, axis=1, keepdims=True)
+    x = np.concatenate([tight[np.arange(n // 2) % 20] + 0.02 * rng.normal(size=(n // 2, dim)), rng.normal(size=(n - n // 2, dim))])
+    sent = {}
+    real = embedding_dedup.staged
+    monkeypatch.setattr(embedding_dedup, "staged", lambda df, name: sent.setdefault(name, real(df, name)))
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    rows = embedding_dedup.near_duplicate_vectors(df, block=500).collect()
+    assert sum(r.n_links for r in rows) == 20 * 150 * 149 and sum(r.kept for r in rows) == 20 + n // 2
+    cells = {r.rep: r.cell for r in sent["cells"].collect()}
+    visits = sent["visits"].collect()
+    blocks = 20 + -(-n // 2 // 500)
+    grouped = [v for v in visits if cells[v.rep] >= 0]
+    assert sum(c >= 0 for c in cells.values()) == n // 2
+    assert len(grouped) < 0.05 * (n // 2) * blocks and len(visits) < 3.5 * n
+
+
+def test_two_full_blocks_need_memory_in_proportion(monkeypatch):
+    import tracemalloc
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1, 16)) + 0.02 * rng.normal(size=(2 * embedding_dedup.BLOCK, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    left, right = x[:embedding_dedup.BLOCK], x[embedding_dedup.BLOCK:]
+    w = np.ones(embedding_dedup.BLOCK)
+    tracemalloc.start()
+    n, links = embedding_dedup.meet(left, right, w, w, False, 0.9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (n == embedding_dedup.BLOCK).all() and (links.heads(np.arange(len(n))) == 0).all()
+    assert peak < 300e6
+
+
+def test_a_text_id_fails_instead_of_vanishing(spark):
+    from pulseline.llm import line_dedup, sharding
+    docs = spark.createDataFrame([("a-1", "some text")], "doc_id string, text string")
+    vectors = spark.createDataFrame([("a-1", [1.0, 0.0])], "vec_id string, embedding array<float>")
+    for run in (lambda: near_dedup.near_duplicates(docs), lambda: sharding.shard_manifest(docs).collect(),
+                lambda: line_dedup.drop_repeated_lines(docs).collect(),
+                lambda: embedding_dedup.near_duplicate_vectors(vectors).collect()):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            run()
+
+
 def test_vector_query(spark):
     vectors = {r.vec_id: list(r.embedding) for r in table(spark, SF, "embeddings").collect()}
     check_vectors(catalog.op9_embedding_links(spark, SF).collect(), vectors)
@@ -206,8 +253,8 @@ def test_bucket_paths_agree(spark, monkeypatch, small, block, items):
 
 def test_id_filter_has_no_false_negatives(spark):
     ids = spark.range(0, 200_000, 7).withColumnRenamed("id", "rep")
-    words = near_dedup._id_bits(ids, "rep")
+    words = near_dedup._id_bits(ids, "rep", 1 << 20)
     found = spark.range(200_000).filter(near_dedup._maybe_in(words, "id"))
     assert found.filter("id % 7 = 0").count() == ids.count()
     assert found.count() < 1.01 * ids.count()
-    assert not near_dedup._id_bits(ids.limit(0), "rep").any()
+    assert not near_dedup._id_bits(ids.limit(0), "rep", 1 << 20).any()

@@ -61,5 +61,13 @@ def test_odd_rows(spark):
     assert out.columns == docs.columns
     assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "4", "5", "None", "None"]
     assert corpus_pipeline.without_secrets(spark, docs, SF).count() == len(rows)
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    mixed = [(3, a), (5, a), (5, b), (9, c), (7, None), (7, ""), (5, b), (None, a), (11, c + " more"), (2, "d e")]
+    docs = spark.createDataFrame(mixed, "doc_id long, text string")
+    out = [tuple(r) for r in corpus_pipeline.without_copies(spark, docs, SF).collect()]
+    assert sorted(out, key=str) == sorted([(3, a), (5, b), (9, c), (7, None), (7, ""), (None, a), (2, "d e")], key=str)
+    docs = spark.createDataFrame([(3, a), (5, a), (9, c), (None, a)], "doc_id long, text string")
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.without_copies(spark, docs, SF).collect()) == ["3", "9", "None"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0
