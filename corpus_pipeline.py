@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pulseline.llm import near_dedup, packing, quality_classifier, quality_rules, secrets
 from pulseline.llm.common import staged, table
@@ -31,28 +30,13 @@ def by_score(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word shingles.
-
-    Rows without id stay. Of rows that repeat both id and text one stays.
-    """
-    found = near_dedup.near_duplicates(docs, near_dedup.Params(words=5))
-    out = docs.join(staged(found.filter("not kept").select("doc_id").distinct(), "copies"), "doc_id", "left_anti")
-    out = out.select(*docs.columns)
-    repeats = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if repeats.limit(1).count():
-        out = (out.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
-                  .unionByName(out.filter("doc_id is null")))
-    return out
+    """One document of each group that shares four fifths of its five-word shingles."""
+    return near_dedup.drop_copies(docs, near_dedup.Params(words=5))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked; ``n_chars`` follows where a text changed."""
-    out = secrets.mask_secrets(docs)
-    if "n_chars" in docs.columns:
-        changed = F.contains(F.col("text"), F.lit(secrets.MASK))
-        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out
+    return secrets.mask_secrets(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
