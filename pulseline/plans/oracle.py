@@ -401,3 +401,16 @@ SELECT event_id, session_id, client_id, content_id, ts, video_start_time_ms, pla
 ORACLE["save_one_event"] = f"""WITH {H}
 SELECT {HB_COLS} FROM h WHERE ts < {moment(STORED_BEFORE)}
 UNION SELECT {HB_COLS} FROM h WHERE arrival_seq = (SELECT max(event_id) FROM events)"""
+
+ORACLE["stream_latency_quantiles"] = f"""WITH {H},
+  l AS (SELECT date_trunc('day', ts) AS period_start, CAST(round(video_start_time_ms * 1000000) AS BIGINT) AS v FROM h),
+  b AS (SELECT period_start, (v >> greatest(length(bin(v)) - 8, 0)) << greatest(length(bin(v)) - 8, 0) AS low FROM l),
+  r AS (SELECT *, row_number() OVER (PARTITION BY period_start ORDER BY low) AS rn,
+    count(*) OVER (PARTITION BY period_start) AS requests FROM b)
+SELECT period_start, requests, min(low) FILTER (WHERE rn * 100 >= requests * 50) AS p50_ns,
+  min(low) FILTER (WHERE rn * 100 >= requests * 95) AS p95_ns, min(low) FILTER (WHERE rn * 100 >= requests * 99) AS p99_ns
+FROM r GROUP BY 1, 2"""
+
+ORACLE["batch_ledger"] = f"""WITH {H}, {T}
+SELECT count(*) AS consumed, count(*) FILTER (WHERE fault_key NOT IN (4, 11)) AS ok,
+  count(*) FILTER (WHERE fault_key IN (4, 11)) AS dead_lettered FROM t"""

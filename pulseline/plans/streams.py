@@ -28,6 +28,8 @@ from pulseline.sources.topic import heartbeat_stream, read_topic
 from pulseline.sources.topic_log import MAX_RECORDS, append_log, drain, log_stream
 from pulseline.streaming.id_index import IdIndex
 from pulseline.streaming.late import WindowLayout, fold_late, run_windows, window_kpis
+from pulseline.streaming.latency import latency_quantiles, read_parts, run_latency
+from pulseline.streaming.ledger import BatchLedger, read_ledger
 from pulseline.streaming.processor import Layout, process_batch, run_stream
 from pulseline.streaming.publish import publish_job
 from pulseline.streaming.replay import recover_dead_letters, replay
@@ -226,6 +228,31 @@ def q_indexed_lookup(spark, sf_dir) -> DataFrame:
     return probe.join(found, "event_id", "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
 
 
+def q_stream_latency_quantiles(spark, sf_dir) -> DataFrame:
+    """Daily latency percentiles rolled up from the parts of several micro-batches (AGG-13, AGG-17)."""
+    root = scratch_path(spark, "latency")
+    log = fx.latency_log(fx.heartbeats(spark, sf_dir))
+    log.repartition(SHUFFLED_FILES, F.xxhash64("request_id")).write.parquet(f"{root}/log")
+    stream = (spark.readStream.schema(log.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(f"{root}/log"))
+    run_latency(stream, f"{root}/parts", f"{root}/_checkpoint").awaitTermination()
+    return latency_quantiles(read_parts(spark, f"{root}/parts"))
+
+
+def q_batch_ledger(spark, sf_dir) -> DataFrame:
+    """Counts of an ingest run, summed over its ledger of micro-batches (AGG-10, AGG-19)."""
+    root = scratch_path(spark, "ledger")
+    src = stage(fx.topic_table(spark, sf_dir), f"{root}/topic", record_segments(spark, sf_dir))
+    ledger = BatchLedger(spark, f"{root}/ledger")
+    spark.streams.addListener(ledger)
+    try:
+        query = run_stream(_topic_stream(spark, src), Layout(f"{root}/out"))
+        query.awaitTermination()
+        ledger.settle(query)
+    finally:
+        spark.streams.removeListener(ledger)
+    return read_ledger(spark, f"{root}/ledger").agg(*[F.sum(c).alias(c) for c in ("consumed", "ok", "dead_lettered")])
+
+
 def q_empty_batches(spark, sf_dir) -> DataFrame:
     """Rows written by an empty micro-batch, one with all records, and another empty one (FLT-9)."""
     layout = Layout(scratch_path(spark, "empty-batches"))
@@ -354,6 +381,8 @@ STREAM_QUERIES = {
     "stream_late_windows": q_stream_late_windows,
     "bounded_ingest": q_bounded_ingest,
     "indexed_lookup": q_indexed_lookup,
+    "stream_latency_quantiles": q_stream_latency_quantiles,
+    "batch_ledger": q_batch_ledger,
     "empty_batches": q_empty_batches,
     "widened_events": q_widened_events,
     "replay_backlog": q_replay_backlog,
