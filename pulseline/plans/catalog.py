@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pulseline.functions.codec import decode_binary, split_decoded
 from pulseline.operators import backlog as bl
-from pulseline.operators import dedup, kpi, partitioning, quarantine, reports
+from pulseline.operators import dedup, kpi, partitioning, quarantine, reports, series
 from pulseline.plans import fixtures as fx
 from pulseline.plans.streams import STREAM_QUERIES
 from pulseline.schemas import HEARTBEAT_COLUMNS
@@ -174,6 +174,28 @@ def q_throughput_compare(spark, sf_dir):
     return _round(out, {"ingested_per_s": ROUND["rate"], "consumed_per_s": ROUND["rate"]})
 
 
+def q_throughput_series(spark, sf_dir):
+    """Ingested and consumed events per second over the last minute, every 15 seconds, zeros included."""
+    accepted, _ = quarantine.split_valid(_json_decoded(spark, sf_dir))
+    ingested = accepted.select(F.col("received_at").alias("ts"), F.lit(True).alias("ingested"))
+    consumed = fx.topic_timestamps(_hb(spark, sf_dir)).select(F.col("timestamp").alias("ts"), F.lit(False).alias("ingested"))
+    counts = {"ingested": F.col("ingested"), "consumed": ~F.col("ingested")}
+    out = series.rate_series(ingested.unionByName(consumed), counts)
+    return _round(out, {"ingested_per_s": ROUND["rate"], "consumed_per_s": ROUND["rate"]})
+
+
+def q_kpi_series(spark, sf_dir):
+    """KPI gauges of every minute; minutes without events show the last ones."""
+    # a minute holds few events, so ratios can end on a rounding tie
+    out = series.kpi_series(_hb(spark, sf_dir))
+    return _round(out.withColumn("rebuffering_ratio", F.col("rebuffering_ratio") + F.lit(fx.TIE_SHIFT)), KPI_ROUNDING)
+
+
+def q_counter_increase(spark, sf_dir):
+    """Hourly increase of a counter sampled from three processes that restart daily."""
+    return series.counter_increase(fx.counter_samples(_hb(spark, sf_dir)), window="1 hour")
+
+
 def _log(spark, sf_dir):
     return fx.latency_log(_hb(spark, sf_dir))
 
@@ -244,6 +266,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingestion_rate": q_ingestion_rate,
     "ingestion_rate_sliding": q_ingestion_rate_sliding,
     "throughput_compare": q_throughput_compare,
+    "throughput_series": q_throughput_series,
+    "kpi_series": q_kpi_series,
+    "counter_increase": q_counter_increase,
     "latency_report": q_latency_report,
     "sla_breaches": q_sla_breaches,
     "sla_report": q_sla_report,

@@ -58,6 +58,7 @@ EPOCH = dt.datetime(1970, 1, 1)
 
 # Fixed values — replay copy and stored/new split.
 REDELIVERY_VST_DELTA = 1.0          # the copy carries a refreshed reading
+COUNTER_TICK = 10                   # seconds between two counts of a sampled counter
 # Moments as percent of the time from the first to the last event.
 BATCH_FROM = 30
 STORED_BEFORE = 50
@@ -210,6 +211,17 @@ def latency_log(hb: DataFrame) -> DataFrame:
         F.col("playback_failed").alias("error"))
 
 
+def counter_samples(hb: DataFrame) -> DataFrame:
+    """Readings of one counter per delivery network: every event is a sample.
+
+    A counter grows by one every ``COUNTER_TICK`` seconds and begins at 0 again
+    once a day, as its process restarts, each network at its own hour.
+    """
+    network = F.substring_index("cdn", "-", -1).cast("bigint")
+    since_restart = F.pmod(F.floor(F.col("timestamp_ms") / 1000) + network * 5 * 3600, F.lit(86_400))
+    return hb.select(F.col("cdn").alias("series"), "ts", F.floor(since_restart / COUNTER_TICK).cast("bigint").alias("value"))
+
+
 def outage_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events produced while the topic was unavailable (the outage period)."""
     since, until = (moment(spark, sf_dir, x) for x in OUTAGE)

@@ -9,7 +9,7 @@ shared with the Spark implementation except the fixed values.
 from __future__ import annotations
 
 from pulseline.functions.murmur import MURMUR_M, MURMUR_SEED
-from pulseline.plans.fixtures import BATCH_FROM, OUTAGE, ROUND, SECOND_OUTAGE, STORED_BEFORE, TIE_SHIFT
+from pulseline.plans.fixtures import BATCH_FROM, COUNTER_TICK, OUTAGE, ROUND, SECOND_OUTAGE, STORED_BEFORE, TIE_SHIFT
 
 MS, RATE, RATIO = ROUND["ms"], ROUND["rate"], ROUND["ratio"]
 
@@ -414,3 +414,39 @@ FROM r GROUP BY 1, 2"""
 ORACLE["batch_ledger"] = f"""WITH {H}, {T}
 SELECT count(*) AS consumed, count(*) FILTER (WHERE fault_key NOT IN (4, 11)) AS ok,
   count(*) FILTER (WHERE fault_key IN (4, 11)) AS dead_lettered FROM t"""
+
+ORACLE["throughput_series"] = f"""WITH {H},
+  u AS (SELECT ts, true AS ing FROM h WHERE fault_key NOT IN {REJECT_KEYS}
+        UNION ALL SELECT ts, false FROM h
+        UNION ALL SELECT ts, false FROM h),
+  w AS (SELECT {_floor15()} - to_seconds(unnest([0, 15, 30, 45])) AS ws, ing FROM u),
+  g AS (SELECT unnest(generate_series((SELECT min(ws) FROM w), (SELECT max(ws) FROM w), INTERVAL 15 SECOND)) AS ws),
+  a AS (SELECT ws, count(*) FILTER (WHERE ing) AS i, count(*) FILTER (WHERE NOT ing) AS c FROM w GROUP BY ws)
+SELECT g.ws AS window_start, g.ws + INTERVAL 1 MINUTE AS window_end,
+  coalesce(i, 0) AS ingested, coalesce(c, 0) AS consumed,
+  round(CAST(coalesce(i, 0) AS DOUBLE) / 60.0, {RATE}) AS ingested_per_s,
+  round(CAST(coalesce(c, 0) AS DOUBLE) / 60.0, {RATE}) AS consumed_per_s
+FROM g LEFT JOIN a USING (ws)"""
+
+ORACLE["kpi_series"] = f"""WITH {H},
+  k AS (SELECT date_trunc('minute', ts) AS m, avg(video_start_time_ms) AS vst,
+          CAST(count(*) FILTER (WHERE playback_failed) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS pfr,
+          CASE WHEN sum(playback_duration_ms) > 0 THEN sum(rebuffer_duration_ms) / sum(playback_duration_ms)
+               ELSE CAST(0 AS DOUBLE) END + {TIE_SHIFT!r} AS rr
+        FROM h GROUP BY 1),
+  g AS (SELECT unnest(generate_series((SELECT min(m) FROM k), (SELECT max(m) FROM k), INTERVAL 1 MINUTE)) AS m)
+SELECT m AS step_start,
+  round(last_value(vst IGNORE NULLS) OVER upto, {MS}) AS avg_vst_ms,
+  round(last_value(k.pfr IGNORE NULLS) OVER upto, {RATE}) AS pfr,
+  round(last_value(rr IGNORE NULLS) OVER upto, {RATIO}) AS rebuffering_ratio,
+  vst IS NOT NULL AS fresh
+FROM g LEFT JOIN k USING (m) WINDOW upto AS (ORDER BY m ROWS UNBOUNDED PRECEDING)"""
+
+ORACLE["counter_increase"] = f"""WITH {H},
+  s AS (SELECT cdn, ts, max(((timestamp_ms // 1000 + CAST(substr(cdn, 5) AS BIGINT) * 18000) % 86400) // {COUNTER_TICK}) AS v
+        FROM h GROUP BY cdn, ts),
+  d AS (SELECT *, lag(v) OVER (PARTITION BY cdn ORDER BY ts) AS p FROM s)
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+  CAST(sum(CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END) AS BIGINT) AS increase,
+  count(*) FILTER (WHERE v < p) AS resets, count(*) AS samples
+FROM d GROUP BY 1, 2"""
