@@ -63,12 +63,20 @@ def _replay(spark, args):
 
 def _recover(spark, args):
     from pulseline.streaming.processor import Layout
+    from pulseline.sources.events import read_dead_letters
     from pulseline.streaming.replay import recover_dead_letters
     layout = Layout(args.out)
-    dead = spark.read.parquet(args.dead_letters or layout.dead_letters)
+    dead = read_dead_letters(spark, args.dead_letters or layout.dead_letters)
     recover_dead_letters(dead, layout, args.run_id, args.retention_days).show(truncate=False)
 
 
+def _maintain(spark, args):
+    from pulseline.streaming.maintenance import maintain_layout
+    from pulseline.streaming.processor import Layout
+    maintain_layout(spark, Layout(args.out), args.retention_days, args.grace_seconds, args.merge_at,
+                    stopped=args.stopped)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="pulseline")
     sub = p.add_subparsers(dest="job", required=True)
@@ -110,13 +118,21 @@ def parser() -> argparse.ArgumentParser:
     rec.add_argument("--dead-letters", default=None, help="default: the folder under --out")
     rec.add_argument("--run-id", required=True)
     rec.add_argument("--retention-days", type=int, default=7)
+
+    mnt = sub.add_parser("maintain", help="merge batch folders, expire dead letters")
+    mnt.add_argument("--out", required=True)
+    mnt.add_argument("--retention-days", type=int, default=7)
+    mnt.add_argument("--grace-seconds", type=float, default=24 * 3600)
+    mnt.add_argument("--merge-at", type=int, default=16, help="settled folders that are merged")
+    mnt.add_argument("--stopped", action="store_true", help="no stream is running on these tables")
     return p
 
 
 def main(argv=None):
     args = parser().parse_args(argv)
     spark = get_spark(app=f"pulseline-{args.job}")
-    q = {"publish": _publish, "process": _process, "replay": _replay, "recover": _recover}[args.job](spark, args)
+    q = {"publish": _publish, "process": _process, "replay": _replay, "recover": _recover,
+         "maintain": _maintain}[args.job](spark, args)
     if q is not None and getattr(q, "isActive", False):
         q.awaitTermination()
     return q

@@ -450,3 +450,11 @@ SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL
   CAST(sum(CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END) AS BIGINT) AS increase,
   count(*) FILTER (WHERE v < p) AS resets, count(*) AS samples
 FROM d GROUP BY 1, 2"""
+
+ORACLE["compacted_events"] = ORACLE["stream_ingest_events"]
+
+ORACLE["compacted_kpis"] = ORACLE["stream_ingest_kpis"]
+
+ORACLE["expired_letters"] = f"""WITH {H}, {T}, d AS (SELECT * FROM t WHERE fault_key IN (4, 11))
+SELECT 'deserialization-failure' AS reason, ts AS ingest_ts, fault_key = 11 AS without_payload
+FROM d WHERE ts >= (SELECT max(ts) FROM d) - INTERVAL 7 DAY"""

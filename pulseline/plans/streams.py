@@ -23,13 +23,14 @@ from pulseline.operators.reports import dead_letters_by_reason
 from pulseline.plans import fixtures as fx
 from pulseline.schemas import HEARTBEAT, HEARTBEAT_COLUMNS, REASON_UNSTORED
 from pulseline.session import scratch_path
-from pulseline.sources.events import read_events, read_session_metrics
+from pulseline.sources.events import read_dead_letters, read_events, read_session_metrics
 from pulseline.sources.topic import heartbeat_stream, read_topic
 from pulseline.sources.topic_log import MAX_RECORDS, append_log, drain, log_stream
 from pulseline.streaming.id_index import IdIndex
 from pulseline.streaming.late import WindowLayout, fold_late, run_windows, window_kpis
 from pulseline.streaming.latency import latency_quantiles, read_parts, run_latency
 from pulseline.streaming.ledger import BatchLedger, read_ledger
+from pulseline.streaming.maintenance import maintain_layout
 from pulseline.streaming.processor import Layout, process_batch, run_stream
 from pulseline.streaming.publish import publish_job
 from pulseline.streaming.replay import recover_dead_letters, replay
@@ -275,6 +276,29 @@ def q_widened_events(spark, sf_dir) -> DataFrame:
     return read_events(spark, path).select(*HEARTBEAT_COLUMNS)
 
 
+def maintained_run(spark: SparkSession, sf_dir: str) -> Layout:
+    """An ingest run whose batches are merged, old letters expired and replaced folders deleted."""
+    layout = ingest_run(spark, sf_dir)
+    maintain_layout(spark, layout, grace_seconds=0, merge_at=2, stopped=True)
+    return layout
+
+
+def q_compacted_events(spark, sf_dir) -> DataFrame:
+    """All stored events after the folders of the micro-batches were merged (SNK-2)."""
+    return read_events(spark, maintained_run(spark, sf_dir).events).select(*HEARTBEAT_COLUMNS)
+
+
+def q_compacted_kpis(spark, sf_dir) -> DataFrame:
+    """KPIs rolled up from merged parts (SNK-3)."""
+    return _rounded(rollup_kpis(read_session_metrics(spark, maintained_run(spark, sf_dir).metrics)))
+
+
+def q_expired_letters(spark, sf_dir) -> DataFrame:
+    """Dead letters left after those over seven days older than the newest have expired (SNK-4, STR-8)."""
+    letters = read_dead_letters(spark, maintained_run(spark, sf_dir).dead_letters)
+    return letters.select("reason", "ingest_ts", F.octet_length("payload").isNull().alias("without_payload"))
+
+
 def q_stream_session_windows(spark, sf_dir) -> DataFrame:
     """Windows that end after a gap without events of the session (STR-6)."""
     root, good = _clean_stream(spark, sf_dir, "session-windows")
@@ -385,6 +409,9 @@ STREAM_QUERIES = {
     "batch_ledger": q_batch_ledger,
     "empty_batches": q_empty_batches,
     "widened_events": q_widened_events,
+    "compacted_events": q_compacted_events,
+    "compacted_kpis": q_compacted_kpis,
+    "expired_letters": q_expired_letters,
     "replay_backlog": q_replay_backlog,
     "replay_then_live": q_replay_then_live,
     "replay_two_backlogs": q_replay_two_backlogs,

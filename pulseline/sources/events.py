@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseline.functions.scalars import millis_to_ts, ts_to_millis
-from pulseline.schemas import EVENTS_TABLE, SESSION_METRICS
+from pulseline.schemas import DEAD_LETTER, EVENTS_TABLE, SESSION_METRICS
+from pulseline.sources.batch_table import read_batch_table
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,11 +52,17 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     """Scan of the stored raw event table (SRC-4) with its partition columns.
 
     The declared schema spares reading every footer; files written before a
-    column was added give null for it (SNK-6).
+    column was added give null for it (SNK-6). Merged batches are read from
+    their segments.
     """
-    return spark.read.schema(EVENTS_TABLE).parquet(path)
+    return read_batch_table(spark, path, EVENTS_TABLE)
 
 
 def read_session_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Scan of the stored per-batch session KPI table (SRC-5)."""
-    return spark.read.schema(SESSION_METRICS).parquet(path)
+    return read_batch_table(spark, path, SESSION_METRICS)
+
+
+def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    """Scan of the stored dead letters, without expired ones (STR-8)."""
+    return read_batch_table(spark, path, DEAD_LETTER)

@@ -27,7 +27,8 @@ from pulseline.functions.validation import violations
 from pulseline.operators.dedup import append_new_events, dedup_events
 from pulseline.operators.kpi import session_kpi_parts
 from pulseline.operators.quarantine import storage_split
-from pulseline.schemas import EVENTS_TABLE, HEARTBEAT_COLUMNS, REASON_INVALID, REASON_UNDECODABLE
+from pulseline.schemas import HEARTBEAT_COLUMNS, REASON_INVALID, REASON_UNDECODABLE
+from pulseline.sources.events import read_events
 from pulseline.streaming.id_index import IdIndex, seen_before
 from pulseline.streaming.sinks import (
     LIVE, write_dead_letters, write_new_events, write_session_metrics,
@@ -75,8 +76,9 @@ def read_table_if_exists(spark: SparkSession, path: str, schema=None) -> DataFra
 def stored_elsewhere(spark: SparkSession, path: str, batch_id: int,
                      source_id: str = LIVE) -> DataFrame | None:
     """All stored rows but those of this batch itself (a partition filter)."""
-    stored = read_table_if_exists(spark, path, EVENTS_TABLE)
-    if stored is None:
+    try:
+        stored = read_events(spark, path)
+    except AnalysisException:  # before the first write
         return None
     return stored.filter((F.col("source_id") != F.lit(source_id)) | (F.col("batch_id") != F.lit(batch_id)))
 
