@@ -49,16 +49,43 @@ class Vocabulary:
     added: tuple[str, ...]
     spec: str
     pattern: str
+    ranked: bool     # whether merging by rank gives the file's own ids
 
     @staticmethod
     def read(spec: str, pattern: str) -> Vocabulary:
         data = json.loads(spec)
         added = tuple(t["content"] for t in data["added_tokens"])
         byte_of = _byte_letters()
+        ranked = _merges_by_rank(data, added, pattern)
         plain = {bytes(byte_of[c] for c in token): rank
-                 for token, rank in data["model"]["vocab"].items() if token not in added}
+                 for token, rank in data["model"]["vocab"].items() if token not in added} if ranked else {}
         return Vocabulary(b"".join(plain), np.array([len(t) for t in plain], np.uint16).tobytes(),
-                          np.array(list(plain.values()), np.int32).tobytes(), added, spec, pattern)
+                          np.array(list(plain.values()), np.int32).tobytes(), added, spec, pattern, ranked)
+
+
+# Fixed value: what a byte-level step without a pattern of its own splits by.
+BYTE_LEVEL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+
+def _merges_by_rank(data: dict, added: tuple[str, ...], pattern: str) -> bool:
+    """Whether a file merges in the order of its ids, changes no text before and splits by ``pattern``.
+
+    Every token is then a byte or the result of exactly one merge, and an
+    earlier merge has the smaller id.
+    """
+    model, split = data["model"], data.get("pre_tokenizer") or {}
+    if model.get("type") != "BPE" or data.get("normalizer") or any(model.get(k) for k in (
+            "dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback")):
+        return False
+    if (split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True)
+            or pattern != BYTE_LEVEL_PATTERN):
+        return False
+    vocab, letters = model["vocab"], _byte_letters()
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [vocab.get(token, -1) for token in merged]
+    bytes_first = max((vocab.get(c, len(vocab)) for c in letters), default=0)
+    tokens = {t for t in vocab if t not in added}
+    return (all(a < b for a, b in zip([bytes_first, *ids], ids)) and tokens == {*letters, *merged})
 
 
 class _Encoder:
@@ -66,13 +93,17 @@ class _Encoder:
 
     The merge loop of byte-level BPE runs in tiktoken over the ranks read from
     the same file, several times faster; its ids are the same. Texts that hold
-    one of the file's added tokens go through ``tokenizers`` itself.
+    one of the file's added tokens go through ``tokenizers`` itself, and so do
+    all texts under a file that does not merge by rank.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         import tiktoken
 
         self.added, self.spec, self.full = vocabulary.added, vocabulary.spec, None
+        self.fast = None
+        if not vocabulary.ranked:
+            return
         ends = np.cumsum(np.frombuffer(vocabulary.sizes, np.uint16), dtype=np.int64).tolist()
         ranks = np.frombuffer(vocabulary.ranks, np.int32).tolist()
         tokens = (vocabulary.tokens[a:b] for a, b in zip([0, *ends], ends))
@@ -80,11 +111,13 @@ class _Encoder:
                                       mergeable_ranks=dict(zip(tokens, ranks)), special_tokens={})
 
     def __call__(self, text: str) -> list[int]:
-        if any(t in text for t in self.added):
+        if self.fast is None or any(t in text for t in self.added):
             if self.full is None:  # large, and rarely needed
                 from tokenizers import Tokenizer
 
                 self.full = Tokenizer.from_str(self.spec)
+                self.full.no_truncation()  # whole texts, whatever the file asks for
+                self.full.no_padding()
             return self.full.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
@@ -99,7 +132,7 @@ def _byte_letters() -> dict[str, int]:
 
 def encoder(vocabulary: Vocabulary) -> _Encoder:
     """The worker's encoder for a vocabulary, built once per Python worker."""
-    key = hash((vocabulary.tokens, vocabulary.pattern))
+    key = hash((vocabulary.spec, vocabulary.pattern))
     if key not in _ENCODERS:
         _ENCODERS[key] = _Encoder(vocabulary)
     return _ENCODERS[key]
@@ -195,8 +228,9 @@ def pack_documents(df: DataFrame, spec: str, pattern: str, key: str = "doc_id",
                    run: int = RUN) -> DataFrame:
     """Pieces of all documents with their place in the packed sequences.
 
-    ``spec`` is the content of a ``tokenizers`` JSON file of the byte-level
-    kind and ``pattern`` its splitting pattern. ``ids`` holds the piece's ids
+    ``spec`` is the content of a ``tokenizers`` JSON file and ``pattern`` its
+    splitting pattern; a file that is not plain byte-level BPE merged in the
+    order of its ids, split by that pattern, is encoded by ``tokenizers``. ``ids`` holds the piece's ids
     as little-endian unsigned 32-bit integers. ``sequence_id`` is unique over
     the input: the partition number in the high bits, then a count.
     """

@@ -1,6 +1,7 @@
 """BPE, packing and sharding against the public libraries and plain versions."""
 
 import hashlib
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -95,8 +96,8 @@ def test_bpe_nulls_and_round_trip(spark):
     assert df.limit(0).withColumn("e", bpe.encode(F.col("text"), data, PATTERN)).count() == 0
 
 
-def check_packing(pieces, texts, capacity=2048):
-    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+def check_packing(pieces, texts, capacity=2048, tok=None):
+    tok = tok or Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     docs, seqs = defaultdict(list), defaultdict(list)
     for r in pieces:
         docs[r.doc_id].append(r)
@@ -135,6 +136,50 @@ def test_packing_edge_cases(spark):
     assert packing.pack_documents(df.limit(0), spec, PATTERN).count() == 0
 
 
+def other_files():
+    """The given tokenizer file with one thing changed that changes ids."""
+    spec = open(public_tokenizers.path("byte_bpe_50k.json")).read()
+
+    def changed(change):
+        data = json.loads(spec)
+        change(data)
+        return json.dumps(data)
+
+    def swap(data):   # two tokens exchange their ids; their merges stay where they are
+        vocab = data["model"]["vocab"]
+        vocab["he"], vocab["Ġt"] = vocab["Ġt"], vocab["he"]
+
+    return {"ids": changed(swap), "prefix": changed(lambda d: d["pre_tokenizer"].update(add_prefix_space=True)),
+            "lower": changed(lambda d: d.update(normalizer={"type": "Lowercase"})),
+            "merges": changed(lambda d: d["model"].update(merges=d["model"]["merges"][:300])),
+            "whole": changed(lambda d: d["model"].update(ignore_merges=True)),
+            "cut": changed(lambda d: d.update(normalizer={"type": "NFC"}, truncation={
+                "direction": "Right", "max_length": 9, "strategy": "LongestFirst", "stride": 0}))}
+
+
+@pytest.mark.parametrize("name", ["ids", "prefix", "lower", "merges", "whole", "cut"])
+def test_packing_by_a_file_that_does_not_merge_by_rank(name):
+    spec, text = other_files()[name], "The weather, then THE heat: cafe\u0301 " * 30
+    vocabulary = packing.Vocabulary.read(spec, PATTERN)
+    assert not vocabulary.ranked
+    tok = Tokenizer.from_str(spec)
+    tok.no_truncation()
+    assert list(packing.encoder(vocabulary)(text)) == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_the_given_file_merges_by_rank():
+    spec = open(public_tokenizers.path("byte_bpe_50k.json")).read()
+    assert packing.Vocabulary.read(spec, PATTERN).ranked
+    assert not packing.Vocabulary.read(spec, r"\S+|\s+").ranked
+
+
+def test_packing_a_column_by_another_file(spark):
+    df = spark.createDataFrame([(1, "The heat"), (2, None), (3, "the " * 3000)], "doc_id long, text string")
+    spec = other_files()["lower"]
+    out = packing.pack_documents(df, spec, PATTERN).withColumn("ids_crc32", F.crc32("ids"))
+    check_packing(out.collect(), {r.doc_id: r.text for r in df.collect()}, tok=Tokenizer.from_str(spec))
+
+
 def test_pack_run_is_cost_balanced():
     rng = np.random.default_rng(2)
     lengths = rng.integers(1, 400, 3000).tolist()
