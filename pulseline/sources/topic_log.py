@@ -9,6 +9,12 @@ so it is bounded in records whatever the files hold. It is closed when it is
 full, or, with ``lingerSeconds``, that long after its first record could be
 read.
 
+The topic can be read by several queries at once, as by the consumers of a
+group: consumer ``k`` of ``n`` takes the topic partitions whose number leaves
+``k`` when divided by ``n``, under a checkpoint of its own, and the bound holds
+for each of its micro-batches (the poll size is one consumer's). With the
+batches bounded, the rate grows with the consumers, up to one a partition.
+
 Only file footers are read to plan a batch, each once. The records are read
 in tasks, by row group, as Arrow batches. A restart goes on from the offsets
 in the query's checkpoint (option ``checkpoint``), so no batch is repeated or
@@ -76,8 +82,10 @@ def share_out(lag: dict[int, int], most: int) -> dict[int, int]:
 class TopicLogReader(DataSourceStreamReader):
     """Offsets are records read so far of each topic partition."""
 
-    def __init__(self, path: str, most: int, linger: float, checkpoint: str | None):
+    def __init__(self, path: str, most: int, linger: float, checkpoint: str | None,
+                 consumer: int = 0, consumers: int = 1):
         self.path, self.most, self.linger, self.checkpoint = path, most, linger, checkpoint
+        self.consumer, self.consumers = consumer, consumers
         self.files: dict[int, list[tuple[str, int]]] = {}    # partition -> (file, records) in log order
         self.segments: set[str] = set()
         self.reached: dict[int, int] | None = None
@@ -108,6 +116,8 @@ class TopicLogReader(DataSourceStreamReader):
             for name in names:
                 if not name.startswith("partition="):
                     continue
+                if int(name.removeprefix("partition=")) % self.consumers != self.consumer:
+                    continue    # another consumer's
                 found = []
                 for file in self._list(f"{folder}/{name}"):
                     if file.endswith(".parquet"):
@@ -201,14 +211,16 @@ class TopicLog(DataSource):
     def streamReader(self, schema) -> TopicLogReader:
         option = {k.lower(): v for k, v in self.options.items()}
         return TopicLogReader(option["path"].rstrip("/"), int(option.get("maxrecords", MAX_RECORDS)),
-                              float(option.get("lingerseconds", 0)), option.get("checkpoint"))
+                              float(option.get("lingerseconds", 0)), option.get("checkpoint"),
+                              int(option.get("consumer", 0)), int(option.get("consumers", 1)))
 
 
 def log_stream(spark: SparkSession, path: str, checkpoint: str, max_records: int = MAX_RECORDS,
-               linger_seconds: float = 0) -> DataFrame:
+               linger_seconds: float = 0, consumer: int = 0, consumers: int = 1) -> DataFrame:
     """Topic records of the log from the earliest, at most ``max_records`` in a micro-batch.
 
-    ``checkpoint`` is the checkpoint folder of the query that will read it.
+    ``checkpoint`` is the checkpoint folder of the query that will read it;
+    with ``consumers`` it reads the topic partitions of the one numbered ``consumer``.
     """
     import pulseline.sources.topic_log as module
     cloudpickle.register_pickle_by_value(module)     # workers need not have this package
@@ -217,7 +229,8 @@ def log_stream(spark: SparkSession, path: str, checkpoint: str, max_records: int
     finally:
         cloudpickle.unregister_pickle_by_value(module)
     return (spark.readStream.format("topic_log").option("maxRecords", str(max_records))
-                 .option("lingerSeconds", str(linger_seconds)).option("checkpoint", checkpoint).load(path))
+                 .option("lingerSeconds", str(linger_seconds)).option("checkpoint", checkpoint)
+                 .option("consumer", str(consumer)).option("consumers", str(consumers)).load(path))
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:
