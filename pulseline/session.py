@@ -89,6 +89,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
 
 
+def count_files(spark: SparkSession, path: str) -> int:
+    """Number of files below a folder, 0 if it does not exist."""
+    fs, where = _fs(spark, path)
+    return fs.getContentSummary(where).getFileCount() if fs.exists(where) else 0
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file."""
     fs, where = _fs(spark, path)

@@ -17,11 +17,15 @@ from pulseline.functions.codec import decode_binary
 from pulseline.operators.backlog import REPLAY_SLICE
 from pulseline.sources.topic import heartbeat_stream
 from pulseline.schemas import TOPIC
+from pulseline.session import count_files
 from pulseline.streaming.processor import Layout, process_batch, run_stream
 
 # Fixed value — dead-letter retention (days).
 DEAD_LETTER_RETENTION_DAYS = 7
 
+# Slices of one replay micro-batch, at most (two million records).
+MOST_SLICES = 4_096
+
 
 def write_backlog(records: DataFrame, path: str, slice_size: int = REPLAY_SLICE) -> None:
     """Append topic records to a backlog folder in files of at most ``slice_size`` records."""
@@ -29,14 +33,22 @@ def write_backlog(records: DataFrame, path: str, slice_size: int = REPLAY_SLICE)
 
 
 def replay(spark: SparkSession, backlog_path: str, layout: Layout,
-           backlog_id: str, slices_per_trigger: int = 4, checkpoint: str | None = None):
+           backlog_id: str, slices_per_trigger: int = 4, checkpoint: str | None = None,
+           batches: int | None = None):
     """Replay a backlog folder into the tables of ``layout``; returns the finished query.
 
     ``backlog_id`` names this backlog: each has its own checkpoint and its own
     partitions (source ``replay-<id>``), so backlogs never overwrite each
     other and running one again only adds what it has not drained yet.
     Replayed counts per micro-batch are in the query's ``observedMetrics``.
+
+    A micro-batch takes ``slices_per_trigger`` slices. What it costs besides
+    its records is the same for few and for many, so with ``batches`` a
+    backlog that would need more micro-batches than that takes more slices at
+    a time (``MOST_SLICES`` at most): the slices stay as they were drained.
     """
+    if batches:
+        slices_per_trigger = max(slices_per_trigger, min(MOST_SLICES, -(-count_files(spark, backlog_path) // batches)))
     q = run_stream(heartbeat_stream(spark, backlog_path, max_files_per_trigger=slices_per_trigger),
                    layout, checkpoint=checkpoint or f"{layout.root}/_replay_checkpoint/{backlog_id}",
                    source_id=f"replay-{backlog_id}")

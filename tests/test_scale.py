@@ -1,12 +1,17 @@
 """Work per row and per micro-batch that must not grow with the input."""
 
+import importlib
+
 from pyspark.sql import functions as F
 
 from pulseline.functions.codec import encode_binary
-from pulseline.session import scratch_path
+from pulseline.session import count_files, scratch_path
 from pulseline.sources.topic_log import TopicLogReader, append_log
+from pulseline.streaming.processor import Layout
 from tests.conftest import hb_rows
 
+R = importlib.import_module("pulseline.streaming.replay")     # the package exports its function by that name
+
 
 def topic(spark, n):
     rows = hb_rows(spark, [{"session_id": f"s{i % 7}"} for i in range(n)])
@@ -15,6 +20,24 @@ def topic(spark, n):
         F.expr("CAST(substr(event_id, 2) AS BIGINT)").alias("offset"), F.col("ts").alias("timestamp"))
 
 
+def batches_of(query):
+    return [p.numInputRows for p in query.recentProgress if p.numInputRows]
+
+
+def test_a_long_backlog_takes_more_slices_a_batch(spark, monkeypatch):
+    root = scratch_path(spark, "test-long-backlog")
+    R.write_backlog(topic(spark, 120).coalesce(1), f"{root}/backlog", 10)
+    files = count_files(spark, f"{root}/backlog")
+    assert files >= 12 and count_files(spark, f"{root}/none") == 0
+    layout = Layout(f"{root}/out")
+    few = R.replay(spark, f"{root}/backlog", layout, "few", slices_per_trigger=1, batches=3)
+    assert len(batches_of(few)) <= 3 and sum(batches_of(few)) == 120
+    assert spark.read.parquet(layout.events).select("event_id").distinct().count() == 120
+    monkeypatch.setattr(R, "MOST_SLICES", 2)        # a batch stays bounded however long the backlog is
+    bounded = R.replay(spark, f"{root}/backlog", Layout(f"{root}/bounded"), "bounded", slices_per_trigger=1, batches=3)
+    assert max(batches_of(bounded)) <= 20 and sum(batches_of(bounded)) == 120
+
+
 def test_consumers_share_the_partitions_of_a_log(spark):
     root = scratch_path(spark, "test-consumers")
     append_log(topic(spark, 100), f"{root}/log")
