@@ -119,26 +119,28 @@ def decode_binary(df: DataFrame, payload_col: str = "value", spread: bool = Fals
     return decoded.withColumn("ts", millis_to_ts("timestamp_ms"))
 
 
-def encode_binary(df: DataFrame, out_col: str = "value", spread: bool = False) -> DataFrame:
+def encode_binary(df: DataFrame, out_col: str = "value", spread: bool = False,
+                  keep: list[str] | None = None) -> DataFrame:
     """Serialise heartbeat rows to the binary message (DEC-3).
 
     Event time goes to whole epoch milliseconds (FN-2) and absent device
     strings to "" (FN-3) in Spark, before the Arrow hand-off; the task only
-    serialises. Output: the input columns plus ``out_col``.
+    serialises. Output: the input columns (of them those named by ``keep``,
+    if given: the others then take no way back from the task) plus ``out_col``.
     """
     import pyarrow as pa
 
     prepared = normalize_device_fields(df).withColumn("__wire_ms", ts_to_millis("ts"))
-    in_cols = prepared.columns
-    out_schema = T.StructType(list(prepared.schema.fields)
-                              + [T.StructField(out_col, T.BinaryType())])
     source = ["__wire_ms" if name == "timestamp_ms" else name for name, _, _ in WIRE_FIELDS]
+    kept = list(prepared.columns if keep is None else keep)
+    prepared = prepared.select(*[c for c in prepared.columns if c in kept or c in source])
+    out_schema = T.StructType([prepared.schema[c] for c in kept] + [T.StructField(out_col, T.BinaryType())])
 
     def encode_batches(batches):
         for batch in batches:
             values = wire.write([batch.column(name) for name in source])
-            arrays = [batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*arrays, values], names=in_cols + [out_col])
+            arrays = [batch.column(name) for name in kept]
+            yield pa.RecordBatch.from_arrays([*arrays, values], names=kept + [out_col])
 
     src = spread_small_input(prepared) if spread else prepared
     return src.mapInArrow(encode_batches, out_schema).drop("__wire_ms")

@@ -7,6 +7,8 @@ row (not only the first).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,8 +33,11 @@ def is_blank(col) -> Column:
 
 
 def _collect(rules) -> Column:
-    return F.filter(F.array(*[F.when(cond, F.lit(msg)) for cond, msg in rules]),
-                    lambda m: m.isNotNull())
+    """Messages of the rules that fire; the list is built only for rows that break one."""
+    listed = F.filter(F.array(*[F.when(cond, F.lit(msg)) for cond, msg in rules]),
+                      lambda m: m.isNotNull())
+    broken = reduce(lambda a, b: a | b, [cond for cond, _ in rules])
+    return F.when(broken, listed).otherwise(F.array().cast("array<string>"))
 
 
 def violations(ts_millis_col: str = "timestamp_ms") -> Column:

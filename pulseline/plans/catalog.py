@@ -122,7 +122,8 @@ def q_decode_roundtrip(spark, sf_dir):
 
 
 def q_dead_letters_by_reason(spark, sf_dir):
-    _, failed = split_decoded(_topic_decoded(spark, sf_dir))
+    # the payload alone goes through the decoder: no other column is asked for
+    _, failed = split_decoded(decode_binary(fx.topic_table(spark, sf_dir).select("value"), spread=True))
     _, rejected = quarantine.split_valid(_json_decoded(spark, sf_dir))
     dead = failed.select(F.lit("deserialization-failure").alias("reason")).unionByName(
         rejected.select("reason"))

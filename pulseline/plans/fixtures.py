@@ -184,7 +184,9 @@ def topic_records(hbk: DataFrame, with_redelivery: bool = True,
     src = hbk.withColumn("delivery", F.lit(0))
     if with_redelivery:
         src = src.unionByName(redelivered(hbk).withColumn("delivery", F.lit(1)))
-    enc = encode_binary(src, spread=True)  # scans of the events table: spreading is free
+    # scans of the events table: spreading is free
+    enc = encode_binary(src, spread=True, keep=list(dict.fromkeys(
+        ["session_id", "arrival_seq", "ts", "delivery", "fault_key", *keep])))
     k = F.col("fault_key") if with_faults else F.lit(-1)
     value = (F.when(k == K_TRUNCATED_PAYLOAD,
                     F.expr("substr(value, 1, octet_length(value) - 1)"))

@@ -60,24 +60,25 @@ def decode_json(df: DataFrame, body_col: str = "body", spread: bool = False) ->
     """
     req = F.from_json(F.col(body_col), REQUEST_TEXT_SCHEMA,
                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    # The parse is produced by a generator (one output row per input row) so
-    # that filters on derived columns (accept / reject) are not pushed below
-    # it with ``from_json`` inlined once per referenced field.
     src = spread_small_input(df) if spread else df
-    parsed = src.select("*", F.inline(F.array(F.struct(req.alias("__req")))))
-    # step 1: raw text and typed value of every field (each parsed once)
+    parsed = _once(src, {"__req": req})
+    # step 1: raw text of every field (each read once)
     raw_cols = {}
     for json_name, col in JSON_FIELDS:
         field = F.col(f"__req.{json_name}")
         if col in _TYPES:
             raw_cols[f"__raw_{col}"] = F.nullif(F.trim(field), F.lit(""))
         else:
-            kind = F.schema_of_variant(field)
             raw_cols[f"__raw_{col}"] = F.try_variant_get(field, "$", "string")
-            raw_cols[f"__nested_{col}"] = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     raw_cols["__malformed"] = F.col("__req").isNull() | F.col(f"__req.{_CORRUPT}").isNotNull()
-    step1 = parsed.withColumns(raw_cols).drop("__req")
+    step1 = _once(parsed, raw_cols)
+    # step 2: typed values; an object or array shows in its text, so only such text is looked at closer
     typed = {}
+    for json_name, col in JSON_FIELDS:
+        if col not in _TYPES:
+            raw, kind = F.col(f"__raw_{col}"), F.schema_of_variant(F.col(f"__req.{json_name}"))
+            typed[f"__nested_{col}"] = (raw.startswith("{") | raw.startswith("[")) & (
+                kind.startswith("OBJECT") | kind.startswith("ARRAY"))
     for col, t in _TYPES.items():
         raw = F.col(f"__raw_{col}")
         if t == "bigint":  # a fractional number for a long binds truncated toward zero
@@ -88,8 +89,8 @@ def decode_json(df: DataFrame, body_col: str = "body", spread: bool = False) ->
         else:
             value = raw.try_cast(t)
         typed[f"__typed_{col}"] = value
-    step2 = step1.withColumns(typed)
-    # step 2: defaults for absent primitives, type mismatches, final columns
+    step2 = _once(step1, typed)
+    # step 3: defaults for absent primitives, type mismatches, final columns
     cols = {}
     mismatches = []
     for json_name, col in JSON_FIELDS:
@@ -104,11 +105,20 @@ def decode_json(df: DataFrame, body_col: str = "body", spread: bool = False) ->
             cols[col] = raw
             mismatches.append(F.when(F.coalesce(F.col(f"__nested_{col}"), F.lit(False)),
                                      F.lit(f"{json_name}: type mismatch")))
-    cols["__mismatch"] = F.array_join(
-        F.filter(F.array(*mismatches), lambda m: m.isNotNull()), "; ")
+    mismatch = F.concat_ws("; ", *mismatches)       # leaves nulls out
     step3 = step2.withColumns(cols)
     error = (F.when(F.col("__malformed"), F.lit("malformed JSON"))
-              .when(F.col("__mismatch") != "", F.col("__mismatch")))
+              .when(mismatch != "", mismatch))
     out = step3.withColumn("decode_error", error).withColumn("ts", millis_to_ts("timestamp_ms"))
     helpers = [c for c in out.columns if c.startswith("__")]
     return out.drop(*helpers)
+
+
+def _once(df: DataFrame, cols: dict) -> DataFrame:
+    """``df`` with columns that are computed once per row.
+
+    They come from a generator (one output row per input row), so filters on
+    what is derived from them (accept / reject) are not pushed below it with
+    the whole expression inlined once per reference.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in cols.items()]))))

@@ -189,7 +189,8 @@ def run_stream(stream: DataFrame, layout: Layout, available_now: bool = True,
     writing into the same tables (e.g. a backlog replay) uses its own
     ``checkpoint`` and ``source_id``.
     """
-    decoded = observe_ingest(decode_binary(stream, "value"))
+    # only what process_batch uses is carried through the decoder and kept
+    decoded = observe_ingest(decode_binary(stream.select("value", "offset", "timestamp"), "value"))
     writer = (decoded.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, bid, layout, kpi_on, lookup_horizon, source_id,
                                                           validate_binary))

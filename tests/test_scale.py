@@ -1,11 +1,14 @@
 """Work per row and per micro-batch that must not grow with the input."""
 
 import importlib
+import json
 
 from pyspark.sql import functions as F
 
-from pulseline.functions.codec import encode_binary
+from pulseline.functions.codec import decode_binary, encode_binary
+from pulseline.operators.quarantine import classify_requests, split_valid
 from pulseline.session import count_files, scratch_path
+from pulseline.sources.json_source import decode_json
 from pulseline.sources.topic_log import TopicLogReader, append_log
 from pulseline.streaming.processor import Layout
 from tests.conftest import hb_rows
@@ -46,3 +49,25 @@ def test_consumers_share_the_partitions_of_a_log(spark):
     assert sum(map(len, shares)) == len(whole) and {p: n for s in shares for p, n in s.items()} == whole
     assert all(int(p) % 3 == k for k, s in enumerate(shares) for p in s)
     assert sum(TopicLogReader(f"{root}/log", 7, 0, None, 0, 1).latestOffset().values()) == 7
+
+
+def test_requests_are_read_once_per_field(spark):
+    doc = {"eventId": "e", "sessionId": "s", "clientId": "c", "contentId": "x", "timestampMs": 5}
+    df = spark.createDataFrame([(1, json.dumps(doc)), (2, json.dumps({**doc, "eventId": "{no object"})),
+                                (3, json.dumps({**doc, "os": ["a"]})), (4, json.dumps({**doc, "eventId": " "}))],
+                               "request_id int, body string")
+    got = {r.request_id: (r.event_id, r.reason) for r in classify_requests(decode_json(df)).collect()}
+    assert got[1] == ("e", None) and got[2] == ("{no object", None)
+    assert got[3][1] == "deserialization-failure" and got[4][1] == "validation-failure"
+    rejected = split_valid(decode_json(df))[1].select("reason")
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get") <= 7
+
+
+def test_encoding_returns_the_columns_asked_for(spark):
+    rows = hb_rows(spark, [{"session_id": "s", "video_start_time_ms": 1.5}, {}]).withColumn("extra", F.lit(3))
+    few = encode_binary(rows, keep=["extra", "event_id"])
+    assert few.columns == ["extra", "event_id", "value"]
+    assert sorted(map(tuple, few.collect())) == sorted(
+        map(tuple, encode_binary(rows).select("extra", "event_id", "value").collect()))
+    assert decode_binary(few.select("value")).filter("decode_error IS NULL").count() == 2
