@@ -13,7 +13,10 @@ The topic can be read by several queries at once, as by the consumers of a
 group: consumer ``k`` of ``n`` takes the topic partitions whose number leaves
 ``k`` when divided by ``n``, under a checkpoint of its own, and the bound holds
 for each of its micro-batches (the poll size is one consumer's). With the
-batches bounded, the rate grows with the consumers, up to one a partition.
+batches bounded, the rate grows with the consumers that run, up to one a
+partition. ``drain_group`` runs a few of them at a time: a running query keeps
+a Python process on the driver, which must report to Spark within ten seconds
+of its start.
 
 Only file footers are read to plan a batch, each once. The records are read
 in tasks, by row group, as Arrow batches. A restart goes on from the offsets
@@ -28,7 +31,10 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import BoundedSemaphore, Lock
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +46,9 @@ from pulseline.schemas import TOPIC
 from pulseline.session import list_names
 
 MAX_RECORDS = 1_000      # the reference's poll size
+TASK_RECORDS = 5_000     # topic partitions are read together in a task up to so many records
+AT_ONCE = 4              # consumers of a group that one driver runs at a time
+STARTING = 2             # of them, whose Python process on the driver is being started
 SCHEMA = TOPIC.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
 
 
@@ -61,10 +70,13 @@ def append_log(records: DataFrame, path: str) -> str:
 
 @dataclass
 class Slice(InputPartition):
-    """Records of one topic partition: (file, first record, end) of each file, in log order."""
-    partition: int
+    """Records that one task reads: (file, first record, end) of each file, in log order by topic partition."""
     files: list
 
+    @property
+    def records(self) -> int:
+        return sum(high - low for _, low, high in self.files)
+
 
 def share_out(lag: dict[int, int], most: int) -> dict[int, int]:
     """Records to take from each partition: all if they fit, else in proportion to what it holds."""
@@ -175,13 +187,18 @@ class TopicLogReader(DataSourceStreamReader):
                     files.append((path, low - at, high - at))
                 at += rows
             if files:
-                out.append(Slice(int(p), files))
+                part = Slice(files)
+                if out and out[-1].records + part.records <= TASK_RECORDS:
+                    out[-1].files.extend(files)     # a task for a few records of each partition would cost more than they do
+                else:
+                    out.append(part)
         return out
 
     def read(self, partition: Slice):
         import pyarrow as pa
         import pyarrow.parquet as pq
         for path, low, high in partition.files:
+            topic_partition = int(path.split("/")[-2].removeprefix("partition="))
             system, where = self._fs(path)
             with system.open_input_file(where) as source:
                 file = pq.ParquetFile(source)
@@ -191,7 +208,7 @@ class TopicLogReader(DataSourceStreamReader):
                     first, last = max(low - at, 0), min(high - at, rows)
                     if first < last:
                         part = file.read_row_group(g, columns=["key", "value", "offset", "timestamp"]).slice(first, last - first)
-                        number = pa.array([partition.partition] * part.num_rows, pa.int32())
+                        number = pa.array([topic_partition] * part.num_rows, pa.int32())
                         whole = pa.table({"key": part["key"], "value": part["value"], "partition": number,
                                           "offset": part["offset"], "timestamp": part["timestamp"].cast(pa.timestamp("us"))})
                         yield from whole.to_batches()
@@ -215,6 +232,11 @@ class TopicLog(DataSource):
                               int(option.get("consumer", 0)), int(option.get("consumers", 1)))
 
 
+# A stream's tasks are written out with the environment of its registration, which Spark changes when it starts
+# a Python process for it; shared by two streams, one could be written out while the other changes it.
+_REGISTERING = Lock()
+
+
 def log_stream(spark: SparkSession, path: str, checkpoint: str, max_records: int = MAX_RECORDS,
                linger_seconds: float = 0, consumer: int = 0, consumers: int = 1) -> DataFrame:
     """Topic records of the log from the earliest, at most ``max_records`` in a micro-batch.
@@ -223,14 +245,15 @@ def log_stream(spark: SparkSession, path: str, checkpoint: str, max_records: int
     with ``consumers`` it reads the topic partitions of the one numbered ``consumer``.
     """
     import pulseline.sources.topic_log as module
-    cloudpickle.register_pickle_by_value(module)     # workers need not have this package
-    try:
-        spark.dataSource.register(TopicLog)
-    finally:
-        cloudpickle.unregister_pickle_by_value(module)
-    return (spark.readStream.format("topic_log").option("maxRecords", str(max_records))
-                 .option("lingerSeconds", str(linger_seconds)).option("checkpoint", checkpoint)
-                 .option("consumer", str(consumer)).option("consumers", str(consumers)).load(path))
+    with _REGISTERING:      # a stream keeps what was registered last when it was loaded
+        cloudpickle.register_pickle_by_value(module)     # workers need not have this package
+        try:
+            spark.dataSource.register(TopicLog)
+        finally:
+            cloudpickle.unregister_pickle_by_value(module)
+        return (spark.readStream.format("topic_log").option("maxRecords", str(max_records))
+                     .option("lingerSeconds", str(linger_seconds)).option("checkpoint", checkpoint)
+                     .option("consumer", str(consumer)).option("consumers", str(consumers)).load(path))
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:
@@ -240,3 +263,23 @@ def drain(query: StreamingQuery) -> StreamingQuery:
     finally:
         query.stop()
     return query
+
+
+def drain_group(start: Callable[[int], StreamingQuery], consumers: int, at_once: int = AT_ONCE) -> None:
+    """Drain consumers 0 to ``consumers`` - 1, each started by ``start``, ``at_once`` of them at a time.
+
+    ``STARTING`` of them at most wait for their source to come up, so that the
+    start-up of many does not hold up each one's beyond Spark's ten seconds.
+    """
+    starting = BoundedSemaphore(STARTING)
+
+    def consume(k: int) -> None:
+        with starting:
+            query = start(k)
+            while query.isActive and query.status["message"].startswith("Initializing"):
+                time.sleep(0.02)
+        drain(query)
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        for _ in pool.map(consume, range(consumers)):     # raises the first failure; consumers not begun are left
+            pass

@@ -2,14 +2,21 @@
 
 import importlib
 import json
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
+from time import sleep
 
+import pytest
 from pyspark.sql import functions as F
 
 from pulseline.functions.codec import decode_binary, encode_binary
 from pulseline.operators.quarantine import classify_requests, split_valid
+from pulseline.plans import fixtures as fx
+from pulseline.plans import streams
 from pulseline.session import count_files, scratch_path
+from pulseline.sources import topic_log
 from pulseline.sources.json_source import decode_json
-from pulseline.sources.topic_log import TopicLogReader, append_log
+from pulseline.sources.topic_log import TopicLogReader, append_log, drain_group, log_stream
 from pulseline.streaming.processor import Layout
 from tests.conftest import hb_rows
 
@@ -51,6 +58,94 @@ def test_consumers_share_the_partitions_of_a_log(spark):
     assert sum(TopicLogReader(f"{root}/log", 7, 0, None, 0, 1).latestOffset().values()) == 7
 
 
+def test_few_consumers_run_at_a_time(spark, sf_small, monkeypatch):
+    started, begin = [], streams._consume
+
+    def consume(session, root, k):
+        query = begin(session, root, k)
+        started.append((k, len(session.streams.active)))
+        return query
+
+    monkeypatch.setattr(streams, "_consume", consume)
+    monkeypatch.setattr(streams, "CONSUMERS", 7)
+    rows = streams.q_bounded_ingest(spark, sf_small).collect()
+    assert sorted(k for k, _ in started) == sorted([*range(7)] * 2)
+    assert max(n for _, n in started) <= topic_log.AT_ONCE and not spark.streams.active
+    assert all(r.within_bound for r in rows)
+    want = fx.clean_topic_table(spark, sf_small).select("key", "partition", "offset").collect()
+    assert sorted((r.key, r.partition, r.offset) for r in rows) == sorted(map(tuple, want))
+
+
+class Consumer:
+    """A query that is up after a moment, and what its group did."""
+
+    def __init__(self, group, k):
+        self.group, self.k, self.isActive, self.asked = group, k, True, 0
+        with group.lock:
+            group.running += 1
+            group.begun.append(k)
+
+    @property
+    def status(self):
+        self.asked += 1
+        with self.group.lock:
+            self.group.waiting = {*self.group.waiting, self.k} if self.asked < 3 else self.group.waiting - {self.k}
+            self.group.most_waiting = max(self.group.most_waiting, len(self.group.waiting))
+            self.group.most = max(self.group.most, self.group.running)
+        return {"message": "Initializing sources" if self.asked < 3 else "Waiting for data to arrive"}
+
+    def processAllAvailable(self):
+        if self.k == self.group.lost:
+            raise RuntimeError("lost")
+        sleep(0.02)
+
+    def stop(self):
+        with self.group.lock:
+            self.group.running -= 1
+
+
+class Group:
+    def __init__(self, lost=None):
+        self.lost, self.lock, self.begun, self.waiting = lost, Lock(), [], set()
+        self.running = self.most = self.most_waiting = 0
+
+
+def test_a_group_is_drained_a_few_at_a_time():
+    group = Group()
+    drain_group(lambda k: Consumer(group, k), 12, 4)
+    assert sorted(group.begun) == list(range(12)) and group.running == 0
+    assert 1 < group.most <= 4 and group.most_waiting <= topic_log.STARTING
+    group = Group(lost=1)
+    with pytest.raises(RuntimeError, match="lost"):
+        drain_group(lambda k: Consumer(group, k), 40, 4)
+    assert group.running == 0 and len(group.begun) < 40       # what ran was stopped, the rest not begun
+
+
+def test_streams_are_made_in_several_threads(spark):
+    root = scratch_path(spark, "test-threads")
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda k: log_stream(spark, f"{root}/log", f"{root}/ckpt-{k}", consumer=k, consumers=8), range(8)))
+    assert all(s.isStreaming for s in made)
+
+
+def test_a_task_reads_several_topic_partitions(spark, monkeypatch):
+    root = scratch_path(spark, "test-tasks")
+    records = topic(spark, 100)
+    append_log(records, f"{root}/log")
+    reader = TopicLogReader(f"{root}/log", 60, 0, None)
+    end = reader.latestOffset()
+    assert len(end) > 1 and sum(end.values()) == 60
+    (task,) = reader.partitions({}, end)
+    read = [r for b in reader.read(task) for r in b.to_pylist()]
+    want = {(r.partition, r.offset) for r in records.collect()}
+    assert len(read) == 60 and {(r["partition"], r["offset"]) for r in read} <= want
+    assert {str(r["partition"]) for r in read} == {p for p, n in end.items() if n}
+    monkeypatch.setattr(topic_log, "TASK_RECORDS", 20)      # many records still go to many tasks
+    tasks = reader.partitions({}, end)
+    assert len(tasks) >= 3
+    assert sorted(r["offset"] for t in tasks for b in reader.read(t) for r in b.to_pylist()) == sorted(r["offset"] for r in read)
+
+
 def test_requests_are_read_once_per_field(spark):
     doc = {"eventId": "e", "sessionId": "s", "clientId": "c", "contentId": "x", "timestampMs": 5}
     df = spark.createDataFrame([(1, json.dumps(doc)), (2, json.dumps({**doc, "eventId": "{no object"})),
